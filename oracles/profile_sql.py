@@ -1,4 +1,4 @@
-"""DuckDB recomputation of the column profile."""
+"""DuckDB recomputation of the column profile."""
 
 from __future__ import annotations
 
@@ -6,6 +6,11 @@ from tessera.functions import rules as R
 
 from .schemas import N, S
 
+PROFILE_FIELDS = ["ordinal", "name", "dtype", "unique_count", "null_count", "null_percentage",
+                  "inferred_type", "inferred_role", "cardinality", "mean_value", "std_value",
+                  "skewness", "has_outliers", "distribution", "most_frequent",
+                  "frequency_distribution"]
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -39,22 +44,29 @@ def column_sql(src: str, i: int, name: str, kind: str, dtype: str) -> str:
     is_num_kind = "TRUE" if kind == N else "FALSE"
     is_str = "TRUE" if kind == S else "FALSE"
     lname = q(name.lower())
+    n_sample = 10 if kind == S else 0
     return f"""
 SELECT * FROM (
 WITH b AS (SELECT {c} AS c, {x} AS x, CAST({c} AS VARCHAR) AS s FROM {src}),
 a AS (SELECT count(*) AS n_rows, count(c) AS nonnull, count(x) AS parsed,
              avg(x) AS mean_v, stddev_samp(x) AS std_v, skewness(x) AS skew_v,
-             quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.75) AS q75,
+             quantile_cont(x, 0.05) AS q05, quantile_cont(x, 0.25) AS q25,
+             quantile_cont(x, 0.75) AS q75, quantile_cont(x, 0.95) AS q95,
              count(DISTINCT s) AS unique_count, {date_share} AS date_share,
              {binary} AS binary_values, {avg_len} AS avg_length FROM b),
-o AS (SELECT count_if(b.x < a.q25 - 1.5 * (a.q75 - a.q25))
-           + count_if(b.x > a.q75 + 1.5 * (a.q75 - a.q25)) AS n_out FROM b, a),
+o AS (SELECT count_if(b.x < a.q25 - 1.5 * (a.q75 - a.q25)) AS outlier_low,
+             count_if(b.x > a.q75 + 1.5 * (a.q75 - a.q25)) AS outlier_high,
+             min(b.x) FILTER (WHERE b.x >= a.q25 - 1.5 * (a.q75 - a.q25)) AS normal_min,
+             max(b.x) FILTER (WHERE b.x <= a.q75 + 1.5 * (a.q75 - a.q25)) AS normal_max
+      FROM b, a),
 vc AS (SELECT s AS v, count(*) AS cnt FROM b WHERE s IS NOT NULL GROUP BY s),
 vs AS (SELECT avg(cnt) AS cnt_mean, stddev_samp(cnt) AS cnt_std,
               (SELECT v FROM vc ORDER BY cnt DESC, v LIMIT 1) AS top_v FROM vc),
-smp AS (SELECT bool_or(regexp_full_match(v, {q(id_rx)})) AS id_sample
-        FROM (SELECT v FROM vc ORDER BY md5(v), v LIMIT {10 if kind == S else 0})),
-st AS (SELECT *, unique_count / nullif(nonnull, 0) AS ur FROM a, o, vs, smp),
+smp AS (SELECT bool_or(regexp_full_match(v, {q(id_rx)})) AS id_sample,
+               string_agg(v, '|' ORDER BY md5(v), v) AS sample
+        FROM (SELECT v FROM vc ORDER BY md5(v), v LIMIT {n_sample})),
+st AS (SELECT *, outlier_low + outlier_high AS n_out,
+              unique_count / nullif(nonnull, 0) AS ur FROM a, o, vs, smp),
 ty AS (SELECT *, CASE
    WHEN nonnull = 0 THEN 'unknown'
    WHEN coalesce(date_share, 0) >= {R.DATETIME_SHARE} THEN 'datetime'
@@ -66,10 +78,12 @@ ty AS (SELECT *, CASE
    ELSE 'categorical' END AS inferred_type,
    CASE WHEN parsed < 3 THEN NULL WHEN coalesce(std_v, 0) = 0 THEN 0.0 ELSE skew_v END AS sk
    FROM st)
-SELECT {i} AS ordinal, {q(name)} AS name, {q(dtype)} AS dtype,
+SELECT {i} AS ordinal, {q(name)} AS name, {q(dtype)} AS dtype, {q(kind)} AS kind,
+  CAST(n_rows AS BIGINT) AS n_rows, CAST(nonnull AS BIGINT) AS nonnull,
+  CAST(parsed AS BIGINT) AS parsed,
   CAST(unique_count AS BIGINT) AS unique_count,
   CAST(n_rows - nonnull AS BIGINT) AS null_count,
-  round((n_rows - nonnull) * 100.0 / n_rows, 6) AS null_percentage,
+  (n_rows - nonnull) * 100.0 / n_rows AS null_percentage,
   inferred_type,
   CASE WHEN inferred_type = 'identifier' THEN 'identifier'
        WHEN regexp_matches({lname}, {q(_kw(R.TARGET_KEYWORDS))}) THEN 'target_candidate'
@@ -79,10 +93,10 @@ SELECT {i} AS ordinal, {q(name)} AS name, {q(dtype)} AS dtype,
        ELSE 'feature' END AS inferred_role,
   CASE WHEN unique_count < {R.CARDINALITY_LOW} THEN 'low'
        WHEN unique_count < {R.CARDINALITY_MEDIUM} THEN 'medium' ELSE 'high' END AS cardinality,
-  round(CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN mean_v END, 6) AS mean_value,
-  round(CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN std_v END, 6) AS std_value,
-  round(CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN
-        CASE WHEN std_v > 0 THEN sk ELSE 0.0 END END, 6) AS skewness,
+  CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN mean_v END AS mean_value,
+  CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN std_v END AS std_value,
+  CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN
+        CASE WHEN std_v > 0 THEN sk ELSE 0.0 END END AS skewness,
   CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN
        coalesce(n_out > parsed * {R.OUTLIER_SHARE}, FALSE) END AS has_outliers,
   CASE WHEN inferred_type = 'numeric' AND parsed > 0 THEN
@@ -90,10 +104,28 @@ SELECT {i} AS ordinal, {q(name)} AS name, {q(dtype)} AS dtype,
   CASE WHEN inferred_type = 'categorical' AND unique_count > 0 THEN top_v END AS most_frequent,
   CASE WHEN inferred_type = 'categorical' THEN
        CASE WHEN cnt_std < cnt_mean THEN 'balanced' ELSE 'imbalanced' END END
-       AS frequency_distribution
+       AS frequency_distribution,
+  ur AS unique_ratio, avg_length, date_share, binary_values, id_sample, sample,
+  CASE WHEN {is_str} THEN parsed / nullif(nonnull, 0) END AS parse_share,
+  q05, q25, q75, q95, normal_min, normal_max,
+  CAST(outlier_low AS BIGINT) AS outlier_low, CAST(outlier_high AS BIGINT) AS outlier_high,
+  top_v, cnt_mean, cnt_std
 FROM ty)"""
 
 
-def profile_sql(src: str, cols) -> str:
-    parts = [column_sql(src, i, n, k, d) for i, (n, k, d) in enumerate(cols)]
-    return "\nUNION ALL\n".join(parts)
+def profile_sql(src: str, cols, fields=None, rounded: bool = True) -> str:
+    """UNION ALL of per-column profiles; ``fields`` picks output columns (doubles
+    rounded to 6 places like the Spark side)."""
+    body = "\nUNION ALL\n".join(column_sql(src, i, n, k, d) for i, (n, k, d) in enumerate(cols))
+    fields = fields or PROFILE_FIELDS
+    return f"SELECT {select_list(fields, rounded)} FROM ({body})"
+
+
+DOUBLE_FIELDS = {"null_percentage", "mean_value", "std_value", "skewness", "unique_ratio",
+                 "avg_length", "date_share", "parse_share", "q05", "q25", "q75", "q95",
+                 "normal_min", "normal_max", "cnt_mean", "cnt_std"}
+
+
+def select_list(fields, rounded=True) -> str:
+    return ", ".join(f"round({f}, 6) AS {f}" if rounded and f in DOUBLE_FIELDS else f
+                     for f in fields)

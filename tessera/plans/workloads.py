@@ -835,7 +835,7 @@ def e07_importance(spark, sf_dir):
 
 def e08_evaluation(spark, sf_dir):
     pred = prediction_table(spark, sf_dir)
-    return metrics.evaluation_report(pred, "binary_classification", "doc_id")
+    return round_doubles(metrics.evaluation_report(pred, "binary_classification", "doc_id"))
 
 
 def e09_bundle(spark, sf_dir):
@@ -851,7 +851,7 @@ def t01_head_preview(spark, sf_dir):
     long = d.select("o_orderkey", *cols).unpivot(["o_orderkey"], cols, "name", "v") \
         .where(F.col("v").isNotNull())
     top = smallest_k_per_group(long, ["name"], [F.col("o_orderkey")], 3)
-    return top.select("name", F.col("__r").alias("r"), "o_orderkey", "v")
+    return top.select("name", F.col("__r").cast("bigint").alias("r"), "o_orderkey", "v")
 
 
 def t02_samples(spark, sf_dir):
@@ -875,7 +875,7 @@ def t05_ranked_targets(spark, sf_dir):
     # one row per column of the profiled table: a global window here is bounded
     w = Window.orderBy(F.col("score").desc(), "ordinal")
     return s.select("name", F.col("score").cast("bigint").alias("score"),
-                    F.row_number().over(w).alias("rank"))
+                    F.row_number().over(w).cast("bigint").alias("rank"))
 
 
 def t06_outlier_examples(spark, sf_dir):
@@ -883,7 +883,8 @@ def t06_outlier_examples(spark, sf_dir):
     p = profile_of(spark, sf_dir, "dirty_clean")
     r = p.by_name()["total_price"]
     lo, hi = iqr_bounds(r["q25"], r["q75"])
-    return round_doubles(outliers.outlier_examples(cleaned, "total_price", lo, hi, "o_orderkey"))
+    ex = outliers.outlier_examples(cleaned, "total_price", lo, hi, "o_orderkey")
+    return round_doubles(ex.withColumn("r", F.col("r").cast("bigint")))
 
 
 def t07_first_predictions(spark, sf_dir):
@@ -907,7 +908,7 @@ def n_scalar(spark, sf_dir):
         F.least(F.greatest(F.col("o_totalprice"), F.lit(50000.0)), F.lit(400000.0)).alias("n06_clip"),
         F.coalesce(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")), F.lit("Unknown"))
         .alias("n07_fill"),
-        F.round(F.col("o_totalprice") / 7, 1).alias("n08_round1"),
+        F.round(F.col("o_totalprice") * 0.7071067, 1).alias("n08_round1"),
         F.bround(F.col("o_custkey") / 8.0, 2).alias("n08_bround"),
         R.title_case(F.concat(F.lower("o_orderstatus"), F.lit("_status"))).alias("n09_title"),
         R.name_has(F.col("o_orderpriority"), ["urgent", "high"]).alias("n10_keyword"),
