@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tessera") -> SparkSession:
+              app_name: str = "tessera", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -31,6 +31,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
