@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranking import dense_codes
+
 BROADCAST_MAX_ROWS = 1_000_000   # encoder rows above this join by shuffle
 
 
@@ -39,14 +41,14 @@ def encoder_text(c: str):
 def fit_label_encoders(df: DataFrame, columns: list[str]) -> DataFrame:
     """F01 fit: (column, value, code), codes 0.. in byte order of the value.
 
-    Distinct values per column come from one map-side-combined shuffle; the
-    rank window is partitioned by column and sees distinct values only.
+    Distinct values per column come from one map-side-combined shuffle; codes
+    are exact ranks computed slice by slice (``ranking.dense_codes``), so a
+    column with many distinct values is never sorted in a single task.
     """
     long = (df.select(*[encoder_text(c).alias(c) for c in columns])
             .unpivot([], [_q(c) for c in columns], "column", "value")
             .distinct())
-    w = Window.partitionBy("column").orderBy("value")
-    return long.select("column", "value", (F.dense_rank().over(w) - 1).alias("code"))
+    return dense_codes(long, "column", "value")
 
 
 def apply_label_encoders(df: DataFrame, encoders: DataFrame, columns: list[str],
@@ -101,11 +103,14 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
     return t.select("feature", f.alias("score"))
 
 
-def _bins(df: DataFrame, col: str, n_bins: int):
-    probs = [i / n_bins for i in range(1, n_bins)]
-    b = df.select(F.percentile(_q(col).cast("double"), F.array(*[F.lit(p) for p in probs]))) \
-          .collect()[0][0] or []
-    return sorted(set(b))
+def _bins(df: DataFrame, cols: list[str], n_bins: int, exact: bool = True) -> dict:
+    """Decile edges of every column from one aggregate (sketch when not exact)."""
+    probs = F.array(*[F.lit(i / n_bins) for i in range(1, n_bins)])
+    aggs = [(F.percentile(_q(c).cast("double"), probs) if exact else
+             F.percentile_approx(_q(c).cast("double"), probs, 100_000)).alias(f"b{i}")
+            for i, c in enumerate(cols)]
+    row = df.agg(*aggs).collect()[0]
+    return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}
 
 
 def _bin_expr(x, bounds):
@@ -116,16 +121,17 @@ def _bin_expr(x, bounds):
 
 
 def mutual_info(df: DataFrame, features: list[str], label: str, bin_label: bool = False,
-                n_bins: int = 10) -> DataFrame:
+                n_bins: int = 10, exact: bool = True) -> DataFrame:
     """F06/F07 (re-aimed): MI of quantile-binned features with the label, in nats.
 
-    Bin edges are exact deciles of each feature (one aggregate); counts come
-    from one shuffle on (feature, bin, label).
+    Bin edges are deciles of each feature, exact or from a bounded sketch
+    (``exact=False`` for very large inputs), all in one aggregate; counts
+    come from one shuffle on (feature, bin, label).
     """
-    edges = {c: _bins(df, c, n_bins) for c in features}
+    edges = _bins(df, features + ([label] if bin_label else []), n_bins, exact)
     ycol = F.col(f"`{label}`").cast("double")
     if bin_label:
-        ycol = _bin_expr(ycol, _bins(df, label, n_bins)).cast("double")
+        ycol = _bin_expr(ycol, edges[label]).cast("double")
     binned = df.select(ycol.alias("y"), *[_bin_expr(_q(c).cast("double"), edges[c]).alias(c)
                                           for c in features])
     long = binned.unpivot(["y"], [_q(c) for c in features], "feature", "b")

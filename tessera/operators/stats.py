@@ -157,12 +157,28 @@ def outlier_stats(df: DataFrame, kinds, stats: dict) -> dict:
             for i, name in idx}
 
 
-def value_counts(df: DataFrame, names: list[str]) -> DataFrame:
-    """A10: (name, v, cnt) over non-null values cast to text; map-side combined."""
-    wide = df.select(*[text_expr(n).alias(n) for n in names])
-    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "name", "v")
-    return (long.where(F.col("v").isNotNull())
-            .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt")))
+def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None) -> DataFrame:
+    """A10: (name, v, cnt) over non-null values, map-side combined.
+
+    ``v`` is the value as text. With ``kinds`` given, numeric columns are
+    grouped by their double value instead (no number-to-text conversion; -0.0
+    and 0.0 fall together as in the source semantics) and ``v`` is NULL for
+    them; ``d`` carries the number.
+    """
+    kinds = kinds or {}
+    vals = []
+    for n in names:
+        if kinds.get(n) == NUMERIC:
+            vals.append(F.struct(F.col(f"`{n}`").cast("double").alias("d"),
+                                 F.lit(None).cast("string").alias("s")).alias(n))
+        else:
+            vals.append(F.struct(F.lit(None).cast("double").alias("d"),
+                                 text_expr(n).alias("s")).alias(n))
+    wide = df.select(*vals)
+    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "name", "val")
+    out = (long.where(F.col("val.d").isNotNull() | F.col("val.s").isNotNull())
+           .groupBy("name", "val").agg(F.count(F.lit(1)).alias("cnt")))
+    return out.select("name", F.col("val.s").alias("v"), F.col("val.d").alias("d"), "cnt")
 
 
 def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
@@ -187,7 +203,7 @@ def value_stats(df: DataFrame, kinds, opts: ProfileOptions) -> dict:
     names = [n for n, _, _ in kinds]
     if not names:
         return {}
-    vc = value_counts(df, names)
+    vc = value_counts(df, names, {n: k for n, k, _ in kinds})
     summary = vc.groupBy("name").agg(
         F.count(F.lit(1)).alias("unique_count"),
         F.min_by("v", F.struct((-F.col("cnt")).alias("a"), F.col("v").alias("b"))).alias("top"),
@@ -251,7 +267,8 @@ def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame
     opts = opts or ProfileOptions()
     df = normalize_missing(df)
     kinds = column_kinds(df)
-    s1 = scan_stats(df, kinds, opts)
+    n_rows = df.count() if opts.quantiles == "auto" else None
+    s1 = scan_stats(df, kinds, opts, n_rows)
     s2 = outlier_stats(df, kinds, s1)
     s3 = value_stats(df, kinds, opts)
     n = s1["__rows__"]
