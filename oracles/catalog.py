@@ -738,7 +738,32 @@ SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS n01_text, lower(o_orderpriority
 FROM orders"""
 
 
+def zero_signed(sql: str) -> str:
+    """Wrap every ``round(...)`` so that -0.0 comes out as 0.0, as on the Spark side."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = "round(" + zero_signed(sql[j + len(key):k - 1]) + ")"
+        out.append(sql[i:j] + f"(CASE WHEN {inner} = 0 THEN 0.0 ELSE {inner} END)")
+        i = k
+
+
 def registry() -> dict:
+    return {k: zero_signed(v) for k, v in _registry().items()}
+
+
+def _registry() -> dict:
     num = "kind = 'numeric'"
     st = "kind = 'string'"
     return {

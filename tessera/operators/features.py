@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quantiles import exact_quantiles
 from .ranking import dense_codes
 
 BROADCAST_MAX_ROWS = 1_000_000   # encoder rows above this join by shuffle
@@ -105,9 +106,11 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 def _bins(df: DataFrame, cols: list[str], n_bins: int, exact: bool = True) -> dict:
     """Decile edges of every column from one aggregate (sketch when not exact)."""
+    if exact:
+        qs = exact_quantiles(df, cols, [i / n_bins for i in range(1, n_bins)])
+        return {c: sorted(set(qs.get(c) or [])) for c in cols}
     probs = F.array(*[F.lit(i / n_bins) for i in range(1, n_bins)])
-    aggs = [(F.percentile(_q(c).cast("double"), probs) if exact else
-             F.percentile_approx(_q(c).cast("double"), probs, 100_000)).alias(f"b{i}")
+    aggs = [F.percentile_approx(_q(c).cast("double"), probs, 100_000).alias(f"b{i}")
             for i, c in enumerate(cols)]
     row = df.agg(*aggs).collect()[0]
     return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}

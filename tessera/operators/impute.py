@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from . import quantiles
 from .fill import ffill_bfill
 
 
@@ -75,10 +76,13 @@ def impute_plan(df: DataFrame, profile_rows: list[dict], missing_strategy: str,
     aggs = []
     for i, c in enumerate(num):
         x = F.col(f"`{c}`").cast("double")
-        aggs += [F.avg(x).alias(f"mean{i}"),
-                 (F.percentile(x, F.lit(0.5)) if exact_quantiles
-                  else F.percentile_approx(x, F.lit(0.5), 100_000)).alias(f"med{i}")]
+        aggs.append(F.avg(x).alias(f"mean{i}"))
+        if not exact_quantiles:
+            aggs.append(F.percentile_approx(x, F.lit(0.5), 100_000).alias(f"med{i}"))
     stat = df.agg(*aggs).collect()[0].asDict() if aggs else {}
+    if exact_quantiles and num:
+        med = quantiles.exact_quantiles(df, num, [0.5])
+        stat.update({f"med{i}": (med.get(c) or [None])[0] for i, c in enumerate(num)})
     need_mode = other + (num if method == "mode" else [])
     mode_of = modes(df, need_mode) if need_mode else {}
 

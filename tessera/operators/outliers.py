@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..session import cut_lineage
+from .quantiles import exact_quantiles
 from .stats import iqr_bounds, smallest_k_per_group
 
 
 def _quantiles(df: DataFrame, cols: list[str], probs, exact: bool = True) -> dict:
+    """Exact (distributed, ``quantiles.exact_quantiles``) or sketch quantiles."""
     if not cols:
         return {}
+    if exact:
+        return exact_quantiles(df, cols, probs)
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    aggs = [(F.percentile(F.col(f"`{c}`").cast("double"), arr) if exact else
-             F.percentile_approx(F.col(f"`{c}`").cast("double"), arr, 100_000)).alias(f"q{i}")
-            for i, c in enumerate(cols)]
-    row = df.agg(*aggs).collect()[0]
+    row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), arr, 100_000)
+                   .alias(f"q{i}") for i, c in enumerate(cols)]).collect()[0]
     return {c: row[f"q{i}"] for i, c in enumerate(cols)}
 
 

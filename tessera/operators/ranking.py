@@ -1,9 +1,11 @@
 """Exact ranks of distinct values without sorting a whole group in one task.
 
-``repartitionByRange`` on (group, value) spreads each group's sorted values
-over many partitions; per-(group, partition) sizes form a small table whose
-running sums are the offsets; a window over (group, partition) ranks inside
-each slice. Only the offsets table (groups x partitions rows) is broadcast.
+Each group's values are cut into slices by bounds taken from a deterministic
+hash-selected sample (computed once, passed as literals, so every branch of
+the plan slices identically and a recomputed task lands in the same slice).
+Per-(group, slice) sizes form a small table whose running sums are the
+offsets; a window over (group, slice) ranks inside each slice. Only the
+offsets table (groups x slices rows) is broadcast.
 """
 
 from __future__ import annotations
@@ -11,22 +13,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SAMPLE_PER_GROUP = 20_000
 
-def dense_codes(distinct: DataFrame, group: str, value: str,
-                partitions: int | None = None) -> DataFrame:
+
+def _bounds(distinct: DataFrame, group: str, value: str, slices: int) -> dict:
+    sizes = {r[group]: r["n"] for r in distinct.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    rate = max(1, max(sizes.values(), default=1) // SAMPLE_PER_GROUP)
+    sample = (distinct.where(F.pmod(F.xxhash64(F.col(group), F.col(value)), F.lit(rate)) == 0)
+              .groupBy(group).agg(F.sort_array(F.collect_list(value)).alias("s")).collect())
+    out = {}
+    for r in sample:                       # at most ~SAMPLE_PER_GROUP values per group
+        vals = r["s"]
+        step = max(1, len(vals) // slices)
+        out[r[group]] = sorted(set(vals[step::step]))
+    return out
+
+
+def dense_codes(distinct: DataFrame, group: str, value: str, slices: int = 64) -> DataFrame:
     """0-based position of each (group, value) in value order within its group.
 
     ``distinct`` must hold each (group, value) once.
     """
-    spark = distinct.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = (distinct.repartitionByRange(n, F.col(group), F.col(value))
-              .withColumn("__pid", F.spark_partition_id()))
-    sizes = ranged.groupBy(group, "__pid").agg(F.count(F.lit(1)).alias("__c"))
+    bounds = _bounds(distinct, group, value, slices)
+    if bounds:
+        bmap = F.create_map(*[e for k, v in bounds.items() for e in
+                              (F.lit(k), F.array(*[F.lit(x) for x in v]).cast("array<string>"))])
+        arr = F.coalesce(F.element_at(bmap, F.col(group)), F.array().cast("array<string>"))
+        sl = F.size(F.filter(arr, lambda b: b < F.col(value)))
+    else:
+        sl = F.lit(0)
+    sliced = distinct.withColumn("__pid", sl)
+    sizes = sliced.groupBy(group, "__pid").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "__pid", F.coalesce(F.sum("__c").over(w), F.lit(0))
                            .alias("__off"))
     inner = Window.partitionBy(group, "__pid").orderBy(value)
-    return (ranged.withColumn("__r", F.row_number().over(inner))
+    return (sliced.withColumn("__r", F.row_number().over(inner))
             .join(F.broadcast(offsets), [group, "__pid"])
             .select(group, value, (F.col("__off") + F.col("__r") - 1).alias("code")))

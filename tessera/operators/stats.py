@@ -1,12 +1,14 @@
 """Column statistics (A01-A16) in three distributed passes.
 
-pass 1  one wide aggregate over the scan: null counts, moments, quantiles,
-        parse / date / binary shares, mean text length (no shuffle besides
-        the single-row final merge of partial aggregates)
-pass 2  IQR outlier counts and normal range, bounds entering as literals
+pass 1  one wide aggregate over the scan: null counts, moments, parse /
+        date / binary shares, mean text length (no shuffle besides the
+        single-row final merge of partial aggregates)
 pass 3  value counts: unpivot -> groupBy(name, value).count() with map-side
-        combine, then per-column distinct count, mode, count spread, and a
-        salted top-k of md5-ordered distinct values as the sample
+        combine (persisted), then per-column distinct count, mode, count
+        spread, and a salted top-k of md5-ordered distinct values as sample
+then    exact quantiles from the value counts (range-sliced running counts,
+        ``quantiles.py``) and pass 2, the IQR outlier counts and normal range,
+        also over the value counts with the bounds as literals
 
 Only per-column numbers (one row per column) reach the driver.
 """
@@ -15,11 +17,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from .quantiles import quantiles_from_counts
 
 NUMERIC, STRING, TEMPORAL = "numeric", "string", "temporal"
 
@@ -68,8 +72,9 @@ def text_expr(name: str):
 
 @dataclass
 class ProfileOptions:
-    quantiles: str = "auto"            # "exact" | "approx" | "auto"
-    exact_quantile_rows: int = 2_000_000
+    # "exact": distributed exact quantiles from the value-count table (any size);
+    # "approx": bounded sketch (percentile_approx) in the scan pass instead
+    quantiles: str = "exact"
     approx_accuracy: int = 100_000
     sample_size: int = 10
     salt_buckets: int = 64
@@ -83,10 +88,10 @@ def quantile_agg(x, probs, exact: bool, accuracy: int):
     return F.percentile_approx(x, arr, accuracy)
 
 
-def scan_stats(df: DataFrame, kinds, opts: ProfileOptions, n_rows: int | None = None) -> dict:
-    """Pass 1. Returns {name: {...}} plus '__rows__'."""
-    exact = opts.quantiles == "exact" or (
-        opts.quantiles == "auto" and (n_rows is None or n_rows <= opts.exact_quantile_rows))
+def scan_stats(df: DataFrame, kinds, opts: ProfileOptions) -> dict:
+    """Pass 1. Returns {name: {...}} plus '__rows__'; quantiles only as a sketch
+    (``quantiles="approx"``), exact ones come from the value counts."""
+    sketch = opts.quantiles == "approx"
     date_rx = R.search_regex(R.DATETIME_PATTERNS)
     aggs = [F.count(F.lit(1)).alias("__rows__")]
     for i, (name, kind, _) in enumerate(kinds):
@@ -99,8 +104,10 @@ def scan_stats(df: DataFrame, kinds, opts: ProfileOptions, n_rows: int | None =
                 F.avg(x).alias(f"mean{i}"),
                 F.stddev_samp(x).alias(f"std{i}"),
                 F.skewness(x).alias(f"skp{i}"),
-                quantile_agg(x, opts.probs, exact, opts.approx_accuracy).alias(f"q{i}"),
             ]
+            if sketch:
+                aggs.append(quantile_agg(x, opts.probs, False, opts.approx_accuracy)
+                            .alias(f"q{i}"))
         if kind in (STRING, TEMPORAL):
             s = text_expr(name)
             aggs += [F.avg(F.when(s.isNotNull(), F.when(s.rlike(date_rx), 1.0).otherwise(0.0)))
@@ -112,7 +119,7 @@ def scan_stats(df: DataFrame, kinds, opts: ProfileOptions, n_rows: int | None =
                 F.avg(F.length(s)).alias(f"len{i}"),
             ]
     row = df.agg(*aggs).collect()[0].asDict()
-    out = {"__rows__": row["__rows__"], "__exact_quantiles__": exact}
+    out = {"__rows__": row["__rows__"]}
     for i, (name, kind, dtype) in enumerate(kinds):
         q = row.get(f"q{i}")
         out[name] = {
@@ -134,27 +141,34 @@ def iqr_bounds(q25, q75):
     return q25 - R.IQR_FACTOR * iqr, q75 + R.IQR_FACTOR * iqr
 
 
-def outlier_stats(df: DataFrame, kinds, stats: dict) -> dict:
-    """Pass 2: low/high counts and the normal range of every numeric view."""
-    aggs, idx = [], []
-    for i, (name, kind, _) in enumerate(kinds):
-        x = value_expr(name, kind)
-        lo, hi = iqr_bounds(stats[name]["q25"], stats[name]["q75"])
-        if x is None or lo is None:
-            continue
-        idx.append((i, name))
-        aggs += [
-            F.count_if(x < F.lit(lo)).alias(f"lo{i}"),
-            F.count_if(x > F.lit(hi)).alias(f"hi{i}"),
-            F.min(F.when(x >= F.lit(lo), x)).alias(f"nmin{i}"),
-            F.max(F.when(x <= F.lit(hi), x)).alias(f"nmax{i}"),
-        ]
-    if not aggs:
+def numeric_view(vc: DataFrame, kinds) -> DataFrame:
+    """(name, x, cnt) of the numeric view of each column, from the value counts:
+    the number itself, or the parsed text (same rule as ``value_expr``)."""
+    num = [n for n, k, _ in kinds if k == NUMERIC]
+    txt = [n for n, k, _ in kinds if k == STRING]
+    d = F.col("d")
+    x = (F.when(F.col("name").isin(num) & ~F.isnan(d) & (F.abs(d) != float("inf")), d)
+         .when(F.col("name").isin(txt), R.parse_number(F.col("v"))))
+    return vc.select("name", x.alias("x"), "cnt").where(F.col("x").isNotNull())
+
+
+def outlier_stats(xv: DataFrame, stats: dict) -> dict:
+    """Pass 2 (A09, A15) over the numeric value counts: low/high counts and the
+    normal range, IQR bounds entering as a literal map."""
+    bounds = {n: iqr_bounds(v["q25"], v["q75"]) for n, v in stats.items()
+              if isinstance(v, dict) and v.get("q25") is not None}
+    if not bounds:
         return {}
-    row = df.agg(*aggs).collect()[0].asDict()
-    return {name: {"outlier_low": row[f"lo{i}"], "outlier_high": row[f"hi{i}"],
-                   "normal_min": row[f"nmin{i}"], "normal_max": row[f"nmax{i}"]}
-            for i, name in idx}
+    lo_m = F.create_map(*[e for n, (lo, _) in bounds.items() for e in (F.lit(n), F.lit(lo))])
+    hi_m = F.create_map(*[e for n, (_, hi) in bounds.items() for e in (F.lit(n), F.lit(hi))])
+    lo, hi, x = F.element_at(lo_m, F.col("name")), F.element_at(hi_m, F.col("name")), F.col("x")
+    agg = xv.where(F.col("name").isin(list(bounds))).groupBy("name").agg(
+        F.sum(F.when(x < lo, F.col("cnt")).otherwise(0)).alias("lo"),
+        F.sum(F.when(x > hi, F.col("cnt")).otherwise(0)).alias("hi"),
+        F.min(F.when(x >= lo, x)).alias("nmin"), F.max(F.when(x <= hi, x)).alias("nmax"))
+    return {r["name"]: {"outlier_low": r["lo"], "outlier_high": r["hi"],
+                        "normal_min": r["nmin"], "normal_max": r["nmax"]}
+            for r in agg.collect()}
 
 
 def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None) -> DataFrame:
@@ -198,12 +212,10 @@ def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
             .where(F.col("__r") <= k))
 
 
-def value_stats(df: DataFrame, kinds, opts: ProfileOptions) -> dict:
+def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
     """Pass 3: distinct count, mode (ties -> smallest text), count spread, sample."""
-    names = [n for n, _, _ in kinds]
-    if not names:
+    if not kinds:
         return {}
-    vc = value_counts(df, names, {n: k for n, k, _ in kinds})
     summary = vc.groupBy("name").agg(
         F.count(F.lit(1)).alias("unique_count"),
         F.min_by("v", F.struct((-F.col("cnt")).alias("a"), F.col("v").alias("b"))).alias("top"),
@@ -267,10 +279,22 @@ def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame
     opts = opts or ProfileOptions()
     df = normalize_missing(df)
     kinds = column_kinds(df)
-    n_rows = df.count() if opts.quantiles == "auto" else None
-    s1 = scan_stats(df, kinds, opts, n_rows)
-    s2 = outlier_stats(df, kinds, s1)
-    s3 = value_stats(df, kinds, opts)
+    s1 = scan_stats(df, kinds, opts)
+    names = [n for n, _, _ in kinds]
+    vc = value_counts(df, names, {n: k for n, k, _ in kinds}).persist(
+        StorageLevel.MEMORY_AND_DISK) if names else None
+    s3 = value_stats(vc, kinds, opts) if names else {}
+    s2 = {}
+    if names:
+        xv = numeric_view(vc, kinds)
+        if opts.quantiles != "approx":
+            counts = {n: s1[n]["parsed"] for n, k, _ in kinds if s1[n].get("parsed")}
+            qs = quantiles_from_counts(xv, opts.probs, counts)
+            for n, v in qs.items():
+                if v:
+                    s1[n].update(dict(zip(("q05", "q25", "q75", "q95"), v)))
+        s2 = outlier_stats(xv, s1)
+        vc.unpersist()
     n = s1["__rows__"]
     rows = []
     for i, (name, kind, dtype) in enumerate(kinds):

@@ -16,6 +16,7 @@ from ..functions import rules as R
 from ..functions.output import round_doubles
 from ..operators import clean, features, impute, infer, metrics, outliers, policy, quality, split
 from ..operators.fill import ffill_bfill
+from ..operators.quantiles import exact_quantiles
 from ..operators.stats import iqr_bounds, smallest_k_per_group, value_counts
 from ..session import checkpoint_dir, table_path
 from ..sources import io
@@ -134,7 +135,7 @@ def s06_correlation_sink(spark, sf_dir):
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     path = _scratch(spark)
     io.write_json(features.correlation_long(li, cols), path)
-    return spark.read.schema("a string, b string, corr double").json(path)
+    return round_doubles(spark.read.schema("a string, b string, corr double").json(path), 4)
 
 
 def s05_analysis_report_sink(spark, sf_dir):
@@ -193,7 +194,7 @@ def p07_row_null_share(spark, sf_dir):
 
 def p08_range_filter(spark, sf_dir):
     d = dirty_orders(spark, sf_dir)
-    q = d.select(F.percentile("total_price", F.array(F.lit(0.25), F.lit(0.75)))).collect()[0][0]
+    q = exact_quantiles(d, ["total_price"], [0.25, 0.75])["total_price"]
     lo, hi = iqr_bounds(q[0], q[1])
     return round_doubles(d.where(F.col("total_price").between(lo, hi))
                          .select("o_orderkey", "total_price"))
@@ -313,7 +314,7 @@ def a19_class_counts(spark, sf_dir):
 def a20_correlation(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
-    return features.correlation_long(li, cols)
+    return round_doubles(features.correlation_long(li, cols), 4)
 
 
 def a21_column_profile(table):

@@ -149,7 +149,7 @@ def test_dense_codes_across_partitions(spark):
     rows = list({(g, "".join(rnd.choice("abcdefgh") for _ in range(5)))
                  for g in ("x", "y") for _ in range(500)})
     df = spark.createDataFrame(rows, "g string, v string")
-    got = {(r["g"], r["v"]): r["code"] for r in dense_codes(df, "g", "v", partitions=7).collect()}
+    got = {(r["g"], r["v"]): r["code"] for r in dense_codes(df, "g", "v", slices=7).collect()}
     for g in ("x", "y"):
         for i, v in enumerate(sorted(v for gg, v in rows if gg == g)):
             assert got[(g, v)] == i
