@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +49,8 @@ def fit_label_encoders(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     long = (df.select(*[encoder_text(c).alias(c) for c in columns])
             .unpivot([], [_q(c) for c in columns], "column", "value")
-            .distinct())
+            .distinct()
+            .persist(StorageLevel.MEMORY_AND_DISK))   # read by the slice bounds and the ranks
     return dense_codes(long, "column", "value")
 
 

@@ -40,15 +40,20 @@ def confusion_matrix(pred: DataFrame) -> DataFrame:
 
 
 def per_class(pred: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Per class: support, predicted count, true positives, precision, recall, F1."""
+    """Per class: support, predicted count, true positives, precision, recall, F1.
+
+    One scan: every row emits (true class: support 1, tp 0/1) and (predicted
+    class: predicted 1); one map-side-combined shuffle on (group, class).
+    """
     g = group or []
-    cm = confusion_counts(pred, g)
-    sup = cm.groupBy(*g, F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(*g, F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = cm.where(F.col("label") == F.col("prediction")) \
-           .select(*g, F.col("label").alias("cls"), F.col("n").alias("tp"))
-    t = sup.join(prd, [*g, "cls"], "full").join(tp, [*g, "cls"], "left").fillna(
-        0, subset=["support", "predicted", "tp"])
+    hit = (F.col("label") == F.col("prediction")).cast("long")
+    ev = F.array(
+        F.struct(F.col("label").alias("cls"), F.lit(1).cast("long").alias("s"),
+                 F.lit(0).cast("long").alias("p"), hit.alias("t")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("s"),
+                 F.lit(1).cast("long").alias("p"), F.lit(0).cast("long").alias("t")))
+    t = (pred.select(*g, F.inline(ev)).groupBy(*g, "cls")
+         .agg(F.sum("s").alias("support"), F.sum("p").alias("predicted"), F.sum("t").alias("tp")))
     p = _div0(F.col("tp"), F.col("predicted"))
     r = _div0(F.col("tp"), F.col("support"))
     return t.select(*g, "cls", F.col("support").cast("bigint").alias("support"),

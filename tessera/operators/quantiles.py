@@ -35,6 +35,16 @@ def slice_expr(df: DataFrame, group: str, x: str, slices: int):
     return F.size(F.filter(bounds, lambda b: b < F.col(x)))
 
 
+ROWS_PER_SLICE = 1_000_000
+MAX_SLICES = 256
+
+
+def slices_for(distinct_rows: int) -> int:
+    """About a million distinct values per slice; 8..256 slices (the slice test
+    is linear in the number of bounds)."""
+    return int(min(MAX_SLICES, max(8, math.ceil(distinct_rows / ROWS_PER_SLICE))))
+
+
 def _targets(n: int, probs) -> list[int]:
     idx = set()
     for p in probs:
@@ -51,7 +61,7 @@ def quantiles_from_counts(vc: DataFrame, probs, counts: dict | None = None,
 
     ``counts`` ({name: number of non-null values}) saves one small job when known.
     """
-    sliced = vc.withColumn("__pid", slice_expr(vc, "name", "x", partitions or 64))
+    sliced = vc.withColumn("__pid", slice_expr(vc, "name", "x", partitions or 16))
     sizes = sliced.groupBy("name", "__pid").agg(F.sum("cnt").alias("__c"))
     if counts is None:
         counts = {r["name"]: r["n"] for r in
@@ -104,4 +114,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
     """{column: [quantiles]} exactly, for any table size (NULL-free values)."""
     if not cols:
         return {}
-    return quantiles_from_counts(value_count_table(df, cols), probs)
+    from pyspark import StorageLevel
+    vc = value_count_table(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        per = {r["name"]: (r["d"], r["n"]) for r in vc.groupBy("name").agg(
+            F.count(F.lit(1)).alias("d"), F.sum("cnt").alias("n")).collect()}
+        widest = max((d for d, _ in per.values()), default=0)
+        return quantiles_from_counts(vc, probs, {k: n for k, (_, n) in per.items()},
+                                     slices_for(widest))
+    finally:
+        vc.unpersist()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
-from .quantiles import quantiles_from_counts
+from .quantiles import quantiles_from_counts, slices_for
 
 NUMERIC, STRING, TEMPORAL = "numeric", "string", "temporal"
 
@@ -289,7 +289,8 @@ def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame
         xv = numeric_view(vc, kinds)
         if opts.quantiles != "approx":
             counts = {n: s1[n]["parsed"] for n, k, _ in kinds if s1[n].get("parsed")}
-            qs = quantiles_from_counts(xv, opts.probs, counts)
+            widest = max((v.get("unique_count", 0) for v in s3.values()), default=0)
+            qs = quantiles_from_counts(xv, opts.probs, counts, slices_for(widest))
             for n, v in qs.items():
                 if v:
                     s1[n].update(dict(zip(("q05", "q25", "q75", "q95"), v)))
