@@ -897,6 +897,8 @@ def _registry() -> dict:
         "e05_confusion": e05(),
         "e06_report": e06(),
         "e08_evaluation": e08(),
+        "s08_evaluation_sink": e08(),
+        "s02_ingest": "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
         "e09_bundle": e09(),
         "t01_head_preview": t01(),
         "t02_samples": union([

@@ -91,8 +91,12 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.drop("embedding") if table == "embeddings" else df
 
 
+def _session_key(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
 def profile_of(spark: SparkSession, sf_dir: str, table: str) -> infer.DatasetProfile:
-    key = (id(spark), sf_dir, table)
+    key = (_session_key(spark), sf_dir, table)
     if key not in _PROFILES:
         _PROFILES[key] = infer.profile_dataset(source(spark, sf_dir, table))
     return _PROFILES[key]
@@ -102,7 +106,7 @@ _CLEANED: dict = {}
 
 
 def cleaned_dirty(spark: SparkSession, sf_dir: str):
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _CLEANED:
         p = profile_of(spark, sf_dir, "dirty")
         _CLEANED[key] = clean.perform_automatic_cleaning(p.source, p.rows, p.n_rows)
@@ -152,6 +156,43 @@ def s03_read_report(spark, sf_dir):
     return io.read_report(spark, path)
 
 
+def s02_ingest(spark, sf_dir):
+    return round_doubles(io.ingest(spark, load(spark, sf_dir, "customer")))
+
+
+def s07_model_save(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from ..operators import models
+    df = _labels_frame(spark, sf_dir)
+    res = models.train_selected_model(df, ["n_chars", "toxic"], "quality", "doc_id",
+                                      "random_forest", "binary_classification", n_trials=0)
+    path = models.save_model(res.model, _scratch(spark))
+    loaded = PipelineModel.load(path)
+    va = VectorAssembler(inputCols=["n_chars", "toxic"], outputCol="features")
+    return loaded.transform(va.transform(df)).select("doc_id", "prediction")
+
+
+def s08_evaluation_sink(spark, sf_dir):
+    path = _scratch(spark)
+    io.write_json(e08_evaluation(spark, sf_dir), path)
+    return round_doubles(spark.read.json(path).select(
+        "accuracy", "precision", "recall", "f1", "test_samples", "problem_type",
+        "predictions_sample"))
+
+
+def s09_metadata_sink(spark, sf_dir):
+    from ..operators import models
+    c = load(spark, sf_dir, "customer")
+    ptype = policy.problem_type_at_load(c, "customer", "c_mktsegment")
+    feats = [x for x in c.columns if x != "c_mktsegment"]
+    algo = policy.choose_algorithm(ptype, c.count(), len(feats))
+    path = _scratch(spark)
+    spark.createDataFrame([(models.model_metadata(algo, ptype, feats, "c_mktsegment"),)],
+                          "value string").coalesce(1).write.text(path)
+    return spark.read.json(path)
+
+
 # ---- P: projections and filters ------------------------------------------------
 
 def p01_drop_columns(spark, sf_dir):
@@ -705,7 +746,7 @@ _FITTED: dict = {}
 
 
 def _fitted_lineitem(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _FITTED:
         li = load(spark, sf_dir, "lineitem").drop("l_shipdate")
         fp = features.FeatureProcessor("classification")
@@ -834,6 +875,20 @@ def e07_importance(spark, sf_dir):
         spark.createDataFrame(res.feature_importance, "feature string, importance double")
 
 
+def t04_sorted_importances(spark, sf_dir):
+    imp = e07_importance(spark, sf_dir)
+    w = Window.orderBy(F.col("importance").desc(), "feature")   # one row per feature
+    return imp.select("feature", "importance", F.row_number().over(w).cast("bigint").alias("rank"))
+
+
+def m11_default_fit(spark, sf_dir):
+    from ..operators import models
+    part = load(spark, sf_dir, "part")
+    res = models.train_selected_model(part, ["p_size"], "p_retailprice", "p_partkey",
+                                      "gradient_boosting", "regression", n_trials=0)
+    return res.predictions
+
+
 def e08_evaluation(spark, sf_dir):
     pred = prediction_table(spark, sf_dir)
     return round_doubles(metrics.evaluation_report(pred, "binary_classification", "doc_id"))
@@ -927,6 +982,10 @@ def registry() -> dict:
         "s04_training_sink": s04_training_sink,
         "s05_analysis_report_sink": s05_analysis_report_sink,
         "s06_correlation_sink": s06_correlation_sink,
+        "s02_ingest": s02_ingest,
+        "s07_model_save": s07_model_save,
+        "s08_evaluation_sink": s08_evaluation_sink,
+        "s09_metadata_sink": s09_metadata_sink,
         "p01_drop_columns": p01_drop_columns,
         "p02_without_identifiers": p02_without_identifiers,
         "p03_features_target": p03_features_target,
@@ -1023,6 +1082,7 @@ def registry() -> dict:
         "m08_linear_regression": _train("linear_regression", "regression"),
         "m09_ridge": _train("ridge_regression", "regression"),
         "m10_catalog": m10_catalog,
+        "m11_default_fit": m11_default_fit,
         "m12_search": _train("logistic_regression", "binary_classification", trials=4),
         "m13_train": m13_train,
         "m14_automl": m14_automl,
@@ -1039,6 +1099,7 @@ def registry() -> dict:
         "t01_head_preview": t01_head_preview,
         "t02_samples": t02_samples,
         "t03_top_k": t03_top_k,
+        "t04_sorted_importances": t04_sorted_importances,
         "t05_ranked_targets": t05_ranked_targets,
         "t06_outlier_examples": t06_outlier_examples,
         "t07_first_predictions": t07_first_predictions,
