@@ -1,14 +1,16 @@
-"""Column statistics (A01-A16) in three distributed passes.
-
-pass 1  one wide aggregate over the scan: null counts, moments, parse /
-        date / binary shares, mean text length (no shuffle besides the
-        single-row final merge of partial aggregates)
-pass 3  value counts: unpivot -> groupBy(name, value).count() with map-side
-        combine (persisted), then per-column distinct count, mode, count
-        spread, and a salted top-k of md5-ordered distinct values as sample
-then    exact quantiles from the value counts (range-sliced running counts,
-        ``quantiles.py``) and pass 2, the IQR outlier counts and normal range,
-        also over the value counts with the bounds as literals
+"""Column statistics (A01-A16) from one pass over the data.
+
+The only scan of the table builds the value-count table
+``unpivot -> groupBy(name, value).count()`` (map-side combined, so a value
+holding a third of all rows costs one row per map task), persisted. Every
+statistic is then an aggregate over that table, weighted by the counts:
+
+* per column: rows, non-null and distinct counts, mode and count spread, parse
+  / date / binary shares and mean text length, sum for the mean;
+* a salted top-k of md5-ordered distinct values as the sample;
+* exact quantiles (range-sliced running counts, ``quantiles.py``);
+* central moments (two-pass: mean first) together with the IQR outlier counts
+  and normal range, with means and bounds entering as literal maps.
 
 Only per-column numbers (one row per column) reach the driver.
 """
@@ -72,68 +74,11 @@ def text_expr(name: str):
 
 @dataclass
 class ProfileOptions:
-    # "exact": distributed exact quantiles from the value-count table (any size);
-    # "approx": bounded sketch (percentile_approx) in the scan pass instead
-    quantiles: str = "exact"
-    approx_accuracy: int = 100_000
     sample_size: int = 10
     salt_buckets: int = 64
     probs: list = field(default_factory=lambda: list(R.PROFILE_QUANTILES))
 
 
-def quantile_agg(x, probs, exact: bool, accuracy: int):
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if exact:
-        return F.percentile(x, arr)
-    return F.percentile_approx(x, arr, accuracy)
-
-
-def scan_stats(df: DataFrame, kinds, opts: ProfileOptions) -> dict:
-    """Pass 1. Returns {name: {...}} plus '__rows__'; quantiles only as a sketch
-    (``quantiles="approx"``), exact ones come from the value counts."""
-    sketch = opts.quantiles == "approx"
-    date_rx = R.search_regex(R.DATETIME_PATTERNS)
-    aggs = [F.count(F.lit(1)).alias("__rows__")]
-    for i, (name, kind, _) in enumerate(kinds):
-        c = F.col(f"`{name}`")
-        aggs += [F.count(c).alias(f"nn{i}")]
-        x = value_expr(name, kind)
-        if x is not None:
-            aggs += [
-                F.count(x).alias(f"px{i}"),
-                F.avg(x).alias(f"mean{i}"),
-                F.stddev_samp(x).alias(f"std{i}"),
-                F.skewness(x).alias(f"skp{i}"),
-            ]
-            if sketch:
-                aggs.append(quantile_agg(x, opts.probs, False, opts.approx_accuracy)
-                            .alias(f"q{i}"))
-        if kind in (STRING, TEMPORAL):
-            s = text_expr(name)
-            aggs += [F.avg(F.when(s.isNotNull(), F.when(s.rlike(date_rx), 1.0).otherwise(0.0)))
-                     .alias(f"dt{i}")]
-        if kind == STRING:
-            s = text_expr(name)
-            aggs += [
-                F.bool_and(F.lower(s).isin(R.BINARY_TOKENS)).alias(f"bin{i}"),
-                F.avg(F.length(s)).alias(f"len{i}"),
-            ]
-    row = df.agg(*aggs).collect()[0].asDict()
-    out = {"__rows__": row["__rows__"]}
-    for i, (name, kind, dtype) in enumerate(kinds):
-        q = row.get(f"q{i}")
-        out[name] = {
-            "nonnull": row[f"nn{i}"], "parsed": row.get(f"px{i}"),
-            "mean": row.get(f"mean{i}"), "std": row.get(f"std{i}"),
-            "skew_pop": row.get(f"skp{i}"),
-            "q05": q[0] if q else None, "q25": q[1] if q else None,
-            "q75": q[2] if q else None, "q95": q[3] if q else None,
-            "date_share": row.get(f"dt{i}"), "binary_values": row.get(f"bin{i}"),
-            "avg_length": row.get(f"len{i}"),
-        }
-    return out
-
-
 def iqr_bounds(q25, q75):
     if q25 is None or q75 is None:
         return None, None
@@ -141,43 +86,65 @@ def iqr_bounds(q25, q75):
     return q25 - R.IQR_FACTOR * iqr, q75 + R.IQR_FACTOR * iqr
 
 
-def numeric_view(vc: DataFrame, kinds) -> DataFrame:
-    """(name, x, cnt) of the numeric view of each column, from the value counts:
-    the number itself, or the parsed text (same rule as ``value_expr``)."""
+def numeric_expr(kinds):
+    """Numeric view of a value-count row: the number itself (no NaN/inf) for
+    numeric columns, the parsed text for text columns (same rule as ``value_expr``)."""
     num = [n for n, k, _ in kinds if k == NUMERIC]
     txt = [n for n, k, _ in kinds if k == STRING]
     d = F.col("d")
-    x = (F.when(F.col("name").isin(num) & ~F.isnan(d) & (F.abs(d) != float("inf")), d)
-         .when(F.col("name").isin(txt), R.parse_number(F.col("v"))))
-    return vc.select("name", x.alias("x"), "cnt").where(F.col("x").isNotNull())
+    return (F.when(F.col("name").isin(num) & ~F.isnan(d) & (F.abs(d) != float("inf")), d)
+            .when(F.col("name").isin(txt), R.parse_number(F.col("v"))))
+
 
+def numeric_view(vc: DataFrame, kinds) -> DataFrame:
+    """(name, x, cnt) of the numeric view of each column, from the value counts."""
+    return vc.select("name", numeric_expr(kinds).alias("x"), "cnt").where(F.col("x").isNotNull())
 
-def outlier_stats(xv: DataFrame, stats: dict) -> dict:
-    """Pass 2 (A09, A15) over the numeric value counts: low/high counts and the
-    normal range, IQR bounds entering as a literal map."""
+
+def moment_outlier_stats(xv: DataFrame, stats: dict) -> dict:
+    """Pass 2 (A05-A06, A09, A15) over the numeric value counts: central sums
+    about the known mean, low/high outlier counts and the normal range. Means
+    and IQR bounds enter as literal maps (one entry per column)."""
+    means = {n: v["mean"] for n, v in stats.items()
+             if isinstance(v, dict) and v.get("mean") is not None}
     bounds = {n: iqr_bounds(v["q25"], v["q75"]) for n, v in stats.items()
               if isinstance(v, dict) and v.get("q25") is not None}
-    if not bounds:
+    if not means:
         return {}
-    lo_m = F.create_map(*[e for n, (lo, _) in bounds.items() for e in (F.lit(n), F.lit(lo))])
-    hi_m = F.create_map(*[e for n, (_, hi) in bounds.items() for e in (F.lit(n), F.lit(hi))])
-    lo, hi, x = F.element_at(lo_m, F.col("name")), F.element_at(hi_m, F.col("name")), F.col("x")
-    agg = xv.where(F.col("name").isin(list(bounds))).groupBy("name").agg(
-        F.sum(F.when(x < lo, F.col("cnt")).otherwise(0)).alias("lo"),
-        F.sum(F.when(x > hi, F.col("cnt")).otherwise(0)).alias("hi"),
-        F.min(F.when(x >= lo, x)).alias("nmin"), F.max(F.when(x <= hi, x)).alias("nmax"))
-    return {r["name"]: {"outlier_low": r["lo"], "outlier_high": r["hi"],
-                        "normal_min": r["nmin"], "normal_max": r["nmax"]}
-            for r in agg.collect()}
 
+    def lit_map(d):
+        return F.create_map(*[e for k, v in d.items() for e in (F.lit(k), F.lit(float(v)))])
+    name, x, c = F.col("name"), F.col("x"), F.col("cnt")
+    dev = x - F.element_at(lit_map(means), name)
+    aggs = [F.sum(c * dev * dev).alias("m2"), F.sum(c * dev * dev * dev).alias("m3")]
+    if bounds:
+        lo = F.element_at(lit_map({k: b[0] for k, b in bounds.items()}), name)
+        hi = F.element_at(lit_map({k: b[1] for k, b in bounds.items()}), name)
+        aggs += [F.sum(F.when(x < lo, c).otherwise(0)).alias("lo"),
+                 F.sum(F.when(x > hi, c).otherwise(0)).alias("hi"),
+                 F.min(F.when(x >= lo, x)).alias("nmin"), F.max(F.when(x <= hi, x)).alias("nmax")]
+    rows = xv.where(name.isin(list(means))).groupBy("name").agg(*aggs).collect()
+    out = {}
+    for r in rows:
+        d = r.asDict()
+        out[d["name"]] = {"m2": d["m2"], "m3": d["m3"],
+                          "outlier_low": d.get("lo"), "outlier_high": d.get("hi"),
+                          "normal_min": d.get("nmin"), "normal_max": d.get("nmax")}
+    return out
+
+
+ROWS_NAME = "\u0000rows"   # pseudo column: one value per row, its count is the row count
 
-def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None) -> DataFrame:
-    """A10: (name, v, cnt) over non-null values, map-side combined.
+
+def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
+                 count_rows: bool = False) -> DataFrame:
+    """A10: (name, v, d, cnt) over non-null values, map-side combined.
 
     ``v`` is the value as text. With ``kinds`` given, numeric columns are
     grouped by their double value instead (no number-to-text conversion; -0.0
     and 0.0 fall together as in the source semantics) and ``v`` is NULL for
-    them; ``d`` carries the number.
+    them; ``d`` carries the number. ``count_rows`` adds the pseudo column
+    ``ROWS_NAME`` whose single count is the number of rows.
     """
     kinds = kinds or {}
     vals = []
@@ -188,8 +155,13 @@ def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None) ->
         else:
             vals.append(F.struct(F.lit(None).cast("double").alias("d"),
                                  text_expr(n).alias("s")).alias(n))
+    cols = list(names)
+    if count_rows:
+        vals.append(F.struct(F.lit(1.0).alias("d"), F.lit(None).cast("string").alias("s"))
+                    .alias(ROWS_NAME))
+        cols.append(ROWS_NAME)
     wide = df.select(*vals)
-    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "name", "val")
+    long = wide.unpivot([], [F.col(f"`{n}`") for n in cols], "name", "val")
     out = (long.where(F.col("val.d").isNotNull() | F.col("val.s").isNotNull())
            .groupBy("name", "val").agg(F.count(F.lit(1)).alias("cnt")))
     return out.select("name", F.col("val.s").alias("v"), F.col("val.d").alias("d"), "cnt")
@@ -213,14 +185,24 @@ def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
 
 
 def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
-    """Pass 3: distinct count, mode (ties -> smallest text), count spread, sample."""
+    """Pass 3: every per-column count and share, weighted by the value counts,
+    plus the md5-ordered sample; one shuffle of per-column partial aggregates."""
     if not kinds:
         return {}
+    c, v = F.col("cnt"), F.col("v")
+    x = numeric_expr(kinds)
+    date_rx = R.search_regex(R.DATETIME_PATTERNS)
     summary = vc.groupBy("name").agg(
         F.count(F.lit(1)).alias("unique_count"),
-        F.min_by("v", F.struct((-F.col("cnt")).alias("a"), F.col("v").alias("b"))).alias("top"),
-        F.avg("cnt").alias("cnt_mean"),
-        F.stddev_samp("cnt").alias("cnt_std"),
+        F.sum(c).alias("nonnull"),
+        F.min_by("v", F.struct((-c).alias("a"), v.alias("b"))).alias("top"),
+        F.avg(c).alias("cnt_mean"),
+        F.stddev_samp(c).alias("cnt_std"),
+        F.sum(F.when(x.isNotNull(), c)).alias("parsed"),
+        F.sum(c * x).alias("sx"),
+        F.sum(F.when(v.rlike(date_rx), c).when(v.isNotNull(), 0)).alias("n_date"),
+        F.bool_and(F.lower(v).isin(R.BINARY_TOKENS)).alias("binary_values"),
+        F.sum(c * F.length(v)).alias("sum_len"),
     )
     text_cols = [n for n, k, _ in kinds if k == STRING]
     id_rx = R.full_match_regex(R.IDENTIFIER_PATTERNS)
@@ -230,12 +212,21 @@ def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
                .groupBy("name").agg(
                    F.bool_or(F.col("v").rlike(id_rx)).alias("id_sample"),
                    F.sort_array(F.collect_list(F.struct("__r", "v"))).alias("sample")))
-    rows = summary.join(samples, "name", "left").collect()
+    kind_of = {n: k for n, k, _ in kinds}
     out = {}
-    for r in rows:
+    for r in summary.join(samples, "name", "left").collect():
+        k = kind_of.get(r["name"])
+        nn = r["nonnull"] or 0
+        parsed = r["parsed"] or 0
         out[r["name"]] = {
-            "unique_count": r["unique_count"], "top": r["top"],
+            "unique_count": r["unique_count"], "nonnull": nn,
+            "top": r["top"] if k != NUMERIC else None,
             "cnt_mean": r["cnt_mean"], "cnt_std": r["cnt_std"],
+            "parsed": parsed if k != TEMPORAL else None,
+            "mean": (r["sx"] / parsed) if (parsed and r["sx"] is not None) else None,
+            "date_share": (r["n_date"] / nn) if (k in (STRING, TEMPORAL) and nn) else None,
+            "binary_values": r["binary_values"] if k == STRING else None,
+            "avg_length": (r["sum_len"] / nn) if (k == STRING and nn) else None,
             "id_sample": r["id_sample"],
             "sample": [s["v"] for s in r["sample"]] if r["sample"] else [],
         }
@@ -274,40 +265,51 @@ STATS_SCHEMA = T.StructType([
 ])
 
 
+def _moments(n, m2, m3):
+    """Sample std and population skewness from central sums (NULL where undefined)."""
+    if not n or m2 is None:
+        return None, None
+    std = (m2 / (n - 1)) ** 0.5 if n > 1 else None
+    skew = (n ** 0.5) * m3 / m2 ** 1.5 if m2 > 0 else None
+    return std, skew
+
+
 def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame:
     """Raw per-column statistics, one row per scalar column (input of the rules)."""
     opts = opts or ProfileOptions()
     df = normalize_missing(df)
     kinds = column_kinds(df)
-    s1 = scan_stats(df, kinds, opts)
     names = [n for n, _, _ in kinds]
-    vc = value_counts(df, names, {n: k for n, k, _ in kinds}).persist(
-        StorageLevel.MEMORY_AND_DISK) if names else None
-    s3 = value_stats(vc, kinds, opts) if names else {}
-    s2 = {}
-    if names:
+    vc = value_counts(df, names, {n: k for n, k, _ in kinds}, count_rows=True) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        s3 = value_stats(vc, kinds, opts)
+        n_rows = s3.get(ROWS_NAME, {}).get("nonnull", 0)
+        for n in names:
+            s3.setdefault(n, {"unique_count": 0, "nonnull": 0, "parsed": 0, "sample": []})
         xv = numeric_view(vc, kinds)
-        if opts.quantiles != "approx":
-            counts = {n: s1[n]["parsed"] for n, k, _ in kinds if s1[n].get("parsed")}
-            widest = max((v.get("unique_count", 0) for v in s3.values()), default=0)
+        counts = {n: s3[n]["parsed"] for n in names if s3[n].get("parsed")}
+        if counts:
+            widest = max((s3[n]["unique_count"] for n in counts), default=0)
             qs = quantiles_from_counts(xv, opts.probs, counts, slices_for(widest))
             for n, v in qs.items():
                 if v:
-                    s1[n].update(dict(zip(("q05", "q25", "q75", "q95"), v)))
-        s2 = outlier_stats(xv, s1)
+                    s3[n].update(dict(zip(("q05", "q25", "q75", "q95"), v)))
+        s2 = moment_outlier_stats(xv, {n: s3[n] for n in names})
+    finally:
         vc.unpersist()
-    n = s1["__rows__"]
     rows = []
     for i, (name, kind, dtype) in enumerate(kinds):
-        a, b, c = s1[name], s2.get(name, {}), s3.get(name, {})
+        c, b = s3[name], s2.get(name, {})
+        std, skew = _moments(c.get("parsed"), b.get("m2"), b.get("m3"))
         f = lambda v: None if v is None else float(v)
         rows.append((
-            i, name, kind, dtype, n, n - a["nonnull"], a["nonnull"],
-            c.get("unique_count", 0), a["parsed"], f(a["mean"]), f(a["std"]),
-            f(a["skew_pop"]), f(a["q05"]), f(a["q25"]), f(a["q75"]), f(a["q95"]),
+            i, name, kind, dtype, n_rows, n_rows - c["nonnull"], c["nonnull"],
+            c.get("unique_count", 0), c.get("parsed"), f(c.get("mean")), f(std), f(skew),
+            f(c.get("q05")), f(c.get("q25")), f(c.get("q75")), f(c.get("q95")),
             b.get("outlier_low"), b.get("outlier_high"), f(b.get("normal_min")),
-            f(b.get("normal_max")), f(a["date_share"]), a["binary_values"],
-            f(a["avg_length"]), c.get("top"), f(c.get("cnt_mean")), f(c.get("cnt_std")),
+            f(b.get("normal_max")), f(c.get("date_share")), c.get("binary_values"),
+            f(c.get("avg_length")), c.get("top"), f(c.get("cnt_mean")), f(c.get("cnt_std")),
             c.get("id_sample"), c.get("sample", []),
         ))
     return df.sparkSession.createDataFrame(rows, STATS_SCHEMA)
