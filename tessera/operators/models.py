@@ -7,9 +7,11 @@ run by ``CrossValidator`` over a fold column (M03), trials in parallel.
 from __future__ import annotations
 
 import json
+import math
 import random
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        OneVsRest, RandomForestClassifier)
@@ -53,6 +55,7 @@ DEFAULT_PARAMS = {
     "ridge_regression": {"alpha": 1.0},
 }
 MAX_TREE_DEPTH = 30     # MLlib limit; "no limit" maps here
+ROWS_PER_PARTITION = 500_000
 
 
 def family(problem_type: str) -> str:
@@ -152,8 +155,13 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
     small_class = cls and any(v < 2 for v in counts.values())   # A19
     split = train_test_split(data, key, test_size, stratify=None if (small_class or not cls)
                              else "label")
+    total = sum(counts.values()) if counts else data.count()
+    # iterative MLlib fits launch one job per iteration over every partition:
+    # size partitions by rows (~ROWS_PER_PARTITION), never above the input's
+    parts = max(1, min(split.rdd.getNumPartitions(), math.ceil(total / ROWS_PER_PARTITION)))
     split = VectorAssembler(inputCols=features, outputCol="features",
-                            handleInvalid="keep").transform(split).cache()
+                            handleInvalid="keep").transform(split).repartition(parts) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where(F.col("part") == "train")
     n_rows = train.count()
     n_classes = max(len(counts), 2)
@@ -163,7 +171,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
         warning = "Used simple train-test split due to insufficient class samples"
     elif space and n_trials > 0:
         trials = random_trials(space, n_trials)
-        folded = assign_folds(train, key, 5, stratify="label" if cls else None)
+        folded = assign_folds(train, key, 5, stratify="label" if cls else None) \
+            .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
         ests = [build_estimator(algorithm, problem_type, t, n_rows, n_classes) for t in trials]
         ev = (MulticlassClassificationEvaluator(metricName="accuracy") if cls
               else RegressionEvaluator(metricName="r2"))
