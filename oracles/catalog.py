@@ -760,7 +760,13 @@ def zero_signed(sql: str) -> str:
 
 
 def registry() -> dict:
-    return {k: zero_signed(v) for k, v in _registry().items()}
+    from tessera.plans.workloads import N_COLUMNS
+    reg = _registry()
+    reg.update({k: f"SELECT o_orderkey, {', '.join(v)} FROM ({n_scalar()})"
+                for k, v in N_COLUMNS.items()})
+    reg["e01_accuracy"] = f"SELECT accuracy FROM ({cls_metrics(BINARY_PRED)})"
+    reg["e02_weighted_prf"] = f"SELECT precision, recall, f1 FROM ({cls_metrics(BINARY_PRED)})"
+    return {k: zero_signed(v) for k, v in reg.items()}
 
 
 def _registry() -> dict:

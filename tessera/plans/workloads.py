@@ -974,6 +974,30 @@ def n_scalar(spark, sf_dir):
     )
 
 
+N_COLUMNS = {
+    "n01_cast_text": ["n01_text"], "n02_lower": ["n02_lower"], "n03_length": ["n03_length"],
+    "n04_regex": ["n04_search", "n04_full"], "n05_parse": ["n05_parse"],
+    "n06_clip": ["n06_clip"], "n07_fill_null": ["n07_fill"],
+    "n08_round": ["n08_round1", "n08_bround"], "n09_title_case": ["n09_title"],
+    "n10_keyword_test": ["n10_keyword"], "n11_timestamp_format": ["n11_timestamp"],
+    "n12_number_format": ["n12_format"], "n13_abs_sqrt": ["n13_abs_sqrt"],
+}
+
+
+def _n_single(cols):
+    def run(spark, sf_dir):
+        return n_scalar(spark, sf_dir).select("o_orderkey", *cols)
+    return run
+
+
+def e01_accuracy(spark, sf_dir):
+    return e01_e02_metrics(spark, sf_dir).select("accuracy")
+
+
+def e02_weighted_prf(spark, sf_dir):
+    return e01_e02_metrics(spark, sf_dir).select("precision", "recall", "f1")
+
+
 def registry() -> dict:
     """Query id -> workload."""
     q = {
@@ -1104,5 +1128,8 @@ def registry() -> dict:
         "t06_outlier_examples": t06_outlier_examples,
         "t07_first_predictions": t07_first_predictions,
         "n01_n13_scalar": n_scalar,
+        "e01_accuracy": e01_accuracy,
+        "e02_weighted_prf": e02_weighted_prf,
     }
+    q.update({k: _n_single(v) for k, v in N_COLUMNS.items()})
     return q
