@@ -580,6 +580,18 @@ def m03():
             f"CAST(({rp} - 1) % 5 AS INTEGER) AS plain_fold FROM orders")
 
 
+def m09(alpha: float = 1.0):
+    """Ridge (alpha 0 = OLS) on one feature, closed form on the md5-ordered 80 % train part."""
+    rn, n = rank_sql("part", "p_partkey")
+    return f"""
+WITH s AS (SELECT p_partkey, p_size AS x, p_retailprice AS y,
+                  CASE WHEN {rn} <= ceil({n} * 0.2) THEN 'test' ELSE 'train' END AS part FROM part),
+t AS (SELECT avg(x) AS mx, avg(y) AS my FROM s WHERE part = 'train'),
+w AS (SELECT sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + {alpha}) AS w,
+             any_value(mx) AS mx, any_value(my) AS my FROM s, t WHERE part = 'train')
+SELECT part, p_partkey, round(y, 6) AS label, round(my + w * (x - mx), 6) AS prediction FROM s, w"""
+
+
 def m10():
     algos = {"classification": ["random_forest", "gradient_boosting", "logistic_regression", "svm"],
              "regression": ["random_forest", "gradient_boosting", "linear_regression",
@@ -895,6 +907,8 @@ def _registry() -> dict:
         "m01_split": m01(),
         "m02_stratified_split": m01("o_orderpriority"),
         "m03_folds": m03(),
+        "m08_linear_closed_form": m09(0.0),
+        "m09_ridge_closed_form": m09(),
         "m10_catalog": m10(),
         "e01_e02_metrics": cls_metrics(BINARY_PRED),
         "e02_multiclass": cls_metrics(MULTI_PRED),

@@ -69,8 +69,14 @@ def get_algorithms(problem_type: str) -> dict:
 
 
 def build_estimator(algorithm: str, problem_type: str, params: dict, n_rows: int,
-                    n_classes: int = 2, features: str = "features", label: str = "label"):
-    """MLlib estimator for an algorithm name and reference-style parameters."""
+                    n_classes: int = 2, features: str = "features", label: str = "label",
+                    label_std: float = 1.0):
+    """MLlib estimator for an algorithm name and reference-style parameters.
+
+    Penalties are rescaled to MLlib's objectives: logistic C -> regParam
+    1/(C n); ridge alpha -> regParam alpha * std_pop(y) / n (the normal-equation
+    solver standardises the label internally), which reproduces the closed form.
+    """
     cls = family(problem_type) == "classification"
     p = dict(DEFAULT_PARAMS.get(algorithm, {}))
     p.update(params or {})
@@ -101,7 +107,7 @@ def build_estimator(algorithm: str, problem_type: str, params: dict, n_rows: int
     if algorithm == "linear_regression":
         return LinearRegression(regParam=0.0, solver="normal", **common)
     if algorithm == "ridge_regression":
-        return LinearRegression(regParam=float(p.get("alpha", 1.0)) / max(n_rows, 1),
+        return LinearRegression(regParam=float(p.get("alpha", 1.0)) * label_std / max(n_rows, 1),
                                 elasticNetParam=0.0, standardization=False, solver="normal",
                                 **common)
     raise ValueError(f"unknown algorithm {algorithm}")
@@ -165,6 +171,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
     train = split.where(F.col("part") == "train")
     n_rows = train.count()
     n_classes = max(len(counts), 2)
+    label_std = (train.agg(F.stddev_pop("label")).collect()[0][0] or 1.0) \
+        if algorithm == "ridge_regression" else 1.0
     space = get_algorithms(problem_type).get(algorithm, {})
     best, cv_score, warning = {}, None, None
     if small_class:
@@ -173,7 +181,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
         trials = random_trials(space, n_trials)
         folded = assign_folds(train, key, 5, stratify="label" if cls else None) \
             .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-        ests = [build_estimator(algorithm, problem_type, t, n_rows, n_classes) for t in trials]
+        ests = [build_estimator(algorithm, problem_type, t, n_rows, n_classes,
+                                label_std=label_std) for t in trials]
         ev = (MulticlassClassificationEvaluator(metricName="accuracy") if cls
               else RegressionEvaluator(metricName="r2"))
         base = ests[0]
@@ -194,7 +203,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
                 scores.append(cv.fit(folded).avgMetrics[0])
         i = max(range(len(scores)), key=lambda j: scores[j])
         best, cv_score = trials[i], scores[i]
-    model = build_estimator(algorithm, problem_type, best, n_rows, n_classes).fit(train)
+    model = build_estimator(algorithm, problem_type, best, n_rows, n_classes,
+                            label_std=label_std).fit(train)
     pred = model.transform(split)
     out_cols = ["part", key, "label", F.col("prediction").cast("double").alias("prediction")]
     if cls and "probability" in pred.columns and n_classes == 2:

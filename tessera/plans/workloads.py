@@ -808,6 +808,22 @@ def _train(algorithm, problem_type, trials=0):
     return run
 
 
+def m09_ridge_closed_form(spark, sf_dir):
+    from ..operators import models
+    part = load(spark, sf_dir, "part")
+    res = models.train_selected_model(part, ["p_size"], "p_retailprice", "p_partkey",
+                                      "ridge_regression", "regression", n_trials=0)
+    return round_doubles(res.predictions)
+
+
+def m08_linear_closed_form(spark, sf_dir):
+    from ..operators import models
+    part = load(spark, sf_dir, "part")
+    res = models.train_selected_model(part, ["p_size"], "p_retailprice", "p_partkey",
+                                      "linear_regression", "regression", n_trials=0)
+    return round_doubles(res.predictions)
+
+
 def m10_catalog(spark, sf_dir):
     from ..operators import models
     out = None
@@ -1105,6 +1121,8 @@ def registry() -> dict:
         "m07_linear_svm": _train("svm", "binary_classification"),
         "m08_linear_regression": _train("linear_regression", "regression"),
         "m09_ridge": _train("ridge_regression", "regression"),
+        "m08_linear_closed_form": m08_linear_closed_form,
+        "m09_ridge_closed_form": m09_ridge_closed_form,
         "m10_catalog": m10_catalog,
         "m11_default_fit": m11_default_fit,
         "m12_search": _train("logistic_regression", "binary_classification", trials=4),
