@@ -20,17 +20,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def slice_expr(df: DataFrame, group: str, x: str, slices: int):
-    """Slice number of each row: how many of its group's sketch bounds lie below x."""
-    probs = [i / slices for i in range(1, slices)]
+def slice_probs(slices: int) -> list[float]:
+    return [i / slices for i in range(1, slices)]
+
+
+def slice_bounds(df: DataFrame, group: str, x: str, slices: int) -> dict:
+    """{group: sorted bounds}: sketch quantiles of the distinct values (one job)."""
     rows = df.groupBy(group).agg(
-        F.percentile_approx(F.col(x), probs, 10_000).alias("b")).collect()
-    if not rows:
+        F.percentile_approx(F.col(x), slice_probs(slices), 10_000).alias("b")).collect()
+    return {r[group]: r["b"] for r in rows}
+
+
+def slice_expr(df: DataFrame, group: str, x: str, slices: int, bounds: dict | None = None):
+    """Slice number of each row: how many of its group's bounds lie below x.
+    ``bounds`` may come from an aggregate the caller already runs."""
+    if bounds is None:
+        bounds = slice_bounds(df, group, x, slices)
+    if not bounds:
         return F.lit(0)
-    bmap = F.create_map(*[e for r in rows for e in
-                          (F.lit(r[group]), F.array(*[F.lit(float(v)) for v in
-                                                      sorted(set(r["b"] or []))]
-                                                    or [F.lit(None)]).cast("array<double>"))])
+    bmap = F.create_map(*[e for k, b in bounds.items() for e in
+                          (F.lit(k), F.array(*[F.lit(float(v)) for v in sorted(set(b or []))]
+                                             or [F.lit(None)]).cast("array<double>"))])
     bounds = F.coalesce(F.element_at(bmap, F.col(group)), F.array().cast("array<double>"))
     return F.size(F.filter(bounds, lambda b: b < F.col(x)))
 
@@ -56,12 +66,13 @@ def _targets(n: int, probs) -> list[int]:
 
 
 def quantiles_from_counts(vc: DataFrame, probs, counts: dict | None = None,
-                          partitions: int | None = None) -> dict:
+                          partitions: int | None = None, bounds: dict | None = None) -> dict:
     """{name: [q for q in probs]} from ``(name, x double, cnt)`` (x not NULL).
 
-    ``counts`` ({name: number of non-null values}) saves one small job when known.
+    ``counts`` ({name: number of non-null values}) and ``bounds`` (slice bounds
+    per name) each save one small job when the caller already has them.
     """
-    sliced = vc.withColumn("__pid", slice_expr(vc, "name", "x", partitions or 16))
+    sliced = vc.withColumn("__pid", slice_expr(vc, "name", "x", partitions or 16, bounds))
     sizes = sliced.groupBy("name", "__pid").agg(F.sum("cnt").alias("__c"))
     if counts is None:
         counts = {r["name"]: r["n"] for r in
