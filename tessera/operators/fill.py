@@ -3,8 +3,9 @@
 A plain ``last(ignorenulls) over (order by key)`` window has no partition key,
 so Spark moves the whole table into one task. Instead:
 
-1. cut the key range into ``buckets`` by approximate quantiles of the key
-   (deterministic literal boundaries, balanced even for skewed keys);
+1. cut the key range into buckets by approximate quantiles of the key
+   (deterministic literal boundaries, balanced even for skewed keys; the
+   bucket count follows the row count);
 2. fill inside each bucket with a partitioned window;
 3. per bucket keep the last / first non-null value (one row per bucket), and
    carry it across buckets with a window over that tiny table;
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import range_buckets
+
 
 def _bucket_expr(key: str, bounds: list) -> F.Column:
     k = F.col(f"`{key}`")
@@ -26,14 +29,22 @@ def _bucket_expr(key: str, bounds: list) -> F.Column:
 
 
 def ffill_bfill(df: DataFrame, columns: list[str], order_by: str,
-                buckets: int = 64) -> DataFrame:
-    """Forward fill then backward fill ``columns`` in ``order_by`` order (unique key)."""
+                buckets: int | None = None) -> DataFrame:
+    """Forward fill then backward fill ``columns`` in ``order_by`` order (unique key).
+
+    ``buckets=None`` sizes the key-range buckets from the data
+    (``quantiles.range_buckets``: ~4M rows each, 8..512).
+    """
     if not columns:
         return df
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.select(F.percentile_approx(F.col(f"`{order_by}`"), probs, 10_000)).collect()[0][0]
-    bounds = sorted(set(b for b in (bounds or []) if b is not None))
-    b = df.withColumn("__bucket", _bucket_expr(order_by, bounds))
+    if buckets is None:
+        bucket, _ = range_buckets(df, order_by)
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        bounds = df.select(F.percentile_approx(F.col(f"`{order_by}`"), probs, 10_000)) \
+            .collect()[0][0]
+        bucket = _bucket_expr(order_by, sorted(set(x for x in (bounds or []) if x is not None)))
+    b = df.withColumn("__bucket", bucket)
     key = F.col(f"`{order_by}`")
     w_fwd = Window.partitionBy("__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     w_bwd = Window.partitionBy("__bucket").orderBy(key).rowsBetween(0, Window.unboundedFollowing)

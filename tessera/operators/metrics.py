@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import range_buckets
+
 
 def _div0(a, b):
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -108,7 +110,8 @@ def _bucket_of(x, bounds):
     return e
 
 
-def roc_auc(pred: DataFrame, group: list[str] | None = None, buckets: int = 64) -> DataFrame:
+def roc_auc(pred: DataFrame, group: list[str] | None = None,
+            buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC, ties counted half: sum over scores of
     pos * (negatives below + negatives equal / 2) / (P * N).
 
@@ -119,10 +122,14 @@ def roc_auc(pred: DataFrame, group: list[str] | None = None, buckets: int = 64)
     g = group or []
     s = pred.groupBy(*g, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(b for b in (pred.select(F.percentile_approx("score", probs, 10_000))
-                                    .collect()[0][0] or []) if b is not None))
-    s = s.withColumn("__b", _bucket_of(F.col("score"), bounds))
+    if buckets is None:      # sized from the number of distinct scores
+        bucket, _ = range_buckets(s, "score")
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        bounds = sorted(set(b for b in (pred.select(F.percentile_approx("score", probs, 10_000))
+                                        .collect()[0][0] or []) if b is not None))
+        bucket = _bucket_of(F.col("score"), bounds)
+    s = s.withColumn("__b", bucket)
     wl = Window.partitionBy(*g, "__b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     local = s.withColumn("__below", F.coalesce(F.sum("neg").over(wl), F.lit(0)))
     tot = s.groupBy(*g, "__b").agg(F.sum("neg").alias("__bn"))

@@ -159,9 +159,9 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
                      F.col(f"`{label}`").cast("double").alias("label"))
     counts = {r[0]: r[1] for r in data.groupBy("label").count().collect()} if cls else {}
     small_class = cls and any(v < 2 for v in counts.values())   # A19
-    split = train_test_split(data, key, test_size, stratify=None if (small_class or not cls)
-                             else "label")
     total = sum(counts.values()) if counts else data.count()
+    split = train_test_split(data, key, test_size, stratify=None if (small_class or not cls)
+                             else "label", rows_hint=total)
     # iterative MLlib fits launch one job per iteration over every partition:
     # size partitions by rows (~ROWS_PER_PARTITION), never above the input's
     parts = max(1, min(split.rdd.getNumPartitions(), math.ceil(total / ROWS_PER_PARTITION)))
@@ -179,7 +179,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
         warning = "Used simple train-test split due to insufficient class samples"
     elif space and n_trials > 0:
         trials = random_trials(space, n_trials)
-        folded = assign_folds(train, key, 5, stratify="label" if cls else None) \
+        folded = assign_folds(train, key, 5, stratify="label" if cls else None,
+                              rows_hint=total) \
             .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
         ests = [build_estimator(algorithm, problem_type, t, n_rows, n_classes,
                                 label_std=label_std) for t in trials]

@@ -135,3 +135,27 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
                                      slices_for(widest))
     finally:
         vc.unpersist()
+
+
+ROWS_PER_BUCKET = 4_000_000
+MAX_BUCKETS = 512
+
+
+def range_buckets(df: DataFrame, col: str, min_buckets: int = 8):
+    """Expression giving each row a value-range bucket of ``col``, sized from
+    the data: one aggregate returns the row count and a fine sketch; bounds
+    are then every k-th sketch point (about ROWS_PER_BUCKET rows each, at
+    most MAX_BUCKETS buckets). Bounds are literals, so every branch of a plan
+    and every retried task buckets identically. Returns (expr, n_buckets)."""
+    fine = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    row = df.agg(F.count(F.col(col)).alias("n"),
+                 F.percentile_approx(F.col(col), fine, 50_000).alias("b")).collect()[0]
+    n = row["n"] or 0
+    want = int(min(MAX_BUCKETS, max(min_buckets, math.ceil(n / ROWS_PER_BUCKET))))
+    step = max(1, MAX_BUCKETS // want)
+    pts = row["b"] or []
+    bounds = sorted(set(pts[step - 1::step]))
+    if not bounds:
+        return F.lit(0), 1
+    arr = F.array(*[F.lit(b) for b in bounds])
+    return F.size(F.filter(arr, lambda b: b < F.col(col))), len(bounds) + 1

@@ -9,10 +9,12 @@ each bucket, and a window partitioned by (group, bucket) ranks inside it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_HEX = 3            # 16**3 = 4096 buckets per group
+PREFIX_HEX = 3            # at least 16**3 = 4096 buckets per group
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -20,11 +22,23 @@ def hash_key(key: str):
     return F.md5(F.col(f"`{key}`").cast("string"))
 
 
-def hash_rank(df: DataFrame, key: str, group: str | None = None) -> DataFrame:
-    """Adds ``__h`` (md5 text), ``__rank`` (1-based, by md5 within group), ``__n`` (group size)."""
+def prefix_digits(rows_hint: int | None) -> int:
+    """md5-prefix length so that a bucket holds about a million rows (3..6 hex digits)."""
+    if not rows_hint:
+        return PREFIX_HEX
+    return int(min(6, max(PREFIX_HEX, math.ceil(math.log(max(rows_hint, 1) / 1e6, 16)))))
+
+
+def hash_rank(df: DataFrame, key: str, group: str | None = None,
+              rows_hint: int | None = None) -> DataFrame:
+    """Adds ``__h`` (md5 text), ``__rank`` (1-based, by md5 within group), ``__n`` (group size).
+
+    ``rows_hint`` (the row count, when known) widens the md5-prefix buckets for
+    very large inputs so that no (group, bucket) window task grows unbounded.
+    """
     g = F.col(f"`{group}`") if group else F.lit(0)
     h = df.withColumn("__g", g).withColumn("__h", hash_key(key)) \
-          .withColumn("__bk", F.substring("__h", 1, PREFIX_HEX))
+          .withColumn("__bk", F.substring("__h", 1, prefix_digits(rows_hint)))
     sizes = h.groupBy("__g", "__bk").agg(F.count(F.lit(1)).alias("__c"))
     wcum = Window.partitionBy("__g").orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     wtot = Window.partitionBy("__g")
@@ -41,19 +55,19 @@ def hash_rank(df: DataFrame, key: str, group: str | None = None) -> DataFrame:
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2,
-                     stratify: str | None = None) -> DataFrame:
+                     stratify: str | None = None, rows_hint: int | None = None) -> DataFrame:
     """Adds ``part`` = 'test' for the first ceil(test_size * n) rows
     (per class when stratified) in md5 order, 'train' otherwise."""
-    r = hash_rank(df, key, stratify)
+    r = hash_rank(df, key, stratify, rows_hint)
     part = F.when(F.col("__rank") <= F.ceil(F.col("__n") * F.lit(test_size)), "test") \
             .otherwise("train")
     return r.withColumn("part", part).drop("__g", "__h", "__rank", "__n")
 
 
 def assign_folds(df: DataFrame, key: str, n_folds: int = 5,
-                 stratify: str | None = None) -> DataFrame:
+                 stratify: str | None = None, rows_hint: int | None = None) -> DataFrame:
     """``fold`` = (rank - 1) mod n_folds, ranks per class when stratified."""
-    r = hash_rank(df, key, stratify)
+    r = hash_rank(df, key, stratify, rows_hint)
     return r.withColumn("fold", F.pmod(F.col("__rank") - 1, F.lit(n_folds)).cast("int")) \
             .drop("__g", "__h", "__rank", "__n")
 
