@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions import rules as R
 from . import quantiles
 from .fill import ffill_bfill
+from .stats import NUMERIC, value_counts
 
 
 def convert_numeric_text(df: DataFrame, profile_rows: list[dict]) -> tuple[DataFrame, list[str]]:
@@ -43,24 +44,19 @@ def numeric_method(strategy: str) -> str:
 def modes(df: DataFrame, columns: list[str]) -> dict:
     """Most frequent non-null value per column, smallest value on ties.
 
-    Distributed: unpivot -> groupBy(name, value).count() (map-side combined)
-    -> min_by per name. Numeric and text columns are unpivoted separately so
-    numeric ties break numerically.
+    One distributed job: unpivot -> groupBy(name, value).count() (map-side
+    combined) -> min_by per name. Numeric columns are keyed by their double
+    value so ties break numerically; text columns by their text.
     """
-    out = {}
-    for typ in ("double", "string"):
-        cols = [c for c in columns
-                if isinstance(df.schema[c].dataType, (T.NumericType,)) == (typ == "double")]
-        if not cols:
-            continue
-        wide = df.select(*[F.col(f"`{c}`").cast(typ).alias(c) for c in cols])
-        vc = (wide.unpivot([], [F.col(f"`{c}`") for c in cols], "name", "v")
-              .where(F.col("v").isNotNull())
-              .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt")))
-        top = vc.groupBy("name").agg(
-            F.min_by("v", F.struct((-F.col("cnt")).alias("a"), F.col("v").alias("b"))).alias("m"))
-        out.update({r["name"]: r["m"] for r in top.collect()})
-    return out
+    if not columns:
+        return {}
+    numeric = {c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)}
+    vc = value_counts(df, columns, {c: NUMERIC for c in numeric})
+    top = vc.groupBy("name").agg(F.min_by(
+        F.struct("d", "v"), F.struct((-F.col("cnt")).alias("a"), F.col("d"), F.col("v")))
+        .alias("m"))
+    return {r["name"]: (r["m"]["d"] if r["name"] in numeric else r["m"]["v"])
+            for r in top.collect()}
 
 
 def impute_plan(df: DataFrame, profile_rows: list[dict], missing_strategy: str,
@@ -73,18 +69,28 @@ def impute_plan(df: DataFrame, profile_rows: list[dict], missing_strategy: str,
     dates = [r["name"] for r in todo if r["inferred_type"] == "datetime"]
     n_rows = profile_rows[0]["n_rows"] if profile_rows else 0
 
+    need_mean = method in ("mean", "knn")
+    need_median = method == "median" or (method == "knn" and n_rows // 10 == 0)
     aggs = []
     for i, c in enumerate(num):
         x = F.col(f"`{c}`").cast("double")
-        aggs.append(F.avg(x).alias(f"mean{i}"))
-        if not exact_quantiles:
+        if need_mean:
+            aggs.append(F.avg(x).alias(f"mean{i}"))
+        if need_median and not exact_quantiles:
             aggs.append(F.percentile_approx(x, F.lit(0.5), 100_000).alias(f"med{i}"))
     stat = df.agg(*aggs).collect()[0].asDict() if aggs else {}
-    if exact_quantiles and num:
+    if need_median and exact_quantiles and num:
         med = quantiles.exact_quantiles(df, num, [0.5])
         stat.update({f"med{i}": (med.get(c) or [None])[0] for i, c in enumerate(num)})
     need_mode = other + (num if method == "mode" else [])
     mode_of = modes(df, need_mode) if need_mode else {}
+    if method == "mode":
+        # a numeric column without a mode (no values) falls back to its median
+        empty = [c for c in num if mode_of.get(c) is None]
+        if empty:
+            med = quantiles.exact_quantiles(df, empty, [0.5])
+            stat.update({f"med{i}": (med.get(c) or [None])[0]
+                         for i, c in enumerate(num) if c in empty})
 
     fills, steps = {}, []
     for i, c in enumerate(num):
