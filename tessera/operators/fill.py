@@ -46,13 +46,18 @@ def ffill_bfill(df: DataFrame, columns: list[str], order_by: str,
         bucket = _bucket_expr(order_by, sorted(set(x for x in (bounds or []) if x is not None)))
     b = df.withColumn("__bucket", bucket)
     key = F.col(f"`{order_by}`")
+    # both fills use growing frames (unbounded preceding .. current row), which
+    # Spark evaluates incrementally; the backward fill runs in descending key
+    # order instead of a (current row .. unbounded following) frame, which
+    # would be re-evaluated for every row (quadratic per bucket)
     w_fwd = Window.partitionBy("__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    w_bwd = Window.partitionBy("__bucket").orderBy(key).rowsBetween(0, Window.unboundedFollowing)
+    w_bwd = Window.partitionBy("__bucket").orderBy(key.desc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
     local = b.select(
         "*",
         *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(w_fwd).alias(f"__f{i}")
           for i, c in enumerate(columns)],
-        *[F.first(F.col(f"`{c}`"), ignorenulls=True).over(w_bwd).alias(f"__b{i}")
+        *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(w_bwd).alias(f"__b{i}")
           for i, c in enumerate(columns)])
 
     # one row per bucket: its last and first non-null value per column
@@ -62,12 +67,12 @@ def ffill_bfill(df: DataFrame, columns: list[str], order_by: str,
         *[F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), key)).alias(f"__h{i}")
           for i, c in enumerate(columns)])
     w_prev = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    w_next = Window.orderBy("__bucket").rowsBetween(1, Window.unboundedFollowing)
+    w_next = Window.orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = edges.select(
         "__bucket",
         *[F.last(f"__l{i}", ignorenulls=True).over(w_prev).alias(f"__cf{i}")
           for i in range(len(columns))],
-        *[F.first(f"__h{i}", ignorenulls=True).over(w_next).alias(f"__cb{i}")
+        *[F.last(f"__h{i}", ignorenulls=True).over(w_next).alias(f"__cb{i}")
           for i in range(len(columns))])
     joined = local.join(F.broadcast(carry), "__bucket", "left")
     out = []
