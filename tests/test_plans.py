@@ -41,3 +41,10 @@ def test_no_cartesian_in_preprocessing(spark):
     out = E.queries()["c14_impute_dispatch"](spark, SF_SMALL)
     p = plan(out)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_fill_uses_growing_frames_only(spark):
+    from tessera.operators.fill import ffill_bfill
+    df = spark.range(2000).withColumn("v", F.when(F.col("id") % 3 == 0, F.col("id")))
+    p = plan(ffill_bfill(df, ["v"], "id"))
+    assert "unboundedfollowing" not in p.lower()
