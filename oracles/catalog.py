@@ -544,6 +544,41 @@ def f10():
     return f"SELECT {', '.join(cols)}, e.rf_code AS l_returnflag FROM {enc} e"
 
 
+F10_FEATURES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+
+
+def f10_long():
+    """F10 fully in SQL: encode l_linestatus, ANOVA F against l_returnflag, keep
+    the top k = min(20, max(5, 9 // 2), 9) = 5 (later column wins ties), scale
+    by population std, emit (feature, value, label code) rows."""
+    enc = ("(SELECT l.*, CAST(el.code AS INTEGER) AS ls_code, CAST(er.code AS INTEGER) AS rf_code "
+           "FROM lineitem l "
+           "JOIN (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM "
+           "(SELECT DISTINCT l_linestatus AS v FROM lineitem)) el ON l.l_linestatus = el.v "
+           "JOIN (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM "
+           "(SELECT DISTINCT l_returnflag AS v FROM lineitem)) er ON l.l_returnflag = er.v)")
+    col = {f: ("ls_code" if f == "l_linestatus" else f) for f in F10_FEATURES}
+    scores = union([
+        f"SELECT {q(f)} AS feature, {i} AS ord, ((B - S * S / NN) / (k - 1)) / "
+        f"nullif((SS - B) / (NN - k), 0) AS score FROM (SELECT sum(n) AS NN, sum(s) AS S, "
+        f"sum(ss) AS SS, sum(s * s / n) AS B, count_if(n > 0) AS k FROM (SELECT count({c}) AS n, "
+        f"sum(CAST({c} AS DOUBLE)) AS s, sum(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)) AS ss "
+        f"FROM {enc} GROUP BY rf_code))"
+        for i, (f, c) in enumerate(col.items())])
+    k = min(20, max(5, len(F10_FEATURES) // 2), len(F10_FEATURES))
+    values = union([
+        f"SELECT {q(f)} AS feature, (CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / "
+        f"coalesce(nullif(stddev_pop(CAST({c} AS DOUBLE)) OVER (), 0), 1) AS value, rf_code "
+        f"AS l_returnflag FROM {enc}" for f, c in col.items()])
+    return f"""
+WITH sc AS ({scores}),
+sel AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST,
+        ord DESC) AS r FROM sc) WHERE r <= {k})
+SELECT v.feature, round(v.value, 6) AS value, v.l_returnflag FROM ({values}) v
+JOIN sel ON v.feature = sel.feature"""
+
+
 def f11():
     fit = "(SELECT * FROM part WHERE p_size <= 25)"
     enc_cols = ["p_name", "p_brand", "p_type"]
@@ -903,6 +938,7 @@ def _registry() -> dict:
         "f08_select_top_k": top_k_sql(anova_sql(LI_FEATURES), LI_FEATURES, 5),
         "f09_standard_scale": f09(),
         "f10_fit_features": f10(),
+        "f10_fit_features_long": f10_long(),
         "f11_transform_new": f11(),
         "m01_split": m01(),
         "m02_stratified_split": m01("o_orderpriority"),

@@ -759,6 +759,14 @@ def f10_fit_features(spark, sf_dir):
     return round_doubles(_fitted_lineitem(spark, sf_dir)[1])
 
 
+def f10_fit_features_long(spark, sf_dir):
+    """F10 as (feature, value, label) rows of the selected, scaled features."""
+    fp, out = _fitted_lineitem(spark, sf_dir)
+    long = out.unpivot(["l_returnflag"], [F.col(f"`{c}`").cast("double") for c in fp.selected],
+                       "feature", "value")
+    return round_doubles(long.select("feature", "value", "l_returnflag"))
+
+
 def f11_transform_new(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     fp = features.FeatureProcessor("regression")
@@ -1111,6 +1119,7 @@ def registry() -> dict:
         "f08_select_top_k": f08_select_top_k,
         "f09_standard_scale": f09_standard_scale,
         "f10_fit_features": f10_fit_features,
+        "f10_fit_features_long": f10_fit_features_long,
         "f11_transform_new": f11_transform_new,
         "m01_split": m01_split,
         "m02_stratified_split": m02_stratified_split,
