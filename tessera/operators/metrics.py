@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from .quantiles import range_buckets
 
 
+MAX_GRID_CLASSES = 1000   # full confusion grid up to this many classes
+
+
 def _div0(a, b):
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
@@ -29,8 +32,12 @@ def confusion_matrix(pred: DataFrame) -> DataFrame:
     predicted class and left-joined to the domain on the true class.
     """
     cm = confusion_counts(pred)
-    classes = sorted(r[0] for r in pred.select(F.col("label").alias("c"))
-                     .union(pred.select(F.col("prediction").alias("c"))).distinct().collect())
+    dom = pred.select(F.col("label").alias("c")).union(pred.select(F.col("prediction").alias("c"))) \
+        .distinct()
+    if dom.limit(MAX_GRID_CLASSES + 1).count() > MAX_GRID_CLASSES:
+        # a zero-filled grid would have k^2 cells: return the observed pairs only
+        return cm.select("label", "prediction", F.col("n").cast("bigint").alias("n"))
+    classes = sorted(r[0] for r in dom.collect())
     wide = cm.groupBy("label").pivot("prediction", classes).agg(F.sum("n"))
     dom = pred.sparkSession.createDataFrame([(c,) for c in classes], ["label"]) \
         .withColumn("label", F.col("label").cast(pred.schema["label"].dataType))
