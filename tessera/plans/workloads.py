@@ -113,10 +113,6 @@ def cleaned_dirty(spark: SparkSession, sf_dir: str):
     return _CLEANED[key]
 
 
-def rows_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
 # ---- S: sources and sinks ------------------------------------------------------
 
 def s01_scan_normalize(spark, sf_dir):
