@@ -821,6 +821,11 @@ def _registry() -> dict:
     st = "kind = 'string'"
     return {
         "s01_scan_normalize": s01(),
+        "s01_csv_roundtrip": (
+            f"SELECT o_orderkey, round(cust_num, 6) AS cust_num, round(sparse_num, 6) AS sparse_num, "
+            f"round(total_price, 6) AS total_price, status, urgent, order_date, "
+            f"CAST(CASE WHEN num_text IN ({', '.join(q(t) for t in R.NA_TOKENS)}) THEN NULL "
+            f"ELSE num_text END AS BIGINT) AS num_text FROM {DIRTY_SRC}"),
         "s04_training_sink": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "s06_correlation_sink": corr_long("lineitem", ["l_quantity", "l_extendedprice",
                                                        "l_discount", "l_tax"]),

@@ -152,6 +152,14 @@ def s03_read_report(spark, sf_dir):
     return io.read_report(spark, path)
 
 
+def s01_csv_roundtrip(spark, sf_dir):
+    """S01 on CSV: written with a header, read back as text, NA tokens -> NULL,
+    then each column typed (long / double / text) by what all its values parse as."""
+    path = _scratch(spark)
+    dirty_orders(spark, sf_dir).write.option("header", True).csv(path)
+    return round_doubles(io.read_table(spark, path, fmt="csv"))
+
+
 def s02_ingest(spark, sf_dir):
     return round_doubles(io.ingest(spark, load(spark, sf_dir, "customer")))
 
@@ -1022,6 +1030,7 @@ def registry() -> dict:
     """Query id -> workload."""
     q = {
         "s01_scan_normalize": s01_scan_normalize,
+        "s01_csv_roundtrip": s01_csv_roundtrip,
         "s03_read_report": s03_read_report,
         "s04_training_sink": s04_training_sink,
         "s05_analysis_report_sink": s05_analysis_report_sink,
