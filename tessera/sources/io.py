@@ -44,14 +44,16 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
 
 
 def _infer_types(df: DataFrame) -> DataFrame:
-    """Per text column: integer if every non-null parses as long, else double if
-    every non-null is a decimal literal, else text (one aggregate)."""
+    """Per text column: integer if every non-null is an integer literal that
+    fits a long, else double if every non-null is a decimal literal, else text.
+    One aggregate pass (as a reader's schema inference would take)."""
     cols = df.columns
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
         aggs += [F.count(x).alias(f"n{i}"),
-                 F.count(F.when(F.trim(x).rlike(r"^[+-]?[0-9]+\z"), 1)).alias(f"l{i}"),
+                 F.count(F.when(F.trim(x).rlike(r"^[+-]?[0-9]+\z") &
+                                F.trim(x).try_cast("long").isNotNull(), 1)).alias(f"l{i}"),
                  F.count(R.parse_number(x)).alias(f"d{i}")]
     row = df.agg(*aggs).collect()[0]
     out = []
