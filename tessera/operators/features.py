@@ -54,15 +54,24 @@ def fit_label_encoders(df: DataFrame, columns: list[str]) -> DataFrame:
     return dense_codes(long, "column", "value")
 
 
+def encoder_sizes(encoders: DataFrame) -> dict:
+    """Rows per encoded column (one small aggregate; one row per column)."""
+    return {r["column"]: r["n"] for r in
+            encoders.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def apply_label_encoders(df: DataFrame, encoders: DataFrame, columns: list[str],
-                         n_encoder_rows: int | None = None) -> DataFrame:
+                         n_encoder_rows: int | dict | None = None) -> DataFrame:
     """F01/F03/F11 apply: code by lookup, unseen value -> 0 (the first class).
 
-    The encoder table is broadcast only when its row count is known and small.
+    Each column's encoder is broadcast only when its row count is known and
+    small (``n_encoder_rows``: a per-column dict, or one total); a large one
+    (a free-text column) is joined by shuffle without forcing the others to.
     """
     out = df
-    small = n_encoder_rows is not None and n_encoder_rows <= BROADCAST_MAX_ROWS
     for c in columns:
+        size = n_encoder_rows.get(c) if isinstance(n_encoder_rows, dict) else n_encoder_rows
+        small = size is not None and size <= BROADCAST_MAX_ROWS
         enc = encoders.where(F.col("column") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
         enc = F.broadcast(enc) if small else enc
@@ -207,7 +216,7 @@ class FeatureProcessor:
     problem_type: str
     encoders: DataFrame | None = None
     encoded: list = field(default_factory=list)
-    n_encoder_rows: int = 0
+    n_encoder_rows: dict = field(default_factory=dict)
     selected: list = field(default_factory=list)
     scores: dict = field(default_factory=dict)
     method: str = ""
@@ -220,7 +229,7 @@ class FeatureProcessor:
         out = df
         if self.encoded:
             self.encoders = fit_label_encoders(df, self.encoded).cache()
-            self.n_encoder_rows = self.encoders.count()
+            self.n_encoder_rows = encoder_sizes(self.encoders)
             out = apply_label_encoders(df, self.encoders, self.encoded, self.n_encoder_rows)
         cls = self.problem_type in ("classification", "binary_classification")
         if cls and isinstance(df.schema[label].dataType, T.StringType):
