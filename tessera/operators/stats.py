@@ -145,27 +145,36 @@ def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
     grouped by their double value instead (no number-to-text conversion; -0.0
     and 0.0 fall together as in the source semantics) and ``v`` is NULL for
     them; ``d`` carries the number. ``count_rows`` adds the pseudo column
-    ``ROWS_NAME`` whose single count is the number of rows.
+    ``ROWS_NAME`` whose single count is the number of rows. Numeric and text
+    columns are unpivoted separately (each branch reads only its own
+    columns and groups on a primitive key) and the two count tables unioned.
     """
     kinds = kinds or {}
-    vals = []
-    for n in names:
-        if kinds.get(n) == NUMERIC:
-            vals.append(F.struct(F.col(f"`{n}`").cast("double").alias("d"),
-                                 F.lit(None).cast("string").alias("s")).alias(n))
-        else:
-            vals.append(F.struct(F.lit(None).cast("double").alias("d"),
-                                 text_expr(n).alias("s")).alias(n))
-    cols = list(names)
-    if count_rows:
-        vals.append(F.struct(F.lit(1.0).alias("d"), F.lit(None).cast("string").alias("s"))
-                    .alias(ROWS_NAME))
-        cols.append(ROWS_NAME)
-    wide = df.select(*vals)
-    long = wide.unpivot([], [F.col(f"`{n}`") for n in cols], "name", "val")
-    out = (long.where(F.col("val.d").isNotNull() | F.col("val.s").isNotNull())
-           .groupBy("name", "val").agg(F.count(F.lit(1)).alias("cnt")))
-    return out.select("name", F.col("val.s").alias("v"), F.col("val.d").alias("d"), "cnt")
+    num = [n for n in names if kinds.get(n) == NUMERIC]
+    txt = [n for n in names if kinds.get(n) != NUMERIC]
+    parts = []
+    if num or count_rows:
+        cols = [F.col(f"`{n}`").cast("double").alias(n) for n in num]
+        keys = list(num)
+        if count_rows:
+            cols.append(F.lit(1.0).alias(ROWS_NAME))
+            keys.append(ROWS_NAME)
+        parts.append(df.select(*cols).unpivot([], [F.col(f"`{n}`") for n in keys], "name", "d")
+                     .where(F.col("d").isNotNull())
+                     .groupBy("name", "d").agg(F.count(F.lit(1)).alias("cnt"))
+                     .select("name", F.lit(None).cast("string").alias("v"), "d", "cnt"))
+    if txt:
+        parts.append(df.select(*[text_expr(n).alias(n) for n in txt])
+                     .unpivot([], [F.col(f"`{n}`") for n in txt], "name", "v")
+                     .where(F.col("v").isNotNull())
+                     .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
+                     .select("name", "v", F.lit(None).cast("double").alias("d"), "cnt"))
+    if not parts:
+        raise ValueError("value_counts needs at least one column (or count_rows)")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
