@@ -15,7 +15,9 @@ FAST = ["a21_column_profile", "a21_column_profile_dirty", "a04_duplicates", "a10
         "c14_impute_dispatch", "c16_remove_outliers", "c20_process_dataset", "f05_anova_f",
         "f06_mutual_info_binary", "f11_transform_new", "m02_stratified_split", "m03_folds",
         "e01_e02_metrics", "e03_auc", "e05_confusion", "e06_report", "t01_head_preview",
-        "t02_samples", "n01_n13_scalar"]
+        "t02_samples", "n01_n13_scalar", "s01_csv_roundtrip", "f10_fit_features_long",
+        "m08_linear_closed_form", "m09_ridge_closed_form", "a15_outlier_detail",
+        "r05_identifier_rule", "c15_cap_outliers"]
 
 
 def norm(v):
