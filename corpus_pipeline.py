@@ -1,30 +1,37 @@
-"""Corpus pipeline: quality rules, line dedup.
+"""Corpus pipeline: quality rules, line dedup, SimHash near-dedup, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and reread as the next one's ``docs``.
+as Parquet and reread as the next one's ``docs``. A document that the quality
+rules reject goes; boilerplate lines go from those that stay; of each group of
+near copies one stays; one that holds a benchmark item goes; the rest is packed
+into sequences of the permitted lengths, one row a piece.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import line_dedup, quality_rules
-from tessera.llm.common import scratch_path
+from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup
+from tessera.llm.common import scratch_path, table
 
 STAGES = [
     ("quality_rules", lambda spark, docs, sf_dir: quality_rules.stage(docs)),
     ("line_dedup", lambda spark, docs, sf_dir: line_dedup.stage(docs)),
+    ("simhash_near_dedup", lambda spark, docs, sf_dir: simhash_dedup.stage(docs)),
+    ("benchmark_decontamination",
+     lambda spark, docs, sf_dir: decontaminate.stage(docs, table(spark, sf_dir, "benchmark"))),
+    ("best_fit_packing", lambda spark, docs, sf_dir: packing.packed(docs)),
 ]
 
-#: Later stages hash words, which SQL can't express; tests hold run() against brute force.
+#: Fingerprints are XXH64, which SQL does not have; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage in turn over ``documents``, each written and reread."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

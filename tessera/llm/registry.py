@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import line_dedup, quality_rules
+from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_dedup": simhash_dedup.run,
+        "op3_decontaminate": decontaminate.run,
+        "op4_packing": packing.run,
         "op5_line_dedup": line_dedup.run,
         "op9_quality_rules": quality_rules.run,
     }
