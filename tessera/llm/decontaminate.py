@@ -138,7 +138,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", shingle:
     """(key, doc_id, item_id, similarity, hamming, start_word, n_words): the best window for each pair."""
     items = prepared_items(benchmark, shingle)
     masks = _blocks(radius)
-    w = _posted(_windows(_keyed(docs, text), items), masks)
+    # cut, so that no fingerprint is worked out again for each of its blocks
+    w = _posted(cut(_windows(_keyed(docs, text), items)), masks)
     i = _posted(items.select("item_id", F.col("n").alias("__n"), F.col("fp").alias("__fp"),
                              F.col("bag").alias("__bag"), F.col("fp")), masks)
     i = i.select("item_id", "__n", "__fp", "__bag", F.col("__p").alias("__q")).distinct()
