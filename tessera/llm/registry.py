@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup, substring_dedup
+from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup, substring_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": packing.run,
         "op5_line_dedup": line_dedup.run,
         "op6_substring_dedup": substring_dedup.run,
+        "op8_warc": warc.run,
         "op9_quality_rules": quality_rules.run,
     }
 
@@ -24,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": line_dedup.SQL,
         "op6_substring_dedup": substring_dedup.SQL,
+        "op8_warc": warc.SQL,
         "op9_quality_rules": quality_rules.SQL,
     }
