@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup, substring_dedup, warc
+from tessera.llm import (
+    decontaminate,
+    html_extract,
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash_dedup,
+    substring_dedup,
+    warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substring_dedup": substring_dedup.run,
         "op8_warc": warc.run,
         "op9_quality_rules": quality_rules.run,
+        "op10_html_extract": html_extract.run,
     }
 
 
