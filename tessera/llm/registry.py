@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import (
     decontaminate,
     html_extract,
+    license_scan,
     line_dedup,
     packing,
     quality_rules,
@@ -21,6 +22,7 @@ from tessera.llm import (
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_dedup": simhash_dedup.run,
+        "op2_license_scan": license_scan.run,
         "op3_decontaminate": decontaminate.run,
         "op4_packing": packing.run,
         "op5_line_dedup": line_dedup.run,

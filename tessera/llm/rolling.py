@@ -53,12 +53,15 @@ def spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int) -
 class Chunk:
     """The words of several texts laid end to end; words of different texts never share a window."""
 
-    def __init__(self, texts: list[bytes]):
-        self.data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    def __init__(self, texts: list[bytes], fold: bytes | None = None):
+        """``fold`` maps each byte before words are cut, as ``bytes.translate`` does."""
+        joined = b" " + b" ".join(texts) + b" "
+        self.data = np.frombuffer(joined.translate(fold) if fold else joined, np.uint8)
         word = ~_SPACE[self.data]
         edges = np.flatnonzero(word[1:] != word[:-1]) + 1
         self.begins, self.ends = edges[::2], edges[1::2]
-        at = np.cumsum([1] + [len(t) + 1 for t in texts])
+        #: first byte of each text
+        self.text_at = at = np.cumsum([1] + [len(t) + 1 for t in texts])
         #: first word of each text, and one past the last of all
         self.offsets = np.searchsorted(self.begins, at).astype(np.int64)
         self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.offsets))
