@@ -15,6 +15,7 @@ from tessera.llm import (
     quality_rules,
     simhash_dedup,
     substring_dedup,
+    suffix_dedup,
     warc,
 )
 
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": packing.run,
         "op5_line_dedup": line_dedup.run,
         "op6_substring_dedup": substring_dedup.run,
+        "op7_suffix_dedup": suffix_dedup.run,
         "op8_warc": warc.run,
         "op9_quality_rules": quality_rules.run,
         "op10_html_extract": html_extract.run,
@@ -37,6 +39,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": line_dedup.SQL,
         "op6_substring_dedup": substring_dedup.SQL,
+        "op7_suffix_dedup": suffix_dedup.SQL,
         "op8_warc": warc.SQL,
         "op9_quality_rules": quality_rules.SQL,
     }
