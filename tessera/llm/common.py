@@ -48,6 +48,16 @@ def discard(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def boxed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` as one struct column ``__row`` beside ``columns``: no name of ``df`` can clash with a working column."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    return df.select(row, *[c.alias(n) for n, c in columns.items()])
+
+
+def unboxed(df: DataFrame) -> DataFrame:
+    return df.select("__row.*")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; Spark's cleaner removes it with its last reference."""
     checkpoint_dir(df.sparkSession)

@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_ROWS, cut, lookup
+from tessera.llm.common import BROADCAST_ROWS, boxed, cut, lookup, unboxed
 
 SHINGLE = 5
 RADIUS = 20
@@ -162,8 +162,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", shingle:
 
 def stage(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with their columns unchanged."""
-    found = cut(matches(docs, benchmark, text).select("key").distinct().withColumnRenamed("key", "__doc"))
-    return lookup(docs.withColumn("__doc", _key(text)), found, "__doc", "left_anti", ["__doc"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = cut(matches(docs, benchmark, text).select("key").distinct().withColumnRenamed("key", "doc"))
+    return unboxed(lookup(boxed(docs, doc=_key(text)), found, "doc", "left_anti", ["doc"]))
 
 
 def run(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CHARS, cut, lookup
+from tessera.llm.common import SPACE_CHARS, boxed, cut, lookup
 
 MAX_RATIO_PCT = 5
 MIN_PAGES = 5
@@ -55,36 +55,30 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source",
 
 def stripped(docs: DataFrame, text: str = "text", host: str = "source",
              max_ratio_pct: int = MAX_RATIO_PCT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with __text (its boilerplate lines dropped), __n_lines and __n_removed."""
-    hosts = cut(boilerplate(docs, text, host, max_ratio_pct, min_pages).select(
-        F.col("host").alias("__host"), F.col("lines").alias("__lines")))
+    """(__row, text, n_lines, n_removed): each row of ``docs`` beside its text without boilerplate lines."""
+    hosts = cut(boilerplate(docs, text, host, max_ratio_pct, min_pages))
     # bytes count, not hosts: 16 for each digest
-    cost = hosts.agg(F.sum(F.size("__lines"))).first()[0] or 0
-    d = lookup(docs.withColumn("__host", F.col(host).cast("string")), hosts, "__host", "left",
-               [text], rows=cost)
-    all_lines = F.split(F.col(text).cast("string"), "\n")
-    d = d.withColumn("__all", F.when(F.col(text).isNotNull(), all_lines))
-    keep = F.filter("__all", lambda x: ~(_has_word(x) & F.array_contains("__lines", _digest(x))))
-    d = d.withColumn("__kept", F.when(F.col("__lines").isNull(), F.col("__all")).otherwise(keep))
-    return d.withColumns({
-        "__text": F.array_join("__kept", "\n"),
-        "__n_lines": F.coalesce(F.size("__all"), F.lit(0)).cast("long"),
-        "__n_removed": F.coalesce(F.size("__all") - F.size("__kept"), F.lit(0)).cast("long"),
-    }).drop("__all", "__kept", "__lines", "__host")
+    cost = hosts.agg(F.sum(F.size("lines"))).first()[0] or 0
+    d = boxed(docs, text=F.col(text).cast("string"), host=F.col(host).cast("string"))
+    d = lookup(d, hosts, "host", "left", ["text"], rows=cost)
+    d = d.withColumn("all", F.split("text", "\n"))
+    keep = F.filter("all", lambda x: ~(_has_word(x) & F.array_contains("lines", _digest(x))))
+    d = d.withColumn("kept", F.when(F.col("lines").isNull(), F.col("all")).otherwise(keep))
+    n_all, n_kept = (F.coalesce(F.size(c), F.lit(0)).cast("long") for c in ("all", "kept"))
+    return d.select("__row", F.array_join("kept", "\n").alias("text"), n_all.alias("n_lines"),
+                    (n_all - n_kept).alias("n_removed"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents with their boilerplate lines dropped; n_chars follows the text."""
     d = stripped(docs)
-    out = {"text": F.col("__text").alias("text"),
-           "n_chars": F.coalesce(F.length("__text"), F.lit(0)).cast("long").alias("n_chars")}
-    return d.select(*[out.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    out = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")}
+    return d.select(*[out.get(c, F.col(f"__row.`{c}`")) for c in docs.columns])
 
 
 def run(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return stripped(docs).select("doc_id", F.col("__n_lines").alias("n_lines"),
-                                 F.col("__n_removed").alias("n_removed"), F.col("__text").alias("text"))
+    return stripped(docs).select("__row.doc_id", "n_lines", "n_removed", "text")
 
 
 SQL = """

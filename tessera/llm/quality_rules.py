@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CHARS, cut, lookup, words_of
+from tessera.llm.common import SPACE_CHARS, boxed, cut, lookup, unboxed, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -39,19 +39,18 @@ RULES = {
 MAX_HOST_RATE = 0.5
 
 
-def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
-    p = lambda c: f"{prefix}{c}"
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = docs.withColumns({"__words": words_of(F.col(text)), "__lines": lines, "__t": t})
     n = F.size("__words")
     d = d.withColumns({
-        p("n_words"): n.cast("long"),
-        p("word_chars"): F.length(F.translate("__t", SPACE_CHARS, "")).cast("long"),
-        p("n_symbols"): (F.length("__t") - F.length(F.translate("__t", SYMBOLS, ""))).cast("long"),
-        p("n_lines"): F.size("__lines").cast("long"),
-        p("n_dup_lines"): (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_words": n.cast("long"),
+        "word_chars": F.length(F.translate("__t", SPACE_CHARS, "")).cast("long"),
+        "n_symbols": (F.length("__t") - F.length(F.translate("__t", SYMBOLS, ""))).cast("long"),
+        "n_lines": F.size("__lines").cast("long"),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         # a hash for each window, in order of position
         "__win": F.when(n >= WINDOW, F.transform(
             F.sequence(F.lit(1), n - (WINDOW - 1)),
@@ -70,17 +69,12 @@ def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
         "__at", F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(
             F.lit(WINDOW), i - a["last"]).cast("long")).alias("n")), lambda a: a["n"])
-    return d.withColumn(p("n_repeat_words"), F.coalesce(covered, F.lit(0).cast("long"))).drop(
+    return d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(
         "__win", "__by_hash", "__at")
 
 
-def _rules(prefix: str = ""):
-    out = {}
-    for name, rule in RULES.items():
-        for c in ("n_words", "n_repeat_words", "n_symbols", "word_chars", "n_dup_lines", "n_lines"):
-            rule = " ".join(f"{prefix}{c}" if w == c else w for w in rule.split(" "))
-        out[name] = F.expr(rule)
-    return out
+def _rules():
+    return {name: F.expr(rule) for name, rule in RULES.items()}
 
 
 def condemned_hosts(failures: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -132,13 +126,16 @@ def stage(docs: DataFrame, text: str = "text", host: str = "source",
     narrow = measured(narrow).withColumns(_rules())
     hosts = condemned_hosts(narrow.select("host", *RULES), max_host_rate)
     bad = hosts.filter("condemned").select(F.col("host").alias("__host"), F.lit(True).alias("__bad"))
-    d = measured(docs.withColumn("__host", F.col(host).cast("string")), text, "__q_")
-    d = d.withColumns({f"__fail_{k}": c for k, c in _rules("__q_").items()})
-    d = lookup(d, bad, "__host", "left", ["doc_id", "__q_n_words"])
-    base = F.col("__fail_few_words") | F.col("__fail_repeats")
-    soft = F.greatest(*[F.col(f"__fail_{r}") for r in RULES])
-    return d.filter(~base & ~(soft & F.coalesce("__bad", F.lit(False)))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    d = boxed(docs, text=F.col(text), host=F.col(host).cast("string"), doc_id=F.col("doc_id"))
+    d = measured(d).withColumns(_rules())
+    bad = hosts.filter("condemned").select("host", "condemned")
+    d = lookup(d, bad, "host", "left", ["doc_id", "n_words"])
+    base = F.col("few_words") | F.col("repeats")
+    soft = F.greatest(*[F.col(r) for r in RULES])
+    # one sum over both sides of the join: as a conjunction, its left part would be pushed below the
+    # measures and work them out a second time, nested in one another
+    faults = base.cast("int") + (soft & F.coalesce("condemned", F.lit(False))).cast("int")
+    return unboxed(d.filter(faults == 0))
 
 
 def run(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tessera.llm.common import discard, written
+from tessera.llm.common import boxed, discard, unboxed, written
 from tessera.llm.components import components
 
 SHINGLE = 4
@@ -229,11 +229,10 @@ def stage(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, max_bits:
     a = assigned(docs, text, shingle, max_bits)
     keep = a.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("keeper_fp")))
     # one key, null or not, for the join and for repeated rows after it, so that texts are dealt once
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.hex("__fp"))
-    keep = keep.withColumnRenamed("fp", "__fp").select(key.alias("__key")).distinct()
-    d = docs.withColumn("__fp", fingerprint(F.col(text), shingle)).withColumn("__key", key).drop("__fp")
-    kept = d.join(keep, "__key", "left_semi").dropDuplicates(["__key"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.hex("fp"))
+    keep = keep.select(key.alias("key")).distinct()
+    d = boxed(docs, doc_id=F.col("doc_id"), fp=fingerprint(F.col(text), shingle)).withColumn("key", key)
+    return unboxed(d.join(keep, "key", "left_semi").dropDuplicates(["key"]))
 
 
 def run(spark, sf_dir: str) -> DataFrame:
