@@ -275,16 +275,14 @@ def _gather(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _firsts(seg: np.ndarray):
-    """Of equal segments the first by (doc, start), and those after it, at least one of the two larger."""
+    """Of equal segments the first by (doc, start), with others of the same place, and those after it."""
     order = np.lexsort((seg["start"], seg["doc"], seg["h2"], seg["h1"]))
     seg = seg[order]
     g = groups(seg["h1"], seg["h2"]) if len(seg) else np.empty(0, np.int64)
     size = np.diff(np.r_[g, len(seg)])
     lead = np.repeat(g, size)
     later = (seg["doc"] != seg["doc"][lead]) | (seg["start"] != seg["start"][lead])
-    is_first = np.zeros(len(seg), bool)
-    is_first[g] = True
-    return seg[is_first], seg[later]
+    return seg[~later], seg[later]
 
 
 def _answer_segments(length: int):
