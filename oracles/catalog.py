@@ -70,8 +70,7 @@ def s01():
 
 
 def corr_long(table, cols, digits=4):
-    parts = [f"SELECT {q(a)} AS a, {q(b)} AS b, round(covar_pop({a}, {b}) / "
-             f"nullif(stddev_pop({a}) * stddev_pop({b}), 0), {digits}) AS corr FROM {table}"
+    parts = [f"SELECT {q(a)} AS a, {q(b)} AS b, round(corr({a}, {b}), {digits}) AS corr FROM {table}"
              for a in cols for b in cols]
     return union(parts)
 
@@ -481,11 +480,10 @@ def anova_sql(feats, label="l_returnflag", src="lineitem") -> str:
     parts = []
     for f in feats:
         parts.append(f"""
-SELECT {q(f)} AS feature, ((B - S * S / NN) / (k - 1)) / nullif((SS - B) / (NN - k), 0) AS score
-FROM (SELECT sum(n) AS NN, sum(s) AS S, sum(ss) AS SS, sum(s * s / n) AS B, count_if(n > 0) AS k
-      FROM (SELECT count({f}) AS n, sum(CAST({f} AS DOUBLE)) AS s,
-                   sum(CAST({f} AS DOUBLE) * CAST({f} AS DOUBLE)) AS ss
-            FROM {src} GROUP BY {label}))""")
+SELECT {q(f)} AS feature, (sum((m - mm) ^ 2) / (count(DISTINCT y) - 1))
+  / nullif(sum((x - m) ^ 2) / (count(*) - count(DISTINCT y)), 0) AS score
+FROM (SELECT x, y, favg(x) OVER (PARTITION BY y) AS m, favg(x) OVER () AS mm
+      FROM (SELECT CAST({f} AS DOUBLE) AS x, {label} AS y FROM {src} WHERE {f} IS NOT NULL))""")
     return union(parts)
 
 
@@ -504,7 +502,8 @@ SELECT {q(f)} AS feature, sum((nj / ntot) * ln(nj * ntot / (nb * ny))) AS score
   SELECT nj, sum(nj) OVER () AS ntot, sum(nj) OVER (PARTITION BY b) AS nb,
          sum(nj) OVER (PARTITION BY y) AS ny FROM (
     SELECT b, y, CAST(count(*) AS DOUBLE) AS nj FROM (
-      SELECT {bin_sql(f, src)} AS b, {y} AS y FROM {src}) GROUP BY b, y))""")
+      SELECT {bin_sql(f, src)} AS b, {y} AS y FROM {src}
+      WHERE {f} IS NOT NULL AND {label} IS NOT NULL) GROUP BY b, y))""")
     return union(parts)
 
 
@@ -526,39 +525,21 @@ def f09():
     return f"SELECT c_custkey, {scaled('t', 'customer', ['c_acctbal', 'c_nationkey'])} FROM customer t"
 
 
-# F10 on lineitem (label l_returnflag, 3 classes -> ANOVA F, k = 5 of 9 features):
-# the selection itself is checked by f08; this checks the encode + scale values.
-F10_SELECTED = ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount"]
-
-
-def f10():
-    enc = f"""(SELECT l.*, CAST(el.code AS INTEGER) AS ls_code, CAST(er.code AS INTEGER) AS rf_code
-      FROM lineitem l
-      JOIN ({"SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT l_linestatus AS v FROM lineitem)"}) el ON l.l_linestatus = el.v
-      JOIN ({"SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT l_returnflag AS v FROM lineitem)"}) er ON l.l_returnflag = er.v)"""
-    cols = []
-    for c in F10_SELECTED:
-        src_c = "ls_code" if c == "l_linestatus" else c
-        cols.append(f"round((e.{src_c} - (SELECT avg({src_c}) FROM {enc})) / coalesce(nullif("
-                    f"(SELECT stddev_pop({src_c}) FROM {enc}), 0), 1), 6) AS {c}")
-    return f"SELECT {', '.join(cols)}, e.rf_code AS l_returnflag FROM {enc} e"
-
-
 F10_FEATURES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+                "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
 
 
 def f10_long():
-    """F10 fully in SQL: encode l_linestatus, ANOVA F against l_returnflag, keep
-    the top k = min(20, max(5, 9 // 2), 9) = 5 (later column wins ties), scale
-    by population std, emit (feature, value, label code) rows."""
-    enc = ("(SELECT l.*, CAST(el.code AS INTEGER) AS ls_code, CAST(er.code AS INTEGER) AS rf_code "
-           "FROM lineitem l "
+    """F10 fully in SQL: encode l_linestatus and the date (as text), ANOVA F against
+    l_returnflag, keep the top k = min(20, max(5, 10 // 2), 10) = 5 (later column
+    wins ties), scale by population std, emit (feature, value, label code) rows."""
+    enc = ("(SELECT l.*, CAST(el.code AS INTEGER) AS ls_code, CAST(er.code AS INTEGER) AS rf_code, "
+           "dense_rank() OVER (ORDER BY CAST(l_shipdate AS VARCHAR)) - 1 AS sd_code FROM lineitem l "
            "JOIN (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM "
            "(SELECT DISTINCT l_linestatus AS v FROM lineitem)) el ON l.l_linestatus = el.v "
            "JOIN (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM "
            "(SELECT DISTINCT l_returnflag AS v FROM lineitem)) er ON l.l_returnflag = er.v)")
-    col = {f: ("ls_code" if f == "l_linestatus" else f) for f in F10_FEATURES}
+    col = {f: {"l_linestatus": "ls_code", "l_shipdate": "sd_code"}.get(f, f) for f in F10_FEATURES}
     scores = union([
         f"SELECT {q(f)} AS feature, {i} AS ord, ((B - S * S / NN) / (k - 1)) / "
         f"nullif((SS - B) / (NN - k), 0) AS score FROM (SELECT sum(n) AS NN, sum(s) AS S, "
@@ -579,6 +560,73 @@ SELECT v.feature, round(v.value, 6) AS value, v.l_returnflag FROM ({values}) v
 JOIN sel ON v.feature = sel.feature"""
 
 
+def p10():
+    return f"SELECT feature, count(value) AS n FROM ({f10_long()}) GROUP BY feature"
+
+
+def report_facts():
+    """C19's numbers: the cleaned view loses sparse_num, the training set nothing more but identifiers."""
+    p = prof_body("dirty_clean")
+    ids = f"(SELECT count(*) FROM ({p}) WHERE inferred_type = 'identifier')"
+    miss = (f"(SELECT 100.0 - sum({nulls([c for c, _, _ in DIRTY])}) * 100.0 / (count(*) * 8) FROM {DIRTY_SRC})")
+    facts = [("summary", "rows", f"(SELECT count(*) FROM {DIRTY_SRC})"), ("summary", "columns", "8"),
+             ("summary", "processed_rows", f"(SELECT count(*) FROM {CLEAN_SRC})"),
+             ("summary", "processed_columns", f"7 - {ids}"),
+             ("completeness", "original", f"round({miss}, 1)"), ("completeness", "final", "100"),
+             ("completeness", "improvement", f"round(100.0 - {miss}, 1)"),
+             ("quality", "duplicate_count", f"(SELECT count(*) FROM {CLEAN_SRC}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {CLEAN_SRC}))"),
+             ("quality", "duplicate_percentage", "0"),
+             ("quality", "outlier_columns", f"(SELECT count_if(has_outliers) FROM ({p}))")]
+    rows = [f"SELECT {q(s)} AS section, {q(i)} AS item, CAST({v} AS DOUBLE) AS value" for s, i, v in facts]
+    rows.append(f"SELECT 'type_counts', inferred_type, CAST(count(*) AS DOUBLE) FROM ({p}) GROUP BY inferred_type")
+    rows.append(f"SELECT 'type_percentages', inferred_type, round(count(*) * 100.0 / 7, 1) FROM ({p}) GROUP BY inferred_type")
+    return union(rows)
+
+
+# lineitem with gaps, as the engine's view of the same name
+GAPPY = """(SELECT l_orderkey, l_linenumber,
+  CASE WHEN (l_orderkey + l_linenumber) % 7 > 0 THEN l_quantity END AS qty,
+  CASE WHEN (l_orderkey + l_linenumber) % 5 > 0 THEN CAST(l_suppkey AS INTEGER) END AS supp,
+  CASE WHEN (l_orderkey + l_linenumber) % 3 > 0 THEN l_extendedprice END AS price,
+  CASE WHEN (l_orderkey + l_linenumber) % 4 > 0 THEN l_discount > 0.05 END AS cheap,
+  CASE WHEN (l_orderkey + l_linenumber) % 11 > 0 THEN l_shipdate END AS shipped FROM lineitem)"""
+
+
+def gaps_sql() -> dict:
+    """Queries on NULL, integer, boolean, big-integer, temporal and quoted input."""
+    cap = ("least(greatest({c}, (SELECT quantile_cont({c}, 0.05) FROM g)), (SELECT quantile_cont({c}, 0.95) FROM g))")
+    mode = "(SELECT {c} FROM g WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+    g = f"WITH g AS {GAPPY} "
+    part = "(SELECT p_size + 1e9 AS p_size, p_retailprice + 1e9 AS p_retailprice, p_type FROM part)"
+    return {
+        "c15_cap_outliers_gaps": g + "SELECT l_orderkey, l_linenumber, " + ", ".join(
+            f"round(CASE WHEN {c} IS NOT NULL THEN {cap.format(c=c)} END, 6) AS {c}" for c in ("qty", "supp")) + " FROM g",
+        "c13_final_sweep_typed": g + (
+            "SELECT l_orderkey, l_linenumber, round(coalesce(qty, 0), 6) AS qty, coalesce(supp, 0) AS supp, "
+            "round(coalesce(price, 0), 6) AS price, CASE WHEN cheap THEN 1.0 ELSE 0.0 END::DOUBLE AS cheap, "
+            "coalesce(CAST(shipped AS VARCHAR), 'Unknown') AS shipped FROM g"),
+        "c08_impute_mode_typed": g + (
+            f"SELECT l_orderkey, l_linenumber, CAST(CAST(coalesce(cheap, {mode.format(c='cheap')}) AS INT) AS DOUBLE) AS cheap, "
+            f"coalesce(supp, {mode.format(c='supp')}) AS supp FROM g"),
+        "a20_correlation_gaps": corr_long(GAPPY, ["qty", "supp", "price"]),
+        "a03_distinct_wide": (
+            "SELECT 'wide_key' AS name, count(DISTINCT o_orderkey) AS unique_count FROM orders UNION ALL "
+            "SELECT 'wide_cust', count(DISTINCT o_custkey) FROM orders"),
+        "f05_anova_offset": f"SELECT feature, round(score, 4) AS score FROM ({anova_sql(['p_size', 'p_retailprice'], 'p_type', part)})",
+        "f06_mutual_info_gaps": f"SELECT feature, round(score, 6) AS score FROM ({mi_sql(['qty', 'supp', 'price'], 'cheap', GAPPY)})",
+        "s01_csv_quoted": ("SELECT doc_id, 'say \"hi\", ' || text AS text, source, n_chars > 500 AS is_long FROM documents"),
+        "e05_confusion_pairs": ("SELECT l_suppkey AS label, l_partkey % 1500 AS prediction, count(*) AS n FROM lineitem GROUP BY ALL"),
+        "e04_constant_label": f"""
+WITH p AS (SELECT 'off' AS part, 25.0 AS label, CAST(p_size AS DOUBLE) AS prediction FROM part
+  UNION ALL SELECT 'exact', 25.0, 25.0 FROM part
+  UNION ALL SELECT 'gaps', CASE WHEN p_partkey % 3 > 0 THEN label END, prediction FROM {REG_PRED})
+SELECT part, round(avg((label - prediction) ^ 2), 6) AS mse, round(sqrt(avg((label - prediction) ^ 2)), 6) AS rmse,
+  round(avg(abs(label - prediction)), 6) AS mae, round(CASE part WHEN 'off' THEN 0.0 WHEN 'exact' THEN 1.0
+  ELSE 1 - sum((label - prediction) ^ 2) / sum((label - m) ^ 2) END, 6) AS r2
+FROM (SELECT *, avg(label) OVER (PARTITION BY part) AS m FROM p WHERE label IS NOT NULL) GROUP BY part""",
+    }
+
+
 def f11():
     fit = "(SELECT * FROM part WHERE p_size <= 25)"
     enc_cols = ["p_name", "p_brand", "p_type"]
@@ -811,6 +859,12 @@ def registry() -> dict:
     reg = _registry()
     reg.update({k: f"SELECT o_orderkey, {', '.join(v)} FROM ({n_scalar()})"
                 for k, v in N_COLUMNS.items()})
+    reg.update(gaps_sql())
+    reg["c19_report"] = reg["s05_analysis_report_sink"] = report_facts()
+    reg["s03_read_report"] = (
+        f"SELECT (SELECT count(*) FROM {DIRTY_SRC}) AS rows, CAST(8 AS BIGINT) AS columns, problem_type, "
+        f"CAST(0 AS BIGINT) AS duplicate_count, round((SELECT value FROM ({report_facts()}) "
+        f"WHERE section = 'completeness' AND item = 'original'), 6) AS completeness FROM ({r13()}) LIMIT 1")
     reg["e01_accuracy"] = f"SELECT accuracy FROM ({cls_metrics(BINARY_PRED)})"
     reg["e02_weighted_prf"] = f"SELECT precision, recall, f1 FROM ({cls_metrics(BINARY_PRED)})"
     return {k: zero_signed(v) for k, v in reg.items()}
@@ -840,7 +894,7 @@ def _registry() -> dict:
         "p07_row_null_share": p07(),
         "p08_range_filter": p08(),
         "p09_unseen_default": p09(),
-        "p10_project_selected": f10(),
+        "p10_project_selected": p10(),
         "p11_indicator_columns": p11(),
         "a01_table_shape": a01(),
         "a02_null_counts": prof("dirty", ["name", "null_count", "null_percentage"]),
@@ -942,7 +996,7 @@ def _registry() -> dict:
             f"SELECT feature, round(score, 6) AS score FROM ({mi_sql(['l_quantity', 'l_discount', 'l_tax', 'l_partkey', 'l_linenumber'], 'l_extendedprice', bin_label=True)})"),
         "f08_select_top_k": top_k_sql(anova_sql(LI_FEATURES), LI_FEATURES, 5),
         "f09_standard_scale": f09(),
-        "f10_fit_features": f10(),
+        "f10_fit_features": f10_long(),
         "f10_fit_features_long": f10_long(),
         "f11_transform_new": f11(),
         "m01_split": m01(),

@@ -13,9 +13,11 @@ def round_zero(c, digits: int = 6):
     return F.when(r == 0, F.lit(0.0)).otherwise(r)
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (cross-engine float noise stays below)."""
+def round_doubles(df: DataFrame, digits: int = 6, keep: tuple = ()) -> DataFrame:
+    """Round every double/float column (cross-engine float noise stays below)
+    but ``keep``: a value that can stand on a rounding tie is given as it is."""
     return df.select(*[
         round_zero(F.col(f"`{f.name}`"), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in keep
+        else F.col(f"`{f.name}`")
         for f in df.schema.fields])

@@ -67,6 +67,9 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
+# Spellings a CSV reader types as boolean, where a column has no other value.
+BOOLEAN_TEXT = ["True", "TRUE", "true", "False", "FALSE", "false"]
+
 # Decimal literal guard used before any text -> number cast, so that Spark and
 # other engines agree on what parses ('5d', '1_000', 'inf', 'NaN' do not).
 NUMERIC_TEXT = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"

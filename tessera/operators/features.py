@@ -35,6 +35,19 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
+def temporal_as_text(df: DataFrame, exclude=()) -> DataFrame:
+    """Dates and timestamps as text, so that they are label-encoded like it; booleans as 0/1."""
+    def view(f):
+        if f.name in exclude:
+            return _q(f.name)
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return _q(f.name).cast("string").alias(f.name)
+        if isinstance(f.dataType, T.BooleanType):
+            return _q(f.name).cast("double").alias(f.name)
+        return _q(f.name)
+    return df.select(*[view(f) for f in df.schema.fields])
+
+
 def encoder_text(c: str):
     """Values as the encoder sees them: text, NULL as 'nan'."""
     return F.coalesce(_q(c).cast("string"), F.lit("nan"))
@@ -101,17 +114,20 @@ def _long(df: DataFrame, features: list[str], label: str) -> DataFrame:
 def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """one-way ANOVA F per feature against a class label.
 
-    One shuffle on (feature, class) of partial sums; F = (SSB/(k-1))/(SSW/(n-k)).
+    One shuffle on (feature, class) of partial moments; F = (SSB/(k-1))/(SSW/(n-k)).
+    Both sums are of squared deviations (the class variances, and the class
+    means about the overall one), so a large common offset cancels nothing.
     """
-    g = _long(df, features, label).groupBy("feature", "y").agg(
-        F.count("x").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
-    t = g.groupBy("feature").agg(
-        F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-        F.sum(F.try_divide(F.col("s") * F.col("s"), F.col("n"))).alias("B"),
-        F.count_if(F.col("n") > 0).alias("k"))
-    ssb = F.col("B") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("B")
-    f = F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("N") - F.col("k")))
+    g = _long(df, features, label).where(F.col("x").isNotNull()).groupBy("feature", "y").agg(
+        F.count("x").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+    overall = g.groupBy(F.col("feature").alias("__f")).agg(
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
+    d = F.col("m") - F.col("mean")
+    t = g.join(overall, F.col("feature") == F.col("__f")).groupBy("feature").agg(
+        F.sum(F.col("n") * d * d).alias("ssb"), F.sum(F.col("n") * F.col("v")).alias("ssw"),
+        F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"))
+    f = F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1),
+                     F.try_divide(F.col("ssw"), F.col("N") - F.col("k")))
     return t.select("feature", f.alias("score"))
 
 
@@ -128,10 +144,11 @@ def _bins(df: DataFrame, cols: list[str], n_bins: int, exact: bool = True) -> di
 
 
 def _bin_expr(x, bounds):
+    """How many edges lie below x; NULL for NULL."""
     e = F.lit(0)
     for b in bounds:
         e = e + F.when(x > F.lit(b), 1).otherwise(0)
-    return e
+    return F.when(x.isNotNull(), e)
 
 
 def mutual_info(df: DataFrame, features: list[str], label: str, bin_label: bool = False,
@@ -140,7 +157,8 @@ def mutual_info(df: DataFrame, features: list[str], label: str, bin_label: bool
 
     Bin edges are deciles of each feature, exact or from a bounded sketch
     (``exact=False`` for very large inputs), all in one aggregate; counts
-    come from one shuffle on (feature, bin, label).
+    come from one shuffle on (feature, bin, label). A row without the feature
+    or without the label takes no part in that feature's score.
     """
     edges = _bins(df, features + ([label] if bin_label else []), n_bins, exact)
     ycol = F.col(f"`{label}`").cast("double")
@@ -149,6 +167,7 @@ def mutual_info(df: DataFrame, features: list[str], label: str, bin_label: bool
     binned = df.select(ycol.alias("y"), *[_bin_expr(_q(c).cast("double"), edges[c]).alias(c)
                                           for c in features])
     long = binned.unpivot(["y"], [_q(c) for c in features], "feature", "b")
+    long = long.where(F.col("b").isNotNull() & F.col("y").isNotNull())
     joint = long.groupBy("feature", "b", "y").agg(F.count(F.lit(1)).alias("nj"))
     # windows over the (feature, bin, label) count table: at most bins x labels rows each
     wf = Window.partitionBy("feature")
@@ -196,16 +215,18 @@ def scale(df: DataFrame, stats: dict) -> DataFrame:
 
 def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson matrix as (a, b, corr) rounded to 4; NULL for a constant
-    column (no ANSI divide-by-zero); all pairs in one aggregate."""
+    column (no ANSI divide-by-zero). Each pair uses the rows where both columns
+    have a value; the upper triangle is one aggregate, the lower its mirror."""
     aggs = []
     for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
+        for j, b in enumerate(columns[i:], i):
+            x, y = _q(a).cast("double"), _q(b).cast("double")
             aggs.append(F.round(F.try_divide(
-                F.covar_pop(_q(a), _q(b)), F.stddev_pop(_q(a)) * F.stddev_pop(_q(b))), 4)
+                F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))), 4)
                 .alias(f"c_{i}_{j}"))
     wide = df.agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.col(f"c_{i}_{j}").alias("corr"))
+                               F.col(f"c_{min(i, j)}_{max(i, j)}").alias("corr"))
                       for i, a in enumerate(columns) for j, b in enumerate(columns)])
     return wide.select(F.inline(pairs))
 
@@ -225,6 +246,7 @@ class FeatureProcessor:
 
     def fit_transform(self, df: DataFrame, label: str, max_features: int | None = None):
         features = [c for c in df.columns if c != label]
+        df = temporal_as_text(df)
         self.encoded = string_columns(df, exclude=(label,))
         out = df
         if self.encoded:
@@ -256,7 +278,7 @@ class FeatureProcessor:
         """encode (unseen -> 0), project to the selected features, scale;
         ``keep`` columns pass through unchanged."""
         keep = [c for c in (keep or []) if c in df.columns and c not in self.selected]
-        out = df
+        out = temporal_as_text(df, exclude=keep)
         if self.encoded:
             out = apply_label_encoders(out, self.encoders, [c for c in self.encoded
                                                             if c in df.columns],

@@ -50,13 +50,20 @@ def modes(df: DataFrame, columns: list[str]) -> dict:
     """
     if not columns:
         return {}
-    numeric = {c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)}
+    numeric = {c for c in columns
+               if isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))}
+    whole = {c for c in numeric if isinstance(
+        df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
     vc = value_counts(df, columns, {c: NUMERIC for c in numeric})
     top = vc.groupBy("name").agg(F.min_by(
         F.struct("d", "v"), F.struct((-F.col("cnt")).alias("a"), F.col("d"), F.col("v")))
         .alias("m"))
-    return {r["name"]: (r["m"]["d"] if r["name"] in numeric else r["m"]["v"])
-            for r in top.collect()}
+    def value(name, m):
+        if name in whole:
+            return int(m["v"])          # exact beyond 2^53 too
+        return m["d"] if name in numeric else m["v"]
+
+    return {r["name"]: value(r["name"], r["m"]) for r in top.collect()}
 
 
 def impute_plan(df: DataFrame, profile_rows: list[dict], missing_strategy: str,
@@ -129,6 +136,8 @@ def apply_fills(df: DataFrame, fills: dict) -> DataFrame:
             v = fills[f.name]
             if isinstance(f.dataType, T.StringType):
                 c = F.coalesce(c, F.lit(str(v)))
+            elif isinstance(f.dataType, T.BooleanType) and not isinstance(v, str):
+                c = F.coalesce(c.cast("double"), F.lit(float(v)))       # numeric role: 0/1
             elif isinstance(f.dataType, T.NumericType) and not isinstance(v, str):
                 integral = isinstance(f.dataType, (T.IntegerType, T.LongType,
                                                    T.ShortType, T.ByteType))
@@ -142,15 +151,30 @@ def apply_fills(df: DataFrame, fills: dict) -> DataFrame:
 
 
 def final_sweep(df: DataFrame) -> DataFrame:
-    """Remaining NULLs -> 0 in numeric columns, 'Unknown' in text columns."""
-    num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out = df
-    if num:
-        out = out.fillna(0, subset=num)
-    if txt:
-        out = out.fillna("Unknown", subset=txt)
-    return out
+    """Remaining NULLs -> 0 in numeric columns, 'Unknown' in all others.
+
+    Booleans have the numeric role and become 0/1 doubles. A temporal column
+    cannot hold 'Unknown': it turns to text, but only where it has NULLs left
+    (one aggregate over the temporal columns).
+    """
+    temporal = [f.name for f in df.schema.fields
+                if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    gaps = set()
+    if temporal:
+        row = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}")
+                       for i, c in enumerate(temporal)]).collect()[0]
+        gaps = {c for i, c in enumerate(temporal) if row[f"n{i}"]}
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.BooleanType):
+            c = F.coalesce(c.cast("double"), F.lit(0.0))
+        elif isinstance(f.dataType, T.NumericType):
+            c = F.coalesce(c, F.lit(0).cast(f.dataType))
+        elif isinstance(f.dataType, T.StringType) or f.name in gaps:
+            c = F.coalesce(c.cast("string"), F.lit("Unknown"))
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
 def impute(df: DataFrame, profile_rows: list[dict], missing_strategy: str,

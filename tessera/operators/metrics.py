@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from .quantiles import range_buckets
 
 
-MAX_GRID_CLASSES = 1000   # full confusion grid up to this many classes
-
-
 def _div0(a, b):
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
@@ -26,26 +23,19 @@ def confusion_counts(pred: DataFrame, group: list[str] | None = None) -> DataFra
 
 
 def confusion_matrix(pred: DataFrame) -> DataFrame:
-    """Full grid over the sorted union of classes, zeros filled.
+    """(label, prediction, n) of the observed pairs, at any number of classes."""
+    return confusion_counts(pred).select("label", "prediction", F.col("n").cast("bigint").alias("n"))
 
-    Classes are collected (a label domain is small), counts are pivoted by
-    predicted class and left-joined to the domain on the true class.
-    """
-    cm = confusion_counts(pred)
-    dom = pred.select(F.col("label").alias("c")).union(pred.select(F.col("prediction").alias("c"))) \
-        .distinct()
-    if dom.limit(MAX_GRID_CLASSES + 1).count() > MAX_GRID_CLASSES:
-        # a zero-filled grid would have k^2 cells: return the observed pairs only
-        return cm.select("label", "prediction", F.col("n").cast("bigint").alias("n"))
-    classes = sorted(r[0] for r in dom.collect())
-    wide = cm.groupBy("label").pivot("prediction", classes).agg(F.sum("n"))
-    dom = pred.sparkSession.createDataFrame([(c,) for c in classes], ["label"]) \
-        .withColumn("label", F.col("label").cast(pred.schema["label"].dataType))
-    full = dom.join(wide, "label", "left")
-    stack = F.array(*[F.struct(F.lit(c).cast(pred.schema["prediction"].dataType).alias("prediction"),
-                               F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias("n"))
-                      for c in classes])
-    return full.select("label", F.inline(stack))
+
+def confusion_grid(pred: DataFrame, classes: list) -> DataFrame:
+    """E05 over the classes the caller names: every pair of them, zeros filled."""
+    t = pred.schema["label"].dataType
+    cells = pred.sparkSession.createDataFrame([(c,) for c in classes], ["label"]).select(
+        F.col("label").cast(t).alias("label"),
+        F.explode(F.array(*[F.lit(c).cast(t) for c in classes])).alias("prediction"))
+    n = F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    return cells.join(confusion_counts(pred), ["label", "prediction"], "left").select(
+        "label", "prediction", n)
 
 
 def per_class(pred: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -151,15 +141,20 @@ def roc_auc(pred: DataFrame, group: list[str] | None = None,
 
 
 def regression_metrics(pred: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """MSE, RMSE, MAE, R^2 = 1 - SSE/SST."""
+    """MSE, RMSE, MAE, R^2 = 1 - SSE/SST over the rows with both values.
+
+    A constant label has no SST: R^2 is 1 where every prediction is right, else 0.
+    """
     g = group or []
     e = F.col("label") - F.col("prediction")
-    agg = pred.groupBy(*g).agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
-                               F.sum(e * e).alias("sse"),
-                               F.var_pop("label").alias("v"), F.count(F.lit(1)).alias("n"))
-    return agg.select(*g, "mse", F.sqrt("mse").alias("rmse"), "mae",
-                      (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("v") * F.col("n")))
-                      .alias("r2"))
+    pairs = pred.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    agg = pairs.groupBy(*g).agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
+                                F.sum(e * e).alias("sse"), F.min("label").alias("lo"),
+                                F.max("label").alias("hi"),
+                                F.var_pop("label").alias("v"), F.count(F.lit(1)).alias("n"))
+    r2 = F.when(F.col("lo") == F.col("hi"), F.when(F.col("sse") == 0, 1.0).otherwise(0.0)) \
+        .otherwise(F.lit(1.0) - F.try_divide(F.col("sse"), F.col("v") * F.col("n")))
+    return agg.select(*g, "mse", F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2"))
 
 
 def metric_bundle(pred: DataFrame, problem_type: str) -> DataFrame:

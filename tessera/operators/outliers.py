@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..session import cut_lineage
@@ -33,10 +34,16 @@ def cap_outliers(df: DataFrame, cols: list[str], exact: bool = True):
         F.count_if((F.col(f"`{c}`") < F.lit(qs[c][0])) | (F.col(f"`{c}`") > F.lit(qs[c][1])))
         .alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
     counts = {c: counts_row[f"n{i}"] for i, c in enumerate(cols)}
-    out = df.select(*[
-        F.least(F.greatest(F.col(f"`{f}`"), F.lit(qs[f][0])), F.lit(qs[f][1]))
-         .cast(df.schema[f].dataType).alias(f) if f in cols else F.col(f"`{f}`")
-        for f in df.columns])
+    def capped(f):
+        x = F.col(f"`{f}`")
+        t = df.schema[f].dataType
+        # caps are fractions: an integer column widens to double, as a filled one does;
+        # least / greatest skip NULL, so NULL is kept apart
+        t = t if isinstance(t, (T.DoubleType, T.FloatType)) else T.DoubleType()
+        clipped = F.least(F.greatest(x.cast("double"), F.lit(qs[f][0])), F.lit(qs[f][1]))
+        return F.when(x.isNotNull(), clipped).cast(t).alias(f)
+
+    out = df.select(*[capped(f) if f in cols else F.col(f"`{f}`") for f in df.columns])
     return out, counts
 
 

@@ -142,17 +142,30 @@ def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
     """A10: (name, v, d, cnt) over non-null values, map-side combined.
 
     ``v`` is the value as text. With ``kinds`` given, numeric columns are
-    grouped by their double value instead (no number-to-text conversion; -0.0
-    and 0.0 fall together as in the source semantics) and ``v`` is NULL for
-    them; ``d`` carries the number. ``count_rows`` adds the pseudo column
+    grouped by a number instead (-0.0 and 0.0 fall together as in the source
+    semantics) and ``d`` carries it: floats by their double, with ``v`` NULL;
+    integers by their own 64-bit value and decimals by their text, so that
+    values a double cannot tell apart stay apart, with ``v`` their text. ``count_rows`` adds the pseudo column
     ``ROWS_NAME`` whose single count is the number of rows. Numeric and text
     columns are unpivoted separately (each branch reads only its own
     columns and groups on a primitive key) and the two count tables unioned.
     """
     kinds = kinds or {}
-    num = [n for n in names if kinds.get(n) == NUMERIC]
-    txt = [n for n in names if kinds.get(n) != NUMERIC]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [n for n in names if kinds.get(n) == NUMERIC]
+    whole = [n for n in numeric if isinstance(
+        types[n], (T.ByteType, T.ShortType, T.IntegerType, T.LongType))]
+    exact = [n for n in numeric if isinstance(types[n], T.DecimalType)]
+    num = [n for n in numeric if n not in whole and n not in exact]
+    txt = [n for n in names if kinds.get(n) != NUMERIC] + exact
     parts = []
+    if whole:
+        parts.append(df.select(*[F.col(f"`{n}`").cast("bigint").alias(n) for n in whole])
+                     .unpivot([], [F.col(f"`{n}`") for n in whole], "name", "i")
+                     .where(F.col("i").isNotNull())
+                     .groupBy("name", "i").agg(F.count(F.lit(1)).alias("cnt"))
+                     .select("name", F.col("i").cast("string").alias("v"),
+                             F.col("i").cast("double").alias("d"), "cnt"))
     if num or count_rows:
         cols = [F.col(f"`{n}`").cast("double").alias(n) for n in num]
         keys = list(num)
@@ -168,7 +181,8 @@ def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
                      .unpivot([], [F.col(f"`{n}`") for n in txt], "name", "v")
                      .where(F.col("v").isNotNull())
                      .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-                     .select("name", "v", F.lit(None).cast("double").alias("d"), "cnt"))
+                     .select("name", "v", (F.when(F.col("name").isin(exact), F.col("v").try_cast("double"))
+                                           if exact else F.lit(None).cast("double")).alias("d"), "cnt"))
     if not parts:
         raise ValueError("value_counts needs at least one column (or count_rows)")
     out = parts[0]

@@ -20,7 +20,7 @@ from ..operators.quantiles import exact_quantiles
 from ..operators.stats import iqr_bounds, smallest_k_per_group, value_counts
 from ..session import checkpoint_dir, table_path
 from ..sources import io
-from . import preprocess
+from . import preprocess, report
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,10 +77,7 @@ def regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p_retailprice") + F.col("p_size") - 25).alias("prediction"))
 
 
-# ---- memoised profiles (one per session, table and scale) ---------------------
-
-_PROFILES: dict = {}
-
+# ---- sources and their profiles -------------------------------------------------
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table == "dirty":
@@ -91,26 +88,13 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.drop("embedding") if table == "embeddings" else df
 
 
-def _session_key(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
-
-
 def profile_of(spark: SparkSession, sf_dir: str, table: str) -> infer.DatasetProfile:
-    key = (_session_key(spark), sf_dir, table)
-    if key not in _PROFILES:
-        _PROFILES[key] = infer.profile_dataset(source(spark, sf_dir, table))
-    return _PROFILES[key]
-
-
-_CLEANED: dict = {}
+    return infer.profile_dataset(source(spark, sf_dir, table))
 
 
 def cleaned_dirty(spark: SparkSession, sf_dir: str):
-    key = (_session_key(spark), sf_dir)
-    if key not in _CLEANED:
-        p = profile_of(spark, sf_dir, "dirty")
-        _CLEANED[key] = clean.perform_automatic_cleaning(p.source, p.rows, p.n_rows)
-    return _CLEANED[key]
+    p = profile_of(spark, sf_dir, "dirty")
+    return clean.perform_automatic_cleaning(p.source, p.rows, p.n_rows)
 
 
 # ---- S: sources and sinks ------------------------------------------------------
@@ -138,18 +122,24 @@ def s06_correlation_sink(spark, sf_dir):
     return round_doubles(spark.read.schema("a string, b string, corr double").json(path), 4)
 
 
-def s05_analysis_report_sink(spark, sf_dir):
+def _report(spark, sf_dir):
     res = preprocess.process_dataset(dirty_orders(spark, sf_dir), order_by="o_orderkey")
-    path = _scratch(spark)
-    io.write_json(preprocess.analysis_report(res), path)
-    return spark.read.json(path)
+    return report.analysis_report(res)
+
+
+def s05_analysis_report_sink(spark, sf_dir):
+    """S05, read back with the report's own schema: its numbers survive the JSON."""
+    path, rep = _scratch(spark), _report(spark, sf_dir)
+    io.write_json(rep, path)
+    return round_doubles(report.report_facts(spark.read.schema(rep.schema).json(path)))
 
 
 def s03_read_report(spark, sf_dir):
-    rep = s05_analysis_report_sink(spark, sf_dir)
     path = _scratch(spark)
-    rep.coalesce(1).write.text(path)
-    return io.read_report(spark, path)
+    _report(spark, sf_dir).select(F.to_json(F.struct("*"), {"pretty": "true"})).coalesce(1).write.text(path)
+    return round_doubles(io.read_report(spark, path).select(
+        "summary.rows", "summary.columns", "summary.problem_type", "quality_assessment.duplicate_count",
+        F.col("summary.data_completeness.original").alias("completeness")))
 
 
 def s01_csv_roundtrip(spark, sf_dir):
@@ -258,8 +248,11 @@ def p09_unseen_default(spark, sf_dir):
 
 
 def p10_project_selected(spark, sf_dir):
-    fp = _fitted_lineitem(spark, sf_dir)
-    return round_doubles(fp[1])
+    """The projection alone: which of the columns F08 picks are left, with their row counts."""
+    _, out = _fitted_lineitem(spark, sf_dir)
+    kept = [c for c in out.columns if c != "l_returnflag"]
+    return out.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in kept]).unpivot(
+        [], [F.col(f"`{c}`") for c in kept], "feature", "n")
 
 
 def p11_indicator_columns(spark, sf_dir):
@@ -274,7 +267,7 @@ def p11_indicator_columns(spark, sf_dir):
 def _prof_cols(table, cols):
     def run(spark, sf_dir):
         p = profile_of(spark, sf_dir, table)
-        return round_doubles(p.columns.select("name", *cols))
+        return round_doubles(p.columns.select("name", *cols), keep=("mean_value",))
     return run
 
 
@@ -365,17 +358,14 @@ def a20_correlation(spark, sf_dir):
 def a21_column_profile(table):
     def run(spark, sf_dir):
         p = profile_of(spark, sf_dir, table)
-        return round_doubles(p.columns.select("ordinal", *infer.PROFILE_OUTPUT))
+        return round_doubles(p.columns.select("ordinal", *infer.PROFILE_OUTPUT), keep=("mean_value",))
     return run
 
 
 def a22_readiness(spark, sf_dir):
     p = profile_of(spark, sf_dir, "dirty")
-    miss = preprocess.missing_cells(p.source).collect()[0]["completeness"]
-    score = preprocess.readiness_score(100.0 - miss, p.duplicates["duplicate_percentage"],
-                                       p.complexity(), len(p.target_candidates()))
-    return round_doubles(p.columns.agg(F.count(F.lit(1)).alias("n_columns"))
-                         .select("n_columns", F.lit(score).alias("readiness_score")))
+    complete = preprocess.missing_cells(p.source).collect()[0]["completeness"]
+    return round_doubles(report.readiness(p, 100.0 - complete, p.duplicates["duplicate_percentage"]))
 
 
 def a23_characteristics(spark, sf_dir):
@@ -658,6 +648,72 @@ def c16_remove_outliers(spark, sf_dir):
     return outliers.remove_outliers(lab, quality.outlier_columns(p.rows))
 
 
+def gappy_lineitem(spark, sf_dir):
+    """Lineitem numbers with NULLs: a double and an integer column, and booleans."""
+    li = load(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey") + F.col("l_linenumber")
+    return li.select("l_orderkey", "l_linenumber", F.when(k % 7 > 0, F.col("l_quantity")).alias("qty"),
+                     F.when(k % 5 > 0, F.col("l_suppkey").cast("int")).alias("supp"),
+                     F.when(k % 3 > 0, F.col("l_extendedprice")).alias("price"),
+                     F.when(k % 4 > 0, F.col("l_discount") > 0.05).alias("cheap"),
+                     F.when(k % 11 > 0, F.col("l_shipdate")).alias("shipped"))
+
+
+def c15_cap_outliers_gaps(spark, sf_dir):
+    """C15 on NULLs (which stay) and on an integer column (which widens)."""
+    d = gappy_lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "qty", "supp")
+    return round_doubles(outliers.cap_outliers(d, ["qty", "supp"])[0])
+
+
+def c13_final_sweep_typed(spark, sf_dir):
+    """C13 on boolean, temporal, integer and double NULLs."""
+    return round_doubles(impute.final_sweep(gappy_lineitem(spark, sf_dir)))
+
+
+def c08_impute_mode_typed(spark, sf_dir):
+    """C08 on a boolean and an integer column with NULLs."""
+    d = gappy_lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "cheap", "supp")
+    out, _ = impute.impute(d, infer.profile_dataset(d).rows, "statistical_imputation")
+    return round_doubles(out)
+
+
+def a20_correlation_gaps(spark, sf_dir):
+    """A20 on columns with NULLs: each pair over the rows that have both."""
+    return features.correlation_long(gappy_lineitem(spark, sf_dir), ["qty", "supp", "price"])
+
+
+def a03_distinct_wide(spark, sf_dir):
+    """A03 on integers beyond 2^53, which a double cannot tell apart."""
+    o = load(spark, sf_dir, "orders").select((F.col("o_orderkey") + F.lit(9007199254740992)).alias("wide_key"),
+                                             (F.col("o_custkey") * -1 - F.lit(9007199254740992)).alias("wide_cust"))
+    return infer.profile_dataset(o).columns.select("name", "unique_count")
+
+
+def f05_anova_offset(spark, sf_dir):
+    """F05 with a common offset of 1e9 on every feature."""
+    p = load(spark, sf_dir, "part")
+    y = F.dense_rank().over(Window.orderBy("p_type"))
+    types = p.select("p_type").distinct().select("p_type", y.alias("y"))
+    d = p.join(F.broadcast(types), "p_type").select("y", (F.col("p_size") + 1e9).alias("p_size"),
+                                                   (F.col("p_retailprice") + 1e9).alias("p_retailprice"))
+    return features.anova_f(d, ["p_size", "p_retailprice"], "y").select("feature", F.round("score", 4).alias("score"))
+
+
+def f06_mutual_info_gaps(spark, sf_dir):
+    """F06 on features and a label with NULLs."""
+    d = gappy_lineitem(spark, sf_dir).withColumn("y", F.col("cheap").cast("int"))
+    return round_doubles(features.mutual_info(d, ["qty", "supp", "price"], "y"))
+
+
+def s01_csv_quoted(spark, sf_dir):
+    """S01 on quoted fields, line ends within them and booleans."""
+    path = _scratch(spark)
+    d = load(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit('say "hi", '), "text").alias("text"), "source", (F.col("n_chars") > 500).alias("is_long"))
+    d.write.option("header", True).option("escape", '"').csv(path)
+    return io.read_table(spark, path, fmt="csv")
+
+
 def c17_keep_outliers(spark, sf_dir):
     return outliers.keep_outliers(load(spark, sf_dir, "documents")).select("doc_id", "n_chars")
 
@@ -669,8 +725,7 @@ def c18_execute(spark, sf_dir):
 
 
 def c19_report(spark, sf_dir):
-    res = preprocess.process_dataset(dirty_orders(spark, sf_dir), order_by="o_orderkey")
-    return preprocess.analysis_report(res)
+    return round_doubles(report.report_facts(_report(spark, sf_dir)))
 
 
 def c20_process_dataset(spark, sf_dir):
@@ -746,31 +801,23 @@ def f09_standard_scale(spark, sf_dir):
     return round_doubles(features.scale(c.select("c_custkey", "c_acctbal", "c_nationkey"), st))
 
 
-_FITTED: dict = {}
-
-
 def _fitted_lineitem(spark, sf_dir):
-    key = (_session_key(spark), sf_dir)
-    if key not in _FITTED:
-        li = load(spark, sf_dir, "lineitem").drop("l_shipdate")
-        fp = features.FeatureProcessor("classification")
-        out = fp.fit_transform(li, "l_returnflag")
-        _FITTED[key] = (fp, out)
-    return _FITTED[key]
+    fp = features.FeatureProcessor("classification")
+    return fp, fp.fit_transform(load(spark, sf_dir, "lineitem"), "l_returnflag")
 
 
 def f10_fit_features(spark, sf_dir):
-    return round_doubles(_fitted_lineitem(spark, sf_dir)[1])
-
-
-def f10_fit_features_long(spark, sf_dir):
-    """F10 as (feature, value, label) rows of the selected, scaled features."""
+    """F10 on every column, the ship date among them, as (feature, value, label)
+    rows of the selected, scaled features."""
     fp, out = _fitted_lineitem(spark, sf_dir)
     long = out.unpivot(["l_returnflag"], [F.col(f"`{c}`").cast("double") for c in fp.selected],
                        "feature", "value")
     return round_doubles(long.select("feature", "value", "l_returnflag"))
 
 
+f10_fit_features_long = f10_fit_features
+
+
 def f11_transform_new(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     fp = features.FeatureProcessor("regression")
@@ -887,7 +934,22 @@ def e04_regression(spark, sf_dir):
 
 
 def e05_confusion(spark, sf_dir):
-    return metrics.confusion_matrix(multiclass_predictions(spark, sf_dir))
+    return metrics.confusion_grid(multiclass_predictions(spark, sf_dir), [1, 2, 3, 4, 5])
+
+
+def e05_confusion_pairs(spark, sf_dir):
+    """E05 over a wide class domain: the observed pairs of supplier and part keys."""
+    li = load(spark, sf_dir, "lineitem")
+    return metrics.confusion_matrix(li.select(F.col("l_suppkey").alias("label"), (F.col("l_partkey") % 1500).alias("prediction")))
+
+
+def e04_constant_label(spark, sf_dir):
+    p = load(spark, sf_dir, "part")
+    off = p.select(F.lit("off").alias("part"), F.lit(25.0).alias("label"), F.col("p_size").cast("double").alias("prediction"))
+    exact = p.select(F.lit("exact").alias("part"), F.lit(25.0).alias("label"), F.lit(25.0).alias("prediction"))
+    gaps = regression_predictions(spark, sf_dir).select(
+        F.lit("gaps").alias("part"), F.when(F.col("p_partkey") % 3 > 0, F.col("label")).alias("label"), "prediction")
+    return round_doubles(metrics.regression_metrics(off.union(exact).union(gaps), ["part"]))
 
 
 def e06_report(spark, sf_dir):
@@ -1148,6 +1210,16 @@ def registry() -> dict:
         "e03_auc": e03_auc,
         "e04_regression": e04_regression,
         "e05_confusion": e05_confusion,
+        "e05_confusion_pairs": e05_confusion_pairs,
+        "e04_constant_label": e04_constant_label,
+        "c15_cap_outliers_gaps": c15_cap_outliers_gaps,
+        "c13_final_sweep_typed": c13_final_sweep_typed,
+        "c08_impute_mode_typed": c08_impute_mode_typed,
+        "a20_correlation_gaps": a20_correlation_gaps,
+        "a03_distinct_wide": a03_distinct_wide,
+        "f05_anova_offset": f05_anova_offset,
+        "f06_mutual_info_gaps": f06_mutual_info_gaps,
+        "s01_csv_quoted": s01_csv_quoted,
         "e06_report": e06_report,
         "e07_importance": e07_importance,
         "e08_evaluation": e08_evaluation,

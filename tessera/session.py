@@ -43,8 +43,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared lineage-cut folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) a private scratch folder is created and registered.
+    A cluster names a shared folder there, and one that does not is an error;
+    only on a ``local`` master a private scratch folder is made and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

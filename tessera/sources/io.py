@@ -37,16 +37,18 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
                   else "parquet")
     if fmt == "csv":
         # read as text, turn tokens into NULL, then infer column types
-        raw = spark.read.csv(path, header=True, inferSchema=False)
+        # RFC 4180: a quote within a field is doubled, a quoted field may hold line ends
+        raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"',
+                             multiLine=True)
         return _infer_types(normalize_na(raw, na_tokens))
     df = spark.read.json(path) if fmt == "json" else spark.read.parquet(path)
     return normalize_na(df, na_tokens)
 
 
 def _infer_types(df: DataFrame) -> DataFrame:
-    """Per text column: integer if every non-null is an integer literal that
-    fits a long, else double if every non-null is a decimal literal, else text.
-    One aggregate pass (as a reader's schema inference would take)."""
+    """Per text column: boolean if every non-null is a spelling of true or false,
+    integer if every one is an integer literal that fits a long, else double if
+    every one is a decimal literal, else text. One aggregate pass (as a reader's schema inference would take)."""
     cols = df.columns
     aggs = []
     for i, c in enumerate(cols):
@@ -54,13 +56,16 @@ def _infer_types(df: DataFrame) -> DataFrame:
         aggs += [F.count(x).alias(f"n{i}"),
                  F.count(F.when(F.trim(x).rlike(r"^[+-]?[0-9]+\z") &
                                 F.trim(x).try_cast("long").isNotNull(), 1)).alias(f"l{i}"),
-                 F.count(R.parse_number(x)).alias(f"d{i}")]
+                 F.count(R.parse_number(x)).alias(f"d{i}"),
+                 F.count_if(x.isin(R.BOOLEAN_TEXT)).alias(f"b{i}")]
     row = df.agg(*aggs).collect()[0]
     out = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
         n = row[f"n{i}"]
-        if n and row[f"l{i}"] == n:
+        if n and row[f"b{i}"] == n:
+            x = F.lower(x) == "true"
+        elif n and row[f"l{i}"] == n:
             x = F.trim(x).try_cast("long")
         elif n and row[f"d{i}"] == n:
             x = R.parse_number(x)
@@ -87,7 +92,7 @@ def write_training_set(df: DataFrame, target: str | None, path: str,
     cols = [c for c in df.columns if c != target] + ([target] if target in df.columns else [])
     out = df.select(*[F.col(f"`{c}`") for c in cols]).write.mode("overwrite")
     if fmt == "csv":
-        out.option("header", True).csv(path)
+        out.option("header", True).option("escape", '"').csv(path)
     else:
         out.parquet(path)
     return path

@@ -17,14 +17,18 @@ FAST = ["a21_column_profile", "a21_column_profile_dirty", "a04_duplicates", "a10
         "e01_e02_metrics", "e03_auc", "e05_confusion", "e06_report", "t01_head_preview",
         "t02_samples", "n01_n13_scalar", "s01_csv_roundtrip", "f10_fit_features_long",
         "m08_linear_closed_form", "m09_ridge_closed_form", "a15_outlier_detail",
-        "r05_identifier_rule", "c15_cap_outliers"]
+        "r05_identifier_rule", "c15_cap_outliers", "a05_mean_std", "c15_cap_outliers_gaps",
+        "c13_final_sweep_typed", "c08_impute_mode_typed", "a20_correlation", "a20_correlation_gaps",
+        "a03_distinct_wide", "f05_anova_offset", "f06_mutual_info_gaps", "s01_csv_quoted",
+        "e05_confusion_pairs", "e04_constant_label", "f10_fit_features", "p10_project_selected",
+        "a22_readiness", "c19_report", "s03_read_report"]
 
 
 def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "∅"
     if isinstance(v, float):
-        return f"{v:.4f}"
+        return f"{v:.9g}"   # a relative 1e-9
     return str(v)
 
 

@@ -75,7 +75,7 @@ def test_auc_vs_mllib_and_brute_force(spark, binary):
 
 def test_confusion_matrix_empty_predicted_class(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (2, 2)], "label int, prediction int")
-    cm = {(r["label"], r["prediction"]): r["n"] for r in metrics.confusion_matrix(df).collect()}
+    cm = {(r["label"], r["prediction"]): r["n"] for r in metrics.confusion_grid(df, [0, 1, 2]).collect()}
     assert len(cm) == 9 and cm[(1, 1)] == 0 and cm[(1, 0)] == 1
 
 
