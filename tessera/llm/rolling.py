@@ -8,23 +8,22 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Odd multipliers of the polynomial hashes; any odd numbers do.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_TABLES: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-_SEGMENT = 1 << 20
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Values whose sums are held at once.
+_SEGMENT = 1 << 17
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse modulo 2**64, at least ``n`` of each."""
-    size = 1 << max(16, int(n).bit_length())
-    key = (base, size)
-    if key not in _TABLES:
+    """Powers of ``base`` and of its inverse modulo 2**64, at least ``n`` of each; one table a base is kept."""
+    if base not in _TABLES or len(_TABLES[base][0]) < n:
+        size = 1 << max(16, int(n).bit_length())
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
             p[0] = 1
             both.append(np.multiply.accumulate(p))
-        _TABLES.clear() if len(_TABLES) > 8 else None
-        _TABLES[key] = both[0], both[1]
-    return _TABLES[key]
+        _TABLES[base] = both[0], both[1]
+    return _TABLES[base]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ from tessera.llm.common import BROADCAST_ROWS, discard, words_of, written
 from tessera.llm.rolling import BASES, Chunk, from_planes, groups, merged, per_group, planes
 
 WINDOW = 50
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Text bytes whose windows one shard of the hash range holds.
 SHARD_BYTES = 1 << 19
 _LAST = np.iinfo(np.int64).max
@@ -176,7 +176,7 @@ def _expanded(blobs) -> np.ndarray:
 
 
 def _repeats(window: int, shards: int):
-    """Chunks of hit texts to packed window entries; ``a``: texts, ``b``: hashes, ``c``: positions."""
+    """Chunks of hit texts to packed window entries; ``a``: doc_ids, ``b``: hashes, ``c``: positions."""
     def run(batches):
         for chunk, (keys, ids, texts, blobs) in _chunks(batches, CHUNK_BYTES):
             c, ids = Chunk([t or b"" for t in texts]), _doc_ids(ids)
@@ -193,12 +193,11 @@ def _repeats(window: int, shards: int):
                 least = per_group(np.minimum, doc, groups(h1, h2))
                 rows.append(_hits(chunk, at[doc > least]))
                 sent = doc == least
-                h1, h2, at = h1[sent], h2[sent], at[sent]
+                h1, h2, at, doc = h1[sent], h2[sent], at[sent], doc[sent]
                 shard = ((h1 >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                texts_blob = np.concatenate([c.offsets[:-1], ids]).astype("<i8").tobytes()
                 for s, i, j in _cuts(shard):
-                    rows.append((_ENTRIES, s, chunk, texts_blob, h1[i:j].tobytes() + h2[i:j].tobytes(),
-                                 planes(at[i:j].astype("<u4"))))
+                    rows.append((_ENTRIES, s, chunk, planes(doc[i:j].astype("<i8")),
+                                 h1[i:j].tobytes() + h2[i:j].tobytes(), planes(at[i:j].astype("<u4"))))
             yield _batch(rows)
     return run
 
@@ -210,11 +209,10 @@ def _answer_repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     h1, h2, at, doc, sizes = [], [], [], [], []
     for a, b, c in zip(pdf["a"], pdf["b"], pdf["c"]):
         p = from_planes(c, "<u4").astype(np.int64)
-        offsets, ids = np.frombuffer(a, "<i8").reshape(2, -1)
         h1.append(np.frombuffer(b[: 8 * len(p)], np.uint64))
         h2.append(np.frombuffer(b[8 * len(p):], np.uint32))
         at.append(p)
-        doc.append(ids[np.searchsorted(offsets, p, "right") - 1])
+        doc.append(from_planes(a, "<i8"))
         sizes.append(len(p))
     h1, h2, at, doc = (np.concatenate(x) for x in (h1, h2, at, doc))
     chunk = np.repeat(pdf["chunk"].to_numpy(), sizes)

@@ -50,7 +50,7 @@ from tessera.llm.substring_dedup import keyed, with_blobs
 LENGTH = 100
 GRAM = 32
 CHUNK_BYTES = 1 << 20
-PIECE = 4 << 20
+PIECE = 1 << 20
 SHARD_BYTES = 1 << 19
 #: Rows of a transform that are sorted on their own before merging.
 SORT_ROWS = 1 << 15
