@@ -50,7 +50,9 @@ from tessera.llm.substring_dedup import keyed, with_blobs
 LENGTH = 100
 GRAM = 32
 CHUNK_BYTES = 1 << 20
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Bytes whose hashes are held at once.
+PART_BYTES = 1 << 17
 SHARD_BYTES = 1 << 19
 #: Rows of a transform that are sorted on their own before merging.
 SORT_ROWS = 1 << 15
@@ -91,7 +93,7 @@ class Bytes:
 
     def __init__(self, texts: list[bytes], length: int):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
-        self.offsets = np.cumsum([0] + [len(t) for t in texts])
+        self.offsets = _offsets(texts)
         n, gram = len(self.data), min(GRAM, length)
         self.starts = self.anchors = np.empty(0, np.int64)
         if n < length:
@@ -120,6 +122,16 @@ class Bytes:
         return np.searchsorted(self.offsets, at, "right") - 1
 
 
+def _parts(texts: list[bytes]):
+    """(begin, end) of runs of ``texts`` of about PART_BYTES."""
+    i = held = 0
+    for j, t in enumerate(texts, 1):
+        held += len(t)
+        if held >= PART_BYTES or j == len(texts):
+            yield i, j
+            i, held = j, 0
+
+
 def _batch(rows):
     kind, route, chunk, *blobs = zip(*rows)
     return pa.RecordBatch.from_arrays(
@@ -127,8 +139,12 @@ def _batch(rows):
          *(pa.array(b, pa.binary()) for b in blobs)], names=_NAMES)
 
 
-def _table(chunk: int, keys, t: Bytes, bases):
-    return (_TABLE, -1 - chunk, chunk, b"".join(keys), t.offsets.astype("<i8").tobytes(),
+def _offsets(texts: list[bytes]) -> np.ndarray:
+    return np.cumsum([0] + [len(t) for t in texts])
+
+
+def _table(chunk: int, keys, offsets: np.ndarray, bases):
+    return (_TABLE, -1 - chunk, chunk, b"".join(keys), offsets.astype("<i8").tobytes(),
             np.array(bases, "<i8").tobytes())
 
 
@@ -150,11 +166,16 @@ def _anchored(length: int, shards: int):
     """Chunks to packed anchors; ``a``: how many stand alone in their chunk, ``b``: hashes, ``c``: positions."""
     def run(batches):
         for chunk, (keys, _, texts, bases, _) in _chunks(batches, length, CHUNK_BYTES):
-            t = Bytes(texts, length)
-            rows = [_table(chunk, keys, t, bases)]
-            if len(t.starts):
-                at = np.unique(t.anchors)
-                h = t.grams[at]
+            offsets = _offsets(texts)
+            rows, ats, hs = [_table(chunk, keys, offsets, bases)], [], []
+            for i, j in _parts(texts):
+                t = Bytes(texts[i:j], length)
+                if len(t.starts):
+                    at = np.unique(t.anchors)
+                    ats.append(at + offsets[i])
+                    hs.append(t.grams[at])
+            if ats:
+                h, at = np.concatenate(hs), np.concatenate(ats)
                 order = np.argsort(h, kind="stable")
                 h, at = h[order], at[order]
                 g = groups(h)
@@ -235,37 +256,50 @@ _SEGMENT = np.dtype([("anchor", "<u8"), ("h1", "<u8"), ("h2", "<u4"), ("doc", "<
                      ("at", "<u4"), ("n", "<u2")])
 
 
+def _segments_of(texts, ids, bases, others, length: int) -> np.ndarray:
+    """The segments of a part of a chunk: runs of strings with the same repeated anchor."""
+    t = Bytes(texts, length)
+    if not len(t.starts):
+        return np.empty(0, _SEGMENT)
+    text = t.text_of(t.starts)
+    b = groups(t.anchors, text)
+    n = np.diff(np.r_[b, len(t.starts)])
+    start, anchor, text = t.starts[b], t.anchors[b], text[b]
+    hit = np.zeros(len(b), bool)
+    for k, i, j in _cuts(text):
+        lo, hi = _ranges(others[k][0])
+        hit[i:j] = _within(anchor[i:j] - t.offsets[k] + bases[k], lo, hi)
+    start, anchor, text, n = start[hit], anchor[hit], text[hit], n[hit]
+    end = start + n - 1 + length
+    seg = np.empty(len(start), _SEGMENT)
+    seg["anchor"], seg["at"], seg["n"] = t.grams[anchor], start, n
+    seg["h1"], seg["h2"] = t.hashes(start, end), t.hashes(start, end, 1).astype(np.uint32)
+    seg["doc"], seg["start"] = np.array(ids)[text], start - t.offsets[text] + np.array(bases)[text]
+    return seg
+
+
 def _segments(length: int, shards: int):
     """Chunks of texts with repeated anchors to packed segments; ``b``: their heads by plane, ``c``: their bytes."""
     def run(batches):
         for chunk, (keys, ids, texts, bases, others) in _chunks(batches, length, CHUNK_BYTES):
-            t = Bytes(texts, length)
-            rows = [_table(chunk, keys, t, bases)]
-            if len(t.starts):
-                # one segment for each run of strings with the same anchor
-                text = t.text_of(t.starts)
-                b = groups(t.anchors, text)
-                n = np.diff(np.r_[b, len(t.starts)])
-                start, anchor, text = t.starts[b], t.anchors[b], text[b]
-                hit = np.zeros(len(b), bool)
-                for k, i, j in _cuts(text):
-                    lo, hi = _ranges(others[k][0])
-                    hit[i:j] = _within(anchor[i:j] - t.offsets[k] + bases[k], lo, hi)
-                start, anchor, text, n = start[hit], anchor[hit], text[hit], n[hit]
-                end = start + n - 1 + length
-                seg = np.empty(len(start), _SEGMENT)
-                seg["anchor"], seg["at"], seg["n"] = t.grams[anchor], start, n
-                seg["h1"], seg["h2"] = t.hashes(start, end), t.hashes(start, end, 1).astype(np.uint32)
-                seg["doc"], seg["start"] = np.array(ids)[text], start - t.offsets[text] + np.array(bases)[text]
-                first, gone = _firsts(seg)
-                rows.append(_hits(chunk, gone["at"].astype(np.int64), gone["at"].astype(np.int64) + gone["n"]))
-                shard = _shard(first["anchor"], shards)
-                order = np.argsort(shard, kind="stable")
-                first, shard = first[order], shard[order]
-                for s, i, j in _cuts(shard):
-                    part = first[i:j]
-                    body = t.data[_gather(part["at"].astype(np.int64), part["n"].astype(np.int64) + length - 1)]
-                    rows.append((_ENTRIES, s, chunk, b"", planes(part), body.tobytes()))
+            offsets = _offsets(texts)
+            rows, found = [_table(chunk, keys, offsets, bases)], []
+            for i, j in _parts(texts):
+                seg = _segments_of(texts[i:j], ids[i:j], bases[i:j], others[i:j], length)
+                seg["at"] += np.uint32(offsets[i])
+                found.append(seg)
+            first, gone = _firsts(np.concatenate(found))
+            if len(gone):
+                at = gone["at"].astype(np.int64)
+                rows.append(_hits(chunk, at, at + gone["n"]))
+            shard = _shard(first["anchor"], shards)
+            order = np.argsort(shard, kind="stable")
+            first, shard = first[order], shard[order]
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            for s, i, j in _cuts(shard):
+                part = first[i:j]
+                body = data[_gather(part["at"].astype(np.int64), part["n"].astype(np.int64) + length - 1)]
+                rows.append((_ENTRIES, s, chunk, b"", planes(part), body.tobytes()))
             yield _batch(rows)
     return run
 
@@ -305,14 +339,14 @@ def _answer_segments(length: int):
         if len(first):
             g = groups(first["anchor"])
             first = first[per_group(np.add, np.ones(len(first), np.int64), g) > 1]
-            for part in _parts(first, length):
+            for part in _whole_anchors(first, length):
                 out.append(_later_strings(part, data, length))
         chunk, at, n = (np.concatenate(x) for x in zip(*out))
         return _ranges_by_chunk(chunk, at, at + n)
     return run
 
 
-def _parts(seg: np.ndarray, length: int, rows: int = 1 << 19):
+def _whole_anchors(seg: np.ndarray, length: int, rows: int = 1 << 19):
     """Whole anchors together, about ``rows`` bytes at a time."""
     if not len(seg):
         return

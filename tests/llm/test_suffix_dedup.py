@@ -52,6 +52,7 @@ def test_matches_brute_force(spark, monkeypatch, length, letters, seed):
     monkeypatch.setattr(S, "CHUNK_BYTES", 700)
     monkeypatch.setattr(S, "SORT_ROWS", 150)
     monkeypatch.setattr(S, "PIECE", 150)
+    monkeypatch.setattr(S, "PART_BYTES", 300)
     base = ["".join(rng.choice("abéd"[:letters]) for _ in range(rng.randrange(0, 300))) for _ in range(20)]
     rows = [(i, base[i]) for i in range(20)]
     for i in range(40):
