@@ -9,9 +9,12 @@ from __future__ import annotations
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        OneVsRest, RandomForestClassifier)
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from .split import assign_folds, train_test_split
 
 SEED = 42
+FAILED_TRIAL = -999.0
 
 # FIXED VALUES: search spaces (low, high) or choices, and default parameters.
 SEARCH_SPACES = {
@@ -186,24 +190,25 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
                                 label_std=label_std) for t in trials]
         ev = (MulticlassClassificationEvaluator(metricName="accuracy") if cls
               else RegressionEvaluator(metricName="r2"))
-        base = ests[0]
-        if not isinstance(base, OneVsRest):
-            # one CrossValidator, all trials as param maps: folds are built once and
-            # trials run ``parallelism`` at a time
-            maps = [{base.getParam(p.name): v for p, v in e.extractParamMap().items()
-                     if e.isSet(p)} for e in ests]
-            cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=ev,
-                                numFolds=5, foldCol="fold", parallelism=parallelism, seed=SEED)
-            scores = list(cv.fit(folded).avgMetrics)
-        else:
-            scores = []
-            for est in ests:
+
+        def score(est):
+            """A trial's mean score; one that fails scores FAILED_TRIAL and the search goes on."""
+            try:
                 cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev,
-                                    numFolds=5, foldCol="fold", parallelism=parallelism,
-                                    seed=SEED)
-                scores.append(cv.fit(folded).avgMetrics[0])
+                                    numFolds=5, foldCol="fold", seed=SEED)
+                s = cv.fit(folded).avgMetrics[0]
+                return FAILED_TRIAL if math.isnan(s) else s
+            except (PySparkException, Py4JJavaError):
+                return FAILED_TRIAL
+
+        # the folds are persisted once; ``parallelism`` trials run at a time
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(score, ests))
+        folded.unpersist()
         i = max(range(len(scores)), key=lambda j: scores[j])
         best, cv_score = trials[i], scores[i]
+        if cv_score == FAILED_TRIAL:
+            best, warning = {}, "Every trial failed; fitted with default parameters"
     model = build_estimator(algorithm, problem_type, best, n_rows, n_classes,
                             label_std=label_std).fit(train)
     pred = model.transform(split)

@@ -72,15 +72,17 @@ def keep_outliers(df: DataFrame) -> DataFrame:
     return df
 
 
-def outlier_examples(df: DataFrame, col: str, lo: float, hi: float, order_by: str,
-                     per_side: int = 3, keep: int = 5) -> DataFrame:
-    """First ``per_side`` low and high outliers in key order, first ``keep`` kept.
+def outlier_examples(df: DataFrame, bounds: dict, order_by: str, per_side: int = 3) -> DataFrame:
+    """First ``per_side`` low and high outliers in key order, of every column of
+    ``bounds`` ({column: (low, high)}) from one pass: (name, side, k, v, r).
 
-    Skew-safe top-k (salted two-level ranking); the result is at most 6 rows.
+    Skew-safe top-k (salted two-level ranking); at most ``2 * per_side`` rows a column.
     """
-    x = F.col(f"`{col}`").cast("double")
-    side = F.when(x < F.lit(lo), F.lit(0)).when(x > F.lit(hi), F.lit(1))
-    cand = df.select(side.alias("side"), F.col(f"`{order_by}`").alias("k"), x.alias("v")) \
-             .where(F.col("side").isNotNull())
-    top = smallest_k_per_group(cand, ["side"], [F.col("k")], per_side)
-    return top.select("side", "k", "v", F.col("__r").alias("r"))
+    def candidate(c, lo, hi):
+        x = F.col(f"`{c}`").cast("double")
+        side = F.when(x < F.lit(lo), F.lit(0)).when(x > F.lit(hi), F.lit(1))
+        return F.struct(F.lit(c).alias("name"), side.alias("side"), x.alias("v"))
+    cand = df.select(F.col(f"`{order_by}`").alias("k"), F.inline(F.array(
+        *[candidate(c, lo, hi) for c, (lo, hi) in bounds.items()]))).where(F.col("side").isNotNull())
+    top = smallest_k_per_group(cand, ["name", "side"], [F.col("k")], per_side)
+    return top.select("name", "side", "k", "v", F.col("__r").alias("r"))

@@ -38,16 +38,11 @@ def outlier_columns(rows: list[dict]) -> list[str]:
     return [r["name"] for r in rows if r["inferred_type"] == "numeric" and r["has_outliers"]]
 
 
-def outlier_detail(df: DataFrame, row: dict, order_by: str | None) -> dict:
+def outlier_detail(row: dict, examples: list[float]) -> dict:
     """A15 + T06 for one flagged column: normal range, count, up to 5 examples."""
-    lo, hi = iqr_bounds(row["q25"], row["q75"])
-    examples = []
-    if order_by is not None and lo is not None:
-        ex = outlier_examples(df, row["name"], lo, hi, order_by).orderBy("side", "r").collect()
-        examples = [e["v"] for e in ex][:5]
     return {
         "normal_range": f"{row['normal_min']:.2f} to {row['normal_max']:.2f}",
-        "outlier_examples": [f"{v:.2f}" for v in examples],
+        "outlier_examples": [f"{v:.2f}" for v in examples[:5]],
         "outlier_count": int((row["outlier_low"] or 0) + (row["outlier_high"] or 0)),
     }
 
@@ -58,7 +53,13 @@ def outlier_issue(df: DataFrame, rows: list[dict], order_by: str | None):
     if not cols:
         return None
     by = {r["name"]: r for r in rows}
-    details = {c: outlier_detail(df, by[c], order_by) for c in cols}
+    examples = {c: [] for c in cols}
+    bounds = {c: iqr_bounds(by[c]["q25"], by[c]["q75"]) for c in cols}
+    bounds = {c: b for c, b in bounds.items() if b[0] is not None}
+    if order_by is not None and bounds:
+        for r in outlier_examples(df, bounds, order_by).orderBy("side", "r").collect():
+            examples[r["name"]].append(r["v"])
+    details = {c: outlier_detail(by[c], examples[c]) for c in cols}
     parts = [f"In column '{c}', values normally range from {d['normal_range']}, but there are "
              f"{d['outlier_count']} outliers with values like: {', '.join(d['outlier_examples'])}"
              for c, d in details.items()]

@@ -1,15 +1,16 @@
-"""Exact quantiles (linear interpolation) without a single-task value map.
+"""Exact quantiles (linear interpolation) by refinement of value ranges.
 
 Input is a value-count table ``(name, x, cnt)``: one row per distinct value
 (map-side combined when it was built, so hot values cost one row per task).
-It is cut into value-range slices per column (bounds from a bounded sketch,
-computed once and passed as literals, so every branch of the plan slices
-identically); each slice gets its running count, the slice sizes (a table of
-columns x slices rows) give the offsets, and every row learns the global rank
-interval it covers. Only the rows covering
-the wanted ranks (two per quantile per column) reach the driver, where the
-interpolation ``x[lo] + (h - lo) * (x[lo+1] - x[lo])`` with ``h = (n-1)q``
-is done. This equals ``percentile`` / ``quantile_cont`` exactly.
+Each wanted rank starts in a range that holds all values of its column. A round
+cuts every range at sketch quantiles of its distinct values, counts the values
+of each part, and keeps the parts that hold a wanted rank: a sixty-fourth of
+the range, whatever its size. Ranges of at most ``SMALL`` distinct values are
+ranked by a window over themselves. So no window sees more than that, and the
+number of rounds, not the size of a task, grows with the data. The driver sees
+range bounds, counts, and the rows at the wanted ranks (two per quantile);
+the interpolation ``x[lo] + (h - lo) * (x[lo+1] - x[lo])`` with ``h = (n-1)q``
+equals ``percentile`` / ``quantile_cont`` exactly.
 """
 
 from __future__ import annotations
@@ -19,40 +20,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def slice_probs(slices: int) -> list[float]:
-    return [i / slices for i in range(1, slices)]
-
-
-def slice_bounds(df: DataFrame, group: str, x: str, slices: int) -> dict:
-    """{group: sorted bounds}: sketch quantiles of the distinct values (one job)."""
-    rows = df.groupBy(group).agg(
-        F.percentile_approx(F.col(x), slice_probs(slices), 10_000).alias("b")).collect()
-    return {r[group]: r["b"] for r in rows}
-
-
-def slice_expr(df: DataFrame, group: str, x: str, slices: int, bounds: dict | None = None):
-    """Slice number of each row: how many of its group's bounds lie below x.
-    ``bounds`` may come from an aggregate the caller already runs."""
-    if bounds is None:
-        bounds = slice_bounds(df, group, x, slices)
-    if not bounds:
-        return F.lit(0)
-    bmap = F.create_map(*[e for k, b in bounds.items() for e in
-                          (F.lit(k), F.array(*[F.lit(float(v)) for v in sorted(set(b or []))]
-                                             or [F.lit(None)]).cast("array<double>"))])
-    bounds = F.coalesce(F.element_at(bmap, F.col(group)), F.array().cast("array<double>"))
-    return F.size(F.filter(bounds, lambda b: b < F.col(x)))
-
-
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 256
-
-
-def slices_for(distinct_rows: int) -> int:
-    """About a million distinct values per slice; 8..256 slices (the slice test
-    is linear in the number of bounds)."""
-    return int(min(MAX_SLICES, max(8, math.ceil(distinct_rows / ROWS_PER_SLICE))))
+PARTS = 64        # parts a range is cut into in a round
+SMALL = 20_000    # distinct values of a range that a window ranks
 
 
 def _targets(n: int, probs) -> list[int]:
@@ -65,40 +34,84 @@ def _targets(n: int, probs) -> list[int]:
     return sorted(idx)
 
 
-def quantiles_from_counts(vc: DataFrame, probs, counts: dict | None = None,
-                          partitions: int | None = None, bounds: dict | None = None) -> dict:
+def bucket_expr(x, bounds: list):
+    """How many of the sorted ``bounds`` lie below ``x``, as a balanced tree of
+    comparisons (their logarithm a row, within generated code)."""
+    def tree(lo, hi):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x > F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+    return tree(0, len(bounds))
+
+
+def _in_range(r):
+    """(name, lo, hi]: None is open."""
+    c = F.col("name") == r["name"]
+    if r["lo"] is not None:
+        c = c & (F.col("x") > F.lit(r["lo"]))
+    if r["hi"] is not None:
+        c = c & (F.col("x") <= F.lit(r["hi"]))
+    return c
+
+
+def _tagged(vc: DataFrame, ranges: list[dict]) -> DataFrame:
+    """Rows of ``ranges`` (disjoint) with the number of theirs."""
+    tag = F.coalesce(*[F.when(_in_range(r), F.lit(i)) for i, r in enumerate(ranges)])
+    return vc.select(tag.alias("r"), "x", "cnt").where(F.col("r").isNotNull())
+
+
+def _refined(vc: DataFrame, ranges: list[dict]) -> list[dict]:
+    """The parts of ``ranges`` that hold their targets."""
+    probs = [i / PARTS for i in range(1, PARTS)]
+    tagged = _tagged(vc, ranges)
+    bounds = {r["r"]: sorted(set(r["b"])) for r in tagged.groupBy("r").agg(
+        F.percentile_approx("x", probs, 2_000).alias("b")).collect()}
+    part = F.coalesce(*[F.when(F.col("r") == i, bucket_expr(F.col("x"), b)) for i, b in bounds.items()])
+    rows = tagged.groupBy("r", part.alias("p")).agg(
+        F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+    out = []
+    for i, r in enumerate(ranges):
+        before, edges = r["before"], [r["lo"], *bounds.get(i, []), r["hi"]]
+        for row in sorted((x for x in rows if x["r"] == i), key=lambda x: x["p"]):
+            held = [t for t in r["targets"] if before <= t < before + row["n"]]
+            if held:
+                out.append({"name": r["name"], "lo": edges[row["p"]], "hi": edges[row["p"] + 1],
+                            "before": before, "targets": held, "distinct": row["d"]})
+            before += row["n"]
+    return out
+
+
+def quantiles_from_counts(vc: DataFrame, probs, sizes: dict | None = None) -> dict:
     """{name: [q for q in probs]} from ``(name, x double, cnt)`` (x not NULL).
 
-    ``counts`` ({name: number of non-null values}) and ``bounds`` (slice bounds
-    per name) each save one small job when the caller already has them.
+    ``sizes`` ({name: (values, distinct values)}) saves a small job when the
+    caller has them; an upper bound of the distinct values will do.
     """
-    sliced = vc.withColumn("__pid", slice_expr(vc, "name", "x", partitions or 16, bounds))
-    sizes = sliced.groupBy("name", "__pid").agg(F.sum("cnt").alias("__c"))
-    if counts is None:
-        counts = {r["name"]: r["n"] for r in
-                  sizes.groupBy("name").agg(F.sum("__c").alias("n")).collect()}
-    targets = {k: _targets(int(n), probs) for k, n in counts.items() if n}
-    if not targets:
-        return {}
-    w_off = Window.partitionBy("name").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("name", "__pid",
-                           F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"))
-    w_in = Window.partitionBy("name", "__pid").orderBy("x").rowsBetween(
-        Window.unboundedPreceding, 0)
-    tmap = F.create_map(*[e for k, v in targets.items()
-                          for e in (F.lit(k), F.array(*[F.lit(i) for i in v]).cast("array<bigint>"))])
-    j = (sliced.withColumn("__end", F.sum("cnt").over(w_in))
-         .join(F.broadcast(offsets), ["name", "__pid"]))        # columns x partitions rows
-    start = F.col("__off") + F.col("__end") - F.col("cnt")
-    stop = F.col("__off") + F.col("__end")
-    hits = j.select("name", "x", F.explode(F.filter(
-        F.coalesce(F.element_at(tmap, F.col("name")), F.array().cast("array<bigint>")),
-        lambda t: (t >= start) & (t < stop))).alias("idx"))
+    if sizes is None:
+        sizes = {r["name"]: (r["n"], r["d"]) for r in vc.groupBy("name").agg(
+            F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
+    todo = [{"name": k, "lo": None, "hi": None, "before": 0, "targets": _targets(int(n), probs), "distinct": d}
+            for k, (n, d) in sizes.items() if n]
+    done = [r for r in todo if r["distinct"] <= SMALL]
+    todo = [r for r in todo if r["distinct"] > SMALL]
+    while todo:
+        todo = _refined(vc, todo)
+        done += [r for r in todo if r["distinct"] <= SMALL]
+        todo = [r for r in todo if r["distinct"] > SMALL]
     at = {}
-    for r in hits.collect():                                      # <= 2 rows per quantile
-        at[(r["name"], r["idx"])] = r["x"]
+    if done:
+        w = Window.partitionBy("r").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+        by = lambda f: F.element_at(F.array(*[f(r) for r in done]), F.col("r") + 1)
+        end = by(lambda r: F.lit(r["before"]).cast("bigint")) + F.sum("cnt").over(w)
+        wanted = by(lambda r: F.array(*[F.lit(t) for t in r["targets"]]).cast("array<bigint>"))
+        ranked = _tagged(vc, done).select("r", "x", "cnt", end.alias("stop"), wanted.alias("want"))
+        hits = ranked.select("r", "x", F.explode(F.filter(
+            "want", lambda t: (t >= F.col("stop") - F.col("cnt")) & (t < F.col("stop")))).alias("t"))
+        for h in hits.collect():                                   # <= 2 rows per quantile
+            at[(done[h["r"]]["name"], h["t"])] = h["x"]
     out = {}
-    for k, n in counts.items():
+    for k, (n, _) in sizes.items():
         if not n:
             out[k] = None
             continue
@@ -128,11 +141,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
     from pyspark import StorageLevel
     vc = value_count_table(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        per = {r["name"]: (r["d"], r["n"]) for r in vc.groupBy("name").agg(
-            F.count(F.lit(1)).alias("d"), F.sum("cnt").alias("n")).collect()}
-        widest = max((d for d, _ in per.values()), default=0)
-        return quantiles_from_counts(vc, probs, {k: n for k, (_, n) in per.items()},
-                                     slices_for(widest))
+        return quantiles_from_counts(vc, probs)
     finally:
         vc.unpersist()
 
@@ -157,5 +166,4 @@ def range_buckets(df: DataFrame, col: str, min_buckets: int = 8):
     bounds = sorted(set(pts[step - 1::step]))
     if not bounds:
         return F.lit(0), 1
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b < F.col(col))), len(bounds) + 1
+    return bucket_expr(F.col(col), bounds), len(bounds) + 1

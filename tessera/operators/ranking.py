@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_GROUP = 20_000
+PREFIX = 32       # characters of a value that a slice bound keeps
 
 
 def _bounds(distinct: DataFrame, group: str, value: str, slices: int) -> dict:
@@ -21,7 +22,9 @@ def _bounds(distinct: DataFrame, group: str, value: str, slices: int) -> dict:
         F.count(F.lit(1)).alias("n")).collect()}
     rate = max(1, max(sizes.values(), default=1) // SAMPLE_PER_GROUP)
     sample = (distinct.where(F.pmod(F.xxhash64(F.col(group), F.col(value)), F.lit(rate)) == 0)
-              .groupBy(group).agg(F.sort_array(F.collect_list(value)).alias("s")).collect())
+              # bounds need not be values: a prefix orders as well, and its length is bounded
+              .groupBy(group).agg(F.sort_array(F.collect_list(F.substring(value, 1, PREFIX))).alias("s"))
+              .collect())
     out = {}
     for r in sample:                       # at most ~SAMPLE_PER_GROUP values per group
         vals = r["s"]

@@ -8,7 +8,7 @@ statistic is then an aggregate over that table, weighted by the counts:
 * per column: rows, non-null and distinct counts, mode and count spread, parse
   / date / binary shares and mean text length, sum for the mean;
 * a salted top-k of md5-ordered distinct values as the sample;
-* exact quantiles (range-sliced running counts, ``quantiles.py``);
+* exact quantiles (refined value ranges, ``quantiles.py``);
 * central moments (two-pass: mean first) together with the IQR outlier counts
   and normal range, with means and bounds entering as literal maps.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
-from .quantiles import quantiles_from_counts, slice_probs, slices_for
+from .quantiles import quantiles_from_counts
 
 NUMERIC, STRING, TEMPORAL = "numeric", "string", "temporal"
 
@@ -74,7 +74,6 @@ def text_expr(name: str):
 
 @dataclass
 class ProfileOptions:
-    slices: int = 16               # value-range slices for the exact quantiles
     sample_size: int = 10
     salt_buckets: int = 64
     probs: list = field(default_factory=lambda: list(R.PROFILE_QUANTILES))
@@ -227,8 +226,6 @@ def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
         F.sum(F.when(v.rlike(date_rx), c).when(v.isNotNull(), 0)).alias("n_date"),
         F.bool_and(F.lower(v).isin(R.BINARY_TOKENS)).alias("binary_values"),
         F.sum(c * F.length(v)).alias("sum_len"),
-        # slice bounds for the exact quantiles: sketch of the distinct numeric values
-        F.percentile_approx(x, slice_probs(opts.slices), 10_000).alias("slice_bounds"),
     )
     text_cols = [n for n, k, _ in kinds if k == STRING]
     id_rx = R.full_match_regex(R.IDENTIFIER_PATTERNS)
@@ -255,7 +252,6 @@ def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
             "avg_length": (r["sum_len"] / nn) if (k == STRING and nn) else None,
             "id_sample": r["id_sample"],
             "sample": [s["v"] for s in r["sample"]] if r["sample"] else [],
-            "slice_bounds": r["slice_bounds"],
         }
     return out
 
@@ -315,14 +311,9 @@ def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame
         for n in names:
             s3.setdefault(n, {"unique_count": 0, "nonnull": 0, "parsed": 0, "sample": []})
         xv = numeric_view(vc, kinds)
-        counts = {n: s3[n]["parsed"] for n in names if s3[n].get("parsed")}
-        if counts:
-            widest = max((s3[n]["unique_count"] for n in counts), default=0)
-            if slices_for(widest) > opts.slices:      # very wide columns: finer slices
-                bounds = None
-            else:
-                bounds = {n: s3[n].get("slice_bounds") for n in counts}
-            qs = quantiles_from_counts(xv, opts.probs, counts, slices_for(widest), bounds)
+        sizes = {n: (s3[n]["parsed"], s3[n]["unique_count"]) for n in names if s3[n].get("parsed")}
+        if sizes:
+            qs = quantiles_from_counts(xv, opts.probs, sizes)
             for n, v in qs.items():
                 if v:
                     s3[n].update(dict(zip(("q05", "q25", "q75", "q95"), v)))

@@ -1029,8 +1029,8 @@ def t06_outlier_examples(spark, sf_dir):
     p = profile_of(spark, sf_dir, "dirty_clean")
     r = p.by_name()["total_price"]
     lo, hi = iqr_bounds(r["q25"], r["q75"])
-    ex = outliers.outlier_examples(cleaned, "total_price", lo, hi, "o_orderkey")
-    return round_doubles(ex.withColumn("r", F.col("r").cast("bigint")))
+    ex = outliers.outlier_examples(cleaned, {"total_price": (lo, hi)}, "o_orderkey")
+    return round_doubles(ex.drop("name").withColumn("r", F.col("r").cast("bigint")))
 
 
 def t07_first_predictions(spark, sf_dir):
