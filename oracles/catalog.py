@@ -860,6 +860,17 @@ def registry() -> dict:
     reg.update({k: f"SELECT o_orderkey, {', '.join(v)} FROM ({n_scalar()})"
                 for k, v in N_COLUMNS.items()})
     reg.update(gaps_sql())
+    reg["s07_processor_roundtrip"] = f11()
+    m = cls_metrics(BINARY_PRED)
+    reg["s08_deployment_info"] = (
+        "SELECT 'rule' AS model_name, 'binary_classification' AS problem_type, 'n_chars,quality' AS feature_names, "
+        f"'model' AS model_path, accuracy, f1 AS f1_score FROM ({m})")
+    report = e06().replace(MULTI_PRED, BINARY_PRED)
+    reg["e08_full_evaluation"] = union([
+        f"SELECT {q(c)} AS section, class_name AS item, CAST({c} AS DOUBLE) AS value FROM ({report})"
+        for c in ("precision", "recall", "f1_score", "support")] + [
+        f"SELECT 'confusion', label || '-' || prediction, CAST(count(*) AS DOUBLE) FROM {BINARY_PRED} GROUP BY label, prediction",
+        "SELECT 'importance', 'n_chars', 0.75", "SELECT 'importance', 'quality', 0.25"])
     reg["c19_report"] = reg["s05_analysis_report_sink"] = report_facts()
     reg["s03_read_report"] = (
         f"SELECT (SELECT count(*) FROM {DIRTY_SRC}) AS rows, CAST(8 AS BIGINT) AS columns, problem_type, "

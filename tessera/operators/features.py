@@ -7,10 +7,11 @@ statistics); applying it is equi-joins plus column expressions, so the same
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -231,6 +232,10 @@ def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(pairs))
 
 
+#: Fields of a fitted processor that its saved document holds.
+STATE = ("problem_type", "encoded", "n_encoder_rows", "selected", "scores", "method", "scaler")
+
+
 @dataclass
 class FeatureProcessor:
     """fit on (X, y) frame, then transform any frame with the same columns."""
@@ -274,6 +279,26 @@ class FeatureProcessor:
         self.scaler = scaler_stats(sel, numeric_columns(sel, exclude=(label,)))
         return scale(sel, self.scaler)
 
+    def save(self, path: str) -> str:
+        """The fitted state: encoders and label map as parquet, the rest as one JSON document."""
+        spark = SparkSession.getActiveSession()
+        state = {k: getattr(self, k) for k in STATE}
+        for name in ("encoders", "label_map"):
+            table = getattr(self, name)
+            state[name] = table is not None
+            if table is not None:
+                table.write.mode("overwrite").parquet(f"{path}/{name}")
+        spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode(
+            "overwrite").text(f"{path}/state")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> FeatureProcessor:
+        state = json.loads(spark.read.text(f"{path}/state", wholetext=True).first()[0])
+        tables = {k: spark.read.parquet(f"{path}/{k}") if state.pop(k) else None
+                  for k in ("encoders", "label_map")}
+        return FeatureProcessor(**state, **tables)
+
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """encode (unseen -> 0), project to the selected features, scale;
         ``keep`` columns pass through unchanged."""

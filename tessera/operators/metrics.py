@@ -180,6 +180,29 @@ def evaluation_report(pred: DataFrame, problem_type: str, key: str) -> DataFrame
                                  "predictions_sample": ",".join(map(str, first))})
 
 
+def full_evaluation(pred: DataFrame, problem_type: str, key: str, model_name: str,
+                    features: list[str], importances: list[tuple[str, float]] = ()) -> DataFrame:
+    """E08 in full: the metrics row with model_name, features_used, per-class report,
+    confusion pairs and sorted feature importances as arrays of structs."""
+    out = evaluation_report(pred, problem_type, key).withColumns({
+        "model_name": F.lit(model_name),
+        "features_used": F.array(*[F.lit(f) for f in features]).cast("array<string>"),
+        "feature_importance": F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.lit(float(v)).alias("importance"))
+            for f, v in sorted(importances, key=lambda x: -x[1])]).cast(
+                "array<struct<feature:string,importance:double>>")})
+    if problem_type not in ("classification", "binary_classification"):
+        return out
+
+    def gathered(df, name):
+        # one row per class, or per observed pair of classes
+        return df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name)).withColumn("__one", F.lit(1))
+
+    out = out.withColumn("__one", F.lit(1))
+    out = out.join(gathered(classification_report(pred), "classification_report"), "__one")
+    return out.join(gathered(confusion_matrix(pred), "confusion_matrix"), "__one").drop("__one")
+
+
 def _with_literals(metrics_row: DataFrame, count_row: DataFrame, lits: dict) -> DataFrame:
     cnt = count_row.collect()[0]["test_samples"]
     out = metrics_row.withColumn("test_samples", F.lit(cnt).cast("bigint"))

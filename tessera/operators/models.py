@@ -231,9 +231,40 @@ def save_model(model, path: str) -> str:
     return path
 
 
+# What each algorithm is, and when it is the one to choose.
+DESCRIPTIONS = {
+    "random_forest": ("Averages many decision trees grown on samples of rows and columns.",
+                      "Mixed and noisy columns; little tuning needed."),
+    "gradient_boosting": ("Adds small trees one by one, each fitted to what is still wrong.",
+                          "Structured data with interactions, where accuracy counts most."),
+    "logistic_regression": ("Linear model of the log-odds of each class.",
+                            "Near-linear class borders, or coefficients that must be read."),
+    "svm": ("Separates the classes by the widest linear margin.",
+            "Many scaled columns and few rows."),
+    "linear_regression": ("Least-squares line through the data.",
+                          "A plain baseline for a numeric target."),
+    "ridge_regression": ("Least squares with a penalty on large coefficients.",
+                         "Correlated columns, where plain least squares is unstable."),
+}
+
+
+def deployment_info(evaluation: DataFrame, paths: dict[str, str]) -> DataFrame:
+    """One row naming the model, its features, where its parts are kept, and its main metrics."""
+    have = set(evaluation.columns)
+    metric = lambda c, name: (F.col(c) if c in have else F.lit(None)).cast("double").alias(name)
+    return evaluation.select(
+        "model_name", "problem_type", F.col("features_used").alias("feature_names"),
+        *[F.lit(v).alias(k) for k, v in paths.items()],
+        F.struct(metric("accuracy", "accuracy"), metric("r2", "r2_score"), metric("f1", "f1_score"))
+        .alias("performance_metrics"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
+
+
 def model_metadata(algorithm: str, problem_type: str, features: list[str], target: str) -> str:
     """Pre-training metadata as JSON text."""
+    what, why = DESCRIPTIONS.get(algorithm, ("", ""))
     return json.dumps({"model_name": algorithm, "problem_type": problem_type,
+                       "description": what, "reason_for_selection": why,
                        "feature_columns": features, "target_column": target,
                        "default_params": DEFAULT_PARAMS.get(algorithm, {})})
 

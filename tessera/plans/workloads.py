@@ -167,6 +167,48 @@ def s07_model_save(spark, sf_dir):
     return loaded.transform(va.transform(df)).select("doc_id", "prediction")
 
 
+def s07_processor_roundtrip(spark, sf_dir):
+    """A fitted feature processor saved, loaded and applied to the whole table."""
+    part = load(spark, sf_dir, "part")
+    fp = features.FeatureProcessor("regression")
+    fp.fit_transform(part.where(F.col("p_size") <= 25), "p_retailprice")
+    loaded = features.FeatureProcessor.load(spark, fp.save(_scratch(spark)))
+    return round_doubles(loaded.transform(part))
+
+
+def _full_evaluation(spark, sf_dir):
+    return metrics.full_evaluation(prediction_table(spark, sf_dir), "binary_classification", "doc_id",
+                                   "rule", ["n_chars", "quality"], [("quality", 0.25), ("n_chars", 0.75)])
+
+
+def e08_full_evaluation(spark, sf_dir):
+    """The report's arrays, read back from its JSON, as (section, item, value) rows."""
+    path, rep = _scratch(spark), _full_evaluation(spark, sf_dir)
+    io.write_json(rep, path)
+    r = spark.read.schema(rep.schema).json(path)
+
+    def rows(section, column, item, value):
+        return F.transform(column, lambda x: F.struct(F.lit(section).alias("section"), item(x).alias("item"),
+                                                      value(x).cast("double").alias("value")))
+    parts = [rows(m, "classification_report", lambda x: x["class_name"], lambda x, m=m: x[m])
+             for m in ("precision", "recall", "f1_score", "support")]
+    parts.append(rows("confusion", "confusion_matrix",
+                      lambda x: F.concat_ws("-", x["label"], x["prediction"]), lambda x: x["n"]))
+    parts.append(rows("importance", "feature_importance", lambda x: x["feature"], lambda x: x["importance"]))
+    return round_doubles(r.select(F.inline(F.concat(*parts))))
+
+
+def s08_deployment_info(spark, sf_dir):
+    from ..operators import models
+    path = _scratch(spark)
+    info = models.deployment_info(_full_evaluation(spark, sf_dir), {
+        "model_path": "model", "feature_processor_path": "processor", "evaluation_report_path": "report"})
+    io.write_json(info, path)
+    return round_doubles(spark.read.schema(info.schema).json(path).select(
+        "model_name", "problem_type", F.array_join("feature_names", ",").alias("feature_names"), "model_path",
+        "performance_metrics.accuracy", "performance_metrics.f1_score"))
+
+
 def s08_evaluation_sink(spark, sf_dir):
     path = _scratch(spark)
     io.write_json(e08_evaluation(spark, sf_dir), path)
@@ -907,7 +949,7 @@ def m13_train(spark, sf_dir):
 
 def m14_automl(spark, sf_dir):
     from . import automl
-    return automl.run_automl(_labels_frame(spark, sf_dir).drop("lang", "source"), "quality",
+    return automl.run_automl(_labels_frame(spark, sf_dir), "quality",
                              key="doc_id", n_trials=2).metrics
 
 
@@ -1211,6 +1253,9 @@ def registry() -> dict:
         "e04_regression": e04_regression,
         "e05_confusion": e05_confusion,
         "e05_confusion_pairs": e05_confusion_pairs,
+        "s07_processor_roundtrip": s07_processor_roundtrip,
+        "e08_full_evaluation": e08_full_evaluation,
+        "s08_deployment_info": s08_deployment_info,
         "e04_constant_label": e04_constant_label,
         "c15_cap_outliers_gaps": c15_cap_outliers_gaps,
         "c13_final_sweep_typed": c13_final_sweep_typed,
