@@ -36,9 +36,10 @@ from math import exp, log1p
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 TRAIN_PAGES = 2000
 SEED_SHARE = 0.3
@@ -388,9 +389,9 @@ def extracted(pages: DataFrame, html: str = "html", model: Model | None = None)
     """(page_id, url, text, n_chars), one row a page."""
     model = trained(pages, html) if model is None else model
 
-    @pandas_udf("string")
-    def text(sources: pd.Series) -> pd.Series:
-        return pd.Series([model.text(s) for s in sources], dtype="object")
+    @arrow_udf("string")
+    def text(sources: pa.Array) -> pa.Array:
+        return pa.array((model.text(s.as_py()) for s in sources), pa.string(), size=len(sources))
 
     out = pages.select("page_id", "url", text(F.col(html).cast("string")).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

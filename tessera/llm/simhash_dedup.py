@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from tessera.llm.common import boxed, discard, unboxed, written
 from tessera.llm.components import components
@@ -70,10 +70,10 @@ def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
-    @pandas_udf("bigint")
-    def fp(texts):
-        import pandas as pd
-        return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
+    @arrow_udf("bigint")
+    def fp(texts: pa.Array) -> pa.Array:
+        # one text at a time is a Python object, not a batch of them
+        return pa.array((simhash(t.as_py(), shingle) for t in texts), pa.int64(), size=len(texts))
     return fp(text.cast("string").cast("binary"))
 
 
