@@ -26,7 +26,7 @@ text shorter than the window keeps all; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -39,14 +39,25 @@ from tessera.llm.common import BROADCAST_ROWS, discard, words_of, written
 from tessera.llm.rolling import BASES, Chunk, from_planes, groups, merged, per_group, planes
 
 WINDOW = 50
-CHUNK_BYTES = 1 << 20
-#: Text bytes whose windows one shard of the hash range holds.
-SHARD_BYTES = 1 << 19
+#: Text bytes behind one packed row of the exchange, and the least of a chunk or shard.
+ROW_BYTES = 1 << 10
+LEAST_BYTES = 1 << 16
 _LAST = np.iinfo(np.int64).max
 _ENTRIES, _TABLE, _HITS = 0, 1, 2
 _SCHEMA = "kind int, route bigint, chunk bigint, a binary, b binary, c binary"
 
 
+def exchange_sizes(docs: DataFrame, row_bytes: int, least: int) -> tuple[int, int]:
+    """(text bytes of a chunk and of a shard, number of shards).
+
+    Each chunk has a row for each shard, so both sides grow with the square
+    root of the text: rows then grow as the text does, each with as much.
+    """
+    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    side = max(least, isqrt(total * row_bytes))
+    return side, max(1, -(-total // side))
+
+
 def _chunks(batches, size: int):
     """(chunk id, columns as lists) for about ``size`` bytes of text at a time."""
     part, seq, rows, held = TaskContext.get().partitionId(), 0, [], 0
@@ -86,10 +97,10 @@ def _cuts(shard: np.ndarray):
     return zip(shard[b].tolist(), b.tolist(), [*b[1:].tolist(), len(shard)])
 
 
-def _anchors(block: int, shards: int):
+def _anchors(block: int, size: int, shards: int):
     """Chunks to packed anchor entries; ``a``: counts of the four sections, ``b``: hashes, ``c``: positions."""
     def run(batches):
-        for chunk, (keys, _, texts) in _chunks(batches, CHUNK_BYTES):
+        for chunk, (keys, _, texts) in _chunks(batches, size):
             c = Chunk([t or b"" for t in texts])
             rows = [_table(chunk, keys, c)]
             h, at = c.windows(block, BASES[0])
@@ -175,10 +186,10 @@ def _expanded(blobs) -> np.ndarray:
     return np.repeat(b - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
 
 
-def _repeats(window: int, shards: int):
+def _repeats(window: int, size: int, shards: int):
     """Chunks of hit texts to packed window entries; ``a``: doc_ids, ``b``: hashes, ``c``: positions."""
     def run(batches):
-        for chunk, (keys, ids, texts, blobs) in _chunks(batches, CHUNK_BYTES):
+        for chunk, (keys, ids, texts, blobs) in _chunks(batches, size):
             c, ids = Chunk([t or b"" for t in texts]), _doc_ids(ids)
             rows = [_table(chunk, keys, c)]
             at = np.concatenate([_expanded(b) + o for b, o in zip(blobs, c.offsets)])
@@ -265,17 +276,13 @@ def removed(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFr
     """(key, n_removed, n_spans, kept, spans) of the rows that lose words; spans are word ranges."""
     spark, block = docs.sparkSession, max(1, window // 2)
     d = keyed(docs, text)
-    size = d.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    found, at = written(d.mapInArrow(_anchors(block, shards), _SCHEMA).groupBy("route").applyInPandas(
+    found, at = written(d.mapInArrow(_anchors(block, *exchange_sizes(d, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
         _answer_anchors, _SCHEMA), "anchors")
     near, at2 = written(found.groupBy("chunk").applyInPandas(
         _by_key(_around(window, block)), "key binary, blob binary"), "around")
     hit, at3 = written(with_blobs(d, near).dropDuplicates(["key"]), "hit")
     discard(spark, at, at2)
-    size = hit.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    found, at = written(hit.mapInArrow(_repeats(window, shards), _SCHEMA).groupBy("route").applyInPandas(
+    found, at = written(hit.mapInArrow(_repeats(window, *exchange_sizes(hit, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
         _answer_repeats, _SCHEMA), "repeats")
     starts = found.groupBy("chunk").applyInPandas(
         _by_key(lambda p, words: p.astype("<u4").tobytes()), "key binary, blob binary")

@@ -45,15 +45,16 @@ from pyspark.sql import functions as F
 from tessera.llm.bwt import repeated
 from tessera.llm.common import discard, written
 from tessera.llm.rolling import BASES, from_planes, groups, merged, mixed, per_group, planes, powers
-from tessera.llm.substring_dedup import keyed, with_blobs
+from tessera.llm.substring_dedup import exchange_sizes, keyed, with_blobs
 
 LENGTH = 100
 GRAM = 32
-CHUNK_BYTES = 1 << 20
 PIECE = 1 << 18
 #: Bytes whose hashes are held at once.
 PART_BYTES = 1 << 17
-SHARD_BYTES = 1 << 19
+#: Text bytes behind one packed row of the exchanges, and the least of a chunk or shard.
+ROW_BYTES = 1 << 12
+LEAST_BYTES = 1 << 16
 #: Rows of a transform that are sorted on their own before merging.
 SORT_ROWS = 1 << 15
 _LAST = np.iinfo(np.int64).max
@@ -162,10 +163,10 @@ def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
-def _anchored(length: int, shards: int):
+def _anchored(length: int, size: int, shards: int):
     """Chunks to packed anchors; ``a``: how many stand alone in their chunk, ``b``: hashes, ``c``: positions."""
     def run(batches):
-        for chunk, (keys, _, texts, bases, _) in _chunks(batches, length, CHUNK_BYTES):
+        for chunk, (keys, _, texts, bases, _) in _chunks(batches, length, size):
             offsets = _offsets(texts)
             rows, ats, hs = [_table(chunk, keys, offsets, bases)], [], []
             for i, j in _parts(texts):
@@ -278,10 +279,10 @@ def _segments_of(texts, ids, bases, others, length: int) -> np.ndarray:
     return seg
 
 
-def _segments(length: int, shards: int):
+def _segments(length: int, size: int, shards: int):
     """Chunks of texts with repeated anchors to packed segments; ``b``: their heads by plane, ``c``: their bytes."""
     def run(batches):
-        for chunk, (keys, ids, texts, bases, others) in _chunks(batches, length, CHUNK_BYTES):
+        for chunk, (keys, ids, texts, bases, others) in _chunks(batches, length, size):
             offsets = _offsets(texts)
             rows, found = [_table(chunk, keys, offsets, bases)], []
             for i, j in _parts(texts):
@@ -401,16 +402,12 @@ def removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFr
     """(key, n_removed, n_spans, kept, kept_sha256, spans) of the rows that lose bytes; spans are byte ranges."""
     spark = docs.sparkSession
     d = keyed(docs, text)
-
-    def shards(df):
-        return max(1, -(-(df.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD_BYTES))
-
-    found, at = written(d.mapInArrow(_anchored(length, shards(d)), _SCHEMA).groupBy("route").applyInPandas(
+    found, at = written(d.mapInArrow(_anchored(length, *exchange_sizes(d, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
         _answer_anchors, _SCHEMA), "anchors")
     anchors, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "candidates")
     hit, at3 = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
     discard(spark, at, at2)
-    found, at = written(hit.mapInArrow(_segments(length, shards(hit)), _SCHEMA).groupBy("route").applyInPandas(
+    found, at = written(hit.mapInArrow(_segments(length, *exchange_sizes(hit, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
         _answer_segments(length), _SCHEMA), "segments")
     gone, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "gone")
     gone = gone.groupBy(F.col("key").alias("__key")).agg(F.collect_list("blob").alias("gone"))

@@ -34,7 +34,8 @@ def result(df, **kw):
 @pytest.mark.parametrize("window,letters,seed", [(2, 4, 1), (5, 2, 2), (7, 3, 3), (10, 2, 4)])
 def test_matches_brute_force(spark, monkeypatch, window, letters, seed):
     rng = random.Random(seed)
-    monkeypatch.setattr(S, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(S, "LEAST_BYTES", 400)
+    monkeypatch.setattr(S, "ROW_BYTES", 30)
     rows = [(rng.randrange(60), "  ".join(rng.choice("abcdefgh"[:letters]) for _ in range(rng.randrange(0, 60)))) for _ in range(70)]
     rows += rows[:5] + [(None, rows[3][1]), (None, rows[4][1]), (70, None), (71, ""), (72, rows[9][1] + "\n" + rows[8][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)

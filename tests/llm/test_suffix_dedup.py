@@ -49,7 +49,8 @@ def result(df, rows, length):
 @pytest.mark.parametrize("length,letters,seed", [(3, 4, 1), (10, 2, 2), (40, 2, 3), (35, 1, 4), (100, 2, 5), (7, 3, 6)])
 def test_matches_brute_force(spark, monkeypatch, length, letters, seed):
     rng = random.Random(seed)
-    monkeypatch.setattr(S, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(S, "LEAST_BYTES", 700)
+    monkeypatch.setattr(S, "ROW_BYTES", 30)
     monkeypatch.setattr(S, "SORT_ROWS", 150)
     monkeypatch.setattr(S, "PIECE", 150)
     monkeypatch.setattr(S, "PART_BYTES", 300)
