@@ -83,3 +83,9 @@ def test_winnowed_index_is_in_every_template():
 
 def test_empty(empty):
     assert L.scanned(empty).collect() == []
+
+
+def test_clashing_names(clashing):
+    d = clashing.selectExpr("*", "'own' AS license", "1 AS start", "2 AS matched")
+    assert L.scanned(d).columns[:2] == ["doc_id", "license"]
+    assert L.scanned(d).count() == L.scanned(clashing).count()

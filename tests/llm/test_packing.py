@@ -81,3 +81,8 @@ def test_repeated_and_null_rows_are_kept(docs, corpus):
 
 def test_empty(empty):
     assert P.packed(empty).collect() == []
+
+
+def test_clashing_names(clashing, corpus):
+    d = clashing.selectExpr("*", "1 AS piece", "2 AS length", "'x' AS bin_id", "'y' AS spread")
+    assert sum(r.length for r in P.packed(d).collect()) == sum(len((r[1] or "").encode()) for r in corpus)

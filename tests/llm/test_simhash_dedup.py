@@ -131,3 +131,7 @@ def test_words():
     assert S.simhash("É x y z w q".encode()) % (1 << 64) == fingerprint("É x y z w q")
     long = " ".join(str(i % 977) for i in range(70_000))
     assert S.simhash(long.encode()) % (1 << 64) == fingerprint(long)
+
+
+def test_clashing_names(clashing, corpus):
+    assert result(clashing) == order(expected(corpus))

@@ -106,3 +106,12 @@ def test_digest(spark):
     rows = [("",), ("a",), ("é" * 1000,)]
     df = spark.createDataFrame(rows, "t string")
     assert [r.d for r in df.select(W.digest(df.t).alias("d")).collect()] == [sha(t) for (t,) in rows]
+
+
+def test_clashing_names(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "x"), (2, "v", "x")], "page_id long, url string, html string").selectExpr(
+        "*", "'own' AS payload", "'own' AS record_type", "7 AS refers_to", "'own' AS record_id")
+    W.write(W.crawled(df), f"{tmp_path}/a")
+    W.deduplicated(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in W.read(spark, f"{tmp_path}/b").collect()}
+    assert got == {(2, "response", None), (1, "revisit", 2)}
