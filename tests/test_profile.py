@@ -132,3 +132,40 @@ def test_one_row_and_empty(spark):
     sch = T.StructType([T.StructField("x", T.DoubleType())])
     e = profile_dataset(spark.createDataFrame([], sch)).rows
     assert e[0]["inferred_type"] == "unknown"
+
+
+def test_quantiles_by_refinement(spark, monkeypatch):
+    """Small ranges and few parts a round force many rounds; ties and skew included."""
+    import numpy as np
+    from tessera.operators import quantiles
+    monkeypatch.setattr(quantiles, "SMALL", 4)
+    monkeypatch.setattr(quantiles, "PARTS", 3)
+    rng = np.random.default_rng(5)
+    a = np.round(rng.lognormal(0, 3, 800), 3)
+    b = np.r_[np.zeros(500), rng.integers(-50, 50, 300)].astype(float)
+    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)], "a double, b double, c double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
+    got = quantiles.exact_quantiles(df, ["a", "b", "c"], probs)
+    for name, x in (("a", a), ("b", b)):
+        assert got[name] == [float(v) for v in np.quantile(x, probs)] or np.allclose(got[name], np.quantile(x, probs), rtol=1e-12)
+    assert got.get("c") is None
+
+
+def test_mode_and_counts_of_wide_integers(spark):
+    from tessera.operators import impute, infer
+    base = 2 ** 53
+    rows = [(base + i % 7,) for i in range(70)] + [(base + 3,), (None,)]
+    df = spark.createDataFrame(rows, "k long")
+    assert impute.modes(df, ["k"]) == {"k": base + 3}
+    assert infer.profile_dataset(df).rows[0]["unique_count"] == 7
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+    import pytest
+    from tessera import session
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn",
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(fake)
