@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .quantiles import exact_quantiles
 from .ranking import dense_codes
 
-BROADCAST_MAX_ROWS = 1_000_000   # encoder rows above this join by shuffle
+BROADCAST_MAX_BYTES = 64 << 20   # an encoder of more joins by shuffle
 
 
 def _q(c: str):
@@ -69,23 +69,24 @@ def fit_label_encoders(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def encoder_sizes(encoders: DataFrame) -> dict:
-    """Rows per encoded column (one small aggregate; one row per column)."""
-    return {r["column"]: r["n"] for r in
-            encoders.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Bytes of each column's encoder, 24 a row beside its values (one small
+    aggregate; one row per column)."""
+    size = F.sum(F.octet_length("value") + 24).alias("n")
+    return {r["column"]: r["n"] for r in encoders.groupBy("column").agg(size).collect()}
 
 
 def apply_label_encoders(df: DataFrame, encoders: DataFrame, columns: list[str],
-                         n_encoder_rows: int | dict | None = None) -> DataFrame:
+                         sizes: dict | None = None) -> DataFrame:
     """F01/F03/F11 apply: code by lookup, unseen value -> 0 (the first class).
 
-    Each column's encoder is broadcast only when its row count is known and
-    small (``n_encoder_rows``: a per-column dict, or one total); a large one
-    (a free-text column) is joined by shuffle without forcing the others to.
+    Each column's encoder is broadcast only when its size in bytes is known
+    (``sizes``, by column, from ``encoder_sizes``) and small; a large one (a
+    free-text column) is joined by shuffle without forcing the others to.
     """
     out = df
     for c in columns:
-        size = n_encoder_rows.get(c) if isinstance(n_encoder_rows, dict) else n_encoder_rows
-        small = size is not None and size <= BROADCAST_MAX_ROWS
+        size = (sizes or {}).get(c)
+        small = size is not None and size <= BROADCAST_MAX_BYTES
         enc = encoders.where(F.col("column") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
         enc = F.broadcast(enc) if small else enc
@@ -233,7 +234,7 @@ def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 #: Fields of a fitted processor that its saved document holds.
-STATE = ("problem_type", "encoded", "n_encoder_rows", "selected", "scores", "method", "scaler")
+STATE = ("problem_type", "encoded", "encoder_bytes", "selected", "scores", "method", "scaler")
 
 
 @dataclass
@@ -242,7 +243,7 @@ class FeatureProcessor:
     problem_type: str
     encoders: DataFrame | None = None
     encoded: list = field(default_factory=list)
-    n_encoder_rows: dict = field(default_factory=dict)
+    encoder_bytes: dict = field(default_factory=dict)
     selected: list = field(default_factory=list)
     scores: dict = field(default_factory=dict)
     method: str = ""
@@ -256,13 +257,13 @@ class FeatureProcessor:
         out = df
         if self.encoded:
             self.encoders = fit_label_encoders(df, self.encoded).cache()
-            self.n_encoder_rows = encoder_sizes(self.encoders)
-            out = apply_label_encoders(df, self.encoders, self.encoded, self.n_encoder_rows)
+            self.encoder_bytes = encoder_sizes(self.encoders)
+            out = apply_label_encoders(df, self.encoders, self.encoded, self.encoder_bytes)
         cls = self.problem_type in ("classification", "binary_classification")
         if cls and isinstance(df.schema[label].dataType, T.StringType):
             self.label_map = fit_label_encoders(df, [label]).cache()
             out = apply_label_encoders(out, self.label_map, [label],
-                                       self.label_map.count())
+                                       encoder_sizes(self.label_map))
         if cls:
             n_classes = out.select(F.count_distinct(_q(label))).collect()[0][0]
             if n_classes == 2:
@@ -307,6 +308,6 @@ class FeatureProcessor:
         if self.encoded:
             out = apply_label_encoders(out, self.encoders, [c for c in self.encoded
                                                             if c in df.columns],
-                                       self.n_encoder_rows)
+                                       self.encoder_bytes)
         cols = [c for c in self.selected if c in out.columns]
         return scale(out.select(*[_q(c) for c in cols], *[_q(c) for c in keep]), self.scaler)

@@ -29,7 +29,8 @@ def run_automl(df: DataFrame, target: str, key: str, dataset_name: str = "",
     fp.fit_transform(x.select(*[c for c in x.columns if c != target], target), target)   # F10
     keyed = fp.transform(df, keep=[key, target])                                         # F11
     if fp.label_map is not None:
-        keyed = features.apply_label_encoders(keyed, fp.label_map, [target])
+        keyed = features.apply_label_encoders(keyed, fp.label_map, [target],
+                                              features.encoder_sizes(fp.label_map))
     n_rows = df.count()
     algo = algorithm or policy.choose_algorithm(ptype, n_rows, len(fp.selected))   # R18
     res = models.train_selected_model(keyed, fp.selected, target, key, algo, ptype,

@@ -281,7 +281,7 @@ def _part_fit_apply(spark, sf_dir, cols):
     part = load(spark, sf_dir, "part")
     fit = part.where(F.col("p_size") <= 25)
     enc = features.fit_label_encoders(fit, cols).cache()
-    return features.apply_label_encoders(part, enc, cols, enc.count())
+    return features.apply_label_encoders(part, enc, cols, features.encoder_sizes(enc))
 
 
 def p09_unseen_default(spark, sf_dir):
@@ -781,7 +781,7 @@ def f01_label_encode(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     cols = ["p_name", "p_brand", "p_type"]
     enc = features.fit_label_encoders(part, cols).cache()
-    return features.apply_label_encoders(part, enc, cols, enc.count()) \
+    return features.apply_label_encoders(part, enc, cols, features.encoder_sizes(enc)) \
         .select("p_partkey", *cols)
 
 
@@ -795,7 +795,7 @@ def f03_binary_encode(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     enc = features.fit_label_encoders(li, ["l_linestatus"]).cache()
     return features.apply_label_encoders(li.select("l_orderkey", "l_linenumber", "l_linestatus"),
-                                         enc, ["l_linestatus"], enc.count())
+                                         enc, ["l_linestatus"], features.encoder_sizes(enc))
 
 
 def f04_target_mapping(spark, sf_dir):
@@ -810,14 +810,14 @@ LI_FEATURES = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extend
 def f05_anova(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     enc = features.fit_label_encoders(li, ["l_returnflag"]).cache()
-    y = features.apply_label_encoders(li, enc, ["l_returnflag"], enc.count())
+    y = features.apply_label_encoders(li, enc, ["l_returnflag"], features.encoder_sizes(enc))
     return round_doubles(features.anova_f(y, LI_FEATURES, "l_returnflag"))
 
 
 def _mi_binary(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     enc = features.fit_label_encoders(li, ["l_linestatus"]).cache()
-    y = features.apply_label_encoders(li, enc, ["l_linestatus"], enc.count())
+    y = features.apply_label_encoders(li, enc, ["l_linestatus"], features.encoder_sizes(enc))
     return features.mutual_info(y, LI_FEATURES, "l_linestatus")
 
 

@@ -90,7 +90,7 @@ def test_encode_apply_identity_and_unseen(spark):
     codes = {r["value"]: r["code"] for r in enc.collect()}
     assert codes == {"a": 0, "b": 1, "c": 2}
     new = spark.createDataFrame([("c",), ("zzz",)], "s string")
-    out = [r["s"] for r in features.apply_label_encoders(new, enc, ["s"], 3).collect()]
+    out = [r["s"] for r in features.apply_label_encoders(new, enc, ["s"], features.encoder_sizes(enc)).collect()]
     assert sorted(out) == [0, 2]
 
 
