@@ -347,7 +347,7 @@ def _answer_segments(length: int):
     return run
 
 
-def _whole_anchors(seg: np.ndarray, length: int, rows: int = 1 << 19):
+def _whole_anchors(seg: np.ndarray, length: int, rows: int = 1 << 17):
     """Whole anchors together, about ``rows`` bytes at a time."""
     if not len(seg):
         return
