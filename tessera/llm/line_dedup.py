@@ -7,6 +7,13 @@ copies does not make its own prose boilerplate. Lines are compared without
 the white space around them; lines without a word are never counted and never
 dropped.
 
+In the pipeline's stage near copies count as one page too, or each line of a
+large group of them would go from all its copies. A page is shared if
+``shared_pct`` of its characters lie in lines that ``min_pages`` pages of the
+host hold; all shared pages with the same rarest such line are one page. Near
+copies with one line changed have the same rarest line, except those that
+changed that one. The query counts distinct texts, as its SQL does.
+
 Only (host, digest of the line, digest of the page) travels: duplicates are
 dropped and counts combined on the map side, so neither a hot host nor a hot
 line gathers in a task. A host has at most (mean lines a page / max_ratio)
@@ -27,6 +34,8 @@ from tessera.llm.common import SPACE_CHARS, boxed, cut, lookup
 
 MAX_RATIO_PCT = 5
 MIN_PAGES = 5
+#: Share of a page's characters in common lines from which it may be a near copy (the stage).
+SHARED_PCT = 80
 
 
 def _digest(line: Column) -> Column:
@@ -53,10 +62,39 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source",
     return over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
-def stripped(docs: DataFrame, text: str = "text", host: str = "source",
-             max_ratio_pct: int = MAX_RATIO_PCT, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_near(docs: DataFrame, text: str = "text", host: str = "source", max_ratio_pct: int = MAX_RATIO_PCT,
+                     min_pages: int = MIN_PAGES, shared_pct: int = SHARED_PCT) -> DataFrame:
+    """As ``boilerplate``, with near copies counted as one page."""
+    d = docs.select(F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("t"))
+    d = d.filter(F.col("t").isNotNull()).withColumn("page", F.unhex(F.md5(F.col("t").cast("binary"))))
+    # a page without a line of words has one null line, so that it is still counted
+    lines = d.select("host", "page", F.explode_outer(F.array_distinct(F.transform(
+        F.filter(F.split("t", "\n"), _has_word), lambda x: F.struct(
+            _digest(x).alias("line"), F.length(F.btrim(x, F.lit(SPACE_CHARS))).alias("size"))))).alias("l"))
+    lines = cut(lines.select("host", "page", "l.line", "l.size", F.struct("host", "l.line").alias("at")).distinct())
+    common = lines.filter(F.col("line").isNotNull()).groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    common = cut(common.filter(F.col("n") >= min_pages))
+    j = lookup(lines, common, "at", "left", ["page"])
+    held = F.col("n").isNotNull()
+    pages = j.groupBy("host", "page").agg(
+        F.sum("size").alias("size"), F.sum(F.when(held, F.col("size"))).alias("shared"),
+        F.min(F.when(held, F.struct("n", "line"))).alias("rarest"), F.collect_list(F.when(held, F.col("line"))).alias("lines"))
+    near = F.col("shared") * 100 >= F.col("size") * shared_pct
+    pages = cut(pages.select(
+        "host", "lines", F.when(near, F.struct(F.lit(True).alias("near"), F.col("rarest.line").alias("id"))).otherwise(
+            F.struct(F.lit(False).alias("near"), F.col("page").alias("id"))).alias("page")))
+    total = pages.select("host", "page").distinct().groupBy(F.col("host").alias("__h")).agg(F.count(F.lit(1)).alias("pages"))
+    n = pages.select("host", "page", F.explode("lines").alias("line")).distinct()
+    n = n.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    over = n.join(total, F.col("host").eqNullSafe(F.col("__h"))).filter(
+        F.col("n") * 100 > F.col("pages") * max_ratio_pct)
+    return over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+
+
+def stripped(docs: DataFrame, text: str = "text", host: str = "source", max_ratio_pct: int = MAX_RATIO_PCT,
+             min_pages: int = MIN_PAGES, found=boilerplate) -> DataFrame:
     """(__row, text, n_lines, n_removed): each row of ``docs`` beside its text without boilerplate lines."""
-    hosts = cut(boilerplate(docs, text, host, max_ratio_pct, min_pages))
+    hosts = cut(found(docs, text, host, max_ratio_pct, min_pages))
     # bytes count, not hosts: 16 for each digest
     cost = hosts.agg(F.sum(F.size("lines"))).first()[0] or 0
     d = boxed(docs, text=F.col(text).cast("string"), host=F.col(host).cast("string"))
@@ -71,7 +109,7 @@ def stripped(docs: DataFrame, text: str = "text", host: str = "source",
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents with their boilerplate lines dropped; n_chars follows the text."""
-    d = stripped(docs)
+    d = stripped(docs, found=boilerplate_near)
     out = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")}
     return d.select(*[out.get(c, F.col(f"__row.`{c}`")) for c in docs.columns])
 

@@ -57,5 +57,21 @@ def test_copies_are_one_page(spark):
     assert all(r[2] == 0 for r in result(df))
 
 
+def test_stage_keeps_the_lines_of_near_copies(spark):
+    rows = [(i, "\n".join(f"page {i} line {k} of its own" for k in range(8)) + "\nShare this page", "en", "s", 0)
+            for i in range(40)]
+    prose = [f"a passage of the copied text, number {k}" for k in range(10)]
+    for i in range(20):  # a third of the pages: one line of ten changed
+        text = "\n".join(f"changed {i}" if k == i % 10 else x for k, x in enumerate(prose))
+        rows.append((100 + i, text, "en", "s", 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in L.stage(df).collect()}
+    assert got == {r[0]: r[1].replace("\nShare this page", "") for r in rows}
+
+
+def test_stage_empty(empty):
+    assert L.stage(empty).collect() == []
+
+
 def test_empty(empty):
     assert result(empty) == []
