@@ -10,6 +10,10 @@ verdicts are joined back: a document goes if it fails a base rule, or if it
 fails any rule and its host is condemned. A document that fails no rule always
 stays, whatever its host.
 
+The pipeline's stage lets the hosts' rates act on every document: one that fails
+a rule also goes unless its host clears it, by a shrunk rate for that rule under
+``clear_ratio`` of the prior mean. Hosts that do not differ clear nothing.
+
 Edge cases: a null text has no words and fails the base rule; a null host is a
 host of its own; repeated rows count and are judged one by one; an empty table
 gives an empty result; columns of the input with the same names as the
@@ -37,6 +41,8 @@ RULES = {
     "dup_lines": "10 * n_dup_lines > 3 * n_lines",
 }
 MAX_HOST_RATE = 0.5
+#: Share of the prior mean under which a host's rate clears a failed rule (the stage).
+CLEAR_RATIO = 0.5
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -77,8 +83,9 @@ def _rules():
     return {name: F.expr(rule) for name, rule in RULES.items()}
 
 
-def condemned_hosts(failures: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """(host, condemned, rate) from one row a document: host and one boolean for each rule.
+def condemned_hosts(failures: DataFrame, max_host_rate: float = MAX_HOST_RATE,
+                    clear_ratio: float = CLEAR_RATIO) -> DataFrame:
+    """(host, host_rate, condemned, clears_<rule>) from one row a document: host and one boolean for each rule.
 
     Sums are combined on the map side, so a host with a third of all documents
     sends one row a task. The prior is one row of moments over hosts.
@@ -88,15 +95,16 @@ def condemned_hosts(failures: DataFrame, max_host_rate: float = MAX_HOST_RATE) -
         *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES]))
     moments = hosts.agg(*[f(F.col(r) / F.col("n")).alias(f"{k}_{r}") for r in RULES
                           for k, f in (("m", F.avg), ("v", F.var_pop))]).first()
-    rates = []
+    rates, clears = [], []
     for r in RULES:
         m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         # concentration of the beta prior; hosts that do not differ pin every host to the mean
         k = min(max(m * (1 - m) / v - 1, 1.0), 1e6) if v > 0 else 1e6
         rates.append(((F.col(r) + F.lit(m * k)) / (F.col("n") + F.lit(k))).alias(r))
+        clears.append((rates[-1] < clear_ratio * m).alias(f"clears_{r}"))
     worst = F.greatest(*rates)
     return hosts.select("host", worst.alias("host_rate"),
-                        (worst > max_host_rate).alias("condemned"))
+                        (worst > max_host_rate).alias("condemned"), *clears)
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source",
@@ -115,7 +123,7 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def stage(docs: DataFrame, text: str = "text", host: str = "source",
-          max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+          max_host_rate: float = MAX_HOST_RATE, clear_ratio: float = CLEAR_RATIO) -> DataFrame:
     """The documents that pass, with their columns unchanged.
 
     Hosts are judged in a first pass over narrow rows; the second measures
@@ -124,17 +132,16 @@ def stage(docs: DataFrame, text: str = "text", host: str = "source",
     """
     narrow = docs.select(F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
     narrow = measured(narrow).withColumns(_rules())
-    hosts = condemned_hosts(narrow.select("host", *RULES), max_host_rate)
-    bad = hosts.filter("condemned").select(F.col("host").alias("__host"), F.lit(True).alias("__bad"))
+    hosts = cut(condemned_hosts(narrow.select("host", *RULES), max_host_rate, clear_ratio))
     d = boxed(docs, text=F.col(text), host=F.col(host).cast("string"), doc_id=F.col("doc_id"))
     d = measured(d).withColumns(_rules())
-    bad = hosts.filter("condemned").select("host", "condemned")
-    d = lookup(d, bad, "host", "left", ["doc_id", "n_words"])
+    d = lookup(d, hosts, "host", "left", ["doc_id", "n_words"])
     base = F.col("few_words") | F.col("repeats")
-    soft = F.greatest(*[F.col(r) for r in RULES])
+    # a failed rule counts where the host is condemned or does not clear it
+    soft = F.greatest(*[F.col(r) & (F.col("condemned") | ~F.col(f"clears_{r}")) for r in RULES])
     # one sum over both sides of the join: as a conjunction, its left part would be pushed below the
     # measures and work them out a second time, nested in one another
-    faults = base.cast("int") + (soft & F.coalesce("condemned", F.lit(False))).cast("int")
+    faults = base.cast("int") + soft.cast("int")
     return unboxed(d.filter(faults == 0))
 
 

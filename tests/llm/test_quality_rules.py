@@ -56,6 +56,18 @@ def test_stage_keeps_rows_and_columns(clashing, corpus):
     assert {r.n_words for r in out.select("n_words").collect()} == {"own n_words"}
 
 
+def test_stage_hosts_decide_on_failed_rules(spark):
+    good = "plain words that stand in a text without any of the signs"
+    junk = good + " # # # % % |"
+    rows = [(i, junk if i < 20 else good, "en", "mixed", 0) for i in range(100)]
+    rows += [(1000 + i, junk if i < 1 else good, "en", "clean", 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert not any(r.condemned for r in Q.condemned_hosts(
+        Q.measured(df.withColumnRenamed("source", "host")).withColumns(Q._rules()).select("host", *Q.RULES)).collect())
+    got = {r.doc_id for r in Q.stage(df).collect()}
+    assert got == {r[0] for r in rows if not (r[3] == "mixed" and r[1] == junk)}
+
+
 def test_lookup_by_shuffle_equals_broadcast(docs, monkeypatch):
     from tessera.llm import common
     one = order(map(tuple, Q.judged(docs).collect()))
