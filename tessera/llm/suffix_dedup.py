@@ -19,6 +19,10 @@ a smaller doc_id, or further up the same text.
    transforms are merged by interleave refinement (``bwt``), which gives the
    common prefixes of neighbouring suffixes and with them the repeated
    intervals of ``length`` bytes. All strings of an interval but the first go.
+   An anchor whose distinct segments exceed ``HOT_BYTES`` (a frequent phrase
+   among ever new neighbours) is not left to one shard: its segments are cut
+   into their strings, which are dealt by their own 96-bit hash, first places
+   only, over as many groups as their number asks for.
 4. Removed strings come back by chunk, merge to maximal runs and are cut out.
 
 Texts longer than ``PIECE`` bytes are hashed in pieces that overlap by
@@ -57,8 +61,11 @@ ROW_BYTES = 1 << 12
 LEAST_BYTES = 1 << 16
 #: Rows of a transform that are sorted on their own before merging.
 SORT_ROWS = 1 << 15
+#: Bytes of distinct segments from which an anchor is dealt by string, and the strings of one group.
+HOT_BYTES = 1 << 17
+HOT_STRINGS = 1 << 16
 _LAST = np.iinfo(np.int64).max
-_ENTRIES, _TABLE, _HITS = 0, 1, 2
+_ENTRIES, _TABLE, _HITS, _STRINGS = 0, 1, 2, 3
 _NAMES = ["kind", "route", "chunk", "a", "b", "c"]
 _SCHEMA = "kind int, route bigint, chunk bigint, a binary, b binary, c binary"
 _LOW = np.uint64((1 << 24) - 1)
@@ -89,7 +96,22 @@ def _slide(a: np.ndarray, size: int, ufunc) -> np.ndarray:
     return ufunc(a[:len(a) - (size - w)], a[size - w:]) if w < size else a
 
 
-class Bytes:
+class Hashed:
+    """Bytes with the running sums that give the hash of any of their ranges."""
+
+    def __init__(self, data: np.ndarray):
+        self.data, n, self.sums = data, len(data), []
+        for base in BASES:
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, n + 1)[0][:n], out=total[1:])
+            self.sums.append(total)
+
+    def hashes(self, begins: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+        down = powers(BASES[which], len(self.data) + 1)[1]
+        return mixed((self.sums[which][ends] - self.sums[which][begins]) * down[begins])
+
+
+class Bytes(Hashed):
     """Texts end to end: their offsets, and the anchor of every string of ``length`` bytes in one text."""
 
     def __init__(self, texts: list[bytes], length: int):
@@ -99,11 +121,7 @@ class Bytes:
         self.starts = self.anchors = np.empty(0, np.int64)
         if n < length:
             return
-        self.sums = []
-        for base in BASES:
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(base, n + 1)[0][:n], out=total[1:])
-            self.sums.append(total)
+        super().__init__(self.data)
         at = np.arange(n - gram + 1)
         self.grams = self.hashes(at, at + gram)
         # 40 bits of hash, then the place in reverse: the least is the rightmost of equal ones
@@ -115,10 +133,6 @@ class Bytes:
         self.starts = starts[own]
         self.anchors = (_LOW - (least[own] & _LOW)).astype(np.int64)
 
-    def hashes(self, begins: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-        down = powers(BASES[which], len(self.data) + 1)[1]
-        return mixed((self.sums[which][ends] - self.sums[which][begins]) * down[begins])
-
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, at, "right") - 1
 
@@ -160,7 +174,8 @@ def _cuts(shard: np.ndarray):
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    # anchors are least hashes, which crowd at the low end of their range: mixed again they spread
+    return ((mixed(h) >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
 def _anchored(length: int, size: int, shards: int):
@@ -320,8 +335,117 @@ def _firsts(seg: np.ndarray):
     return seg[~later], seg[later]
 
 
+#: A distinct segment of an anchor in a chunk; ``total``: strings of the anchor there, on one of its rows.
+_COUNT = np.dtype([("anchor", "<u8"), ("h", "<u4"), ("n", "<u2"), ("total", "<u4")])
+
+
+def _counts(length: int, most: int):
+    """Packed segments to what counts them: of each anchor its distinct segments of least hash, up to ``most`` bytes."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for route, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                seg = from_planes(blob, _SEGMENT)
+                seg = seg[np.lexsort((seg["h1"], seg["anchor"]))]
+                g = groups(seg["anchor"])
+                size = np.diff(np.r_[g, len(seg)])
+                count = np.zeros(len(seg), _COUNT)
+                count["anchor"], count["h"], count["n"] = seg["anchor"], seg["h1"] >> np.uint64(32), seg["n"]
+                count["total"][g] = np.add.reduceat(seg["n"].astype(np.int64), g)
+                bytes_ = np.cumsum(seg["n"].astype(np.int64) + length - 1)
+                before = bytes_ - np.repeat(bytes_[g], size)
+                out.append((route, planes(count[before <= most])))
+            route, blob = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(route, pa.int64()), pa.array(blob, pa.binary())], names=["route", "b"])
+    return run
+
+
+def _hot(length: int, most: int, strings: int):
+    """Of a shard's counts the anchors over ``most`` bytes, and the groups their strings are dealt to."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        count = np.concatenate([from_planes(x, _COUNT) for x in pdf["b"]])
+        count = count[np.lexsort((count["h"], count["anchor"]))]
+        g = groups(count["anchor"])
+        first = np.zeros(len(count), bool)
+        first[groups(count["anchor"], count["h"])] = True
+        size = np.add.reduceat((count["n"].astype(np.int64) + length - 1) * first, g)
+        total = np.add.reduceat(count["total"].astype(np.int64), g)
+        hot = size > most
+        if not hot.any():
+            return pd.DataFrame([], columns=["route", "b", "n"])
+        return pd.DataFrame([(pdf["route"].iat[0], count["anchor"][g][hot].tobytes(), int(-(-total[hot].sum() // strings)))],
+                            columns=["route", "b", "n"])
+    return run
+
+
+#: One string of a hot anchor.
+_STRING = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("start", "<i8"), ("at", "<u4")])
+
+
+def _strings_of(seg: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """The strings of ``seg``, whose bytes stand end to end in ``data``."""
+    n = seg["n"].astype(np.int64)
+    begins = np.cumsum(n + length - 1) - (n + length - 1)
+    own = np.repeat(np.arange(len(seg)), n)
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at, hashed = begins[own] + within, Hashed(data)
+    out = np.empty(len(own), _STRING)
+    out["h1"], out["h2"] = hashed.hashes(at, at + length), hashed.hashes(at, at + length, 1).astype(np.uint32)
+    out["doc"], out["start"], out["at"] = seg["doc"][own], seg["start"][own] + within, seg["at"][own] + within
+    return out
+
+
+def _dealt(length: int, shards: int, hot: dict):
+    """Packed segments with those of hot anchors (route: anchors, groups) cut into packed strings."""
+    def run(batches):
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                kind, route, chunk, _, heads, body = row
+                if kind != _ENTRIES or route not in hot:
+                    yield _batch([row])
+                    continue
+                anchors, parts = hot[route]
+                seg, data = from_planes(heads, _SEGMENT), np.frombuffer(body, np.uint8)
+                lengths = seg["n"].astype(np.int64) + length - 1
+                begins = np.cumsum(lengths) - lengths
+                cut = np.isin(seg["anchor"], np.frombuffer(anchors, "<u8"))
+                rows, strings = [], []
+                if not cut.all():
+                    rows.append((kind, route, chunk, b"", planes(seg[~cut]), data[_gather(begins[~cut], lengths[~cut])].tobytes()))
+                seg, begins, lengths = seg[cut], begins[cut], lengths[cut]
+                for _, i, j in _cuts((np.cumsum(lengths) - lengths) // PART_BYTES):
+                    strings.append(_firsts(_strings_of(seg[i:j], data[_gather(begins[i:j], lengths[i:j])], length)))
+                if strings:
+                    first, gone = _firsts(np.concatenate([x for x, _ in strings]))
+                    gone = np.concatenate([gone, *(x for _, x in strings)])
+                    if len(gone):
+                        at = np.sort(gone["at"].astype(np.int64))
+                        rows.append(_hits(chunk, at, at + 1))
+                    part = (first["h1"] % np.uint64(parts)).astype(np.int64)
+                    order = np.argsort(part, kind="stable")
+                    first, part = first[order], part[order]
+                    for s, i, j in _cuts(part):
+                        rows.append((_STRINGS, route + shards * (1 + s), chunk, b"", planes(first[i:j]), b""))
+                yield _batch(rows)
+    return run
+
+
+def _answer_strings(pdf: pd.DataFrame) -> pd.DataFrame:
+    strings = [from_planes(x, _STRING) for x in pdf["b"]]
+    both = np.empty(sum(map(len, strings)), np.dtype([*_STRING.descr, ("chunk", "<i8")]))
+    for f in _STRING.names:
+        both[f] = np.concatenate([x[f] for x in strings])
+    both["chunk"] = np.repeat(pdf["chunk"].to_numpy(), [len(x) for x in strings])
+    gone = _firsts(both)[1]
+    gone = gone[np.argsort(gone["at"], kind="stable")]
+    at = gone["at"].astype(np.int64)
+    return _ranges_by_chunk(gone["chunk"], at, at + 1)
+
+
 def _answer_segments(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iat[0] == _STRINGS:
+            return _answer_strings(pdf)
         if pdf["kind"].iat[0] != _ENTRIES:
             return pdf
         seg = np.concatenate([from_planes(x, _SEGMENT) for x in pdf["b"]])
@@ -398,6 +522,18 @@ def _removal(length: int):
     return run
 
 
+def _routed(hit: DataFrame, length: int) -> tuple[DataFrame, str]:
+    """Packed segments, or strings of hot anchors, by the group that compares them; and the scratch table they are read from."""
+    size, shards = exchange_sizes(hit, ROW_BYTES, LEAST_BYTES)
+    packed, at = written(hit.mapInArrow(_segments(length, size, shards), _SCHEMA), "packed")
+    counts = packed.filter(F.col("kind") == _ENTRIES).select("route", "b").mapInArrow(
+        _counts(length, HOT_BYTES), "route bigint, b binary")
+    hot = counts.groupBy("route").applyInPandas(_hot(length, HOT_BYTES, HOT_STRINGS), "route bigint, b binary, n bigint")
+    # an anchor of 8 bytes for each HOT_BYTES of distinct segments at most
+    hot = {r["route"]: (bytes(r["b"]), r["n"]) for r in hot.collect()}
+    return (packed.mapInArrow(_dealt(length, shards, hot), _SCHEMA) if hot else packed), at
+
+
 def removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """(key, n_removed, n_spans, kept, kept_sha256, spans) of the rows that lose bytes; spans are byte ranges."""
     spark = docs.sparkSession
@@ -407,8 +543,9 @@ def removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFr
     anchors, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "candidates")
     hit, at3 = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
     discard(spark, at, at2)
-    found, at = written(hit.mapInArrow(_segments(length, *exchange_sizes(hit, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
-        _answer_segments(length), _SCHEMA), "segments")
+    routed, at4 = _routed(hit, length)
+    found, at = written(routed.groupBy("route").applyInPandas(_answer_segments(length), _SCHEMA), "segments")
+    discard(spark, at4)
     gone, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "gone")
     gone = gone.groupBy(F.col("key").alias("__key")).agg(F.collect_list("blob").alias("gone"))
     out = hit.select("key", "text").join(gone, F.col("key") == F.col("__key")).select("key", "text", "gone")

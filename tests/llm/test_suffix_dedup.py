@@ -66,6 +66,43 @@ def test_matches_brute_force(spark, monkeypatch, length, letters, seed):
     assert result(df, rows, length) == exp
 
 
+def test_hot_anchor_is_dealt_by_string(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(S, "HOT_BYTES", 2000)
+    monkeypatch.setattr(S, "HOT_STRINGS", 500)
+    monkeypatch.setattr(S, "LEAST_BYTES", 4000)
+    monkeypatch.setattr(S, "PART_BYTES", 3000)
+    phrase = "".join(rng.choice("abcd") for _ in range(60))
+    word = lambda n: "".join(rng.choice("efgh") for _ in range(n))
+    tails = [word(60) for _ in range(8)]
+    rows = [(i, word(90) + phrase + (rng.choice(tails) if i % 2 else word(90))) for i in range(300)]
+    rows += rows[:3] + [(None, rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    exp = order(brute(rows, 100))
+    assert sum(r[2] > 0 for r in exp) > 100
+    assert result(df, rows, 100) == exp
+    # no group holds the segments of the phrase: those of about 150 bytes in each of 300 texts
+    from tessera.llm.common import written
+    from tessera.llm.substring_dedup import exchange_sizes, keyed, with_blobs
+    d = keyed(df)
+    found = d.mapInArrow(S._anchored(100, *exchange_sizes(d, S.ROW_BYTES, S.LEAST_BYTES)), S._SCHEMA).groupBy("route")
+    anchors = found.applyInPandas(S._answer_anchors, S._SCHEMA).groupBy("chunk").applyInPandas(S._by_key, "key binary, blob binary")
+    hit, _ = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
+    routed = S._routed(hit, 100)[0].collect()
+    held = defaultdict(int)
+    for r in routed:
+        held[r.kind, r.route] += len(r.c) if r.kind == S._ENTRIES else len(S.from_planes(bytes(r.b), S._STRING)) if r.kind == S._STRINGS else 0
+    assert sum(k == S._STRINGS for k, _ in held) > 10
+    assert max(n for (k, _), n in held.items() if k == S._STRINGS) < 3 * S.HOT_STRINGS
+
+
+def test_anchors_spread_over_shards():
+    rng = random.Random(3)
+    t = S.Bytes([bytes(rng.randrange(97, 123) for _ in range(100_000))], 100)
+    sizes = np.bincount(S._shard(t.grams[np.unique(t.anchors)], 50).astype(int), minlength=50)
+    assert sizes.max() < 2 * sizes.mean()
+
+
 def test_corpus(clashing, corpus):
     rows = [r[:2] for r in corpus]
     exp = order(brute(rows, 100))
