@@ -6,11 +6,14 @@ winnowed: of each ``winnow`` consecutive ones the least is a fingerprint, in
 an inverted index from hash to (template, position). The index depends on the
 templates alone and goes to every task; documents are probed with all their
 grams, not winnowed ones, so a copy of any run that holds a fingerprint is
-met even where the template is shorter than a winnowing window.
+met even where the template is shorter than a winnowing window. Grams and
+windows shrink, by template length, until the longest run that the changed
+words ``min_coverage`` allows must leave whole holds a fingerprint.
 
 Hits on nearby diagonals (document position less template position, at most
 ``band`` apart) are one candidate. It is aligned with its template by local
-alignment of words (match 1, mismatch or gap -1) within ``band`` of the
+alignment of words (match 1, mismatch or gap -1; of equal scores the one with
+most words matched) within ``band`` of the
 diagonals that were hit; the words matched over the template's words are its
 coverage, reported from ``min_coverage`` on with the span of the text from the
 first matched word to the last. A document is never shuffled or split.
@@ -82,6 +85,8 @@ def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[
     ``low`` to ``high`` are filled: a band of a row for each template word.
     """
     width = high - low + 1
+    # in units of 1 / (template + 1), so that a match counts a little more than a gap: ties go to more matches
+    unit = len(template) + 1
     score = np.zeros((len(template) + 1, width + 2), np.int32)  # one cell of margin at each end
     lane = np.arange(width)
     for q, word in enumerate(template):
@@ -90,10 +95,10 @@ def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[
         same = np.zeros(width, bool)
         same[inside] = text[at[inside]] == word
         # the same diagonal is the same lane one row up; a word left out of the text is one lane on
-        best = np.maximum(score[q, 1:-1] + np.where(same, 1, -1), score[q, 2:] - 1)
+        best = np.maximum(score[q, 1:-1] + np.where(same, unit + 1, -unit), score[q, 2:] - unit)
         best = np.where(inside, np.maximum(best, 0), 0)
         # gaps along the row: the best of what stands to the left, less one a lane
-        score[q + 1, 1:-1] = np.maximum(np.maximum.accumulate(best + lane) - lane, 0)
+        score[q + 1, 1:-1] = np.maximum(np.maximum.accumulate(best + unit * lane) - unit * lane, 0)
     if not score.max():
         return 0, 0, 0
     q, k = np.unravel_index(int(score.argmax()), score.shape)
@@ -101,12 +106,12 @@ def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[
     while q > 0 and score[q, k] > 0:
         p = q - 1 + low + k - 1
         same = 0 <= p < len(text) and text[p] == template[q - 1]
-        if same and score[q, k] == score[q - 1, k] + 1:
+        if same and score[q, k] == score[q - 1, k] + unit + 1:
             matched, first, last = matched + 1, p, p + 1 if last is None else last
             q -= 1
-        elif score[q, k] == score[q, k - 1] - 1:
+        elif score[q, k] == score[q, k - 1] - unit:
             k -= 1
-        elif score[q, k] == score[q - 1, k] - 1:
+        elif score[q, k] == score[q - 1, k] - unit:
             q -= 1
         else:
             q, k = q - 1, k + 1
@@ -116,17 +121,22 @@ def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[
 class Index:
     """Winnowed fingerprints of the templates: sorted hashes and their (template, position)."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, winnow: int = WINNOW):
+    def __init__(self, templates: dict[str, str], gram: int = GRAM, winnow: int = WINNOW,
+                 min_coverage: float = MIN_COVERAGE):
         self.gram, self.names, self.words = gram, list(templates), []
         postings = set()
         for t, text in enumerate(templates.values()):
             c = Chunk([text.encode()], _FOLD)
             w = c.word_hashes(BASES[0])
             self.words.append(w)
-            for size in {min(gram, len(w))} - {0}:
+            # the longest run of words left whole by as many changes as the coverage allows
+            changes = int(len(w) * (1 - min_coverage) + 1e-9)
+            run = -(-(len(w) - changes) // (changes + 1))
+            for size in {min(gram, max(run, min(1, len(w))))} - {0}:
                 h, at = self.grams(c, size)
-                for i in range(max(1, len(h) - winnow + 1)):
-                    part = h[i:i + winnow]
+                window = min(winnow, max(1, run - size + 1))
+                for i in range(max(1, len(h) - window + 1)):
+                    part = h[i:i + window]
                     least = i + len(part) - 1 - int(part[::-1].argmin())  # the last of equal ones
                     postings.add((size, int(h[least]), t, int(at[least])))
         self.by_size = {}
@@ -200,7 +210,7 @@ def scanned(docs: DataFrame, text: str = "text", templates: dict[str, str] | Non
 
     start and end are the span's code points in the text, matched its words.
     """
-    index = Index(TEMPLATES if templates is None else templates, gram, winnow)
+    index = Index(TEMPLATES if templates is None else templates, gram, winnow, min_coverage)
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches):

@@ -81,6 +81,18 @@ def test_winnowed_index_is_in_every_template():
     assert [m[:4] for m in L.found([b"a Word b"], L.Index({"one": "word"}))] == [(0, 0, 1, 1)]
 
 
+def test_one_word_changes_of_short_notices():
+    names = list(L.TEMPLATES)
+    index = L.Index(L.TEMPLATES)
+    for name, template in L.TEMPLATES.items():
+        w = template.split()
+        if 5 <= len(words(template)) <= 20 and len(w) == len(words(template)):
+            for i in range(len(w)):
+                text = " ".join(["onre", *w[:i], "changed", *w[i + 1:], "lywh"]).encode()
+                hits = {(names[k], m) for _, k, m, *_ in L.found([text], index)}
+                assert (name, len(w) - 1) in hits, (name, i)
+
+
 def test_empty(empty):
     assert L.scanned(empty).collect() == []
 
