@@ -5,7 +5,8 @@ given). One longer than the largest permitted sequence is cut into full
 sequences and a rest, so nothing is truncated. Pieces are dealt to shards of
 about ``shard_pieces`` by hash, whatever their number; a shard is packed in
 one task, from narrow rows without text, and its last bins are downsized, so
-sharding costs a shard less than one short sequence of each size.
+sharding costs a shard less than one short sequence of each size. Repeated rows
+are counted first and their copies dealt evenly over the shards.
 
 In a shard, pieces go in order of falling length to the open bin with the
 least room that still holds them. Where none does, a bin is opened of the size
@@ -27,6 +28,8 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import cut
+
 CAPACITIES = (2048, 8192, 32768)
 OVERHEAD = 64
 SHARD_PIECES = 2000
@@ -62,25 +65,37 @@ def plan(lengths: list[int], capacities: tuple[int, ...], overhead: int = OVERHE
 
 
 def pieces(docs: DataFrame, length, largest: int, spread) -> DataFrame:
-    """(doc_id, spread, piece, start, length), one piece at least for each row."""
+    """(doc_id, spread, copies, piece, start, length), one piece at least for each distinct row."""
     d = docs.select("doc_id", spread.alias("spread"), F.coalesce(length, F.lit(0)).cast("long").alias("total"))
+    d = d.groupBy("doc_id", "spread", "total").agg(F.count(F.lit(1)).alias("copies"))
     last = F.greatest(F.lit(0), F.ceil(F.col("total") / largest) - 1).cast("long")
     d = d.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     start = F.col("piece") * largest
-    return d.select("doc_id", "spread", "piece", start.alias("start"),
+    return d.select("doc_id", "spread", "copies", "piece", start.alias("start"),
                     F.least(F.lit(largest), F.col("total") - start).cast("long").alias("length"))
 
 
+def dealt(p: DataFrame, shards: int) -> DataFrame:
+    """``p`` by shard: one row for each shard that copies of a piece go to, with their number there."""
+    many = F.least(F.col("copies"), F.lit(shards))
+    p = p.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
+    at = F.pmod(F.pmod(F.xxhash64("spread", "piece"), F.lit(shards)) + F.col("__i"), F.lit(shards))
+    share = F.floor(F.col("copies") / shards) + (F.col("__i") < F.col("copies") % shards).cast("long")
+    return p.withColumns({"shard": at, "copies": share.cast("long")}).drop("spread", "__i")
+
+
 def packed(docs: DataFrame, text: str = "text", capacities: tuple[int, ...] = CAPACITIES,
            overhead: int = OVERHEAD, shard_pieces: int = SHARD_PIECES, length=None) -> DataFrame:
     """(doc_id, piece, start, length, bin_id, offset, capacity, used), one row a piece."""
     t = F.col(text).cast("string")
     p = pieces(docs, F.octet_length(t) if length is None else length, max(capacities), F.xxhash64("doc_id", t))
-    shards = max(1, -(-p.count() // shard_pieces))
-    p = p.withColumn("shard", F.pmod(F.xxhash64("spread", "piece"), F.lit(shards))).drop("spread")
+    p = cut(p)
+    shards = max(1, -(-(p.agg(F.sum("copies")).first()[0] or 0) // shard_pieces))
+    p = dealt(p, shards)
     id_type = p.schema["doc_id"].dataType.simpleString()
 
     def pack(key, rows):
+        rows = rows.loc[rows.index.repeat(rows["copies"])]
         rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
         full = rows["length"].to_numpy() > 0
         at, caps = plan(rows["length"][full].tolist(), capacities, overhead)

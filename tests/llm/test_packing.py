@@ -79,6 +79,15 @@ def test_repeated_and_null_rows_are_kept(docs, corpus):
     assert sorted(str(r.doc_id) for r in rows if r.piece == 0) == sorted(str(r[0]) for r in corpus)
 
 
+def test_copies_are_dealt_over_the_shards(spark):
+    rows = [(7, "the same text")] * 300 + [(None, "of no document")] * 301 + [(1000 + i, f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = P.packed(df, capacities=(64, 256), shard_pieces=50).collect()
+    assert sorted((str(r.doc_id), r.length) for r in got) == sorted((str(d), len(t)) for d, t in rows)
+    ids = [r.bin_id >> 32 for r in got]
+    assert len(set(ids)) == 19 and max(ids.count(x) for x in set(ids)) < 100
+
+
 def test_empty(empty):
     assert P.packed(empty).collect() == []
 
