@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
     decontaminate,
+    embedding_dedup,
+    fill_middle,
     html_extract,
     license_scan,
     line_dedup,
+    merkle,
     packing,
     quality_rules,
     simhash_dedup,
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.run,
         "op9_quality_rules": quality_rules.run,
         "op10_html_extract": html_extract.run,
+        "op11_embedding_dedup": embedding_dedup.run,
+        "op12_merkle_manifest": merkle.run,
+        "op13_fill_middle": fill_middle.run,
     }
 
 
@@ -42,4 +48,8 @@ def oracle_sql() -> dict[str, str]:
         "op7_suffix_dedup": suffix_dedup.SQL,
         "op8_warc": warc.SQL,
         "op9_quality_rules": quality_rules.SQL,
+        "op11_embedding_dedup": embedding_dedup.run,
+        "op11_embedding_dedup": embedding_dedup.SQL,
+        "op12_merkle_manifest": merkle.SQL,
+        "op13_fill_middle": fill_middle.SQL,
     }

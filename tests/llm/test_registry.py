@@ -17,7 +17,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(R.oracle_sql()))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = R.queries()[name](spark, SF_SMALL)
     cur = con.execute(R.oracle_sql()[name])
@@ -29,5 +29,5 @@ def test_sql_agrees(spark, name):
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and set(R.oracle_sql()) <= names
