@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _SPACE = np.zeros(256, bool)
@@ -11,6 +13,9 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 #: Values whose sums are held at once.
 _SEGMENT = 1 << 17
+#: Bytes of a word whose place has a row of its own in the tables of word hashes.
+_PLACES = 64
+_BYTES: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,6 +38,45 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _byte_table(base: int) -> np.ndarray:
+    """A random 64-bit value for each (place in its word, byte); one table a base is kept."""
+    if base not in _BYTES:
+        _BYTES[base] = np.random.default_rng(base).integers(0, 1 << 64, (_PLACES, 256), np.uint64)
+    return _BYTES[base]
+
+
+def tabulated(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of data[begin:end]; the ranges ascend and do not overlap.
+
+    Every byte is replaced by a random value that depends on its place, which no
+    repetitive pattern of bytes cancels, unlike the powers of one multiplier.
+    Ranges longer than ``_SEGMENT`` are digested by BLAKE2, in constant memory.
+    """
+    lengths = ends - begins
+    if (long := lengths > _SEGMENT).any():
+        out = np.empty(len(begins), np.uint64)
+        out[~long] = tabulated(data, begins[~long], ends[~long], base)
+        key = base.to_bytes(8, "little")
+        out[long] = [int.from_bytes(hashlib.blake2b(data[b:e], digest_size=8, key=key).digest(), "little")
+                     for b, e in zip(begins[long].tolist(), ends[long].tolist())]
+        return out
+    out, table, i = np.empty(len(begins), np.uint64), _byte_table(base), 0
+    total = np.cumsum(lengths)
+    while i < len(begins):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _SEGMENT)))
+        n = lengths[i:j]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        byte = data[np.repeat(begins[i:j], n) + place]
+        value = table[np.minimum(place, _PLACES - 1), byte]
+        far = place >= _PLACES
+        if far.any():
+            value[far] = mixed(value[far] + mixed(place[far].astype(np.uint64)))
+        out[i:j] = np.add.reduceat(value, first)
+        i = j
+    return mixed(out + mixed(lengths.astype(np.uint64)))
+
+
 def spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hashes of values[begin:end]; begins and ends ascend."""
     out = np.empty(len(begins), np.uint64)
@@ -66,7 +110,7 @@ class Chunk:
         self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.offsets))
 
     def word_hashes(self, base: int) -> np.ndarray:
-        return spans(self.data, self.begins, self.ends, base)
+        return tabulated(self.data, self.begins, self.ends, base)
 
     def windows(self, size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first word) of every window of ``size`` words of one text."""

@@ -16,12 +16,17 @@ window of block size probes them; what no probe hits cannot repeat.
    with a larger one are repeats; adjacent ones merge to maximal repeats, whose
    words are removed. All windows are judged on the input.
 
-Rows are told apart by doc_id and text together. Nothing but hashes and
+Words are hashed by place-dependent random values (``rolling.tabulated``), so
+repetitive words do not collide, and windows by powers over those hashes under
+two independent tables. Rows are told apart by doc_id and text together. Nothing but hashes and
 positions is shuffled for texts without a hit.
 
 Edge cases: a null or empty text has no words; a null doc_id counts as larger
 than all others; rows with the same doc_id never remove each other's words; a
-text shorter than the window keeps all; an empty table gives an empty result.
+text shorter than the window keeps all; words of any length are hashed whole,
+those over 128 KB by BLAKE2; of ties in doc_id none is smaller; only ``doc_id``
+and the text are read, so clashing names do no harm; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

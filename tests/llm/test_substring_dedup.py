@@ -72,3 +72,16 @@ def test_query_digest(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.kept_sha256 for r in S.run(spark, str(tmp_path)).collect()}
     assert got == {1: hashlib.sha256(rows[0][1].encode()).hexdigest(), 2: hashlib.sha256(b"a b").hexdigest()}
+
+
+def thue_morse(n, one, other):
+    return "".join(one if bin(i).count("1") % 2 else other for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096, 200_000])
+def test_repetitive_long_words_are_told_apart(spark, n):
+    """Words that collide under every polynomial hash modulo a power of two."""
+    rest = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{thue_morse(n, 'a', 'b')} {rest}"), (2, f"{thue_morse(n, 'b', 'a')} {rest}"), (3, f"{thue_morse(n, 'b', 'a')} {rest}")]
+    got = {r.doc_id: r.n_removed for r in S.deduped(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
