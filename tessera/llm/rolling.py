@@ -125,7 +125,7 @@ class Chunk:
 
 def planes(a: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, so that a codec sees the zero ones."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
 
 
 def from_planes(b: bytes, dtype) -> np.ndarray:

@@ -19,10 +19,14 @@ a smaller doc_id, or further up the same text.
    transforms are merged by interleave refinement (``bwt``), which gives the
    common prefixes of neighbouring suffixes and with them the repeated
    intervals of ``length`` bytes. All strings of an interval but the first go.
-   An anchor whose distinct segments exceed ``HOT_BYTES`` (a frequent phrase
-   among ever new neighbours) is not left to one shard: its segments are cut
-   into their strings, which are dealt by their own 96-bit hash, first places
-   only, over as many groups as their number asks for.
+   Equal segments are found by 96 bits of hash, and their bytes compared.
+   The anchor exchange also adds up how many strings the distinct segments of
+   an anchor have a chunk. Anchors of more than ``HOT_STRINGS`` (a frequent
+   phrase among ever new neighbours) are not left to one shard: their segments
+   are cut into strings, dealt by a 96-bit digest of their bytes (BLAKE2),
+   first places only, over as many groups as their number asks for. Anchors
+   with more than ``LONG_BYTES`` of distinct segments are compared by the same
+   digests within their shard, the others by the transforms; the result is one.
 4. Removed strings come back by chunk, merge to maximal runs and are cut out.
 
 Texts longer than ``PIECE`` bytes are hashed in pieces that overlap by
@@ -61,11 +65,14 @@ ROW_BYTES = 1 << 12
 LEAST_BYTES = 1 << 16
 #: Rows of a transform that are sorted on their own before merging.
 SORT_ROWS = 1 << 15
-#: Bytes of distinct segments from which an anchor is dealt by string, and the strings of one group.
-HOT_BYTES = 1 << 17
-HOT_STRINGS = 1 << 16
+#: Strings from which an anchor is dealt by string, and the strings of one group then.
+HOT_STRINGS = 1 << 17
+#: Bytes of distinct segments from which an anchor's strings are compared by digest.
+LONG_BYTES = 1 << 17
+#: Strings that a segment alone in its chunk is taken to have.
+_USUAL = 32
 _LAST = np.iinfo(np.int64).max
-_ENTRIES, _TABLE, _HITS, _STRINGS = 0, 1, 2, 3
+_ENTRIES, _TABLE, _HITS, _STRINGS, _HOT = 0, 1, 2, 3, 4
 _NAMES = ["kind", "route", "chunk", "a", "b", "c"]
 _SCHEMA = "kind int, route bigint, chunk bigint, a binary, b binary, c binary"
 _LOW = np.uint64((1 << 24) - 1)
@@ -179,53 +186,75 @@ def _shard(h: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _anchored(length: int, size: int, shards: int):
-    """Chunks to packed anchors; ``a``: how many stand alone in their chunk, ``b``: hashes, ``c``: positions."""
+    """Chunks to packed anchors.
+
+    ``a``: how many stand alone in their chunk, then the strings of the others' distinct segments; ``b``: hashes,
+    ``c``: positions.
+    """
     def run(batches):
         for chunk, (keys, _, texts, bases, _) in _chunks(batches, length, size):
             offsets = _offsets(texts)
-            rows, ats, hs = [_table(chunk, keys, offsets, bases)], [], []
+            rows, ats, hs, ns, bodies = [_table(chunk, keys, offsets, bases)], [], [], [], []
             for i, j in _parts(texts):
                 t = Bytes(texts[i:j], length)
                 if len(t.starts):
-                    at = np.unique(t.anchors)
+                    run_at = groups(t.anchors, t.text_of(t.starts))
+                    n = np.diff(np.r_[run_at, len(t.starts)])
+                    at, start = t.anchors[run_at], t.starts[run_at]
                     ats.append(at + offsets[i])
                     hs.append(t.grams[at])
+                    ns.append(n)
+                    bodies.append(t.hashes(start, start + n - 1 + length))
             if ats:
-                h, at = np.concatenate(hs), np.concatenate(ats)
-                order = np.argsort(h, kind="stable")
-                h, at = h[order], at[order]
+                h, at, n, body = (np.concatenate(x) for x in (hs, ats, ns, bodies))
+                order = np.lexsort((body, h))
+                h, at, n, body = h[order], at[order], n[order], body[order]
                 g = groups(h)
                 several = np.repeat(np.diff(np.r_[g, len(h)]) > 1, np.diff(np.r_[g, len(h)]))
-                rows.append(_hits(chunk, at[several], at[several] + 1))
-                first = np.zeros(len(h), bool)
-                first[g] = True
-                sent = first | ~several
-                h, at, several = h[sent], at[sent], several[sent]
+                gone = np.sort(at[several])
+                rows.append(_hits(chunk, gone, gone + 1))
+                distinct = np.zeros(len(h), bool)
+                distinct[groups(h, body)] = True
+                strings = np.add.reduceat(n * distinct, g)
+                h, at, several = h[g], at[g], several[g]
                 shard = _shard(h, shards)
                 order = np.lexsort((several, shard))
-                h, at, several, shard = h[order], at[order], several[order], shard[order]
+                h, at, several, shard, strings = (x[order] for x in (h, at, several, shard, strings))
                 low = h.astype(np.uint32)
                 for s, i, j in _cuts(shard):
-                    rows.append((_ENTRIES, s, chunk, int((~several[i:j]).sum()).to_bytes(4, "little"),
+                    many = several[i:j]
+                    rows.append((_ENTRIES, s, chunk,
+                                 int((~many).sum()).to_bytes(4, "little") + planes(strings[i:j][many].astype("<u4")),
                                  low[i:j].tobytes(), planes(at[i:j].astype("<u4"))))
             yield _batch(rows)
     return run
 
 
-def _answer_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Anchors that stand alone in their chunk and occur in another too."""
-    if pdf["kind"].iat[0] != _ENTRIES:
-        return pdf
-    h = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["b"]])
-    at = np.concatenate([from_planes(x, "<u4") for x in pdf["c"]]).astype(np.int64)
-    sizes = [len(x) // 4 for x in pdf["b"]]
-    alone = np.concatenate([np.arange(n) < int.from_bytes(a, "little") for a, n in zip(pdf["a"], sizes)])
-    chunk = np.repeat(pdf["chunk"].to_numpy(), sizes)
-    order = np.argsort(h)
-    h, at, alone, chunk = h[order], at[order], alone[order], chunk[order]
-    g = groups(h)
-    hit = alone & (per_group(np.add, np.ones(len(h), np.int64), g) > 1)
-    return _ranges_by_chunk(chunk[hit], at[hit], at[hit] + 1)
+def _answer_anchors(hot_strings: int):
+    """Anchors that stand alone in their chunk and occur in another too; and those of more than ``hot_strings``."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iat[0] != _ENTRIES:
+            return pdf
+        h = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["b"]])
+        at = np.concatenate([from_planes(x, "<u4") for x in pdf["c"]]).astype(np.int64)
+        sizes = [len(x) // 4 for x in pdf["b"]]
+        counts = [int.from_bytes(a[:4], "little") for a in pdf["a"]]
+        alone = np.concatenate([np.arange(n) < k for k, n in zip(counts, sizes)])
+        strings = np.concatenate([x for k, a in zip(counts, pdf["a"]) for x in (np.full(k, _USUAL), from_planes(a[4:], "<u4"))])
+        chunk = np.repeat(pdf["chunk"].to_numpy(), sizes)
+        order = np.argsort(h)
+        h, at, alone, chunk, strings = h[order], at[order], alone[order], chunk[order], strings[order].astype(np.int64)
+        g = groups(h)
+        hit = alone & (per_group(np.add, np.ones(len(h), np.int64), g) > 1)
+        out = _ranges_by_chunk(chunk[hit], at[hit], at[hit] + 1)
+        total = np.add.reduceat(strings, g)
+        if (total > hot_strings).any():
+            most, route = total > hot_strings, int(pdf["route"].iat[0])
+            code = (np.int64(route) << np.int64(32)) + h[g][most].astype(np.int64)
+            hot = (_HOT, -1, -1, code.astype("<i8").tobytes(), int(total[most].sum()).to_bytes(8, "little"), b"")
+            out = pd.concat([out, pd.DataFrame([hot], columns=_NAMES)])
+        return out
+    return run
 
 
 def _ranges_by_chunk(chunk, begins, ends) -> pd.DataFrame:
@@ -294,8 +323,11 @@ def _segments_of(texts, ids, bases, others, length: int) -> np.ndarray:
     return seg
 
 
-def _segments(length: int, size: int, shards: int):
-    """Chunks of texts with repeated anchors to packed segments; ``b``: their heads by plane, ``c``: their bytes."""
+def _segments(length: int, size: int, shards: int, hot: Hot):
+    """Chunks of texts with repeated anchors to packed segments, and to packed strings of hot anchors.
+
+    ``b``: their heads by plane, ``c``: the bytes of segments.
+    """
     def run(batches):
         for chunk, (keys, ids, texts, bases, others) in _chunks(batches, length, size):
             offsets = _offsets(texts)
@@ -304,14 +336,19 @@ def _segments(length: int, size: int, shards: int):
                 seg = _segments_of(texts[i:j], ids[i:j], bases[i:j], others[i:j], length)
                 seg["at"] += np.uint32(offsets[i])
                 found.append(seg)
-            first, gone = _firsts(np.concatenate(found))
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            seg = np.concatenate(found)
+            first, gone = _firsts(seg, data, seg["at"].astype(np.int64), length)
             if len(gone):
-                at = gone["at"].astype(np.int64)
-                rows.append(_hits(chunk, at, at + gone["n"]))
+                at = np.sort(gone, order="at")
+                rows.append(_hits(chunk, at["at"].astype(np.int64), at["at"].astype(np.int64) + at["n"]))
+            cut = hot.has(first["anchor"])
+            if cut.any():
+                rows += _string_rows(chunk, first[cut], data, length, shards, hot.groups)
+                first = first[~cut]
             shard = _shard(first["anchor"], shards)
             order = np.argsort(shard, kind="stable")
             first, shard = first[order], shard[order]
-            data = np.frombuffer(b"".join(texts), np.uint8)
             for s, i, j in _cuts(shard):
                 part = first[i:j]
                 body = data[_gather(part["at"].astype(np.int64), part["n"].astype(np.int64) + length - 1)]
@@ -324,110 +361,86 @@ def _gather(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
 
-def _firsts(seg: np.ndarray):
-    """Of equal segments the first by (doc, start), with others of the same place, and those after it."""
+def _firsts(seg: np.ndarray, data: np.ndarray | None = None, body: np.ndarray | None = None, length: int = 0):
+    """Of equal entries the first by (doc, start), with others of the same place, and those after it.
+
+    With ``data`` entries are segments whose bytes begin there at ``body``: those of one hash are compared, and
+    told apart by digest if they differ.
+    """
     order = np.lexsort((seg["start"], seg["doc"], seg["h2"], seg["h1"]))
     seg = seg[order]
     g = groups(seg["h1"], seg["h2"]) if len(seg) else np.empty(0, np.int64)
     size = np.diff(np.r_[g, len(seg)])
     lead = np.repeat(g, size)
+    if data is not None and len(seg):
+        body = body[order]
+        unlike = _unlike(data, body, seg["n"].astype(np.int64) + length - 1, lead)
+        if len(unlike):
+            mixed_up = np.isin(lead, lead[unlike])
+            for k in np.flatnonzero(mixed_up).tolist():
+                d = hashlib.blake2b(data[body[k]:body[k] + int(seg["n"][k]) + length - 1], digest_size=12).digest()
+                seg["h1"][k], seg["h2"][k] = int.from_bytes(d[:8], "little"), int.from_bytes(d[8:], "little")
+            return _firsts(seg)
     later = (seg["doc"] != seg["doc"][lead]) | (seg["start"] != seg["start"][lead])
     return seg[~later], seg[later]
 
 
-#: A distinct segment of an anchor in a chunk; ``total``: strings of the anchor there, on one of its rows.
-_COUNT = np.dtype([("anchor", "<u8"), ("h", "<u4"), ("n", "<u2"), ("total", "<u4")])
+def _unlike(data: np.ndarray, body: np.ndarray, lengths: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Entries whose bytes are not those of their lead, about PART_BYTES at a time."""
+    rest = np.flatnonzero(lead != np.arange(len(lead)))
+    out = [rest[lengths[rest] != lengths[lead[rest]]]]
+    rest = rest[lengths[rest] == lengths[lead[rest]]]
+    total = np.cumsum(lengths[rest])
+    for _, i, j in _cuts(total // PART_BYTES):
+        k = rest[i:j]
+        differ = data[_gather(body[k], lengths[k])] != data[_gather(body[lead[k]], lengths[k])]
+        if differ.any():
+            out.append(k[np.add.reduceat(differ, np.cumsum(lengths[k]) - lengths[k]) > 0])
+    return np.concatenate(out)
 
 
-def _counts(length: int, most: int):
-    """Packed segments to what counts them: of each anchor its distinct segments of least hash, up to ``most`` bytes."""
-    def run(batches):
-        for batch in batches:
-            out = []
-            for route, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                seg = from_planes(blob, _SEGMENT)
-                seg = seg[np.lexsort((seg["h1"], seg["anchor"]))]
-                g = groups(seg["anchor"])
-                size = np.diff(np.r_[g, len(seg)])
-                count = np.zeros(len(seg), _COUNT)
-                count["anchor"], count["h"], count["n"] = seg["anchor"], seg["h1"] >> np.uint64(32), seg["n"]
-                count["total"][g] = np.add.reduceat(seg["n"].astype(np.int64), g)
-                bytes_ = np.cumsum(seg["n"].astype(np.int64) + length - 1)
-                before = bytes_ - np.repeat(bytes_[g], size)
-                out.append((route, planes(count[before <= most])))
-            route, blob = zip(*out) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(route, pa.int64()), pa.array(blob, pa.binary())], names=["route", "b"])
-    return run
+class Hot:
+    """Anchors that are dealt by string: the shard and 32 bits of each hash, and the groups their strings go to."""
 
+    def __init__(self, codes: np.ndarray, strings: int, shards: int, most: int):
+        self.codes, self.shards, self.groups = np.sort(codes), shards, max(1, -(-strings // most))
 
-def _hot(length: int, most: int, strings: int):
-    """Of a shard's counts the anchors over ``most`` bytes, and the groups their strings are dealt to."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        count = np.concatenate([from_planes(x, _COUNT) for x in pdf["b"]])
-        count = count[np.lexsort((count["h"], count["anchor"]))]
-        g = groups(count["anchor"])
-        first = np.zeros(len(count), bool)
-        first[groups(count["anchor"], count["h"])] = True
-        size = np.add.reduceat((count["n"].astype(np.int64) + length - 1) * first, g)
-        total = np.add.reduceat(count["total"].astype(np.int64), g)
-        hot = size > most
-        if not hot.any():
-            return pd.DataFrame([], columns=["route", "b", "n"])
-        return pd.DataFrame([(pdf["route"].iat[0], count["anchor"][g][hot].tobytes(), int(-(-total[hot].sum() // strings)))],
-                            columns=["route", "b", "n"])
-    return run
+    def has(self, anchor: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(len(anchor), bool)
+        code = (_shard(anchor, self.shards).astype(np.int64) << np.int64(32)) + anchor.astype(np.uint32).astype(np.int64)
+        return self.codes[np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)] == code
 
 
 #: One string of a hot anchor.
 _STRING = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("start", "<i8"), ("at", "<u4")])
 
 
-def _strings_of(seg: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
-    """The strings of ``seg``, whose bytes stand end to end in ``data``."""
+def _strings_of(seg: np.ndarray, data: np.ndarray, body: np.ndarray, length: int) -> np.ndarray:
+    """The strings of ``seg``, whose bytes begin in ``data`` at ``body``, by a digest of their bytes."""
     n = seg["n"].astype(np.int64)
-    begins = np.cumsum(n + length - 1) - (n + length - 1)
     own = np.repeat(np.arange(len(seg)), n)
     within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    at, hashed = begins[own] + within, Hashed(data)
-    out = np.empty(len(own), _STRING)
-    out["h1"], out["h2"] = hashed.hashes(at, at + length), hashed.hashes(at, at + length, 1).astype(np.uint32)
+    at = body[own] + within
+    out, view = np.empty(len(own), _STRING), memoryview(data)
+    digest = b"".join(hashlib.blake2b(view[i:i + length], digest_size=12).digest() for i in at.tolist())
+    digest = np.frombuffer(digest, np.dtype([("h1", "<u8"), ("h2", "<u4")]))
+    out["h1"], out["h2"] = digest["h1"], digest["h2"]
     out["doc"], out["start"], out["at"] = seg["doc"][own], seg["start"][own] + within, seg["at"][own] + within
     return out
 
 
-def _dealt(length: int, shards: int, hot: dict):
-    """Packed segments with those of hot anchors (route: anchors, groups) cut into packed strings."""
-    def run(batches):
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                kind, route, chunk, _, heads, body = row
-                if kind != _ENTRIES or route not in hot:
-                    yield _batch([row])
-                    continue
-                anchors, parts = hot[route]
-                seg, data = from_planes(heads, _SEGMENT), np.frombuffer(body, np.uint8)
-                lengths = seg["n"].astype(np.int64) + length - 1
-                begins = np.cumsum(lengths) - lengths
-                cut = np.isin(seg["anchor"], np.frombuffer(anchors, "<u8"))
-                rows, strings = [], []
-                if not cut.all():
-                    rows.append((kind, route, chunk, b"", planes(seg[~cut]), data[_gather(begins[~cut], lengths[~cut])].tobytes()))
-                seg, begins, lengths = seg[cut], begins[cut], lengths[cut]
-                for _, i, j in _cuts((np.cumsum(lengths) - lengths) // PART_BYTES):
-                    strings.append(_firsts(_strings_of(seg[i:j], data[_gather(begins[i:j], lengths[i:j])], length)))
-                if strings:
-                    first, gone = _firsts(np.concatenate([x for x, _ in strings]))
-                    gone = np.concatenate([gone, *(x for _, x in strings)])
-                    if len(gone):
-                        at = np.sort(gone["at"].astype(np.int64))
-                        rows.append(_hits(chunk, at, at + 1))
-                    part = (first["h1"] % np.uint64(parts)).astype(np.int64)
-                    order = np.argsort(part, kind="stable")
-                    first, part = first[order], part[order]
-                    for s, i, j in _cuts(part):
-                        rows.append((_STRINGS, route + shards * (1 + s), chunk, b"", planes(first[i:j]), b""))
-                yield _batch(rows)
-    return run
+def _string_rows(chunk: int, seg: np.ndarray, data: np.ndarray, length: int, shards: int, parts: int):
+    """Packed strings of a chunk's segments, and the hits among them."""
+    first, gone = _firsts(_strings_of(seg, data, seg["at"].astype(np.int64), length))
+    if len(gone):
+        at = np.sort(gone["at"].astype(np.int64))
+        yield _hits(chunk, at, at + 1)
+    part = (first["h1"] % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    first, part = first[order], part[order]
+    for s, i, j in _cuts(part):
+        yield _STRINGS, shards + s, chunk, b"", planes(first[i:j]), b""
 
 
 def _answer_strings(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -442,7 +455,7 @@ def _answer_strings(pdf: pd.DataFrame) -> pd.DataFrame:
     return _ranges_by_chunk(gone["chunk"], at, at + 1)
 
 
-def _answer_segments(length: int):
+def _answer_segments(length: int, long_bytes: int = LONG_BYTES):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["kind"].iat[0] == _STRINGS:
             return _answer_strings(pdf)
@@ -457,29 +470,44 @@ def _answer_segments(length: int):
         for f in _SEGMENT.names:
             both[f] = seg[f]
         both["chunk"], both["body"] = np.repeat(pdf["chunk"].to_numpy(), sizes), body
-        first, gone = _firsts(both)
+        first, gone = _firsts(both, data, body, length)
         out = [(gone["chunk"], gone["at"].astype(np.int64), gone["n"].astype(np.int64))]
         # segments of an anchor that has no other differ in every string from all others
         first = first[np.argsort(first["anchor"], kind="stable")]
         if len(first):
             g = groups(first["anchor"])
             first = first[per_group(np.add, np.ones(len(first), np.int64), g) > 1]
-            for part in _whole_anchors(first, length):
-                out.append(_later_strings(part, data, length))
+            for part, long in _whole_anchors(first, length, long_bytes):
+                out.append((_later_by_digest if long else _later_strings)(part, data, length))
         chunk, at, n = (np.concatenate(x) for x in zip(*out))
         return _ranges_by_chunk(chunk, at, at + n)
     return run
 
 
-def _whole_anchors(seg: np.ndarray, length: int, rows: int = 1 << 17):
-    """Whole anchors together, about ``rows`` bytes at a time."""
+def _whole_anchors(seg: np.ndarray, length: int, long_bytes: int, rows: int = 1 << 17):
+    """(segments of whole anchors, whether it is one of more than ``long_bytes``), else about ``rows`` bytes at a time."""
     if not len(seg):
         return
     g = groups(seg["anchor"])
     size = np.add.reduceat(seg["n"].astype(np.int64) + length - 1, g)
-    part = np.repeat((np.cumsum(size) - size) // rows, np.diff(np.r_[g, len(seg)]))
-    for _, i, j in _cuts(part):
-        yield seg[i:j]
+    count = np.diff(np.r_[g, len(seg)])
+    long = size > long_bytes
+    for i, n in zip(g[long].tolist(), count[long].tolist()):
+        yield seg[i:i + n], True
+    seg, size, count = seg[~np.repeat(long, count)], size[~long], count[~long]
+    for _, i, j in _cuts(np.repeat((np.cumsum(size) - size) // rows, count)):
+        yield seg[i:j], False
+
+
+def _later_by_digest(seg: np.ndarray, data: np.ndarray, length: int):
+    """What ``_later_strings`` gives, by digests of the strings instead of their order."""
+    both = np.empty(int(seg["n"].astype(np.int64).sum()), np.dtype([*_STRING.descr, ("chunk", "<i8")]))
+    strings = _strings_of(seg, data, seg["body"], length)
+    for f in _STRING.names:
+        both[f] = strings[f]
+    both["chunk"] = np.repeat(seg["chunk"], seg["n"].astype(np.int64))
+    gone = _firsts(both)[1]
+    return gone["chunk"], gone["at"].astype(np.int64), np.ones(len(gone), np.int64)
 
 
 def _later_strings(seg: np.ndarray, data: np.ndarray, length: int):
@@ -522,30 +550,33 @@ def _removal(length: int):
     return run
 
 
-def _routed(hit: DataFrame, length: int) -> tuple[DataFrame, str]:
-    """Packed segments, or strings of hot anchors, by the group that compares them; and the scratch table they are read from."""
-    size, shards = exchange_sizes(hit, ROW_BYTES, LEAST_BYTES)
-    packed, at = written(hit.mapInArrow(_segments(length, size, shards), _SCHEMA), "packed")
-    counts = packed.filter(F.col("kind") == _ENTRIES).select("route", "b").mapInArrow(
-        _counts(length, HOT_BYTES), "route bigint, b binary")
-    hot = counts.groupBy("route").applyInPandas(_hot(length, HOT_BYTES, HOT_STRINGS), "route bigint, b binary, n bigint")
-    # an anchor of 8 bytes for each HOT_BYTES of distinct segments at most
-    hot = {r["route"]: (bytes(r["b"]), r["n"]) for r in hot.collect()}
-    return (packed.mapInArrow(_dealt(length, shards, hot), _SCHEMA) if hot else packed), at
+def candidates(docs: DataFrame, text: str, length: int) -> tuple[DataFrame, Hot, str]:
+    """(key, doc_id, text, blobs) of the texts with repeated anchors, the hot anchors and the scratch table."""
+    d = keyed(docs, text)
+    size, shards = exchange_sizes(d, ROW_BYTES, LEAST_BYTES)
+    found, at = written(d.mapInArrow(_anchored(length, size, shards), _SCHEMA).groupBy("route").applyInPandas(
+        _answer_anchors(HOT_STRINGS), _SCHEMA), "anchors")
+    # eight bytes for each HOT_STRINGS strings of the table at most
+    rows = found.filter(F.col("kind") == _HOT).select("a", "b").collect()
+    hot = Hot(np.concatenate([np.frombuffer(r["a"], "<i8") for r in rows] or [np.empty(0, np.int64)]),
+              sum(int.from_bytes(r["b"], "little") for r in rows), shards, HOT_STRINGS)
+    anchors, at2 = written(found.filter(F.col("kind") != _HOT).groupBy("chunk").applyInPandas(
+        _by_key, "key binary, blob binary"), "candidates")
+    hit, at3 = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
+    discard(docs.sparkSession, at, at2)
+    return hit, hot, at3
+
+
+def packed(hit: DataFrame, hot: Hot, length: int) -> DataFrame:
+    """Packed segments, and strings of hot anchors, by the group that compares them."""
+    return hit.mapInArrow(_segments(length, *exchange_sizes(hit, ROW_BYTES, LEAST_BYTES), hot), _SCHEMA)
 
 
 def removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """(key, n_removed, n_spans, kept, kept_sha256, spans) of the rows that lose bytes; spans are byte ranges."""
     spark = docs.sparkSession
-    d = keyed(docs, text)
-    found, at = written(d.mapInArrow(_anchored(length, *exchange_sizes(d, ROW_BYTES, LEAST_BYTES)), _SCHEMA).groupBy("route").applyInPandas(
-        _answer_anchors, _SCHEMA), "anchors")
-    anchors, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "candidates")
-    hit, at3 = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
-    discard(spark, at, at2)
-    routed, at4 = _routed(hit, length)
-    found, at = written(routed.groupBy("route").applyInPandas(_answer_segments(length), _SCHEMA), "segments")
-    discard(spark, at4)
+    hit, hot, at3 = candidates(docs, text, length)
+    found, at = written(packed(hit, hot, length).groupBy("route").applyInPandas(_answer_segments(length, LONG_BYTES), _SCHEMA), "segments")
     gone, at2 = written(found.groupBy("chunk").applyInPandas(_by_key, "key binary, blob binary"), "gone")
     gone = gone.groupBy(F.col("key").alias("__key")).agg(F.collect_list("blob").alias("gone"))
     out = hit.select("key", "text").join(gone, F.col("key") == F.col("__key")).select("key", "text", "gone")

@@ -68,7 +68,7 @@ def test_matches_brute_force(spark, monkeypatch, length, letters, seed):
 
 def test_hot_anchor_is_dealt_by_string(spark, monkeypatch):
     rng = random.Random(8)
-    monkeypatch.setattr(S, "HOT_BYTES", 2000)
+    monkeypatch.setattr(S, "LONG_BYTES", 2000)
     monkeypatch.setattr(S, "HOT_STRINGS", 500)
     monkeypatch.setattr(S, "LEAST_BYTES", 4000)
     monkeypatch.setattr(S, "PART_BYTES", 3000)
@@ -82,20 +82,36 @@ def test_hot_anchor_is_dealt_by_string(spark, monkeypatch):
     assert sum(r[2] > 0 for r in exp) > 100
     assert result(df, rows, 100) == exp
     # no group holds the segments of the phrase: those of about 150 bytes in each of 300 texts
-    from tessera.llm.common import written
-    from tessera.llm.substring_dedup import exchange_sizes, keyed, with_blobs
-    d = keyed(df)
-    found = d.mapInArrow(S._anchored(100, *exchange_sizes(d, S.ROW_BYTES, S.LEAST_BYTES)), S._SCHEMA).groupBy("route")
-    anchors = found.applyInPandas(S._answer_anchors, S._SCHEMA).groupBy("chunk").applyInPandas(S._by_key, "key binary, blob binary")
-    hit, _ = written(with_blobs(d, anchors).dropDuplicates(["key"]), "hit")
-    routed = S._routed(hit, 100)[0].collect()
+    hit, hot, _ = S.candidates(df, "text", 100)
+    assert 0 < len(hot.codes) < 20
     held = defaultdict(int)
-    for r in routed:
+    for r in S.packed(hit, hot, 100).collect():
         held[r.kind, r.route] += len(r.c) if r.kind == S._ENTRIES else len(S.from_planes(bytes(r.b), S._STRING)) if r.kind == S._STRINGS else 0
     assert sum(k == S._STRINGS for k, _ in held) > 10
     assert max(n for (k, _), n in held.items() if k == S._STRINGS) < 3 * S.HOT_STRINGS
 
 
+def test_equal_hashes_of_unlike_segments():
+    """Segments that share a hash but not their bytes are told apart, at the same length and at another."""
+    texts = [b"a" * 30, b"b" * 30, b"a" * 30, b"a" * 31, b"b" * 30]
+    seg = np.zeros(5, S._SEGMENT)
+    seg["doc"], seg["n"] = np.arange(5), [len(t) - 20 + 1 for t in texts]
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    seg["at"] = offsets[:-1]
+    first, gone = S._firsts(seg, np.frombuffer(b"".join(texts), np.uint8), offsets[:-1], 20)
+    assert sorted(first["doc"]) == [0, 1, 3] and sorted(gone["doc"]) == [2, 4]
+
+
+def test_long_anchors_by_digest(spark, monkeypatch):
+    """Anchors too long for the transforms give the same removal."""
+    monkeypatch.setattr(S, "LONG_BYTES", 300)
+    rng = random.Random(9)
+    base = ["".join(rng.choice("ab c") for _ in range(300)) for _ in range(5)]
+    rows = [(rng.randrange(90), rng.choice(base)[rng.randrange(200):] + rng.choice(base)[:rng.randrange(300)]) for _ in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(df, rows, 50) == order(brute(rows, 50))
+
+
 def test_anchors_spread_over_shards():
     rng = random.Random(3)
     t = S.Bytes([bytes(rng.randrange(97, 123) for _ in range(100_000))], 100)
