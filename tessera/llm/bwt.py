@@ -16,16 +16,32 @@ from __future__ import annotations
 
 import numpy as np
 
-
+#: Bytes that one number holds.
+_WORD = 5
 
 def stable_order(values: np.ndarray) -> np.ndarray:
-    """Stable order of small non-negative integers, 16 bits a pass."""
+    """Stable order of small non-negative integers, 16 bits a pass, or 8 if they fit."""
+    most = int(values.max(initial=0))
+    if most <= 0xFF:
+        return np.argsort(values.astype(np.uint8), kind="stable")
     order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
-    if len(values) and int(values.max()) > 0xFFFF:
+    if most > 0xFFFF:
         order = order[np.argsort((values[order] >> 16).astype(np.uint16), kind="stable")]
     return order
 
 
+def _packed(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` bytes from each of ``at`` as one number, most significant first."""
+    out = np.zeros(len(at), np.uint64)
+    for i in range(width):
+        out = (out << np.uint64(8)) | data[at + i]
+    return out
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    return np.unique(values, return_inverse=True)[1]
+
+
 class Rows:
     """Rows of a collection: one for each symbol of each string, then one for each end mark."""
 
@@ -35,10 +51,10 @@ class Rows:
         string = np.repeat(np.arange(len(lengths)), count)
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         at = offsets[string] + within
-        symbol = np.zeros(len(at), np.uint64)
-        for i in range(width):
-            symbol = (symbol << np.uint64(8)) | data[at + i].astype(np.uint64)
-        self.alphabet, code = np.unique(symbol, return_inverse=True)
+        code = _numbered(_packed(data, at, min(width, _WORD)))
+        for i in range(_WORD, width, _WORD):  # wider symbols: the number of their front, then the next bytes
+            rest = _numbered(_packed(data, at + i, min(width - i, _WORD)))
+            code = _numbered(code.astype(np.uint64) * np.uint64(len(at) + 1) + rest.astype(np.uint64))
         self.code = code.astype(np.int64) + 1  # 0 is the end mark
         self.string, self.within, n = string, within, len(at)
         phase = within % width
@@ -115,7 +131,7 @@ def repeated(data: np.ndarray, offsets: np.ndarray, shard_of_string: np.ndarray,
     in lexicographic order, and every position from which ``length`` bytes of
     its string occur elsewhere too is in exactly one.
     """
-    width = next(w for w in (5, 4, 3, 2, 1) if length % w == 0)
+    width = next(w for w in (10, 5, 4, 3, 2, 1) if length % w == 0)
     rows = Rows(data, offsets, width)
     none = np.empty(0, np.int64)
     if not rows.n:
