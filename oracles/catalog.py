@@ -856,7 +856,9 @@ def zero_signed(sql: str) -> str:
 
 def registry() -> dict:
     from tessera.plans.workloads import N_COLUMNS
-    reg = _registry()
+
+    from . import fits
+    reg = {**_registry(), **fits.registry()}
     reg.update({k: f"SELECT o_orderkey, {', '.join(v)} FROM ({n_scalar()})"
                 for k, v in N_COLUMNS.items()})
     reg.update(gaps_sql())

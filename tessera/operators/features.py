@@ -8,8 +8,11 @@ statistics); applying it is equi-joins plus column expressions, so the same
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -215,22 +218,69 @@ def scale(df: DataFrame, stats: dict) -> DataFrame:
                        if c in stats else _q(c) for c in df.columns])
 
 
+def _moment_sums(centre: list[float], n: int):
+    """Batches of rows to (pair, sums): count, x, y, xx, yy and xy about ``centre`` of the rows that have both.
+
+    The sums of all pairs are four matrix products of a batch and its mask.
+    """
+    def run(batches):
+        total = np.zeros((6, n, n))
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in batch.columns[:n]]) - centre
+            has = np.column_stack([np.asarray(c.is_valid().to_numpy(zero_copy_only=False), float) for c in batch.columns[:n]])
+            x = np.where(has > 0, x, 0.0)
+            sums, squares = x.T @ has, (x * x).T @ has
+            total += np.stack([has.T @ has, sums, sums.T, squares, squares.T, x.T @ x])
+        flat = total.reshape(6, n * n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n * n)), *map(pa.array, flat)],
+                                         names=["pair", "c", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+#: Share of a sum of squares about the centre below which what is left about the mean may be rounding.
+CANCELLED = 1e-9
+
+
 def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson matrix as (a, b, corr) rounded to 4; NULL for a constant
-    column (no ANSI divide-by-zero). Each pair uses the rows where both columns
-    have a value; the upper triangle is one aggregate, the lower its mirror."""
-    aggs = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns[i:], i):
-            x, y = _q(a).cast("double"), _q(b).cast("double")
-            aggs.append(F.round(F.try_divide(
-                F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))), 4)
-                .alias(f"c_{i}_{j}"))
-    wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.col(f"c_{min(i, j)}_{max(i, j)}").alias("corr"))
-                      for i, a in enumerate(columns) for j, b in enumerate(columns)])
-    return wide.select(F.inline(pairs))
+    """Pearson matrix as (a, b, corr) rounded to 4; NULL for a constant column.
+
+    Each pair uses the rows where both columns have a value. One aggregate gives
+    the centres, one pass the co-moments of all pairs at once, n * n rows for
+    each task. Pairs whose variance may be lost to rounding there (constant on
+    their common rows, or far from the centre) are summed up once more about
+    their own means.
+    """
+    n, spark = len(columns), df.sparkSession
+    if not n:
+        return spark.createDataFrame([], "a string, b string, corr double")
+    x = df.select(*[_q(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    centre = [v if v is not None and math.isfinite(v) else 0.0 for v in x.agg(*[F.avg(c) for c in x.columns]).first()]
+    sums = x.mapInArrow(_moment_sums(centre, n), "pair bigint, c double, sx double, sy double, sxx double, syy double, sxy double")
+    rows = sums.groupBy("pair").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]]).collect()
+    corr, again = {}, []
+    for r in rows:
+        i, j = divmod(r["pair"], n)
+        if i > j:
+            continue
+        dx, dy = (r[s] - r[m] ** 2 / r["c"] if r["c"] else 0.0 for s, m in (("sxx", "sx"), ("syy", "sy")))
+        if not (dx > CANCELLED * r["sxx"] and dy > CANCELLED * r["syy"]):
+            again.append((i, j))
+        else:
+            # as Spark's corr, not clipped: rounding to 4 digits hides the last bits
+            corr[i, j] = (r["sxy"] - r["sx"] * r["sy"] / r["c"]) / (math.sqrt(dx) * math.sqrt(dy))
+    corr.update(_corr_by_pair(x, again))
+    values = [(columns[i], columns[j], corr.get((min(i, j), max(i, j)))) for i in range(n) for j in range(n)]
+    out = spark.createDataFrame(values, "a string, b string, corr double")
+    return out.select("a", "b", F.round("corr", 4).alias("corr"))
+
+
+def _corr_by_pair(x: DataFrame, pairs: list[tuple[int, int]]) -> dict:
+    """Correlations of a few pairs by Spark's own co-moments, NULL where a column is constant."""
+    if not pairs:
+        return {}
+    row = x.agg(*[F.try_divide(F.regr_sxy(f"x{j}", f"x{i}"), F.sqrt(F.regr_sxx(f"x{j}", f"x{i}")) * F.sqrt(
+        F.regr_syy(f"x{j}", f"x{i}"))) for i, j in pairs]).first()
+    return dict(zip(pairs, row))
 
 
 #: Fields of a fitted processor that its saved document holds.

@@ -1,7 +1,9 @@
 """Training and tuning on MLlib.
 
-Estimators are distributed MLlib stages; tuning is a seeded random search
-run by ``CrossValidator`` over a fold column (M03), trials in parallel.
+Estimators are distributed MLlib stages; tuning is a seeded random search over
+a fold column (M03). Linear, ridge and binary logistic regression are scored
+from sufficient statistics, all trials in a few passes (``search``); the others
+by ``CrossValidator``, trials in parallel.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import search
 from .split import assign_folds, train_test_split
 
 SEED = 42
@@ -88,7 +91,7 @@ def build_estimator(algorithm: str, problem_type: str, params: dict, n_rows: int
     if algorithm == "random_forest":
         depth = p.get("max_depth") or MAX_TREE_DEPTH
         kw = dict(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(min(depth, MAX_TREE_DEPTH)),
-                  minInstancesPerNode=int(p.get("min_samples_leaf", 1)), seed=SEED, **common)
+                  minInstancesPerNode=_least_leaf(p), seed=SEED, **common)
         return RandomForestClassifier(**kw) if cls else RandomForestRegressor(**kw)
     if algorithm == "gradient_boosting":
         kw = dict(maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
@@ -117,6 +120,11 @@ def build_estimator(algorithm: str, problem_type: str, params: dict, n_rows: int
     raise ValueError(f"unknown algorithm {algorithm}")
 
 
+def _least_leaf(p: dict) -> int:
+    """MLlib bounds leaves, not the nodes that are split: a leaf of half of min_samples_split implies that bound."""
+    return max(int(p.get("min_samples_leaf", 1)), -(-int(p.get("min_samples_split", 2)) // 2))
+
+
 def random_trials(space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
     """M12 (re-aimed from TPE): seeded random draws from the search space."""
     rnd = random.Random(seed)
@@ -140,6 +148,19 @@ def assemble(df: DataFrame, features: list[str], label: str) -> DataFrame:
         if label != "label" else va.transform(df)
 
 
+def _search_scores(folded: DataFrame, features: list[str], algorithm: str, trials: list[dict],
+                   n_classes: int) -> list[float]:
+    """Scores of the trials of a linear model from sufficient statistics; empty if the algorithm has none."""
+    if algorithm in ("linear_regression", "ridge_regression"):
+        moments = search.moments_by_fold(folded, features)
+        scores = search.ridge_scores(moments, [float(t.get("alpha", 0.0)) for t in trials])
+    elif algorithm == "logistic_regression" and n_classes <= 2:
+        scores = search.logistic_scores(folded, features, [(float(t["C"]), t["penalty"]) for t in trials], 5)
+    else:
+        return []
+    return [s if math.isfinite(s) else FAILED_TRIAL for s in scores]
+
+
 @dataclass
 class TrainResult:
     algorithm: str
@@ -186,7 +207,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
         folded = assign_folds(train, key, 5, stratify="label" if cls else None,
                               rows_hint=total) \
             .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-        ests = [build_estimator(algorithm, problem_type, t, n_rows, n_classes,
+        scores = _search_scores(folded, features, algorithm, trials, n_classes)
+        ests = [] if scores else [build_estimator(algorithm, problem_type, t, n_rows, n_classes,
                                 label_std=label_std) for t in trials]
         ev = (MulticlassClassificationEvaluator(metricName="accuracy") if cls
               else RegressionEvaluator(metricName="r2"))
@@ -202,8 +224,9 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
                 return FAILED_TRIAL
 
         # the folds are persisted once; ``parallelism`` trials run at a time
-        with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(score, ests))
+        if not scores:
+            with ThreadPoolExecutor(parallelism) as pool:
+                scores = list(pool.map(score, ests))
         folded.unpersist()
         i = max(range(len(scores)), key=lambda j: scores[j])
         best, cv_score = trials[i], scores[i]

@@ -299,8 +299,7 @@ def p10_project_selected(spark, sf_dir):
 
 def p11_indicator_columns(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    values = sorted(r[0] for r in o.where(F.col("o_totalprice") > 100000)
-                    .select("o_orderpriority").distinct().collect())
+    values = sorted(r[0] for r in o.select("o_orderpriority").distinct().collect())
     return features.one_hot(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority", values)
 
 
@@ -512,7 +511,7 @@ def r08_problem_types(spark, sf_dir):
 
 def _issues(spark, sf_dir):
     cleaned = cleaned_dirty(spark, sf_dir)[0]
-    p = profile_of(spark, sf_dir, "dirty_clean")
+    p = infer.profile_dataset(cleaned)
     return quality.identify_issues(spark, cleaned, p.rows, "o_orderkey")
 
 
@@ -625,7 +624,7 @@ def c05_text_to_numeric(spark, sf_dir):
 def _impute_numeric(strategy):
     def run(spark, sf_dir):
         cleaned = cleaned_dirty(spark, sf_dir)[0]
-        p = profile_of(spark, sf_dir, "dirty_clean")
+        p = infer.profile_dataset(cleaned)
         rows = [r for r in p.rows if r["name"] in ("cust_num", "total_price")]
         fills, _, _ = impute.impute_plan(cleaned, rows, strategy)
         return round_doubles(impute.apply_fills(cleaned, fills)
@@ -635,7 +634,7 @@ def _impute_numeric(strategy):
 
 def c10_impute_categorical(spark, sf_dir):
     cleaned = cleaned_dirty(spark, sf_dir)[0]
-    p = profile_of(spark, sf_dir, "dirty_clean")
+    p = infer.profile_dataset(cleaned)
     rows = [r for r in p.rows if r["inferred_type"] in ("categorical", "binary")]
     fills, _, _ = impute.impute_plan(cleaned, rows, "statistical_imputation")
     return impute.apply_fills(cleaned, fills).select("o_orderkey", "status", "urgent")
@@ -667,13 +666,13 @@ def c13_final_sweep(spark, sf_dir):
 
 def _executed(spark, sf_dir, decisions):
     cleaned = cleaned_dirty(spark, sf_dir)[0]
-    p = profile_of(spark, sf_dir, "dirty_clean")
+    p = infer.profile_dataset(cleaned)
     return preprocess.execute_preprocessing(cleaned, p, decisions, None, "o_orderkey")
 
 
 def c14_impute_dispatch(spark, sf_dir):
     cleaned = cleaned_dirty(spark, sf_dir)[0]
-    p = profile_of(spark, sf_dir, "dirty_clean")
+    p = infer.profile_dataset(cleaned)
     conv, _ = impute.convert_numeric_text(cleaned, p.rows)
     out, _ = impute.impute(conv, p.rows, "statistical_imputation", "o_orderkey")
     return round_doubles(out)
@@ -943,14 +942,14 @@ def m13_train(spark, sf_dir):
     from ..operators import models
     df = _labels_frame(spark, sf_dir)
     res = models.train_selected_model(df, ["n_chars", "toxic"], "quality", "doc_id",
-                                      "logistic_regression", "binary_classification", n_trials=3)
+                                      "logistic_regression", "binary_classification")
     return res.metrics
 
 
 def m14_automl(spark, sf_dir):
     from . import automl
     return automl.run_automl(_labels_frame(spark, sf_dir), "quality",
-                             key="doc_id", n_trials=2).metrics
+                             key="doc_id").metrics
 
 
 def m15_batch_predict(spark, sf_dir):
@@ -1068,7 +1067,7 @@ def t05_ranked_targets(spark, sf_dir):
 
 def t06_outlier_examples(spark, sf_dir):
     cleaned = cleaned_dirty(spark, sf_dir)[0]
-    p = profile_of(spark, sf_dir, "dirty_clean")
+    p = infer.profile_dataset(cleaned)
     r = p.by_name()["total_price"]
     lo, hi = iqr_bounds(r["q25"], r["q75"])
     ex = outliers.outlier_examples(cleaned, {"total_price": (lo, hi)}, "o_orderkey")
@@ -1132,6 +1131,7 @@ def e02_weighted_prf(spark, sf_dir):
 
 def registry() -> dict:
     """Query id -> workload."""
+    from . import fits
     q = {
         "s01_scan_normalize": s01_scan_normalize,
         "s01_csv_roundtrip": s01_csv_roundtrip,
@@ -1243,7 +1243,7 @@ def registry() -> dict:
         "m09_ridge_closed_form": m09_ridge_closed_form,
         "m10_catalog": m10_catalog,
         "m11_default_fit": m11_default_fit,
-        "m12_search": _train("logistic_regression", "binary_classification", trials=4),
+        "m12_search": _train("logistic_regression", "binary_classification", trials=50),
         "m13_train": m13_train,
         "m14_automl": m14_automl,
         "m15_batch_predict": m15_batch_predict,
@@ -1281,4 +1281,5 @@ def registry() -> dict:
         "e02_weighted_prf": e02_weighted_prf,
     }
     q.update({k: _n_single(v) for k, v in N_COLUMNS.items()})
+    q.update(fits.registry())
     return q
