@@ -28,7 +28,8 @@ COLS["dirty"] = DIRTY
 COLS["dirty_clean"] = CLEAN_COLS
 
 PROFILED = ["dirty", "lineitem", "orders", "customer", "part", "supplier", "events",
-            "documents", "labels", "conversations", "nation", "region"]
+            "documents", "labels", "conversations", "nation", "region", "pages", "benchmark",
+            "embeddings"]
 
 
 def prof_body(table: str) -> str:
@@ -939,6 +940,9 @@ def _registry() -> dict:
         "a21_column_profile": prof("lineitem", PROFILE_FIELDS),
         "a21_column_profile_dirty": prof("dirty", PROFILE_FIELDS),
         "a21_column_profile_events": prof("events", PROFILE_FIELDS),
+        "a21_column_profile_documents": prof("documents", PROFILE_FIELDS),
+        "a21_column_profile_pages": prof("pages", PROFILE_FIELDS),
+        "a21_column_profile_conversations": prof("conversations", PROFILE_FIELDS),
         "a22_readiness": a22(),
         "a23_characteristics": a23(),
         "r01_type_inference": per_table(PROFILED, ["name", "inferred_type"]),

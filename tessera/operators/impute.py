@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import rules as R
 from . import quantiles
 from .fill import ffill_bfill
-from .stats import NUMERIC, value_counts
+from .stats import NUMERIC, SHORT, top_texts, value_counts
 
 
 def convert_numeric_text(df: DataFrame, profile_rows: list[dict]) -> tuple[DataFrame, list[str]]:
@@ -46,7 +46,8 @@ def modes(df: DataFrame, columns: list[str]) -> dict:
 
     One distributed job: unpivot -> groupBy(name, value).count() (map-side
     combined) -> min_by per name. Numeric columns are keyed by their double
-    value so ties break numerically; text columns by their text.
+    value so ties break numerically; texts by digest, length and prefix, and a
+    long one is fetched at the end.
     """
     if not columns:
         return {}
@@ -54,16 +55,21 @@ def modes(df: DataFrame, columns: list[str]) -> dict:
                if isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))}
     whole = {c for c in numeric if isinstance(
         df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
-    vc = value_counts(df, columns, {c: NUMERIC for c in numeric})
+    vc = value_counts(df, columns, {c: NUMERIC for c in numeric}, digests=True)
     top = vc.groupBy("name").agg(F.min_by(
-        F.struct("d", "v"), F.struct((-F.col("cnt")).alias("a"), F.col("d"), F.col("v")))
-        .alias("m"))
+        F.struct("d", "v", "p", "n", "cnt"), F.struct((-F.col("cnt")).alias("a"), F.col("d"), F.coalesce("p", "v").alias("b"),
+                                                      F.col("n") > SHORT))
+        .alias("m")).collect()
+    long = top_texts(df, vc, {r["name"]: r["m"] for r in top if r["name"] not in numeric})
+
     def value(name, m):
+        if name in long:
+            return long[name]
         if name in whole:
             return int(m["v"])          # exact beyond 2^53 too
         return m["d"] if name in numeric else m["v"]
 
-    return {r["name"]: value(r["name"], r["m"]) for r in top.collect()}
+    return {r["name"]: value(r["name"], r["m"]) for r in top}
 
 
 def impute_plan(df: DataFrame, profile_rows: list[dict], missing_strategy: str,

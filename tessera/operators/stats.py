@@ -1,8 +1,11 @@
 """Column statistics (A01-A16) from one pass over the data.
 
-The only scan of the table builds the value-count table
+One scan of the table builds the value-count table
 ``unpivot -> groupBy(name, value).count()`` (map-side combined, so a value
-holding a third of all rows costs one row per map task), persisted. Every
+holding a third of all rows costs one row per map task), persisted. Texts are
+keyed by their 128-bit digest, length and first ``SHORT`` characters: longer
+ones never take part in an exchange, and the few that are shown (samples, the
+most frequent value) are fetched at the end by a join on their digests. Every
 statistic is then an aggregate over that table, weighted by the counts:
 
 * per column: rows, non-null and distinct counts, mode and count spread, parse
@@ -93,7 +96,7 @@ def numeric_expr(kinds):
     txt = [n for n, k, _ in kinds if k == STRING]
     d = F.col("d")
     return (F.when(F.col("name").isin(num) & ~F.isnan(d) & (F.abs(d) != float("inf")), d)
-            .when(F.col("name").isin(txt), R.parse_number(F.col("v"))))
+            .when(F.col("name").isin(txt), F.coalesce(R.parse_number(F.col("v")), F.col("lx"))))
 
 
 def numeric_view(vc: DataFrame, kinds) -> DataFrame:
@@ -134,12 +137,64 @@ def moment_outlier_stats(xv: DataFrame, stats: dict) -> dict:
 
 
 ROWS_NAME = "\u0000rows"   # pseudo column: one value per row, its count is the row count
+#: Characters up to which a text is its own key; longer ones are known by digest, length and this prefix.
+SHORT = 64
+#: Digests up to which a set of texts to fetch is broadcast (some 60 bytes each).
+FETCH_ROWS = 200_000
+
+
+def digest_expr(v):
+    """128-bit digest of a text, 16 bytes in the order of its hex form."""
+    return F.unhex(F.md5(v.cast("binary")))
+
+
+def _texts(df: DataFrame, names: list[str]) -> DataFrame:
+    """(name, v) of the non-null values of the named columns as text."""
+    return df.select(*[text_expr(n).alias(n) for n in names]) \
+        .unpivot([], [F.col(f"`{n}`") for n in names], "name", "v").where(F.col("v").isNotNull())
+
+
+def text_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """(name, h, n, p, lx, ld, cnt): values by digest, length and prefix.
+
+    ``lx`` and ``ld`` are the number and the date test of a long text, worked out
+    where it is read; they depend on the value, so as keys they split no group.
+    """
+    v = F.col("v")
+    long = F.length(v) > SHORT
+    return _texts(df, names).select(
+        "name", digest_expr(v).alias("h"), F.length(v).alias("n"), F.substring(v, 1, SHORT).alias("p"),
+        F.when(long, R.parse_number(v)).alias("lx"), F.when(long, v.rlike(R.search_regex(R.DATETIME_PATTERNS))).alias("ld")
+    ).groupBy("name", "h", "n", "p", "lx", "ld").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def fetch_texts(df: DataFrame, wanted: DataFrame, names: list[str]) -> DataFrame:
+    """(name, h, v) of the texts with the digests ``wanted`` (name, h): the last exchange holds these texts alone."""
+    w = wanted.select(F.col("name").alias("__name"), F.col("h").alias("__h"))
+    if wanted.count() <= FETCH_ROWS:
+        w = F.broadcast(w)
+    t = _texts(df, names).withColumn("h", digest_expr(F.col("v")))
+    return t.join(w, (F.col("name") == F.col("__name")) & (F.col("h") == F.col("__h")), "left_semi") \
+        .groupBy("name", "h").agg(F.min("v").alias("v"))
+
+
+def least_of_ties(df: DataFrame, tied: DataFrame, names: list[str]) -> dict[str, str]:
+    """The smallest text of each column among the digests ``tied`` (name, h); one text a task is exchanged."""
+    w = tied.select(F.col("name").alias("__name"), F.col("h").alias("__h"))
+    if tied.count() <= FETCH_ROWS:
+        w = F.broadcast(w)
+    t = _texts(df, names).withColumn("h", digest_expr(F.col("v")))
+    t = t.join(w, (F.col("name") == F.col("__name")) & (F.col("h") == F.col("__h")), "left_semi")
+    return {r["name"]: r["v"] for r in t.groupBy("name").agg(F.min("v").alias("v")).collect()}
 
 
 def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
-                 count_rows: bool = False) -> DataFrame:
+                 count_rows: bool = False, digests: bool = False) -> DataFrame:
     """A10: (name, v, d, cnt) over non-null values, map-side combined.
 
+    With ``digests`` texts longer than ``SHORT`` have no ``v``, and the columns
+    h, n, p, lx and ld of ``text_counts`` are added (NULL for numbers).
+
     ``v`` is the value as text. With ``kinds`` given, numeric columns are
     grouped by a number instead (-0.0 and 0.0 fall together as in the source
     semantics) and ``d`` carries it: floats by their double, with ``v`` NULL;
@@ -175,13 +230,17 @@ def value_counts(df: DataFrame, names: list[str], kinds: dict | None = None,
                      .where(F.col("d").isNotNull())
                      .groupBy("name", "d").agg(F.count(F.lit(1)).alias("cnt"))
                      .select("name", F.lit(None).cast("string").alias("v"), "d", "cnt"))
+    if digests:
+        extra = [F.lit(None).cast(t).alias(c) for c, t in (("h", "binary"), ("n", "int"), ("p", "string"), ("lx", "double"), ("ld", "boolean"))]
+        parts = [p.select("*", *extra) for p in parts]
     if txt:
-        parts.append(df.select(*[text_expr(n).alias(n) for n in txt])
-                     .unpivot([], [F.col(f"`{n}`") for n in txt], "name", "v")
-                     .where(F.col("v").isNotNull())
-                     .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-                     .select("name", "v", (F.when(F.col("name").isin(exact), F.col("v").try_cast("double"))
-                                           if exact else F.lit(None).cast("double")).alias("d"), "cnt"))
+        as_number = F.when(F.col("name").isin(exact), F.col("v").try_cast("double")) if exact else F.lit(None).cast("double")
+        if digests:
+            counts = text_counts(df, txt).withColumn("v", F.when(F.col("n") <= SHORT, F.col("p")))
+            parts.append(counts.select("name", "v", as_number.alias("d"), "cnt", "h", "n", "p", "lx", "ld"))
+        else:
+            parts.append(_texts(df, txt).groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
+                         .select("name", "v", as_number.alias("d"), "cnt"))
     if not parts:
         raise ValueError("value_counts needs at least one column (or count_rows)")
     out = parts[0]
@@ -207,9 +266,10 @@ def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
             .where(F.col("__r") <= k))
 
 
-def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
-    """Pass 3: every per-column count and share, weighted by the value counts,
-    plus the md5-ordered sample; one shuffle of per-column partial aggregates."""
+def value_stats(vc: DataFrame, kinds, opts: ProfileOptions, df: DataFrame) -> dict:
+    """Pass 3: every per-column count and share, weighted by the value counts
+    (with digests), plus the md5-ordered sample; one shuffle of per-column
+    partial aggregates. Long texts among the results are fetched from ``df``."""
     if not kinds:
         return {}
     c, v = F.col("cnt"), F.col("v")
@@ -218,44 +278,75 @@ def value_stats(vc: DataFrame, kinds, opts: ProfileOptions) -> dict:
     summary = vc.groupBy("name").agg(
         F.count(F.lit(1)).alias("unique_count"),
         F.sum(c).alias("nonnull"),
-        F.min_by("v", F.struct((-c).alias("a"), v.alias("b"))).alias("top"),
+        F.min_by(F.struct("v", "p", "n", "cnt"), F.struct((-c).alias("a"), F.coalesce("p", "v").alias("b"), F.col("n") > SHORT)).alias("top"),
         F.avg(c).alias("cnt_mean"),
         F.stddev_samp(c).alias("cnt_std"),
         F.sum(F.when(x.isNotNull(), c)).alias("parsed"),
         F.sum(c * x).alias("sx"),
-        F.sum(F.when(v.rlike(date_rx), c).when(v.isNotNull(), 0)).alias("n_date"),
-        F.bool_and(F.lower(v).isin(R.BINARY_TOKENS)).alias("binary_values"),
-        F.sum(c * F.length(v)).alias("sum_len"),
+        F.sum(F.when(F.coalesce("ld", v.rlike(date_rx)), c).when(v.isNotNull() | F.col("n").isNotNull(), 0)).alias("n_date"),
+        F.bool_and(F.coalesce(F.lower(v).isin(R.BINARY_TOKENS), F.when(F.col("n").isNotNull(), False))).alias("binary_values"),
+        F.sum(c * F.coalesce("n", F.length(v))).alias("sum_len"),
     )
     text_cols = [n for n, k, _ in kinds if k == STRING]
     id_rx = R.full_match_regex(R.IDENTIFIER_PATTERNS)
-    samples = (smallest_k_per_group(vc.where(F.col("name").isin(text_cols)), ["name"],
-                                    [F.md5(F.col("v")), F.col("v")], opts.sample_size,
-                                    opts.salt_buckets)
-               .groupBy("name").agg(
-                   F.bool_or(F.col("v").rlike(id_rx)).alias("id_sample"),
-                   F.sort_array(F.collect_list(F.struct("__r", "v"))).alias("sample")))
+    # in the order of the digest, which is that of md5; the few long texts come back by digest
+    ranked = smallest_k_per_group(vc.where(F.col("name").isin(text_cols)).select(
+        "name", "h", "p", "v", v.rlike(id_rx).alias("id")), ["name"], [F.col("h"), F.col("p")], opts.sample_size,
+        opts.salt_buckets).collect()
+    rows = summary.collect()
+    top = {r["name"]: r["top"] for r in rows}
     kind_of = {n: k for n, k, _ in kinds}
+    found = _long_samples(df, [r for r in ranked if r["v"] is None], id_rx)
+    ties = top_texts(df, vc, {n: t for n, t in top.items() if kind_of.get(n, NUMERIC) != NUMERIC})
+    sample, ids = {}, {}
+    for r in sorted(ranked, key=lambda r: r["__r"]):
+        text, is_id = (r["v"], r["id"]) if r["v"] is not None else found[r["name"], bytes(r["h"])]
+        sample.setdefault(r["name"], []).append(text)
+        ids[r["name"]] = ids.get(r["name"], False) or is_id
     out = {}
-    for r in summary.join(samples, "name", "left").collect():
+    for r in rows:
         k = kind_of.get(r["name"])
         nn = r["nonnull"] or 0
         parsed = r["parsed"] or 0
         out[r["name"]] = {
             "unique_count": r["unique_count"], "nonnull": nn,
-            "top": r["top"] if k != NUMERIC else None,
+            "top": None if k == NUMERIC or r["top"] is None else ties[r["name"]] if r["name"] in ties else r["top"]["v"],
             "cnt_mean": r["cnt_mean"], "cnt_std": r["cnt_std"],
             "parsed": parsed if k != TEMPORAL else None,
             "mean": (r["sx"] / parsed) if (parsed and r["sx"] is not None) else None,
             "date_share": (r["n_date"] / nn) if (k in (STRING, TEMPORAL) and nn) else None,
             "binary_values": r["binary_values"] if k == STRING else None,
             "avg_length": (r["sum_len"] / nn) if (k == STRING and nn) else None,
-            "id_sample": r["id_sample"],
-            "sample": [s["v"] for s in r["sample"]] if r["sample"] else [],
+            "id_sample": ids.get(r["name"]),
+            "sample": sample.get(r["name"], []),
         }
     return out
 
 
+def top_texts(df: DataFrame, vc: DataFrame, tops: dict) -> dict[str, str]:
+    """Of the columns whose most frequent value is a long text, the smallest of the texts that it may be.
+
+    ``tops``: by column the least (v, p, n, cnt) of ``vc`` by descending count, prefix and whether it is long.
+    """
+    long = {n: t for n, t in tops.items() if t["v"] is None}
+    if not long:
+        return {}
+    same = F.lit(False)
+    for n, t in long.items():
+        same = same | ((F.col("name") == n) & (F.col("cnt") == t["cnt"]) & (F.col("p") == t["p"]) & (F.col("n") > SHORT))
+    return least_of_ties(df, vc.where(same).select("name", "h"), list(long))
+
+
+def _long_samples(df: DataFrame, rows: list, id_rx: str) -> dict[tuple[str, bytes], tuple[str, bool]]:
+    """The texts, and the identifier test, of sample rows that have only their digest: a few for each column."""
+    if not rows:
+        return {}
+    wanted = df.sparkSession.createDataFrame([(r["name"], bytes(r["h"])) for r in rows], "name string, h binary")
+    names = sorted({r["name"] for r in rows})
+    texts = fetch_texts(df, wanted, names).select("name", "h", "v", F.col("v").rlike(id_rx).alias("id"))
+    return {(r["name"], bytes(r["h"])): (r["v"], r["id"]) for r in texts.collect()}
+
+
 STATS_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType()),
     T.StructField("name", T.StringType()),
@@ -303,10 +394,10 @@ def column_stats(df: DataFrame, opts: ProfileOptions | None = None) -> DataFrame
     df = normalize_missing(df)
     kinds = column_kinds(df)
     names = [n for n, _, _ in kinds]
-    vc = value_counts(df, names, {n: k for n, k, _ in kinds}, count_rows=True) \
+    vc = value_counts(df, names, {n: k for n, k, _ in kinds}, count_rows=True, digests=True) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        s3 = value_stats(vc, kinds, opts)
+        s3 = value_stats(vc, kinds, opts, df)
         n_rows = s3.get(ROWS_NAME, {}).get("nonnull", 0)
         for n in names:
             s3.setdefault(n, {"unique_count": 0, "nonnull": 0, "parsed": 0, "sample": []})

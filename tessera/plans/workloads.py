@@ -497,7 +497,8 @@ def _types_roles(tables, col):
 
 
 PROFILED = ["dirty", "lineitem", "orders", "customer", "part", "supplier", "events",
-            "documents", "labels", "conversations", "nation", "region"]
+            "documents", "labels", "conversations", "nation", "region", "pages", "benchmark",
+            "embeddings"]
 
 
 def r08_problem_types(spark, sf_dir):
@@ -1177,6 +1178,9 @@ def registry() -> dict:
         "a21_column_profile": a21_column_profile("lineitem"),
         "a21_column_profile_dirty": a21_column_profile("dirty"),
         "a21_column_profile_events": a21_column_profile("events"),
+        "a21_column_profile_documents": a21_column_profile("documents"),
+        "a21_column_profile_pages": a21_column_profile("pages"),
+        "a21_column_profile_conversations": a21_column_profile("conversations"),
         "a22_readiness": a22_readiness,
         "a23_characteristics": a23_characteristics,
         "r01_type_inference": _types_roles(PROFILED, "inferred_type"),
