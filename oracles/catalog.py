@@ -797,6 +797,17 @@ def t01():
             f"ORDER BY o_orderkey) AS r FROM ({parts})) WHERE r <= 3")
 
 
+def t01_rows():
+    dedup = f"(SELECT *, row_number() OVER (ORDER BY o_orderkey) AS r FROM (SELECT DISTINCT * FROM {DIRTY_SRC}))"
+    roles = f"({prof('dirty', ['name', 'inferred_role'])})"
+    cell = lambda c, k: (f"{q(c)} AS name, {f'round(CAST({c} AS DOUBLE), 6)' if k == N else 'CAST(NULL AS DOUBLE)'} AS number, "
+                         f"{'CAST(NULL AS VARCHAR)' if k == N else c} AS text")
+    first = union([f"SELECT 'issue' AS shown, r, {cell(c, k)} FROM {dedup} WHERE r <= 5" for c, k, _ in DIRTY[:5]])
+    free = union([f"SELECT 'target' AS shown, r, {cell(c, k)} FROM {dedup} WHERE r <= 8" for c, k, _ in DIRTY])
+    return (f"SELECT * FROM ({first}) UNION ALL SELECT * FROM ({free}) WHERE name IN "
+            f"(SELECT name FROM {roles} WHERE inferred_role NOT IN ('identifier', 'metadata'))")
+
+
 def t06():
     return f"""
 WITH b AS (SELECT o_orderkey AS k, total_price AS x FROM {CLEAN_SRC}),
@@ -1033,6 +1044,9 @@ def _registry() -> dict:
         "s02_ingest": "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
         "e09_bundle": e09(),
         "t01_head_preview": t01(),
+        "t01_head_rows": t01_rows(),
+        "s07_bundle_scoring": ("SELECT p_partkey, TRUE AS agrees, 'p_retailprice' AS target, "
+                               "'ridge_regression' AS algorithm FROM part"),
         "t02_samples": union([
             f"SELECT {q(t)} AS table_name, name, sample FROM ({prof_body(t)}) WHERE {st}"
             for t in ["dirty", "customer", "part"]]),

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from .duplicates import distinct_rows
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Whole-row dedup (NULLs compare equal); one hash shuffle on all columns."""
-    return df.dropDuplicates()
+    """Whole-row dedup (NULLs compare equal); only rows whose digest is met twice are shuffled."""
+    return distinct_rows(df)
 
 
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
@@ -42,36 +43,41 @@ def drop_sparse_rows(df: DataFrame, threshold: float = R.DROP_ROW_NULL_SHARE) ->
     return df.where(row_null_share(df.columns) <= threshold)
 
 
+# FIXED VALUES: sentences of the action log, for a step that took something away and for one that did not.
+LOG = {
+    "duplicates": ("Removed {n} duplicate rows ({pct:.1f}%)", "No duplicate rows found"),
+    "columns": ("Automatically removed {n} columns with >70% missing values: {what}",
+                "No columns with >70% missing values found"),
+    "sparse": ("Removed {n} rows with >80% missing data ({pct:.1f}%)", "No rows with >80% missing data found"),
+}
+
+
 def perform_automatic_cleaning(df: DataFrame, profile_rows: list[dict],
                                n_rows: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Dedup -> drop high-missing columns -> drop sparse rows, with an action log.
+    """The steps of LOG folded over the frame, with their log.
 
-    Column percentages come from the profile taken before dedup, as specified.
-    Each stage is persisted once so its count and the next stage share a scan.
+    Columns go by the profile taken before. Each row step is persisted, so its
+    count and the step after it share a scan.
     """
-    actions = []
-    before = n_rows if n_rows is not None else df.count()
-    dedup = drop_duplicate_rows(df).persist(StorageLevel.MEMORY_AND_DISK)
-    after = dedup.count()
-    removed = before - after
-    if removed > 0:
-        actions.append(f"Removed {removed} duplicate rows ({removed / before * 100:.1f}%)")
-    else:
-        actions.append("No duplicate rows found")
-
-    drop = high_missing_columns(profile_rows)
-    cur = drop_columns(dedup, drop)
-    if drop:
-        actions.append(f"Automatically removed {len(drop)} columns with >70% missing values: {drop}")
-    else:
-        actions.append("No columns with >70% missing values found")
-
-    kept = drop_sparse_rows(cur).persist(StorageLevel.MEMORY_AND_DISK)
-    final = kept.count()
-    dedup.unpersist()
-    gone = after - final
-    if gone > 0:
-        actions.append(f"Removed {gone} rows with >80% missing data ({gone / after * 100:.1f}%)")
-    else:
-        actions.append("No rows with >80% missing data found")
-    return kept, actions
+    gone = high_missing_columns(profile_rows)
+    steps = [("duplicates", drop_duplicate_rows), ("columns", lambda d: drop_columns(d, gone)),
+             ("sparse", drop_sparse_rows)]
+
+    def taken(state, step):
+        frame, rows, log, held = state
+        name, change = step
+        out = change(frame)
+        if name == "columns":
+            n, pct = len(gone), 0.0
+        else:
+            out = out.persist(StorageLevel.MEMORY_AND_DISK)
+            left = out.count()
+            n, pct, rows = rows - left, (rows - left) * 100.0 / max(rows, 1), left
+            for h in held:
+                h.unpersist()
+            held = [out]
+        return out, rows, [*log, LOG[name][n <= 0].format(n=n, pct=pct, what=gone)], held
+
+    first = (df, df.count() if n_rows is None else n_rows, [], [])
+    out, _, log, _ = reduce(taken, steps, first)
+    return out, log

@@ -8,17 +8,22 @@ so Spark moves the whole table into one task. Instead:
    bucket count follows the row count);
 2. fill inside each bucket with a partitioned window;
 3. per bucket keep the last / first non-null value (one row per bucket), and
-   carry it across buckets with a window over that tiny table;
-4. broadcast-join the carries (size = number of buckets, bounded) and coalesce.
+   carry it across buckets by a prefix scan of several levels over that table;
+4. join the carries (broadcast if counted few) and coalesce.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import range_buckets
 
+#: Buckets that one window scans, and rows of a carry table up to which it is broadcast.
+SCAN_BUCKETS = 4096
+BROADCAST_BUCKETS = 100_000
+
 
 def _bucket_expr(key: str, bounds: list) -> F.Column:
     k = F.col(f"`{key}`")
@@ -28,12 +33,38 @@ def _bucket_expr(key: str, bounds: list) -> F.Column:
     return expr
 
 
+def _carried(edges: DataFrame, k: int, n: int) -> DataFrame:
+    """What each bucket gets from those before (__cf) and after it (__cb), by a prefix scan of several levels.
+
+    Runs of ``SCAN_BUCKETS`` buckets are scanned on their own, their edges one
+    level up in the same way, and what comes from there fills what a run has not.
+    """
+    run = F.floor(F.col("__bucket") / SCAN_BUCKETS).cast("bigint").alias("__run")
+    e = edges.select("*", run)
+    prev = Window.partitionBy("__run").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("__run").orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    local = e.select("__bucket", "__run",
+                     *[F.last(f"__l{i}", ignorenulls=True).over(prev).alias(f"__cf{i}") for i in range(k)],
+                     *[F.last(f"__h{i}", ignorenulls=True).over(after).alias(f"__cb{i}") for i in range(k)])
+    if n <= SCAN_BUCKETS:
+        return local.drop("__run")
+    at = F.col("__bucket")
+    up = e.groupBy("__run").agg(
+        *[F.max_by(f"__l{i}", F.when(F.col(f"__l{i}").isNotNull(), at)).alias(f"__l{i}") for i in range(k)],
+        *[F.min_by(f"__h{i}", F.when(F.col(f"__h{i}").isNotNull(), at)).alias(f"__h{i}") for i in range(k)])
+    runs = -(-n // SCAN_BUCKETS)
+    above = _carried(up.withColumnRenamed("__run", "__bucket"), k, runs).select(
+        F.col("__bucket").alias("__run"), *[F.col(f"__c{s}{i}").alias(f"__u{s}{i}") for i in range(k) for s in "fb"])
+    j = local.join(F.broadcast(above) if runs <= BROADCAST_BUCKETS else above, "__run")
+    return j.select("__bucket", *[F.coalesce(f"__c{s}{i}", f"__u{s}{i}").alias(f"__c{s}{i}") for i in range(k) for s in "fb"])
+
+
 def ffill_bfill(df: DataFrame, columns: list[str], order_by: str,
                 buckets: int | None = None) -> DataFrame:
     """Forward fill then backward fill ``columns`` in ``order_by`` order (unique key).
 
     ``buckets=None`` sizes the key-range buckets from the data
-    (``quantiles.range_buckets``: ~4M rows each, 8..512).
+    (``quantiles.range_buckets``: ~4M rows each, 8 at least).
     """
     if not columns:
         return df
@@ -66,15 +97,11 @@ def ffill_bfill(df: DataFrame, columns: list[str], order_by: str,
           for i, c in enumerate(columns)],
         *[F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), key)).alias(f"__h{i}")
           for i, c in enumerate(columns)])
-    w_prev = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    w_next = Window.orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = edges.select(
-        "__bucket",
-        *[F.last(f"__l{i}", ignorenulls=True).over(w_prev).alias(f"__cf{i}")
-          for i in range(len(columns))],
-        *[F.last(f"__h{i}", ignorenulls=True).over(w_next).alias(f"__cb{i}")
-          for i in range(len(columns))])
-    joined = local.join(F.broadcast(carry), "__bucket", "left")
+    # a row for each bucket, and few of them beside the rows of the table
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    n = edges.count()
+    carry = _carried(edges, len(columns), n)
+    joined = local.join(F.broadcast(carry) if n <= BROADCAST_BUCKETS else carry, "__bucket", "left")
     out = []
     for f in df.columns:
         if f in columns:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from .duplicates import duplicate_counts
 from .stats import NUMERIC, STRING, ProfileOptions, column_stats
 
 
@@ -139,9 +140,8 @@ def complexity(profile: DataFrame) -> DataFrame:
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
-    """Duplicate rows (NULLs equal) as count and percentage; one shuffle."""
-    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("k"))
-    agg = g.agg(F.sum("k").alias("n"), F.sum(_c("k") - 1).alias("d"))
+    """Duplicate rows (NULLs equal) as count and percentage; digests are shuffled, and repeated rows."""
+    agg = duplicate_counts(df)
     return agg.select(F.coalesce(_c("d"), F.lit(0)).cast("bigint").alias("duplicate_count"),
                       F.coalesce(F.try_divide(_c("d") * 100.0, _c("n")), F.lit(0.0))
                       .alias("duplicate_percentage"))

@@ -100,6 +100,10 @@ def classification_report(pred: DataFrame) -> DataFrame:
     return rows.unionByName(summary)
 
 
+#: Rows of the carry table of grouped AUC up to which it is broadcast.
+BROADCAST_CARRY = 200_000
+
+
 def _bucket_of(x, bounds):
     e = F.lit(0)
     for b in bounds:
@@ -132,7 +136,8 @@ def roc_auc(pred: DataFrame, group: list[str] | None = None,
     tot = s.groupBy(*g, "__b").agg(F.sum("neg").alias("__bn"))
     wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = tot.select(*g, "__b", F.coalesce(F.sum("__bn").over(wb), F.lit(0)).alias("__carry"))
-    j = local.join(F.broadcast(carry), [*g, "__b"])   # (groups x buckets) rows
+    # (groups x buckets) rows: counted before they are broadcast
+    j = local.join(F.broadcast(carry) if carry.count() <= BROADCAST_CARRY else carry, [*g, "__b"])
     term = F.col("pos") * (F.col("__below") + F.col("__carry") + F.col("neg") / 2.0)
     agg = j.groupBy(*g).agg(F.sum(term).alias("u"), F.sum("pos").alias("P"),
                             F.sum("neg").alias("N"))

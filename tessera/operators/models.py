@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 import random
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -25,7 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import search
@@ -254,6 +255,46 @@ def save_model(model, path: str) -> str:
     return path
 
 
+@dataclass
+class Bundle:
+    """A fitted processor and model that score raw rows; one folder, complete once its manifest is there."""
+    algorithm: str
+    problem_type: str
+    target: str
+    processor: object
+    model: object
+    VERSION = 1
+
+    def save(self, path: str) -> str:
+        """Parts go to folders of their own names first; the manifest that names them is written last."""
+        version = uuid.uuid4().hex
+        parts = {"processor": f"{version}/processor", "model": f"{version}/model"}
+        self.processor.save(f"{path}/{parts['processor']}")
+        save_model(self.model, f"{path}/{parts['model']}")
+        manifest = {"version": self.VERSION, "algorithm": self.algorithm, "problem_type": self.problem_type,
+                    "target": self.target, "features": self.processor.selected, "parts": parts}
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1).write.mode("overwrite").text(
+            f"{path}/manifest")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Bundle:
+        from .features import FeatureProcessor
+        m = json.loads(spark.read.text(f"{path}/manifest", wholetext=True).first()[0])
+        if m["version"] != cls.VERSION:
+            raise ValueError(f"a bundle of version {m['version']} cannot be read")
+        return cls(m["algorithm"], m["problem_type"], m["target"],
+                   FeatureProcessor.load(spark, f"{path}/{m['parts']['processor']}"),
+                   PipelineModel.load(f"{path}/{m['parts']['model']}").stages[0])
+
+    def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` columns and the prediction of every raw row."""
+        x = self.processor.transform(df, keep=keep)
+        va = VectorAssembler(inputCols=self.processor.selected, outputCol="features", handleInvalid="keep")
+        return self.model.transform(va.transform(x)).select(*[F.col(f"`{c}`") for c in keep], "prediction")
+
+
 # What each algorithm is, and when it is the one to choose.
 DESCRIPTIONS = {
     "random_forest": ("Averages many decision trees grown on samples of rows and columns.",

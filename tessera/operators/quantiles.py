@@ -45,6 +45,18 @@ def bucket_expr(x, bounds: list):
     return tree(0, len(bounds))
 
 
+def count_below(bounds, x, steps: int):
+    """How many of the sorted array ``bounds`` lie below ``x``, by ``steps`` halvings: for more bounds than code can hold."""
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(bounds, mid) < x
+        inside = s["lo"] < s["hi"]
+        return F.struct(F.when(inside & below, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(inside & ~below, mid).otherwise(s["hi"]).alias("hi"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, steps))), start, halve)["lo"]
+
+
 def _in_range(r):
     """(name, lo, hi]: None is open."""
     c = F.col("name") == r["name"]
@@ -147,23 +159,22 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
 
 
 ROWS_PER_BUCKET = 4_000_000
-MAX_BUCKETS = 512
+#: Bounds that fit into generated code; more are searched by halving an array of them.
+CODE_BOUNDS = 512
 
 
 def range_buckets(df: DataFrame, col: str, min_buckets: int = 8):
     """Expression giving each row a value-range bucket of ``col``, sized from
-    the data: one aggregate returns the row count and a fine sketch; bounds
-    are then every k-th sketch point (about ROWS_PER_BUCKET rows each, at
-    most MAX_BUCKETS buckets). Bounds are literals, so every branch of a plan
-    and every retried task buckets identically. Returns (expr, n_buckets)."""
-    fine = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    row = df.agg(F.count(F.col(col)).alias("n"),
-                 F.percentile_approx(F.col(col), fine, 50_000).alias("b")).collect()[0]
-    n = row["n"] or 0
-    want = int(min(MAX_BUCKETS, max(min_buckets, math.ceil(n / ROWS_PER_BUCKET))))
-    step = max(1, MAX_BUCKETS // want)
-    pts = row["b"] or []
-    bounds = sorted(set(pts[step - 1::step]))
+    the data: a count, then sketch quantiles, as many as ROWS_PER_BUCKET rows a
+    bucket ask for. Bounds are literals, so every branch of a plan and every
+    retried task buckets identically. Returns (expr, n_buckets)."""
+    n = df.agg(F.count(F.col(col))).first()[0]
+    want = max(min_buckets, math.ceil(n / ROWS_PER_BUCKET))
+    at = [i / want for i in range(1, want)]
+    pts = df.agg(F.percentile_approx(F.col(col), at, max(50_000, 20 * want))).first()[0]
+    bounds = sorted(set(pts or []))
     if not bounds:
         return F.lit(0), 1
-    return bucket_expr(F.col(col), bounds), len(bounds) + 1
+    if len(bounds) < CODE_BOUNDS:
+        return bucket_expr(F.col(col), bounds), len(bounds) + 1
+    return count_below(F.array(*[F.lit(b) for b in bounds]), F.col(col), len(bounds).bit_length()), len(bounds) + 1

@@ -13,11 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import count_below
+
 SAMPLE_PER_GROUP = 20_000
+ROWS_PER_SLICE = 1_000_000
+BROADCAST_OFFSETS = 100_000     # (group, slice) rows
 PREFIX = 32       # characters of a value that a slice bound keeps
 
 
 def _bounds(distinct: DataFrame, group: str, value: str, slices: int) -> dict:
+    """Sorted slice bounds by group: ``slices``, or more where a group has over ROWS_PER_SLICE values for each."""
     sizes = {r[group]: r["n"] for r in distinct.groupBy(group).agg(
         F.count(F.lit(1)).alias("n")).collect()}
     rate = max(1, max(sizes.values(), default=1) // SAMPLE_PER_GROUP)
@@ -28,7 +33,7 @@ def _bounds(distinct: DataFrame, group: str, value: str, slices: int) -> dict:
     out = {}
     for r in sample:                       # at most ~SAMPLE_PER_GROUP values per group
         vals = r["s"]
-        step = max(1, len(vals) // slices)
+        step = max(1, len(vals) // max(slices, -(-sizes[r[group]] // ROWS_PER_SLICE)))
         out[r[group]] = sorted(set(vals[step::step]))
     return out
 
@@ -43,7 +48,7 @@ def dense_codes(distinct: DataFrame, group: str, value: str, slices: int = 64) -
         bmap = F.create_map(*[e for k, v in bounds.items() for e in
                               (F.lit(k), F.array(*[F.lit(x) for x in v]).cast("array<string>"))])
         arr = F.coalesce(F.element_at(bmap, F.col(group)), F.array().cast("array<string>"))
-        sl = F.size(F.filter(arr, lambda b: b < F.col(value)))
+        sl = count_below(arr, F.col(value), max(map(len, bounds.values())).bit_length())
     else:
         sl = F.lit(0)
     sliced = distinct.withColumn("__pid", sl)
@@ -53,5 +58,5 @@ def dense_codes(distinct: DataFrame, group: str, value: str, slices: int = 64) -
                            .alias("__off"))
     inner = Window.partitionBy(group, "__pid").orderBy(value)
     return (sliced.withColumn("__r", F.row_number().over(inner))
-            .join(F.broadcast(offsets), [group, "__pid"])
+            .join(F.broadcast(offsets) if offsets.count() <= BROADCAST_OFFSETS else offsets, [group, "__pid"])
             .select(group, value, (F.col("__off") + F.col("__r") - 1).alias("code")))

@@ -266,6 +266,16 @@ def smallest_k_per_group(df: DataFrame, group: list[str], order: list, k: int,
             .where(F.col("__r") <= k))
 
 
+def head_preview(df: DataFrame, columns: list[str], order_by: str, rows: int) -> DataFrame:
+    """The first ``rows`` rows by ``order_by`` (a take per task, merged) as (r, name, number, text)."""
+    head = df.orderBy(F.col(f"`{order_by}`")).limit(rows)
+    head = head.withColumn("r", F.row_number().over(Window.orderBy(F.col(f"`{order_by}`"))).cast("bigint"))  # ``rows`` rows
+    kinds = {n: k for n, k, _ in column_kinds(df)}
+    cells = [F.struct(F.lit(c).alias("name"), (F.col(f"`{c}`").cast("double") if kinds.get(c) == NUMERIC else F.lit(None).cast("double")).alias("number"),
+                      (text_expr(c) if kinds.get(c) != NUMERIC else F.lit(None).cast("string")).alias("text")) for c in columns]
+    return head.select("r", F.inline(F.array(*cells)))
+
+
 def value_stats(vc: DataFrame, kinds, opts: ProfileOptions, df: DataFrame) -> dict:
     """Pass 3: every per-column count and share, weighted by the value counts
     (with digests), plus the md5-ordered sample; one shuffle of per-column

@@ -17,7 +17,7 @@ from ..functions.output import round_doubles
 from ..operators import clean, features, impute, infer, metrics, outliers, policy, quality, split
 from ..operators.fill import ffill_bfill
 from ..operators.quantiles import exact_quantiles
-from ..operators.stats import iqr_bounds, smallest_k_per_group, value_counts
+from ..operators.stats import head_preview, iqr_bounds, smallest_k_per_group, value_counts
 from ..session import checkpoint_dir, table_path
 from ..sources import io
 from . import preprocess, report
@@ -167,6 +167,23 @@ def s07_model_save(spark, sf_dir):
     return loaded.transform(va.transform(df)).select("doc_id", "prediction")
 
 
+def s07_bundle_scoring(spark, sf_dir):
+    """Model, processor and metadata saved as one bundle, loaded and applied to the raw table."""
+    from ..operators import models
+    part = load(spark, sf_dir, "part")
+    fp = features.FeatureProcessor("regression")
+    x = fp.fit_transform(part.drop("p_partkey"), "p_retailprice")
+    fitted = models.build_estimator("ridge_regression", "regression", {}, part.count()).fit(
+        models.assemble(x, fp.selected, "p_retailprice"))
+    own = models.Bundle("ridge_regression", "regression", "p_retailprice", fp, fitted)
+    loaded = models.Bundle.load(spark, own.save(_scratch(spark)))
+    before = own.score(part, ["p_partkey"]).withColumnRenamed("prediction", "before")
+    after = loaded.score(part, ["p_partkey"])
+    return after.join(before, "p_partkey").select(
+        "p_partkey", (F.col("prediction") == F.col("before")).alias("agrees"),
+        F.lit(loaded.target).alias("target"), F.lit(loaded.algorithm).alias("algorithm"))
+
+
 def s07_processor_roundtrip(spark, sf_dir):
     """A fitted feature processor saved, loaded and applied to the whole table."""
     part = load(spark, sf_dir, "part")
@@ -1042,6 +1059,18 @@ def t01_head_preview(spark, sf_dir):
     return top.select("name", F.col("__r").cast("bigint").alias("r"), "o_orderkey", "v")
 
 
+def t01_head_rows(spark, sf_dir):
+    """Five rows of the first columns, as an issue shows them, and eight of all that a target can be chosen from."""
+    d = clean.drop_duplicate_rows(dirty_orders(spark, sf_dir))
+    p = infer.profile_dataset(d)
+    free = [r["name"] for r in p.rows if r["inferred_role"] not in ("identifier", "metadata")]
+    out = None
+    for shown, cols, n in (("issue", d.columns[:5], 5), ("target", free, 8)):
+        f = head_preview(d, cols, "o_orderkey", n).select(F.lit(shown).alias("shown"), "*")
+        out = f if out is None else out.unionByName(f)
+    return round_doubles(out)
+
+
 def t02_samples(spark, sf_dir):
     out = None
     for t in ["dirty", "customer", "part"]:
@@ -1274,6 +1303,8 @@ def registry() -> dict:
         "e08_evaluation": e08_evaluation,
         "e09_bundle": e09_bundle,
         "t01_head_preview": t01_head_preview,
+        "t01_head_rows": t01_head_rows,
+        "s07_bundle_scoring": s07_bundle_scoring,
         "t02_samples": t02_samples,
         "t03_top_k": t03_top_k,
         "t04_sorted_importances": t04_sorted_importances,
