@@ -20,9 +20,15 @@ page_id. Extraction itself covers every page and its whole html.
 
 Parsing is one linear scan: void and raw-text elements, comments, implied end
 tags and unclosed elements are handled; scripts, styles, templates, the head
-and form controls never give text. An unfinished tag at the end is dropped.
+and form controls never give text. An unfinished tag at the end is dropped, a
+tag with a quote that is never closed is text. Places of open elements are kept
+by name, so no end tag walks the whole stack, however deep a page nests.
 
-Edge cases: null and empty html give an empty text; a page without tags is one
+``data-label`` marks content in the seed pages alone; in crawled pages it means
+other things.
+
+Edge cases: null and empty html give an empty text; only page_id, url and the
+html column are read, so clashing names do no harm; a page without tags is one
 block; repeated rows give repeated results; an empty table gives an empty
 result, with the model of the seed pages alone.
 """
@@ -31,6 +37,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections import Counter
 from math import exp, log1p
 
@@ -98,10 +105,64 @@ SEED_PAGES = (
     'data-label="0"><p>A reader says that this is quite a good article to read.</p></section></article></body></html>',
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
-_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_MARK = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)(?=[a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"[>\"']")
+# a name begins where none is under way, so that each character is looked at once
+_ATTR = re.compile(r"""(?<![^\s=/"'>])([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _NAME = re.compile(r"[a-z]+")
+_SPAN_ENDS = {"<!--": "-->", "<![CDATA[": "]]>"}
+
+
+class _Ahead:
+    """The next match of a pattern from a place on; a stretch without one is searched once."""
+
+    def __init__(self, pattern: re.Pattern, source: str):
+        self.pattern, self.source, self.low, self.high = pattern, source, 0, -1
+
+    def __call__(self, at: int) -> int:
+        if not self.low <= at <= self.high:
+            m = self.pattern.search(self.source, at)
+            self.low, self.high = at, m.start() if m else len(self.source)
+        return self.high
+
+
+def _tokens(source: str):
+    """(begin, end, closing, tag, attributes) of every tag, comment and declaration; ``tag`` is None for the last two.
+
+    A tag ends at the first ``>`` outside quotes, or with the page. One with a
+    quote that is never closed is text; the quotes met on the way there are
+    remembered, since any later tag that meets them is text as well. So each
+    place is looked at a bounded number of times, whatever the page holds.
+    Text of ``send``: where to go on, after raw text.
+    """
+    name_end, special, dead, at = _Ahead(_NAME_END, source), _Ahead(_SPECIAL, source), set(), 0
+    size = len(source)
+    while m := _MARK.search(source, at):
+        begin, mark = m.start(), m[0]
+        if mark[1:2] in ("!", "?"):
+            end = source.find(_SPAN_ENDS.get(mark, ">"), m.end())
+            at = size if end < 0 else end + len(_SPAN_ENDS.get(mark, ">"))
+            yield begin, at, False, None, ""
+            continue
+        stop, met = name_end(m.end()), []
+        end = special(stop)
+        while end < size and source[end] != ">":
+            met.append(end)
+            close = -1 if end in dead else source.find(source[end], end + 1)
+            if close < 0:
+                end = -1
+                break
+            end = special(close + 1)
+        if end < 0:
+            dead.update(met)
+            at = m.end()
+            continue
+        at = min(size, end + 1)
+        onward = yield begin, at, bool(m[1]), source[m.end():stop] if end < size else None, source[stop:end]
+        if onward is not None:
+            at = onward
+            yield None
 
 
 class Page:
@@ -112,6 +173,8 @@ class Page:
         self.chars, self.link_chars = [0], [0]
         self.blocks: list[tuple[int, str]] = []  # (node, text) in page order
         self._stack = [("html", 0, False)]  # (tag, node, silent)
+        self._at = {"html": [0]}            # where each open tag stands in the stack
+        self._boxes = [0]                   # where those stand that are not inline
         self._text, self._links, self._in_link = [], 0, 0
         self._parse(source)
 
@@ -140,24 +203,36 @@ class Page:
             elif tag == "a":
                 self._in_link = max(0, self._in_link - 1)
             self._stack.pop()
+            self._at[tag].pop()
+            if tag not in INLINE:
+                self._boxes.pop()
+
+    def _push(self, tag: str, node: int, quiet: bool):
+        self._at.setdefault(tag, []).append(len(self._stack))
+        if tag not in INLINE:
+            self._boxes.append(len(self._stack))
+        self._stack.append((tag, node, quiet))
+
+    def _last(self, tag: str) -> int:
+        """Where the innermost open ``tag`` stands, 0 if none but the page does."""
+        return (self._at.get(tag) or (0,))[-1]
 
     def _open(self, tag: str, attrs: str):
-        if tag in CLOSES_P:
-            self._close_in("p", ())
+        if tag in CLOSES_P and self._last("p") and self._boxes[-1] == self._last("p"):
+            self._pop(self._last("p"))
         if tag in ENDS:
             names, stops = ENDS[tag]
-            for i in range(len(self._stack) - 1, 0, -1):
-                if self._stack[i][0] in names:
-                    self._pop(i)
-                elif self._stack[i][0] in stops:
-                    break
+            stop = max(self._last(t) for t in stops)
+            ended = [self._at[t][k] for t in names if (k := bisect_right(self._at.get(t, ()), stop)) < len(self._at.get(t, ()))]
+            if ended:
+                self._pop(min(ended))
         if tag in VOID:
             if tag in ("br", "wbr", "img", "input"):
                 self._say(" " if tag != "wbr" else "")
             elif tag == "hr":
                 self._flush()
             return
-        if tag in ("html", "body") and len(self._stack) > 1 and any(s[0] == tag for s in self._stack):
+        if tag in ("html", "body") and len(self._stack) > 1 and self._at.get(tag):
             return
         _, node, silent = self._stack[-1]
         quiet = silent or tag in SILENT
@@ -172,56 +247,38 @@ class Page:
                 node = len(self.tags) - 1
         elif tag == "a":
             self._in_link += 1
-        self._stack.append((tag, node, quiet))
-
-    def _close_in(self, tag: str, stops):
-        for i in range(len(self._stack) - 1, 0, -1):
-            name = self._stack[i][0]
-            if name == tag:
-                return self._pop(i)
-            if name in stops or (not stops and name not in INLINE):
-                return None
-        return None
+        self._push(tag, node, quiet)
 
     def _close(self, tag: str):
         if tag == "br":
             return self._say(" ")
-        inline = tag in INLINE
-        for i in range(len(self._stack) - 1, 0, -1):
-            name = self._stack[i][0]
-            if name == tag:
-                return self._pop(i)
-            # an inline end tag does not reach out of its block, no end tag out of a table cell
-            if inline and name not in INLINE or name in ("td", "th") and tag not in ("tr", "table", "body", "html"):
-                return None
-        return None
+        i = self._last(tag)
+        # an inline end tag does not reach out of its block, no end tag out of a table cell
+        barrier = self._boxes[-1] if tag in INLINE else 0 if tag in ("tr", "table", "body", "html") else max(
+            self._last("td") if tag != "td" else 0, self._last("th") if tag != "th" else 0)
+        return self._pop(i) if i > barrier else None
 
     def _parse(self, source: str):
-        at, raw_end = 0, None
-        find = _TOKEN.search
-        while True:
-            m = find(source, at)
-            if not m:
-                break
-            if m.start() > at:
-                self._say(source[at:m.start()])
-            at = m.end()
-            tag = m[2]
-            if tag is None or not m[4]:
+        at, tokens = 0, _tokens(source)
+        for begin, end, closing, tag, attrs in tokens:
+            if begin > at:
+                self._say(source[at:begin])
+            at = end
+            if tag is None:
                 continue
             tag = tag.lower()
-            if m[1]:
+            if closing:
                 self._close(tag)
                 continue
-            self._open(tag, m[3])
-            if tag in RAW and not m[3].endswith("/"):
-                raw_end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I)
-                end = raw_end.search(source, at)
-                at = end.end() if end else len(source)
+            self._open(tag, attrs)
+            if tag in RAW and not attrs.endswith("/"):
+                found = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = found.end() if found else len(source)
                 self._close(tag)
+                tokens.send(at)
         rest = source[at:]
         # an unfinished tag is no text
-        cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", rest)
+        cut = re.compile(r"<[a-zA-Z/!?]").search(rest, rest.rfind(">") + 1)
         self._say(rest[:cut.start()] if cut else rest)
         self._pop(1)
         self._flush()
@@ -249,9 +306,9 @@ class Page:
                         "paras=" + ("none" if not paras[i] else "few" if paras[i] < 3 else "many")))
         return out
 
-    def labels(self) -> list[int] | None:
-        """1 for content, 0 for the rest, None for a page that does not say."""
-        marked = any("data-label" in a for a in self.attrs)
+    def labels(self, trusted: bool = False) -> list[int] | None:
+        """1 for content, 0 for the rest, None for a page that does not say; ``data-label`` counts in ``trusted`` pages."""
+        marked = trusted and any("data-label" in a for a in self.attrs)
         if not marked and not any(t in ("article", "main") for t in self.tags):
             return None
         out = []
@@ -274,10 +331,10 @@ def _names(attrs: str) -> set[str]:
             for w in _NAME.findall((a or b or c).lower())}
 
 
-def counted(source: str) -> Counter:
+def counted(source: str, trusted: bool = False) -> Counter:
     """(kind, key, label) counts of a labelled page: node features, and edges by tag class."""
     page = Page(source)
-    labels, out = page.labels(), Counter()
+    labels, out = page.labels(trusted), Counter()
     if labels is None:
         return out
     for i, f in enumerate(page.features()):
@@ -366,7 +423,7 @@ def fitted(counts: dict[tuple[str, str, int], float]) -> Model:
     """A model of the given counts and the seed pages, which weigh ``SEED_SHARE`` of all nodes."""
     seeds = Counter()
     for source in SEED_PAGES:
-        seeds.update(counted(source))
+        seeds.update(counted(source, trusted=True))
     nodes = [sum(v for k, v in c.items() if k[0] == "node") for c in (counts, seeds)]
     weight = max(1.0, SEED_SHARE / (1 - SEED_SHARE) * nodes[0] / nodes[1])
     total = {k: counts.get(k, 0.0) + weight * seeds.get(k, 0) for k in {*counts, *seeds}}

@@ -1,3 +1,4 @@
+import time
 import html
 import itertools
 import math
@@ -133,3 +134,36 @@ def test_labels():
     assert {t for t, y in zip(pg.tags, pg.labels()) if y} == {"article", "h1", "p"}
     assert H.Page("<div><p>x</p></div>").labels() is None
     assert html.unescape("&amp;") == "&" and re.match("a", "a")
+
+
+@pytest.mark.parametrize("source", [
+    lambda n: "<a x " * n + '"', lambda n: "<a<" * n + ' "', lambda n: '<a "" ' * n + '"', lambda n: "<a <a " * n + ">",
+    lambda n: "<div>" * n + "</zzz>" * n, lambda n: "<zzz><td>" + "<div>" * n + "</zzz>" * n, lambda n: "<div>" * n + "<li>" * n,
+    lambda n: "<div>" * n + "<body>" * n, lambda n: "<div " + "x" * 8 * n + "=1>", lambda n: '<div a="' + "a=' " * n + '">'])
+def test_hostile_pages_take_linear_time(source):
+    """Ten megabytes would take hours in quadratic time."""
+    def took(n):
+        at = time.process_time()
+        H.Page(source(n)).features()
+        return time.process_time() - at
+
+    took(1000)
+    assert took(120_000) < 24 * max(took(10_000), 0.02)
+
+
+def test_unclosed_quotes_are_text_and_later_tags_are_not():
+    assert H.Page('<p>a <b x="1>bold</b> c</p><p>d</p>').blocks[0][1].startswith('a <b x="1>bold')
+    assert [t for _, t in H.Page("<p>it's <i title=\"x>y\">so</i></p>").blocks] == ["it's so"]
+
+
+def test_end_tags_stay_in_their_block():
+    assert [t for _, t in H.Page("<b>a<div>x</b>y</div>z").blocks] == ["a", "xy", "z"]
+    assert H.Page("<div><table><tr><td>x</div>y</td></tr></table></div>").blocks[0][1] == "xy"
+    assert H.Page("<ul><li>a<ul><li>b</ul><li>c</ul>").tags.count("li") == 3
+
+
+def test_labels_in_crawled_pages_are_not_trusted():
+    """A responsive table's data-label says nothing about content."""
+    table = '<article><table><tr><td data-label="Price">3</td><td data-label="0">4</td></tr></table></article>'
+    page = H.Page(table)
+    assert page.labels() == [0] + [1] * (len(page.tags) - 1) and 0 in page.labels(trusted=True)[1:]
