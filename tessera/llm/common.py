@@ -65,16 +65,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def lookup(big: DataFrame, small: DataFrame, key: str, how: str, salt_by: list[str],
-           rows: int | None = None, salts: int = 32, most: int = BROADCAST_ROWS) -> DataFrame:
+           rows: int | None = None, salts: int = 32, most: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, whose ``key`` is unique and may be null.
 
-    ``small`` is broadcast if its counted rows stay under ``most``.
+    ``small`` is broadcast if its counted rows stay under ``most`` (``BROADCAST_ROWS``).
     Beyond that both sides are shuffled on (key, salt): ``small`` is repeated
     for every salt and ``big`` is dealt by a hash of ``salt_by``, so that one
     key with a third of the rows spreads over ``salts`` tasks.
     """
     s = small.withColumnRenamed(key, "__key")
-    if (small.count() if rows is None else rows) <= most:
+    if (small.count() if rows is None else rows) <= (BROADCAST_ROWS if most is None else most):
         return big.join(F.broadcast(s), F.col(key).eqNullSafe(F.col("__key")), how).drop("__key")
     s = s.withColumn("__salt_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     b = big.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
