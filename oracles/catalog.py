@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.functions import rules as R
-from tessera.plans.workloads import dirty_sql
-
+from . import values as R
 from .profile_sql import PROFILE_FIELDS, column_sql, q, select_list
 from .schemas import DIRTY, N, S, SCHEMAS
 
-DIRTY_SRC = dirty_sql("orders")
+DIRTY_SRC = R.DIRTY_ORDERS
 CLEAN_COLS = [c for c in DIRTY if c[0] != "sparse_num"]
 
 
@@ -867,12 +865,10 @@ def zero_signed(sql: str) -> str:
 
 
 def registry() -> dict:
-    from tessera.plans.workloads import N_COLUMNS
-
     from . import fits
     reg = {**_registry(), **fits.registry()}
     reg.update({k: f"SELECT o_orderkey, {', '.join(v)} FROM ({n_scalar()})"
-                for k, v in N_COLUMNS.items()})
+                for k, v in R.N_COLUMNS.items()})
     reg.update(gaps_sql())
     reg["s07_processor_roundtrip"] = f11()
     m = cls_metrics(BINARY_PRED)

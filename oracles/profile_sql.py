@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.functions import rules as R
-
+from . import values as R
 from .schemas import N, S
 
 PROFILE_FIELDS = ["ordinal", "name", "dtype", "unique_count", "null_count", "null_percentage",

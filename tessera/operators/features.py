@@ -22,6 +22,8 @@ from .quantiles import exact_quantiles
 from .ranking import dense_codes
 
 BROADCAST_MAX_BYTES = 64 << 20   # an encoder of more joins by shuffle
+HOT_SHARE = 1000   # a value with over a thousandth of the rows is dealt over several tasks
+SALTS = 32
 
 
 def _q(c: str):
@@ -78,25 +80,41 @@ def encoder_sizes(encoders: DataFrame) -> dict:
     return {r["column"]: r["n"] for r in encoders.groupBy("column").agg(size).collect()}
 
 
+def hot_values(df: DataFrame, column: str) -> list[int]:
+    """Hashes of the encoder values that hold over 1/HOT_SHARE of the rows each: fewer than HOT_SHARE of them."""
+    counts = df.groupBy(F.xxhash64(encoder_text(column)).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    least = df.select(F.count(F.lit(1)) / HOT_SHARE).first()[0]
+    return [r["h"] for r in counts.where(F.col("n") > least).collect()]
+
+
 def apply_label_encoders(df: DataFrame, encoders: DataFrame, columns: list[str],
                          sizes: dict | None = None) -> DataFrame:
     """F01/F03/F11 apply: code by lookup, unseen value -> 0 (the first class).
 
     Each column's encoder is broadcast only when its size in bytes is known
     (``sizes``, by column, from ``encoder_sizes``) and small; a large one (a
-    free-text column) is joined by shuffle without forcing the others to.
+    free-text column) is joined by shuffle without forcing the others to. There
+    a hot value, NULL as 'nan' among them, is dealt over ``SALTS`` tasks and
+    its one encoder row repeated for each; no other row is.
     """
     out = df
     for c in columns:
         size = (sizes or {}).get(c)
-        small = size is not None and size <= BROADCAST_MAX_BYTES
         enc = encoders.where(F.col("column") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
-        enc = F.broadcast(enc) if small else enc
-        out = (out.withColumn(f"__k_{c}", encoder_text(c))
-               .join(enc, F.col(f"__k_{c}") == F.col(f"__v_{c}"), "left")
+        on = F.col(f"__k_{c}") == F.col(f"__v_{c}")
+        keyed = out.withColumn(f"__k_{c}", encoder_text(c))
+        if size is not None and size <= BROADCAST_MAX_BYTES:
+            enc = F.broadcast(enc)
+        elif not df.isStreaming and (hot := hot_values(df, c)):
+            salt = F.pmod(F.xxhash64(*[_q(x) for x in df.columns]), F.lit(SALTS)).cast("int")
+            keyed = keyed.withColumn(f"__s_{c}", F.when(F.xxhash64(f"`__k_{c}`").isin(hot), salt).otherwise(0))
+            last = F.when(F.xxhash64(f"`__v_{c}`").isin(hot), SALTS - 1).otherwise(0)
+            enc = enc.withColumn(f"__t_{c}", F.explode(F.sequence(F.lit(0), last)))
+            on = on & (F.col(f"__s_{c}") == F.col(f"__t_{c}"))
+        out = (keyed.join(enc, on, "left")
                .withColumn(c, F.coalesce(F.col(f"__code_{c}"), F.lit(0)).cast("int"))
-               .drop(f"__k_{c}", f"__v_{c}", f"__code_{c}"))
+               .drop(*[f"__{x}_{c}" for x in ("k", "v", "code", "s", "t")]))
     return out.select(*[_q(c) for c in df.columns])
 
 

@@ -21,6 +21,10 @@ OUTLIER_IMPACT = "Outliers may represent errors or important edge cases"
 PROBLEM_TYPE_DESCRIPTION = "Please select the type of machine learning problem you want to solve"
 PROBLEM_TYPE_IMPACT = "Determines the type of analysis and algorithms available"
 MISSING_IMPACT = "Moderate impact on model accuracy and reliability"
+OUTLIER_TITLE = "Outliers detected in {n} numeric columns:\n"
+OUTLIER_LINE = ("In column '{column}', values normally range from {normal_range}, but there are "
+                "{outlier_count} outliers with values like: {examples}")
+MISSING_DESCRIPTION = "Columns {columns} have 10-50% missing values"
 
 ISSUE_SCHEMA = T.StructType([
     T.StructField("ord", T.IntegerType()),
@@ -60,10 +64,9 @@ def outlier_issue(df: DataFrame, rows: list[dict], order_by: str | None):
         for r in outlier_examples(df, bounds, order_by).orderBy("side", "r").collect():
             examples[r["name"]].append(r["v"])
     details = {c: outlier_detail(by[c], examples[c]) for c in cols}
-    parts = [f"In column '{c}', values normally range from {d['normal_range']}, but there are "
-             f"{d['outlier_count']} outliers with values like: {', '.join(d['outlier_examples'])}"
+    parts = [OUTLIER_LINE.format(column=c, examples=", ".join(d["outlier_examples"]), **d)
              for c, d in details.items()]
-    desc = f"Outliers detected in {len(cols)} numeric columns:\n" + "\n".join(parts)
+    desc = OUTLIER_TITLE.format(n=len(cols)) + "\n".join(parts)
     flat = {f"{c}.outlier_count": str(d["outlier_count"]) for c, d in details.items()}
     flat.update({f"{c}.normal_range": d["normal_range"] for c, d in details.items()})
     return ("outliers_detected", "medium", cols, desc, OUTLIER_IMPACT, OUTLIER_OPTIONS, flat)
@@ -88,7 +91,7 @@ def missing_issue(rows: list[dict]):
         return None
     pct = {r["name"]: r["null_percentage"] for r in rows if r["name"] in cols}
     return ("moderate_missing_values", "medium", cols,
-            f"Columns {cols} have 10-50% missing values", MISSING_IMPACT, MISSING_OPTIONS,
+            MISSING_DESCRIPTION.format(columns=cols), MISSING_IMPACT, MISSING_OPTIONS,
             {c: f"{v:.1f}" for c, v in pct.items()})
 
 

@@ -8,12 +8,16 @@ one projection right after the read, before any type inference.
 from __future__ import annotations
 
 import json
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from ..functions import rules as R
+from ..session import checkpoint_dir
 
 
 def normalize_na(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
@@ -73,12 +77,56 @@ def _infer_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def ingest(spark: SparkSession, data) -> DataFrame:
-    """A Spark DataFrame passes through; a pandas frame (small, local) is
-    converted with Arrow. Large data should be read with ``read_table``."""
+def arrow_table(data) -> pa.Table:
+    """A pandas frame, Arrow table or record batch as an Arrow table with the types it holds.
+
+    pandas keeps integers, booleans, dates and decimals with gaps as objects or
+    floats; whole floats of a column that has gaps become integers again only
+    where pandas says so (its nullable types), and NaN becomes NULL. A column of
+    mixed types is text. Column labels become text; the index is left out.
+    """
+    if isinstance(data, pa.RecordBatch):
+        return pa.Table.from_batches([data])
+    if isinstance(data, pa.Table):
+        return data
+    arrays = []
+    for i in range(data.shape[1]):
+        column = data.iloc[:, i]
+        try:
+            arrays.append(pa.Array.from_pandas(column))
+        except (pa.ArrowInvalid, pa.ArrowTypeError):
+            arrays.append(pa.array([None if x is None or x != x else str(x) for x in column], pa.string()))
+    return pa.Table.from_arrays(arrays, names=[str(c) for c in data.columns])
+
+
+def _local(spark: SparkSession, table: pa.Table) -> DataFrame:
+    """An Arrow table as a Spark frame; timestamps without a zone stay so."""
+    return spark.createDataFrame(table, schema=from_arrow_schema(table.schema, prefer_timestamp_ntz=True))
+
+
+def ingest(spark: SparkSession, data, na_tokens: list[str] | None = None) -> DataFrame:
+    """A frame as a Spark frame, NA tokens and NaN as NULL.
+
+    ``data`` is a Spark frame, which passes through; a pandas frame, Arrow table
+    or record batch; or an iterable of these of one schema (a
+    ``RecordBatchReader``, a chunked pandas reader), which is unioned chunk by
+    chunk through Parquet files in the shared folder, so that the driver holds
+    one chunk at a time. Large data belongs in files read by ``read_table``.
+    """
     if isinstance(data, DataFrame):
-        return normalize_na(data)
-    return normalize_na(spark.createDataFrame(data))
+        return normalize_na(data, na_tokens)
+    if isinstance(data, (pa.Table, pa.RecordBatch)) or hasattr(data, "iloc"):
+        return normalize_na(_local(spark, arrow_table(data)), na_tokens)
+    path = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    schema = None
+    for chunk in data:
+        table = arrow_table(chunk)
+        # a chunk may lack a column's values and so its type: the first one decides
+        schema = schema or table.schema
+        _local(spark, table.select(schema.names).cast(schema)).write.mode("append").parquet(path)
+    if schema is None:
+        raise ValueError("no chunk to take a schema from")
+    return normalize_na(spark.read.parquet(path), na_tokens)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

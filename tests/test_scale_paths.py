@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import duplicates, fill, impute, infer, metrics, quantiles, ranking, stats
+from tessera.operators import duplicates, features, fill, impute, infer, metrics, quantiles, ranking, stats
 
 
 @pytest.mark.parametrize("bits", [0, 2, 64])
@@ -108,3 +108,37 @@ def test_head_preview(spark):
     df = spark.range(30).selectExpr("30 - id as k", "cast(id as string) s", "id / 2.0 as x").repartition(4)
     got = [tuple(r) for r in stats.head_preview(df, ["s", "x"], "k", 5).orderBy("r", "name").collect()]
     assert got == [c for i in range(5) for c in ((i + 1, "s", None, str(29 - i)), (i + 1, "x", (29 - i) / 2.0, None))]
+
+
+@pytest.mark.parametrize("broadcast", [-1, 64 << 20])
+def test_encoder_with_hot_values_joined_by_shuffle(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(features, "BROADCAST_MAX_BYTES", broadcast)
+    rng = random.Random(11)
+    values = [None if rng.random() < 0.6 else rng.choice(["hot", f"v{rng.randrange(5000):04d}", "nan"]) for _ in range(8000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k long, t string").repartition(4)
+    enc = features.fit_label_encoders(df.where("k % 2 = 0"), ["t"])
+    known = sorted({"nan" if v is None else v for v in values[::2]})
+    code = {v: i for i, v in enumerate(known)}
+    got = features.apply_label_encoders(df, enc, ["t"], features.encoder_sizes(enc))
+    assert got.columns == ["k", "t"]
+    assert {r.k: r.t for r in got.collect()} == {
+        i: code.get("nan" if v is None else v, 0) for i, v in enumerate(values)}
+
+
+def test_hot_values_are_few_and_dealt(spark, monkeypatch):
+    df = spark.range(9000).selectExpr("id k", "if(id % 3 = 0, NULL, concat('v', id)) t").repartition(4)
+    assert len(features.hot_values(df, "t")) == 1
+    assert features.hot_values(df.where("k < 0"), "t") == []
+    monkeypatch.setattr(features, "BROADCAST_MAX_BYTES", -1)
+    enc = features.fit_label_encoders(df, ["t"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = features.apply_label_encoders(df, enc, ["t"], features.encoder_sizes(enc))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(sizes) == 9000 and max(sizes) < 1500  # one task would hold the 3000 NULLs
