@@ -16,12 +16,18 @@ alignment of words (match 1, mismatch or gap -1; of equal scores the one with
 most words matched) within ``band`` of the
 diagonals that were hit; the words matched over the template's words are its
 coverage, reported from ``min_coverage`` on with the span of the text from the
-first matched word to the last. A document is never shuffled or split.
+first matched word to the last. Hits that spread over more than four bands are
+aligned in overlapping windows of four bands, half of them shared by the next,
+so a row of the alignment stays bounded. A document is never shuffled or split.
+
+Thirteen notices are built in; ``templates_of`` takes any others, full texts
+too, from a table.
 
 Edge cases: null and empty texts have no match; a null doc_id is kept; each
 place of a document is reported once for each template; repeated rows give
 repeated results; a template without words never matches; an empty table gives
-an empty result.
+an empty result. A very long text is a batch of its own, held with a few arrays
+of its words; columns but doc_id and the text are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +44,8 @@ WINNOW = 4
 BAND = 8
 MIN_COVERAGE = 0.8
 CHUNK_BYTES = 2 << 20
+#: Templates go to every task, so a table of them may hold so many bytes of text at most.
+TEMPLATE_BYTES = 64 << 20
 
 #: License notices (fixed values; any other templates can be given).
 TEMPLATES = {
@@ -200,6 +208,27 @@ def found(texts: list[bytes], index: Index, band: int = BAND, min_coverage: floa
     return out
 
 
+def templates_of(table: DataFrame, name: str = "license", text: str = "text",
+                 most: int = TEMPLATE_BYTES) -> dict[str, str]:
+    """Templates from a table, by name: full license texts or any others.
+
+    Their bytes are summed first, and more than ``most`` is an error. A name that
+    occurs with several texts gets one template each, "name", "name (2)" and so
+    on in order of the texts; rows without name or words are left out.
+    """
+    t = table.select(F.col(name).cast("string").alias("n"), F.col(text).cast("string").alias("t")).dropna().distinct()
+    size = t.agg(F.sum(F.octet_length("n") + F.octet_length("t"))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"templates hold {size} bytes, more than {most}")
+    out: dict[str, str] = {}
+    seen: dict[str, int] = {}
+    for n, body in sorted(map(tuple, t.collect())):
+        if body.encode().translate(_FOLD).split():
+            seen[n] = seen.get(n, 0) + 1
+            out[n if seen[n] == 1 else f"{n} ({seen[n]})"] = body
+    return out
+
+
 _SCHEMA = ("license string, coverage double, matched_words bigint, template_words bigint, start bigint, "
            "`end` bigint, matched string")
 

@@ -22,7 +22,9 @@ any, and every document drops its own lines in place.
 
 Edge cases: a null text stays null, with no lines; a null host is a host of
 its own; repeated rows are pages with the same text; an empty table gives an
-empty result; a document of nothing but boilerplate is left with an empty text.
+empty result; a document of nothing but boilerplate is left with an empty text;
+a very long text is one row, its lines an array of one task; other columns are
+boxed, so any name may clash.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ to the least permitted length that holds its contents.
 
 Edge cases: null and empty texts take no room and have no bin; repeated rows
 are pieces of their own; a null doc_id is kept; ties go by doc_id and piece;
-an empty table gives an empty result.
+an empty table gives an empty result; a very long text is as many pieces as it
+fills; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -81,12 +82,16 @@ def dealt(p: DataFrame, shards: int) -> DataFrame:
     p = p.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
     at = F.pmod(F.pmod(F.xxhash64("spread", "piece"), F.lit(shards)) + F.col("__i"), F.lit(shards))
     share = F.floor(F.col("copies") / shards) + (F.col("__i") < F.col("copies") % shards).cast("long")
-    return p.withColumns({"shard": at, "copies": share.cast("long")}).drop("spread", "__i")
+    return p.withColumns({"shard": at, "copies": share.cast("long")}).drop("__i")
 
 
 def packed(docs: DataFrame, text: str = "text", capacities: tuple[int, ...] = CAPACITIES,
-           overhead: int = OVERHEAD, shard_pieces: int = SHARD_PIECES, length=None) -> DataFrame:
-    """(doc_id, piece, start, length, bin_id, offset, capacity, used), one row a piece."""
+           overhead: int = OVERHEAD, shard_pieces: int = SHARD_PIECES, length=None,
+           keyed: bool = False) -> DataFrame:
+    """(doc_id, piece, start, length, bin_id, offset, capacity, used), one row a piece.
+
+    ``keyed`` adds ``row_hash``, by which (with doc_id) a piece finds its text.
+    """
     t = F.col(text).cast("string")
     p = pieces(docs, F.octet_length(t) if length is None else length, max(capacities), F.xxhash64("doc_id", t))
     p = cut(p)
@@ -103,18 +108,37 @@ def packed(docs: DataFrame, text: str = "text", capacities: tuple[int, ...] = CA
         for (b, o), n in zip(at, rows["length"][full]):
             used[b] = max(used[b], o + int(n))
         out = rows[["doc_id", "piece", "start", "length"]].reset_index(drop=True)
+        hashes = rows["spread"].to_numpy()
         columns = {"bin_id": [(int(key[0]) << 32) + b for b, _ in at], "offset": [o for _, o in at],
                    "capacity": [caps[b] for b, _ in at], "used": [used[b] for b, _ in at]}
         for c, v in columns.items():
             out[c] = v + [None] * (len(out) - len(v))
             out[c] = out[c].astype("Int64")
+        if keyed:
+            out["row_hash"] = hashes
         out["doc_id"] = out["doc_id"].astype("Int64") if id_type in ("bigint", "int") else out["doc_id"]
         return out
 
     schema = (f"doc_id {id_type}, piece bigint, start bigint, length bigint, bin_id bigint, "
-              "offset bigint, capacity bigint, used bigint")
+              "offset bigint, capacity bigint, used bigint" + (", row_hash bigint" if keyed else ""))
     return p.groupBy("shard").applyInPandas(pack, schema)
 
 
+def stage(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``packed`` rows with ``content``: the UTF-8 bytes of each piece (a cut may fall inside a character).
+
+    Pieces and texts meet by one shuffle on (doc_id, hash of doc_id and text).
+    """
+    def key(h):
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.hex(h))
+
+    t = F.col(text).cast("string")
+    p = packed(docs, text, keyed=True)
+    texts = docs.select(key(F.xxhash64("doc_id", t)).alias("__key"), t.alias("__text")).dropDuplicates(["__key"])
+    p = p.withColumn("__key", key(F.col("row_hash"))).join(texts, "__key", "left")
+    content = F.substring(F.col("__text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
+    return p.withColumn("content", F.coalesce(content, F.lit("").cast("binary"))).drop("__key", "__text", "row_hash")
+
+
 def run(spark, sf_dir: str) -> DataFrame:
     return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))

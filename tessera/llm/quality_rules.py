@@ -16,7 +16,8 @@ A document that fails no rule always stays, whatever its host.
 Edge cases: a null text has no words and fails the base rule; a null host is a
 host of its own; repeated rows count and are judged one by one; an empty table
 gives an empty result; columns of the input with the same names as the
-measures are never read (the query) or are kept as they are (the stage).
+measures are never read (the query) or are kept as they are (the stage); a very long text is one row, its words an
+array of one task.
 """
 
 from __future__ import annotations

@@ -2,12 +2,13 @@
 
 A fingerprint has eight positional bytes. Two fingerprints that differ in at
 most ``d`` bits differ in at most ``d`` bytes, so they share at least
-``T = 8 - d`` of them: the guaranteed minimum of matches. The index is built
-on groups of T positions, one posting for each group: a pair with T shared
-bytes or more meets in at least one posting list, and lists are as selective
-as the guarantee allows (32 bits for d = 4). Inside a list each pair's shared
-positional bytes are tallied from the exclusive or of the two; pairs that
-reach T are retained and verified by their differing bits.
+``T = 8 - d`` of them: the guaranteed minimum of matches. The index has one
+posting for each group of T - 1 positions (56 a fingerprint for d = 4, of 24
+bits), so a pair with T shared bytes meets in T lists or more, and one with
+T - 1 still in one. Inside a list each pair's shared positional bytes are
+tallied from the exclusive or of the two; the tally drops pairs below T, and
+those that reach it are verified by their differing bits. For d = 7 a group is
+one position and every pair of a list reaches T = 1.
 
 Copies never meet: equal fingerprints are one entry of the index. A posting
 list never gives all its pairs. It is walked from link to link, each popped
@@ -19,7 +20,10 @@ in d bits or less always share one), which is exact and linear too.
 
 Edge cases: a null or empty text has fingerprint zero, linked like any other;
 a null doc_id is never the smallest unless its component has no other;
-repeated rows give repeated results; an empty table gives an empty result.
+repeated rows give repeated results; an empty table gives an empty result. A
+very long text is one Python object in one task, its hashes eight bytes a
+word. Other columns are never read, save by ``stage``, which boxes them: any
+name may clash.
 """
 
 from __future__ import annotations
@@ -165,7 +169,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_list: int = MAX_LIST) ->
     """Edges (u, v) with the same components as all pairs of ``fps`` (distinct ``fp``) within ``max_bits``."""
     if not 0 <= max_bits <= 7:
         raise ValueError("eight byte positions guarantee a shared byte for 0 to 7 differing bits")
-    groups = list(combinations(range(8), 8 - max_bits))
+    groups = list(combinations(range(8), max(1, 8 - max_bits - 1)))
     masks = [_signed(sum(0xFF << (8 * p) for p in g)) for g in groups]
     postings = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("g"), F.col("fp").bitwiseAND(F.lit(m)).alias("k"))

@@ -35,8 +35,9 @@ shuffled.
 
 Edge cases: a null text is empty; a null doc_id counts as larger than all
 others; rows with the same doc_id are compared by start, and repeated rows do
-not remove each other's bytes; a text shorter than ``length`` keeps all; an
-empty table gives an empty result.
+not remove each other's bytes; a text shorter than ``length`` keeps all; a very
+long text is hashed in such pieces, so nothing is lost between them; only ``doc_id`` and the text are read, so clashing names
+do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ revisits that refer to them and end after the HTTP header.
 Edge cases: null html is an empty payload; a null page_id has no header, comes
 back null and is the smallest; of repeated rows one is the response; an empty
 table gives an empty archive and result; control characters in a URL are
-percent-encoded.
+percent-encoded; a very long page is one record, held by one task; columns but
+page_id, url and html are not read, whatever their names.
 """
 
 from __future__ import annotations

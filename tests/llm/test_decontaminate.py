@@ -74,7 +74,8 @@ def test_shuffled_joins(spark, data, monkeypatch):
     from tessera.llm import common
     docs, items = frames(spark, data)
     one, kept = result(docs, items), D.stage(docs, items).count()
-    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    for bound in ("BROADCAST_ROWS", "SEED_ROWS", "ITEM_BYTES"):
+        monkeypatch.setattr(D, bound, 0)
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     assert result(docs, items) == one
     assert D.stage(docs, items).count() == kept
@@ -112,3 +113,36 @@ def test_empty(spark, empty, data):
 def test_no_python_in_plan(spark, data):
     plan = D.matches(*frames(spark, data))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_recall_of_the_radius(spark):
+    """Planted copies of the least similar kinds: what the radius costs, and what a narrower one would."""
+    rng = random.Random(8)
+    items, docs = [], []
+    for i in range(300):
+        w = [f"{rng.choice('bcdfgh')}{rng.randrange(100000)}" for _ in range(rng.randrange(50, 90))]
+        items.append((i, " ".join(w)))
+        copy = list(w)
+        if i % 2:
+            copy[rng.randrange(6, len(w) - 6)] = "changed"   # five shingles of some 65
+        else:
+            a = rng.randrange(6, len(w) - 6)                 # six
+            copy[a:a + 2] = ["changed", "again"]
+        docs.append((i, " ".join(copy)))
+    near = {d for d, i in brute_pairs(docs, items) if d == i}
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {r: {x.doc_id for x in D.matches(d, b, radius=r).collect() if x.doc_id == x.item_id} for r in (12, D.RADIUS, 63)}
+    assert got[63] == near and len(near) > 250
+    assert len(got[D.RADIUS]) >= 0.99 * len(near)
+    assert len(got[12]) < len(got[D.RADIUS])
+
+
+def brute_pairs(docs, items):
+    """(document, item) of equal ids whose similarity as a whole is 0.8 or more."""
+    out = []
+    for (d, t), (i, u) in zip(docs, items):
+        a, b = bag(words(t), 5), bag(words(u), 5)
+        if sum((a & b).values()) >= 0.8 * sum((a | b).values()):
+            out.append((d, i))
+    return out

@@ -101,3 +101,16 @@ def test_clashing_names(clashing):
     d = clashing.selectExpr("*", "'own' AS license", "1 AS start", "2 AS matched")
     assert L.scanned(d).columns[:2] == ["doc_id", "license"]
     assert L.scanned(d).count() == L.scanned(clashing).count()
+
+
+def test_templates_from_a_table(spark, empty):
+    t = spark.createDataFrame([("A", "alpha beta gamma delta"), ("A", "zeta eta theta iota"), ("A", "alpha beta gamma delta"),
+                               ("B", None), (None, "lost words"), ("C", " ,. "), ("D", "kappa " * 3000)], "license string, text string")
+    got = L.templates_of(t)
+    assert got == {"A": "alpha beta gamma delta", "A (2)": "zeta eta theta iota", "D": "kappa " * 3000}
+    with pytest.raises(ValueError):
+        L.templates_of(t, most=100)
+    assert L.templates_of(empty, name="lang") == {}
+    docs = spark.createDataFrame([(1, "so Zeta, eta; THETA iota it is"), (2, "nothing")], "doc_id long, text string")
+    assert [(r.doc_id, r.license, r.matched) for r in L.scanned(docs, templates=got).collect()] == [
+        (1, "A (2)", "Zeta, eta; THETA iota")]

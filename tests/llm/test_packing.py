@@ -95,3 +95,20 @@ def test_empty(empty):
 def test_clashing_names(clashing, corpus):
     d = clashing.selectExpr("*", "1 AS piece", "2 AS length", "'x' AS bin_id", "'y' AS spread")
     assert sum(r.length for r in P.packed(d).collect()) == sum(len((r[1] or "").encode()) for r in corpus)
+
+
+def test_stage_carries_the_bytes(clashing, corpus):
+    d = clashing.selectExpr("*", "'x' AS row_hash", "'y' AS content", "'z' AS __text")
+    rows = P.stage(d).collect()
+    long = [(None, "é" * 40_000), (None, "é" * 40_000), (5, None)]
+    rows += P.stage(clashing.sparkSession.createDataFrame(long, "doc_id long, text string")).collect()
+    want, got = {}, {}
+    for d, t in [r[:2] for r in corpus] + long:
+        want.setdefault(d, []).append((t or "").encode())
+    for r in rows:
+        assert len(r.content) == r.length
+        got.setdefault(r.doc_id, {}).setdefault(r.start, []).append(bytes(r.content))
+    for d, texts in want.items():
+        assert sorted(x for t in texts for x in [t[i:i + 32768] for i in range(0, max(1, len(t)), 32768)]) == sorted(
+            x for parts in got[d].values() for x in parts), d
+    assert got.keys() == want.keys()

@@ -1,6 +1,8 @@
 import pytest
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
+from tests.llm.conftest import CLASHING
 from tests.llm import test_decontaminate, test_line_dedup, test_quality_rules, test_simhash_dedup
 
 
@@ -49,11 +51,23 @@ def test_stages(spark, data, tmp_path):
 
 def test_run(spark, data):
     at, expected = data
-    total = {}
+    total, text = {}, {}
     for r in P.run(spark, at).collect():
         total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+        text[r.doc_id, r.start] = bytes(r.content)
         assert r.bin_id is None or r.offset + r.length <= r.used <= r.capacity
     assert total == {r[0]: len((r[1] or "").encode()) for r in expected[-1]}
+    assert {d: b"".join(text[k] for k in sorted(text) if k[0] == d) for d in total} == {
+        r[0]: (r[1] or "").encode() for r in expected[-1]}
+
+
+def test_clashing_and_extra_columns(spark, data, tmp_path):
+    at, expected = data
+    names = [c for c in CLASHING if c != "n_words"] + ["content", "row_hash", "bin_id", "spread"]
+    docs = spark.read.parquet(f"{at}/documents.parquet").withColumns({c: F.lit(f"own {c}") for c in names})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{at}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} == {r[0] for r in expected[-1]}
 
 
 def test_empty(spark, tmp_path, empty):

@@ -135,3 +135,33 @@ def test_words():
 
 def test_clashing_names(clashing, corpus):
     assert result(clashing) == order(expected(corpus))
+
+
+def test_tally_decides():
+    """Pairs of a posting list with three shared bytes only are dropped by the tally, one with four is linked."""
+    base = 0x0102030405060708
+    four, three = base ^ 0x0101010100000000, base ^ 0x0101010101000000
+    assert [tuple(map(int, x)) for x in S._forest(np.array([base, four], np.uint64), 4, 4)] == [(four, base)]
+    assert list(S._forest(np.array([base, three], np.uint64), 5, 4)) == []
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4, 7])
+def test_links_of_random_fingerprints(spark, bits):
+    rng = random.Random(bits)
+    fps = {rng.getrandbits(64) for _ in range(60)}
+    for f in list(fps):
+        for _ in range(3):
+            fps.add(f ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(9))}))
+    fps = sorted(fps)
+    edges, _ = S.links(spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long"), bits)
+    links = [(r.u % (1 << 64), r.v % (1 << 64)) for r in edges.collect()]
+    where, parent = {f: i for i, f in enumerate(fps)}, list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for u, v in links:
+        a, b = find(where[u]), find(where[v])
+        parent[max(a, b)] = min(a, b)
+    assert [find(i) for i in range(len(fps))] == roots(fps, bits)
