@@ -9,6 +9,8 @@ which check what MLlib's own ``transform`` and ``featureImportances`` say.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,33 +41,49 @@ def _votes(model) -> bool:
     return "RandomForestClassification" in type(model).__name__
 
 
-def packed_trees(nodes: DataFrame) -> DataFrame:
-    """The one-row table ``trees``: an array of trees, each with its weight and nodes in order of their number."""
-    node = F.struct("node", "feature", "threshold", "left", "right", "value")
-    trees = nodes.groupBy("tree").agg(F.first("weight").alias("weight"), F.sort_array(F.collect_list(node)).alias("nodes"))
-    return trees.agg(F.sort_array(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("trees"))
+def _tree_arrays(nodes: DataFrame) -> list[tuple]:
+    """(weight, feature, threshold, left, right, value) of each tree, nodes in order of their number.
+
+    The model is one bounded value, which MLlib's driver holds as well.
+    """
+    t = nodes.select("tree", "node", "feature", "threshold", "left", "right", "value", "weight").toArrow()
+    at = {c: t.column(c).combine_chunks() for c in t.column_names}
+    tree = at["tree"].to_numpy()
+    order = np.lexsort((at["node"].to_numpy(), tree))
+    starts = np.flatnonzero(np.r_[True, np.diff(tree[order]) != 0]) if len(order) else []
+    value = np.asarray(at["value"].flatten().to_numpy(zero_copy_only=False), float).reshape(len(order), -1)
+    num = {c: np.asarray(at[c].to_numpy(zero_copy_only=False)) for c in ("feature", "left", "right", "weight")}
+    threshold = np.asarray(at["threshold"].to_numpy(zero_copy_only=False), float)
+    return [(float(num["weight"][i[0]]), num["feature"][i], threshold[i], num["left"][i], num["right"][i], value[i])
+            for i in np.split(order, starts[1:])] if len(order) else []
 
 
 def walked(rows: DataFrame, features: list[str], nodes: DataFrame, depth: int) -> DataFrame:
     """``rows`` with ``sums``: the weighted sum of the leaf values that a row reaches, tree by tree.
 
-    The model is one bounded value, read once as a scalar subquery; rows are
-    neither multiplied by trees nor shuffled.
+    A batch of rows goes down a tree level by level, all rows at once; rows are
+    neither multiplied by trees nor shuffled. A missing number goes right.
     """
-    d = rows.withColumn("__trees", packed_trees(nodes).scalar()) \
-            .withColumn("__x", F.array(*[F.col(f"`{c}`").cast("double") for c in features]))
-
-    def leaf(tree: Column) -> Column:
-        def down(at, _):
-            n = F.get(tree["nodes"], at)
-            return F.when(n["left"] < 0, at).when(F.get(F.col("__x"), n["feature"]) <= n["threshold"], n["left"]) \
-                .otherwise(n["right"])
-        return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, depth))), F.lit(0), down)
-
-    value = F.transform("__trees", lambda t: F.transform(F.get(t["nodes"], leaf(t))["value"], lambda v: v * t["weight"]))
-    first = F.transform(F.get(value, F.lit(0)), lambda v: v * 0.0)
-    sums = F.aggregate(value, first, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-    return d.withColumn("sums", sums).drop("__trees", "__x")
+    trees = _tree_arrays(nodes)
+
+    @F.arrow_udf("array<double>")
+    def leaf_sums(*cols: pa.Array) -> pa.Array:
+        x = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in cols])
+        n = x.shape[1]
+        each, sums = np.arange(n), np.zeros((n, trees[0][-1].shape[1] if trees else 0))
+        for weight, feature, threshold, left, right, value in trees:
+            at = np.zeros(n, np.int64)
+            for _ in range(max(1, depth)):
+                inner = left[at] >= 0
+                if not inner.any():
+                    break
+                down = np.where(x[feature[at], each] <= threshold[at], left[at], right[at])
+                at = np.where(inner, down, at)
+            sums += value[at] * weight
+        stops = np.arange(n + 1, dtype=np.int32) * sums.shape[1]
+        return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(sums.ravel()))
+
+    return rows.withColumn("sums", leaf_sums(*[F.col(f"`{c}`").cast("double") for c in features]))
 
 
 def tree_prediction(model) -> Column:

@@ -64,6 +64,8 @@ DEFAULT_PARAMS = {
 }
 MAX_TREE_DEPTH = 30     # MLlib limit; "no limit" maps here
 ROWS_PER_PARTITION = 500_000
+#: Rows below which a partition is not split further to give every core one.
+LEAST_ROWS = 50_000
 
 
 def family(problem_type: str) -> str:
@@ -162,6 +164,25 @@ def _search_scores(folded: DataFrame, features: list[str], algorithm: str, trial
     return [s if math.isfinite(s) else FAILED_TRIAL for s in scores]
 
 
+def row_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for passes over ``rows``: one a core once each has LEAST_ROWS, then of ROWS_PER_PARTITION.
+
+    However few files the input has: a file of some MB can hold millions of rows.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(cores, math.ceil(rows / LEAST_ROWS)), math.ceil(rows / ROWS_PER_PARTITION))
+
+
+def trials_at_once(spark: SparkSession, parts: int) -> int:
+    """Trials whose jobs, of ``parts`` tasks each, keep every core busy while as many wait for the driver."""
+    return max(4, 2 * spark.sparkContext.defaultParallelism // parts)
+
+
+def _work(trial: dict) -> float:
+    """What a trial costs beside others: trees times their depth."""
+    return float(trial.get("n_estimators") or 1) * float(trial.get("max_depth") or 1)
+
+
 @dataclass
 class TrainResult:
     algorithm: str
@@ -176,8 +197,11 @@ class TrainResult:
 
 def train_selected_model(df: DataFrame, features: list[str], label: str, key: str,
                          algorithm: str, problem_type: str, test_size: float = 0.2,
-                         n_trials: int = 50, parallelism: int = 4) -> TrainResult:
-    """Split -> (tune by CV) -> fit -> predict train and test -> metrics."""
+                         n_trials: int = 50, parallelism: int | None = None) -> TrainResult:
+    """Split -> (tune by CV) -> fit -> predict train and test -> metrics.
+
+    ``parallelism``: trials at a time, ``trials_at_once`` if not given.
+    """
     from .metrics import metric_bundle
     cls = family(problem_type) == "classification"
     data = df.select(*[F.col(f"`{c}`") for c in features],
@@ -188,9 +212,8 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
     total = sum(counts.values()) if counts else data.count()
     split = train_test_split(data, key, test_size, stratify=None if (small_class or not cls)
                              else "label", rows_hint=total)
-    # iterative MLlib fits launch one job per iteration over every partition:
-    # size partitions by rows (~ROWS_PER_PARTITION), never above the input's
-    parts = max(1, min(split.rdd.getNumPartitions(), math.ceil(total / ROWS_PER_PARTITION)))
+    # iterative MLlib fits launch one job per iteration over every partition
+    parts = row_partitions(df.sparkSession, total)
     split = VectorAssembler(inputCols=features, outputCol="features",
                             handleInvalid="keep").transform(split).repartition(parts) \
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -224,10 +247,12 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
             except (PySparkException, Py4JJavaError):
                 return FAILED_TRIAL
 
-        # the folds are persisted once; ``parallelism`` trials run at a time
+        # the folds are persisted once; the longest trials start first, so that none is left alone at the end
         if not scores:
-            with ThreadPoolExecutor(parallelism) as pool:
-                scores = list(pool.map(score, ests))
+            with ThreadPoolExecutor(parallelism or trials_at_once(df.sparkSession, parts)) as pool:
+                started = {j: pool.submit(score, ests[j])
+                           for j in sorted(range(len(trials)), key=lambda j: -_work(trials[j]))}
+                scores = [started[j].result() for j in range(len(trials))]
         folded.unpersist()
         i = max(range(len(scores)), key=lambda j: scores[j])
         best, cv_score = trials[i], scores[i]

@@ -26,6 +26,7 @@ def _depth(model) -> int:
 
 def _walk(spark, rows: DataFrame, features: list[str], model) -> DataFrame:
     nodes = model_tables.tree_nodes(spark, model, W._scratch(spark))
+    rows = rows.repartition(models.row_partitions(spark, rows.count()))
     return model_tables.walked(rows, features, nodes, _depth(model)).withColumn(
         "walked", model_tables.tree_prediction(model))
 

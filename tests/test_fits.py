@@ -108,6 +108,27 @@ def test_walked_trees(spark, frame, tmp_path, algorithm, problem, label):
     assert [got[c] for c in cols] == pytest.approx(model.featureImportances.toArray().tolist(), abs=1e-12)
 
 
+def test_walk_takes_batches_and_missing_numbers_go_right(spark):
+    nodes = spark.createDataFrame(
+        [(0, 0, 0, 1.5, 1, 2, [0.0], 1.0), (0, 1, -1, None, -1, -1, [10.0], 1.0), (0, 2, -1, None, -1, -1, [20.0], 1.0),
+         (1, 0, -1, None, -1, -1, [4.0], 0.5)],
+        "tree int, node int, feature int, threshold double, left int, right int, value array<double>, weight double")
+    rows = spark.createDataFrame([(1, 1.0), (2, 1.5), (3, 2.0), (4, None), (5, float("nan"))], "k int, a double")
+    w = model_tables.walked(rows, ["a"], nodes.repartition(3), 2)
+    assert {r.k: r.sums for r in w.collect()} == {1: [12.0], 2: [12.0], 3: [22.0], 4: [22.0], 5: [22.0]}
+    assert "lambda" not in w._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_table_of_one_file_is_fitted_on_every_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert models.row_partitions(spark, 20_000) == 1
+    assert models.row_partitions(spark, 7_200_000) == max(cores, 15)
+    assert models.trials_at_once(spark, 1) == max(4, 2 * cores) and models.trials_at_once(spark, 1000) == 4
+    df = spark.range(120_000).selectExpr("id as k", "cast(id % 9 as double) as x", "cast(id % 9 as double) as y").coalesce(1)
+    res = models.train_selected_model(df, ["x"], "y", "k", "linear_regression", "regression", n_trials=0)
+    assert res.predictions.rdd.getNumPartitions() == min(cores, 3)
+
+
 def test_bundle_is_complete_with_its_manifest(spark, frame, tmp_path):
     _, df = frame
     raw = df.select("key", "a", "b", "c", "y")
