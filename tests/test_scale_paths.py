@@ -1,5 +1,6 @@
 """Paths that only large tables take, forced on small ones and held against brute force."""
 
+import hashlib
 import random
 import re
 
@@ -8,7 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from tessera.operators import duplicates, features, fill, impute, infer, metrics, quantiles, ranking, stats
+from tessera.plans import workloads
 
 
 @pytest.mark.parametrize("bits", [0, 2, 64])
@@ -142,3 +145,51 @@ def test_hot_values_are_few_and_dealt(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert sum(sizes) == 9000 and max(sizes) < 1500  # one task would hold the 3000 NULLs
+
+
+def test_sample_texts_by_digest_of_many_and_of_clashing_values(spark, monkeypatch):
+    texts = [f"t{i}" for i in range(3000)]
+    df = spark.createDataFrame([(t, "ab"[i % 2]) for i, t in enumerate(texts)], "t string, u string").repartition(4)
+    rows = {r["name"]: r["sample_values"] for r in infer.profile_dataset(df).rows}
+    assert rows["t"] == sorted(texts, key=lambda t: hashlib.md5(t.encode()).digest())[:10]
+    assert rows["u"] == sorted("ab", key=lambda t: hashlib.md5(t.encode()).digest())
+    monkeypatch.setattr(stats, "digest_expr", lambda v: F.unhex(F.lit("ff" * 16)))    # none lies below a bound
+    assert infer.profile_dataset(df).rows[0]["sample_values"] == sorted(texts)[:10]
+
+
+def test_short_texts_are_digested_once_a_value(spark):
+    df = spark.range(8).selectExpr("cast(id % 2 as string) t")
+    plan = stats.text_counts(df, ["t"])._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("Exchange hashpartitioning")[1].splitlines():
+        assert "md5" not in line or re.search(r"CASE WHEN \(length\(v#\d+\) > 64\) THEN unhex\(md5", line)
+
+
+def test_no_sort_of_the_counts_for_the_summary(spark):
+    df = spark.range(50).selectExpr("id", "cast(id as string) t", "id / 7 x")
+    kinds = stats.column_kinds(df)
+    vc = stats.value_counts(df, ["id", "t", "x"], {n: k for n, k, _ in kinds}, True, True).withColumn("x", stats.numeric_expr(kinds))
+    plans = []
+    collect = type(vc).collect
+    try:
+        type(vc).collect = lambda d: (plans.append(d._jdf.queryExecution().executedPlan().toString()), collect(d))[1]
+        stats.value_stats(vc, kinds, stats.ProfileOptions(), df)
+    finally:
+        type(vc).collect = collect
+    assert "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def test_quantiles_from_bounds_of_some_values(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SMALL", 50)
+    monkeypatch.setattr(quantiles, "SKETCHED", 2)
+    rng = np.random.default_rng(9)
+    x = np.r_[rng.lognormal(0, 9, 4000), np.full(900, 3.5), -rng.random(100)]
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    assert quantiles.exact_quantiles(df, ["x"], probs)["x"] == pytest.approx(np.quantile(x, probs).tolist(), rel=1e-12)
+
+
+def test_profiles_of_tables_in_their_order(spark):
+    names = ["region", "dirty", "nation"]
+    got = workloads.profiles_of(spark, SF_SMALL, names)
+    assert [t for t, _ in got] == names
+    assert [len(p.rows) for _, p in got] == [len(workloads.source(spark, SF_SMALL, t).columns) for t in names]
