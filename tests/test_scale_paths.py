@@ -193,3 +193,45 @@ def test_profiles_of_tables_in_their_order(spark):
     got = workloads.profiles_of(spark, SF_SMALL, names)
     assert [t for t, _ in got] == names
     assert [len(p.rows) for _, p in got] == [len(workloads.source(spark, SF_SMALL, t).columns) for t in names]
+
+
+def test_quantiles_of_columns_without_rounds(spark, monkeypatch):
+    """A sketch of all rows finds the ranges of the wanted ranks: no round of refinement, few values ranked."""
+    def never(*_):
+        raise AssertionError("refined")
+    monkeypatch.setattr(quantiles, "SMALL", 100)
+    monkeypatch.setattr(quantiles, "_refined", never)
+    rng = np.random.default_rng(3)
+    x, y = rng.lognormal(0, 9, 20_000), rng.integers(-3, 4, 20_000).astype(float)
+    df = spark.createDataFrame([(float(a), float(b), int(b)) for a, b in zip(x, y)], "x double, y double, k int").repartition(4)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.95, 1.0]
+    got = quantiles.exact_quantiles(df, ["x", "y"], probs)
+    assert got["x"] == pytest.approx(np.quantile(x, probs).tolist(), rel=1e-12) and got["y"] == np.quantile(y, probs).tolist()
+    rows = {r["name"]: r for r in infer.profile_dataset(df).rows}
+    for c, v in (("x", x), ("y", y), ("k", y)):
+        assert [rows[c]["q05"], rows[c]["q25"], rows[c]["q75"], rows[c]["q95"]] == pytest.approx(np.quantile(v, [0.05, 0.25, 0.75, 0.95]).tolist(), rel=1e-12)
+
+
+def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SMALL", 50)
+    monkeypatch.setattr(quantiles, "sketches", lambda x, probs: F.percentile_approx(x, [0.9] * 2 * len(probs), 100))
+    x = np.random.default_rng(4).random(3000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert quantiles.exact_quantiles(df, ["x"], [0.25, 0.9])["x"] == pytest.approx(np.quantile(x, [0.25, 0.9]).tolist(), rel=1e-12)
+
+
+def test_times_are_counted_as_times(spark):
+    """Turned into text once a value; a time by its wall clock, as its text shows it."""
+    times = spark.sql("SELECT timestamp_seconds(1730610000 + 3600 * (id % 4)) t, date_add(date'2024-01-01', cast(id % 3 as int)) d FROM range(12)")
+    plan = stats.text_counts(times, ["t", "d"])._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("Exchange hashpartitioning")[1:]:
+        assert "as string" not in line.split("Union")[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")     # 01:00 is met twice in that night
+    try:
+        rows = {r["name"]: r for r in infer.profile_dataset(times).rows}
+        texts = {r[0] for r in times.selectExpr("cast(t as string)").distinct().collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert rows["t"]["unique_count"] == len(texts) == 3 and rows["t"]["inferred_type"] == "datetime"
+    assert rows["d"]["unique_count"] == 3 and rows["d"]["top"] == "2024-01-01"
