@@ -220,6 +220,20 @@ def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
     assert quantiles.exact_quantiles(df, ["x"], [0.25, 0.9])["x"] == pytest.approx(np.quantile(x, [0.25, 0.9]).tolist(), rel=1e-12)
 
 
+def _plans(monkeypatch, run):
+    plans = []
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    collect = Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda d: (plans.append(d._jdf.queryExecution().executedPlan().toString()), collect(d))[1])
+    return run(), plans
+
+
+def test_modes_of_numbers_without_a_sort_of_the_counts(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i % 5 / 2, i % 3 == 0) for i in range(60)] + [(None, None, None)], "k long, x double, b boolean").repartition(3)
+    got, plans = _plans(monkeypatch, lambda: impute.modes(df, ["k", "x", "b"]))
+    assert got == {"k": 0, "x": 0.0, "b": 0.0} and not any("SortAggregate" in p for p in plans)
+
+
 def test_times_are_counted_as_times(spark):
     """Turned into text once a value; a time by its wall clock, as its text shows it."""
     times = spark.sql("SELECT timestamp_seconds(1730610000 + 3600 * (id % 4)) t, date_add(date'2024-01-01', cast(id % 3 as int)) d FROM range(12)")
