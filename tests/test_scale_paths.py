@@ -249,3 +249,11 @@ def test_times_are_counted_as_times(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert rows["t"]["unique_count"] == len(texts) == 3 and rows["t"]["inferred_type"] == "datetime"
     assert rows["d"]["unique_count"] == 3 and rows["d"]["top"] == "2024-01-01"
+
+
+def test_buckets_take_a_coarse_sketch(spark, monkeypatch):
+    """The sketches of all tasks meet in one task, so they are no finer than even buckets ask for."""
+    asked, sketch = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: (asked.append(a), sketch(c, p, a))[1])
+    _, n = quantiles.range_buckets(spark.range(1000), "id")
+    assert n == 8 and asked == [2_000]
