@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tessera.operators import duplicates, features, fill, impute, infer, metrics, quantiles, ranking, stats
+from tessera.operators import clean, duplicates, features, fill, impute, infer, metrics, quantiles, ranking, stats
 from tessera.plans import workloads
 
 
@@ -257,3 +257,71 @@ def test_buckets_take_a_coarse_sketch(spark, monkeypatch):
     monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: (asked.append(a), sketch(c, p, a))[1])
     _, n = quantiles.range_buckets(spark.range(1000), "id")
     assert n == 8 and asked == [2_000]
+
+
+def test_distinct_numbers_are_exchanged_by_value_alone(spark, monkeypatch):
+    df = spark.sql("SELECT id % 3 k, cast(NULL as int) e, id / 4.0 x, IF(id % 2 = 0, -0D, 0D) z, id % 5 = 0 b, cast(id % 4 as decimal(30,2)) d, "
+                   "2 * id + 9007199254740992 w FROM range(20)")
+    got, plans = _plans(monkeypatch, lambda: stats.distinct_stats(df, df.columns))
+    assert {n: (r["unique_count"], r["nonnull"]) for n, r in got.items()} == {
+        "k": (3, 20), "x": (20, 20), "z": (1, 20), "b": (2, 20), "d": (4, 20), "w": (20, 20)}
+    assert got["b"]["cnt_mean"] == 10 and got["b"]["cnt_std"] == pytest.approx(72 ** 0.5) and got["z"]["cnt_std"] is None
+    assert len(plans) == 1 and not re.search(r"hashpartitioning\(name", plans[0])
+
+
+def test_distinct_numbers_of_many_columns(spark, monkeypatch):
+    monkeypatch.setattr(stats, "COLUMNS_A_JOB", 2)
+    df = spark.range(6).selectExpr("id", "id % 2 a", "id % 3 b", "id % 4 c", "cast(NULL as double) e")
+    assert {n: r["unique_count"] for n, r in stats.distinct_stats(df, df.columns).items()} == {"id": 6, "a": 2, "b": 3, "c": 4}
+    assert stats.distinct_stats(df, []) == {}
+
+
+def test_times_by_value_and_count(spark, monkeypatch):
+    rows = [("2024-01-02", "2024-01-02 00:00:00.5")] * 3 + [("2024-01-01", "2024-01-02 00:00:00")] * 3 + [("2025-07-09", None), (None, None)]
+    df = spark.createDataFrame(rows, "d string, t string").selectExpr("cast(d as date) d", "cast(t as timestamp) t", "cast(NULL as date) e")
+    got, plans = _plans(monkeypatch, lambda: stats.time_stats(df, df.columns))
+    assert set(got) == {"d", "t"} and len(plans) == 1 and "SortAggregate" not in plans[0]
+    assert [got["d"][k] for k in ("unique_count", "nonnull", "top", "date_share")] == [3, 7, "2024-01-01", 1.0]
+    assert got["d"]["cnt_std"] == pytest.approx(np.std([3, 3, 1], ddof=1), rel=1e-12) and got["t"]["cnt_std"] == 0.0
+    assert got["t"]["top"] == "2024-01-02 00:00:00"
+    row = {r["name"]: r for r in infer.profile_dataset(df).rows}
+    assert (row["e"]["inferred_type"], row["e"]["null_count"], row["t"]["inferred_type"]) == ("unknown", 8, "datetime")
+
+
+def test_most_frequent_day_beyond_four_digit_years(spark):
+    """The least text, not the earliest day."""
+    df = spark.sql("SELECT explode(array(make_date(2024, 1, 1), make_date(12024, 1, 1), make_date(12025, 1, 1))) d")
+    assert stats.time_stats(df, ["d"])["d"]["top"] == "+12024-01-01"
+
+
+def test_digests_met_twice_are_counted_once(spark):
+    df = spark.range(40).selectExpr("id % 30 as a").repartition(3)
+    out = duplicates.distinct_rows(df)
+    assert "InMemoryTableScan" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 30 and duplicates.duplicate_counts(df).collect()[0].asDict() == {"n": 40, "d": 10}
+
+
+def test_cleaning_keeps_one_frame(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 1.0, None), (1, 1.0, None), (2, 2.0, None), (None, None, None), (None, None, None), (3, 3.0, None)],
+                               "k int, x double, gone string")
+    rows = infer.profile_dataset(df).rows
+    kept, frame = [], type(df)
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda d, *a: (kept.append(d.columns), persist(d, *a))[1])
+    out, log = clean.perform_automatic_cleaning(df, rows)
+    assert sum(c == ["k", "x", "gone"] for c in kept) == 1 and ["k", "x"] not in kept
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert log == ["Removed 2 duplicate rows (33.3%)", "Automatically removed 1 columns with >70% missing values: ['gone']",
+                   "Removed 1 rows with >80% missing data (25.0%)"]
+
+
+def test_dirty_orders_from_one_scan(spark, tmp_path):
+    spark.sql("""SELECT IF(id = 7, NULL, id * 10 - 100) o_orderkey, IF(id = 3, NULL, id) o_custkey, 'O' o_orderstatus, id * 1.5D o_totalprice,
+                 timestamp'2024-01-01 00:00:00' o_orderdate, IF(id % 2 = 0, '1-URGENT', '5-LOW') o_orderpriority FROM range(60)""") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    got = workloads.dirty_orders(spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    spark.read.parquet(str(tmp_path / "orders.parquet")).createOrReplaceTempView("orders_as_given")
+    want = spark.sql(f"SELECT * FROM {workloads.dirty_sql('orders_as_given')}")
+    assert got.dtypes == want.dtypes and got.count() == 72
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
