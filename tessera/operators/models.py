@@ -1,9 +1,9 @@
 """Training and tuning on MLlib.
 
 Estimators are distributed MLlib stages; tuning is a seeded random search over
-a fold column (M03). Linear, ridge and binary logistic regression are scored
-from sufficient statistics, all trials in a few passes (``search``); the others
-by ``CrossValidator``, trials in parallel.
+a fold column (M03). Linear, ridge and binary logistic regression and boosted
+trees of two classes are scored from sufficient statistics, all trials in a few
+passes (``search``); the others by ``CrossValidator``, trials in parallel.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import search
 from .split import assign_folds, train_test_split
 
@@ -152,13 +153,21 @@ def assemble(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def _search_scores(folded: DataFrame, features: list[str], algorithm: str, trials: list[dict],
-                   n_classes: int) -> list[float]:
-    """Scores of the trials of a linear model from sufficient statistics; empty if the algorithm has none."""
+                   n_classes: int, two_classes: bool = False) -> list[float]:
+    """Scores of the trials from sufficient statistics; empty if the algorithm has none.
+
+    ``two_classes``: the labels are 0 and 1, both of them and no other.
+    """
     if algorithm in ("linear_regression", "ridge_regression"):
         moments = search.moments_by_fold(folded, features)
         scores = search.ridge_scores(moments, [float(t.get("alpha", 0.0)) for t in trials])
     elif algorithm == "logistic_regression" and n_classes <= 2:
         scores = search.logistic_scores(folded, features, [(float(t["C"]), t["penalty"]) for t in trials], 5)
+    elif algorithm == "gradient_boosting" and two_classes:
+        # what the estimators are built with
+        ests = [build_estimator(algorithm, "classification", t, 0) for t in trials]
+        scores = search.boosted_scores(folded, features, [(e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getSubsamplingRate())
+                                                          for e in ests], 5, SEED)
     else:
         return []
     return [s if math.isfinite(s) else FAILED_TRIAL for s in scores]
@@ -214,8 +223,9 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
                              else "label", rows_hint=total)
     # iterative MLlib fits launch one job per iteration over every partition
     parts = row_partitions(df.sparkSession, total)
-    split = VectorAssembler(inputCols=features, outputCol="features",
-                            handleInvalid="keep").transform(split).repartition(parts) \
+    # each pass of a fit or search plans, keeps and logs all that its input was made by: the lineage is cut
+    split = cut_lineage(VectorAssembler(inputCols=features, outputCol="features",
+                                        handleInvalid="keep").transform(split).repartition(parts)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where(F.col("part") == "train")
     n_rows = train.count()
@@ -228,10 +238,10 @@ def train_selected_model(df: DataFrame, features: list[str], label: str, key: st
         warning = "Used simple train-test split due to insufficient class samples"
     elif space and n_trials > 0:
         trials = random_trials(space, n_trials)
-        folded = assign_folds(train, key, 5, stratify="label" if cls else None,
-                              rows_hint=total) \
-            .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-        scores = _search_scores(folded, features, algorithm, trials, n_classes)
+        folded = cut_lineage(assign_folds(train, key, 5, stratify="label" if cls else None,
+                                          rows_hint=total).repartition(parts)) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        scores = _search_scores(folded, features, algorithm, trials, n_classes, set(counts) == {0.0, 1.0})
         ests = [] if scores else [build_estimator(algorithm, problem_type, t, n_rows, n_classes,
                                 label_std=label_std) for t in trials]
         ev = (MulticlassClassificationEvaluator(metricName="accuracy") if cls

@@ -86,6 +86,64 @@ def test_search_of_fifty_trials(frame):
         assert res.params and res.cv_score > 0.5 and res.warning is None
 
 
+def test_boosting_from_counts_is_mllibs(frame):
+    _, df = frame
+    cols = ["a", "b", "c"]
+    tables = search.cells_by_fold(df, cols, 5)
+    assert len(tables) == 5 and all(rows.sum() == 400 and rows[:, 2:].sum() == 80 for _, rows in tables)
+    data = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
+    for held, trees, depth, rate in ((0, 6, 2, 0.3), (3, 1, 4, 0.1)):
+        est = models.build_estimator("gradient_boosting", "binary_classification",
+                                     {"n_estimators": trees, "max_depth": depth, "learning_rate": rate}, 400)
+        own = est.fit(data.where(F.col("fold") != held)).transform(data.where(F.col("fold") == held)).toPandas()
+        bins, rows = tables[held]
+        margin = search.boosted_margins(bins, rows[:, :2], trees, depth, rate, 1.0, 42)
+        assert np.repeat(margin, rows[:, 2:].sum(1)).sum() == pytest.approx(sum(v[1] for v in own.rawPrediction), abs=1e-9)
+        assert np.sort(np.repeat(margin, rows[:, 2:].sum(1))) == pytest.approx(np.sort([v[1] for v in own.rawPrediction]), abs=1e-9)
+        assert np.where(margin > 0, rows[:, 3], rows[:, 2]).sum() == (own.prediction == own.label).sum()
+
+
+def test_rows_are_drawn_one_by_one_and_by_number():
+    counts = np.array([0, 1, 5, 32, 33, 5000])
+    draw = search._draws(counts, 0.8, np.random.default_rng(1))
+    drawn = np.array([draw() for _ in range(2000)])
+    assert (drawn <= counts).all() and drawn.mean(0) == pytest.approx(0.8 * counts, rel=0.03)
+    assert drawn.var(0) == pytest.approx(0.16 * counts, rel=0.15)
+    assert (search._draws(counts, 1.0, np.random.default_rng(1))() == counts).all()
+
+
+def test_boosted_search_fits_no_trial_by_jobs(frame, monkeypatch):
+    _, df = frame
+
+    def fit(*_):
+        raise AssertionError("a trial was fitted by itself")
+
+    monkeypatch.setattr(models.CrossValidator, "fit", fit)
+    res = models.train_selected_model(df, ["a", "b", "c"], "label", "key", "gradient_boosting", "binary_classification", n_trials=2)
+    assert res.params in models.random_trials(models.get_algorithms("classification")["gradient_boosting"], 2)
+    assert 0.6 < res.cv_score <= 1 and res.warning is None
+
+
+def test_boosted_search_without_room_or_numbers(frame, monkeypatch):
+    _, df = frame
+    trials = [(3, 2, 0.1, 0.9)]
+    scores = search.boosted_scores(df, ["a", "b"], trials, 5, 42)
+    assert len(scores) == 1 and 0.5 < scores[0] <= 1 and scores == search.boosted_scores(df.repartition(7), ["a", "b"], trials, 5, 42)
+    gaps = df.withColumn("b", F.when(F.col("key") > 9, F.col("b")))
+    assert np.isnan(search.boosted_scores(gaps, ["a", "b"], trials, 5, 42)).all()
+    monkeypatch.setattr(search, "MAX_CELL_BYTES", 1000)
+    assert search.boosted_scores(df, ["a", "b"], trials, 5, 42) == []
+    monkeypatch.setattr(search, "MAX_VALUES", 100)
+    assert search.cells_by_fold(df, ["a", "b"], 5) is None
+
+
+def test_fits_do_not_carry_the_plan_of_their_input(frame):
+    _, df = frame
+    res = models.train_selected_model(df, ["a", "b"], "y", "key", "ridge_regression", "regression", n_trials=2)
+    plan = res.predictions._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
 def test_least_leaf_keeps_the_split_bound():
     est = models.build_estimator("random_forest", "regression", {"min_samples_split": 20, "min_samples_leaf": 3}, 100)
     assert est.getMinInstancesPerNode() == 10
